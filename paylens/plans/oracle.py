@@ -90,3 +90,187 @@ ORACLE["pay_outliers"] = _outliers_sql(
 ORACLE["pay_outliers_documents"] = _outliers_sql(
     "SELECT lang AS organismo, CAST(doc_id AS VARCHAR) AS nombre, source AS estamento, "
     "n_chars AS sueldo_num FROM documents")
+
+# Accent folds as DuckDB sees them: the 16-letter translate, and the full
+# NFKD fold as strip_accents plus removal of what is still not ASCII.
+FOLD16 = "translate(lower({x}), 'áéíóúàèìòùäëïöüñ', 'aeiouaeiouaeioun')"
+FOLD_FULL = "regexp_replace(strip_accents(lower({x})), '[^\\x00-\\x7F]', '', 'g')"
+
+
+def clp(x: str) -> str:
+    """format_clp in DuckDB: '$ 1.234.567', truncated, NULL -> ''."""
+    return (f"COALESCE('$ ' || replace(format('{{:,}}', TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) "
+            f"AS BIGINT)), ',', '.'), '')")
+
+
+ORDER_ROWS = f"""
+  SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority AS organismo_nombre,
+         year(o_orderdate) AS anyo, {MONTHS_SQL}[month(o_orderdate)] AS Mes,
+         o_orderstatus AS origen,
+         CAST(round(o_totalprice * 100) AS BIGINT) AS remuliquida_mensual
+  FROM orders"""
+
+ORACLE["person_search"] = f"""
+SELECT doc_id, lang, source, n_chars FROM documents
+WHERE {FOLD_FULL.format(x='text')} LIKE '%des%' AND {FOLD_FULL.format(x='text')} LIKE '%elle%'
+ORDER BY doc_id LIMIT 500
+"""
+
+ORACLE["search_filters"] = f"""
+SELECT o_orderkey, organismo_nombre, anyo, Mes, origen, remuliquida_mensual
+FROM ({ORDER_ROWS})
+WHERE organismo_nombre = '1-URGENT' AND anyo BETWEEN 1996 AND 1997 AND Mes = 'Marzo'
+ORDER BY o_orderkey LIMIT 500
+"""
+
+ORACLE["accent_fold"] = f"SELECT doc_id, {FOLD16.format(x='text')} AS folded FROM documents"
+ORACLE["accent_fold_full"] = f"SELECT doc_id, {FOLD_FULL.format(x='text')} AS folded FROM documents"
+
+ORACLE["last_record"] = f"""
+SELECT anyo, Mes, organismo_nombre, origen
+FROM ({ORDER_ROWS}) o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE trim({FOLD_FULL.format(x='c_name')}) LIKE '%customer#000000007%'
+ORDER BY anyo DESC, month(o_orderdate) DESC, o_orderdate DESC, o_orderkey DESC
+LIMIT 1
+"""
+
+ORACLE["last_record_per_person"] = f"""
+SELECT o_custkey, anyo, Mes, organismo_nombre, origen
+FROM ({ORDER_ROWS})
+QUALIFY row_number() OVER (PARTITION BY o_custkey
+                           ORDER BY anyo DESC, month(o_orderdate) DESC, o_orderdate DESC,
+                                    o_orderkey DESC) = 1
+"""
+
+PART_PEOPLE = """
+  SELECT p_partkey, split_part(p_name, ' ', 1) AS Nombres, split_part(p_name, ' ', 2) AS Paterno,
+         CAST(NULL AS VARCHAR) AS Materno, p_brand AS organismo_nombre, p_type AS cargo
+  FROM part"""
+
+ORACLE["profiles"] = f"""
+SELECT trim(COALESCE(Nombres, '')) AS Nombres, trim(COALESCE(Paterno, '')) AS Paterno,
+       trim(COALESCE(Materno, '')) AS Materno,
+       array_to_string(list_sort(list(DISTINCT organismo_nombre)), ' | ') AS organismo_nombre,
+       array_to_string(list_sort(list(DISTINCT cargo)), ' | ') AS cargo
+FROM ({PART_PEOPLE})
+GROUP BY 1, 2, 3
+"""
+
+ORACLE["profile_select"] = f"""
+SELECT * FROM ({PART_PEOPLE})
+WHERE trim(COALESCE(Nombres, '')) = 'small' AND trim(COALESCE(Paterno, '')) = 'ring'
+  AND trim(COALESCE(Materno, '')) = ''
+"""
+
+ORACLE["profile_flags"] = f"""
+SELECT COUNT(DISTINCT (trim(COALESCE(Nombres, '')), trim(COALESCE(Paterno, '')),
+                       trim(COALESCE(Materno, '')))) AS n_profiles,
+       COUNT(*) AS n_rows,
+       COUNT(DISTINCT (trim(COALESCE(Nombres, '')), trim(COALESCE(Paterno, '')),
+                       trim(COALESCE(Materno, '')))) > 1 AS ambiguous,
+       COUNT(*) = 500 AS truncated
+FROM ({PART_PEOPLE}) WHERE Paterno = 'ring'
+"""
+
+SEGMENT_ORDERS = f"""
+  SELECT * FROM ({ORDER_ROWS})
+  WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""
+
+ORACLE["kpis"] = f"""
+SELECT registros, gasto_total, promedio, maximo,
+       CASE WHEN registros = 1 THEN 'Gasto Total (Mes)' ELSE 'Gasto Total (Acumulado)' END
+         AS etiqueta_total,
+       {clp('gasto_total')} AS gasto_total_txt, {clp('promedio_raw')} AS promedio_txt,
+       {clp('maximo')} AS maximo_txt
+FROM (SELECT COUNT(*) AS registros, CAST(SUM(remuliquida_mensual) AS BIGINT) AS gasto_total,
+             round(AVG(remuliquida_mensual), 2) AS promedio, AVG(remuliquida_mensual) AS promedio_raw,
+             MAX(remuliquida_mensual) AS maximo
+      FROM ({SEGMENT_ORDERS}))
+"""
+
+ORACLE["chronological_table"] = f"""
+SELECT anyo, Mes, {clp('remuliquida_mensual')} AS remuliquida_mensual, organismo_nombre, origen,
+       o_orderkey
+FROM ({SEGMENT_ORDERS})
+"""
+
+ORACLE["pay_histogram"] = f"""
+WITH v AS (SELECT remuliquida_mensual AS x FROM ({ORDER_ROWS}) WHERE remuliquida_mensual IS NOT NULL),
+     b AS (SELECT min(x) AS lo, max(x) AS hi FROM v)
+SELECT CAST(COALESCE(least(floor((20 * (x - lo)) / NULLIF(hi - lo, 0)) + 1, 20), 1) AS INTEGER) AS bin,
+       COUNT(*) AS n, min(x) AS bin_min, max(x) AS bin_max
+FROM v, b GROUP BY 1
+"""
+
+ORACLE["top_pay"] = f"""
+WITH r AS (
+  SELECT c_name AS Nombres, c_mktsegment AS Paterno, repeat(c_mktsegment || ' ', 12) AS cargo,
+         CAST(round(c_acctbal * 100) AS BIGINT) AS amt
+  FROM customer
+  ORDER BY amt DESC NULLS LAST, Nombres ASC NULLS LAST, Paterno ASC NULLS LAST LIMIT 10)
+SELECT Nombres AS Nombre, Paterno AS Apellido,
+       CASE WHEN length(cargo) > 100 THEN substr(cargo, 1, 100) || '...' ELSE cargo END
+         AS "Cargo / Función",
+       {clp('amt')} AS Sueldo
+FROM r
+"""
+
+LINE_EXPENSES = """
+  SELECT year(o_orderdate) AS anyo, month(o_orderdate) AS Mes, o_custkey AS llave_senador,
+         l_returnflag AS gastos_operacionales, l_linestatus,
+         CAST(round(l_extendedprice * 100) AS BIGINT) AS monto
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+ORACLE["expense_breakdown"] = f"""
+WITH people AS (
+  SELECT DISTINCT year(o_orderdate) AS anyo, month(o_orderdate) AS Mes, o_custkey AS llave_senador
+  FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1996),
+src AS (
+  SELECT anyo, Mes, llave_senador, gastos_operacionales AS Concepto, SUM(monto) AS Monto
+  FROM ({LINE_EXPENSES}) WHERE l_linestatus = 'O' GROUP BY ALL
+  UNION ALL
+  SELECT anyo, Mes, llave_senador, gastos_operacionales AS Concepto, SUM(monto) AS Monto
+  FROM ({LINE_EXPENSES}) WHERE l_linestatus = 'F' GROUP BY ALL)
+SELECT s.anyo, s.Mes, s.llave_senador, s.Concepto, CAST(SUM(s.Monto) AS BIGINT) AS Monto
+FROM src s JOIN people p USING (anyo, Mes, llave_senador)
+GROUP BY ALL
+"""
+
+ORACLE["expense_share"] = f"""
+WITH per AS (
+  SELECT gastos_operacionales AS Concepto, CAST(SUM(monto) AS BIGINT) AS Monto
+  FROM ({LINE_EXPENSES}) WHERE l_linestatus IN ('O', 'F') GROUP BY 1),
+pos AS (SELECT * FROM per WHERE Monto > 0)
+SELECT Concepto, Monto, Monto / NULLIF((SELECT SUM(Monto) FROM pos), 0) AS share FROM pos
+"""
+
+CATALOGUE = f"""
+  WITH r AS (SELECT organismo_nombre AS ds, anyo, origen AS org FROM ({ORDER_ROWS})),
+  per AS (
+    SELECT ds AS dataset,
+           list_sort(list(DISTINCT anyo) FILTER (WHERE anyo IS NOT NULL), 'DESC') AS anios,
+           list_sort(list(DISTINCT org) FILTER (WHERE org IS NOT NULL)) AS organismos
+    FROM r WHERE ds IS NOT NULL GROUP BY 1),
+  allds AS (
+    SELECT 'Todas (Búsqueda Global)' AS dataset,
+           list_sort(list(DISTINCT anyo) FILTER (WHERE anyo IS NOT NULL), 'DESC') AS anios,
+           list_sort(list(DISTINCT org) FILTER (WHERE org IS NOT NULL)) AS organismos
+    FROM r WHERE ds IS NOT NULL)
+  SELECT * FROM per UNION ALL SELECT * FROM allds"""
+
+ORACLE["catalogue"] = f"""
+SELECT dataset, array_to_string(anios, ',') AS anios, array_to_string(organismos, ',') AS organismos
+FROM ({CATALOGUE})
+"""
+
+ORACLE["catalogue_lookup"] = f"""
+WITH c AS ({CATALOGUE}),
+probe AS (SELECT '3-MEDIUM' AS dataset UNION ALL SELECT 'missing'),
+hit AS (
+  SELECT p.dataset, COALESCE(c.anios, [2026, 2025, 2024, 2023, 2022, 2021, 2020]) AS anios,
+         COALESCE(c.organismos, []) AS organismos
+  FROM probe p LEFT JOIN c USING (dataset))
+SELECT dataset, list_min(anios) AS min_year, list_max(anios) AS max_year,
+       CAST(len(anios) AS INTEGER) AS n_years, CAST(len(organismos) AS INTEGER) AS n_orgs
+FROM hit
+"""

@@ -57,3 +57,156 @@ def pay_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pay_outliers_documents")
 def pay_outliers_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.pay_outliers(views.document_pay(spark, sf_dir), stats_floor=0, result_floor=0)
+
+
+# ---------------------------------------------------------------- search
+
+from paylens.functions.text import fold_text, unaccent_lower  # noqa: E402
+from paylens.operators import catalogue as cat  # noqa: E402
+from paylens.operators import expenses as exp  # noqa: E402
+from paylens.operators import search as srch  # noqa: E402
+from paylens.operators import summary as summ  # noqa: E402
+from paylens.session import table  # noqa: E402
+
+
+@register("person_search")
+def person_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("search_vector", fold_text(F.col("text")))
+    return srch.search(docs, person="des ELLE", columns=("doc_id", "lang", "source", "n_chars"),
+                       org_col="lang", order=("doc_id",))
+
+
+@register("search_filters")
+def search_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.order_rows(spark, sf_dir)
+    return srch.search(rows, organization="1-URGENT", years=(1996, 1997), month="Marzo",
+                       columns=("o_orderkey", "organismo_nombre", "anyo", "Mes", "origen",
+                                "remuliquida_mensual"), order=("o_orderkey",))
+
+
+@register("accent_fold")
+def accent_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", unaccent_lower(F.col("text")).alias("folded"))
+
+
+@register("accent_fold_full")
+def accent_fold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", fold_text(F.col("text")).alias("folded"))
+
+
+def _named_orders(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), fold_text(F.col("c_name"), strip=True).alias("search_vector"))
+    return views.order_rows(spark, sf_dir).join(cust, "o_custkey")
+
+
+@register("last_record")
+def last_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return srch.last_record(_named_orders(spark, sf_dir), "Customer#000000007",
+                            tie=("o_orderdate", "o_orderkey"))
+
+
+@register("last_record_per_person")
+def last_record_per_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return srch.last_records(views.order_rows(spark, sf_dir), "o_custkey",
+                             tie=("o_orderdate", "o_orderkey"))
+
+
+@register("profiles")
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return srch.profiles(views.part_people(spark, sf_dir))
+
+
+@register("profile_select")
+def profile_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = {"Nombres": "small", "Paterno": "ring", "Materno": None}
+    return srch.select_profile(views.part_people(spark, sf_dir), chosen)
+
+
+@register("profile_flags")
+def profile_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = views.part_people(spark, sf_dir)
+    found = people.filter(F.col("Paterno") == "ring")
+    return srch.result_flags(found, limit=500)
+
+
+# ---------------------------------------------------------------- summary
+
+@register("kpis")
+def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.segment_orders(spark, sf_dir, "BUILDING")
+    return summ.kpis(rows, "remuliquida_mensual").withColumn("promedio", F.round("promedio", 2))
+
+
+@register("chronological_table")
+def chronological_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.segment_orders(spark, sf_dir, "BUILDING").drop("o_orderdate", "o_custkey")
+    return summ.display_table(summ.chronological(rows))
+
+
+@register("pay_histogram")
+def pay_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.order_rows(spark, sf_dir)
+    return summ.histogram(rows, "remuliquida_mensual", bins=20)
+
+
+@register("top_pay")
+def top_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylens.functions.money import to_cents
+    c = table(spark, sf_dir, "customer")
+    rows = c.select(F.col("c_name").alias("Nombres"), F.col("c_mktsegment").alias("Paterno"),
+                    F.repeat(F.concat(F.col("c_mktsegment"), F.lit(" ")), 12).alias("cargo"),
+                    to_cents(F.col("c_acctbal")).alias("remuliquida_mensual"))
+    return summ.top_pay(rows, "remuliquida_mensual", 10)
+
+
+# ---------------------------------------------------------------- expenses
+
+def _breakdown(spark, sf_dir):
+    lines = views.line_expenses(spark, sf_dir)
+    open_src = lines.filter(F.col("l_linestatus") == "O").drop("l_linestatus")
+    done_src = lines.filter(F.col("l_linestatus") == "F").drop("l_linestatus")
+    return open_src, done_src
+
+
+@register("expense_breakdown")
+def expense_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = views.order_rows(spark, sf_dir).filter(
+        (F.col("organismo_nombre") == "1-URGENT") & (F.col("anyo") == 1996))
+    people = o.select("anyo", F.month("o_orderdate").alias("Mes"),
+                      F.col("o_custkey").alias("llave_senador"))
+    return exp.expense_breakdown(people, *_breakdown(spark, sf_dir))
+
+
+@register("expense_share")
+def expense_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    open_src, done_src = _breakdown(spark, sf_dir)
+    both = open_src.unionByName(done_src)
+    per = both.groupBy(F.col("gastos_operacionales").alias("Concepto")).agg(F.sum("monto").alias("Monto"))
+    return exp.expense_share(per)
+
+
+# ---------------------------------------------------------------- catalogue
+
+def _catalogue(spark, sf_dir):
+    rows = views.order_rows(spark, sf_dir).select(
+        F.col("organismo_nombre").alias("origen"), "anyo",
+        F.col("origen").alias("organismo_nombre"))
+    return cat.build_catalogue(rows)
+
+
+@register("catalogue")
+def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _catalogue(spark, sf_dir).withColumns({"anios": _join_list("anios"),
+                                                 "organismos": _join_list("organismos")})
+
+
+@register("catalogue_lookup")
+def catalogue_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _catalogue(spark, sf_dir)
+    years = cat.available_years(c, "3-MEDIUM").unionByName(cat.available_years(c, "missing"))
+    return cat.year_bounds(years).join(
+        cat.organizations(c, "3-MEDIUM").unionByName(cat.organizations(c, "missing"))
+        .select("dataset", F.size("organismos").alias("n_orgs")), "dataset")

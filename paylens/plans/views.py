@@ -91,3 +91,50 @@ def document_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("nombre"),
         F.col("source").alias("estamento"),
         F.col("n_chars").alias("sueldo_num"))
+
+
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as searchable pay rows (priority = organisation, status = source)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey", "o_custkey", "o_orderdate",
+        F.col("o_orderpriority").alias("organismo_nombre"),
+        F.year("o_orderdate").alias("anyo"),
+        month_name(F.month("o_orderdate")).alias("Mes"),
+        F.col("o_orderstatus").alias("origen"),
+        to_cents(F.col("o_totalprice")).alias("remuliquida_mensual"))
+
+
+def segment_orders(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
+    """order rows of the customers of one market segment (semi join)."""
+    cust = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == segment)
+    rows = order_rows(spark, sf_dir)
+    return rows.join(cust.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi")
+
+
+def part_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as people: first / second name word, brand = organisation, type = role."""
+    part = table(spark, sf_dir, "part")
+    words = F.split(F.col("p_name"), " ")
+    return part.select(
+        "p_partkey",
+        F.element_at(words, 1).alias("Nombres"),
+        F.element_at(words, 2).alias("Paterno"),
+        F.lit(None).cast("string").alias("Materno"),
+        F.col("p_brand").alias("organismo_nombre"),
+        F.col("p_type").alias("cargo"))
+
+
+def line_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem joined to its order: expense rows keyed by (year, month, customer)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_returnflag", "l_linestatus", "l_extendedprice")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    return j.select(
+        F.year("o_orderdate").alias("anyo"),
+        F.month("o_orderdate").alias("Mes"),
+        F.col("o_custkey").alias("llave_senador"),
+        F.col("l_returnflag").alias("gastos_operacionales"),
+        F.col("l_linestatus"),
+        to_cents(F.col("l_extendedprice")).alias("monto"))
