@@ -274,3 +274,271 @@ SELECT dataset, list_min(anios) AS min_year, list_max(anios) AS max_year,
        CAST(len(anios) AS INTEGER) AS n_years, CAST(len(organismos) AS INTEGER) AS n_orgs
 FROM hit
 """
+
+
+def money_text(x: str) -> str:
+    """Integer cents as '$ -1.234,56' (twin of views.money_text)."""
+    return (f"('$ ' || CASE WHEN {x} < 0 THEN '-' ELSE '' END || "
+            f"replace(format('{{:,}}', abs({x}) // 100), ',', '.') || ',' || "
+            f"lpad(CAST(abs({x}) % 100 AS VARCHAR), 2, '0'))")
+
+
+def clean_money(x: str) -> str:
+    return f"TRY_CAST(replace(regexp_replace({x}, '[^0-9,]', '', 'g'), ',', '.') AS INTEGER)"
+
+
+def digits_money(x: str) -> str:
+    return f"TRY_CAST(regexp_replace({x}, '[^0-9]', '', 'g') AS BIGINT)"
+
+
+CENTS = "CAST(round({x} * 100) AS BIGINT)"
+
+ORACLE["money_clean"] = f"""
+WITH t AS (SELECT o_orderkey, {money_text(CENTS.format(x='o_totalprice'))} AS texto FROM orders)
+SELECT o_orderkey, texto, {clean_money('texto')} AS x1,
+       {clean_money("translate(texto, '.,', ',.')")} AS x1_swapped
+FROM t
+"""
+
+ORACLE["money_digits"] = f"""
+WITH t AS (SELECT o_orderkey, o_orderstatus,
+                  {money_text(CENTS.format(x='o_totalprice'))} AS texto FROM orders)
+SELECT o_orderkey, {digits_money('texto')} AS x2,
+       COALESCE({digits_money("CASE WHEN o_orderstatus = 'P' THEN NULL ELSE texto END")}, 0) AS x3
+FROM t
+"""
+
+ORACLE["money_format_roundtrip"] = f"""
+WITH t AS (SELECT o_orderkey, {CENTS.format(x='o_totalprice')} AS cents FROM orders),
+f AS (SELECT o_orderkey, cents, {clp('cents')} AS fmt FROM t)
+SELECT o_orderkey, fmt, {clean_money('fmt')} AS back,
+       {clean_money('fmt')} = cents AS ok
+FROM f
+"""
+
+
+def fold16(x: str) -> str:
+    return FOLD16.format(x=x)
+
+
+def fold_full(x: str) -> str:
+    return FOLD_FULL.format(x=x)
+
+
+def _pay_rows_sql(src: str) -> str:
+    return f"""
+  SELECT organismo_nombre, anyo, Mes, estamento, Nombres, Paterno, Materno, cargo,
+         {clean_money('liq')} AS remuliquida_mensual,
+         {clean_money('bruta')} AS remuneracionbruta_mensual,
+         {fold16("COALESCE(Nombres, '') || ' ' || COALESCE(Paterno, '') || ' ' || COALESCE(Materno, '')")}
+           AS search_vector,
+         origen
+  FROM ({src}) WHERE anyo BETWEEN 2000 AND 2050"""
+
+
+SUPPLIER_PAY = f"""
+    SELECT CAST(s_nationkey AS VARCHAR) AS organismo_nombre,
+           TRY_CAST(CAST(1990 + s_nationkey AS VARCHAR) AS INTEGER) AS anyo,
+           {MONTHS_SQL}[s_nationkey % 12 + 1] AS Mes, 'Proveedor' AS estamento,
+           s_name AS Nombres, CAST(NULL AS VARCHAR) AS Paterno, CAST(NULL AS VARCHAR) AS Materno,
+           CAST(NULL AS VARCHAR) AS cargo,
+           {money_text(CENTS.format(x='s_acctbal'))} AS liq, CAST(NULL AS VARCHAR) AS bruta,
+           'Planta' AS origen
+    FROM supplier"""
+
+CUSTOMER_PAY = f"""
+    SELECT c_mktsegment AS organismo_nombre,
+           TRY_CAST(CAST(2000 + c_nationkey AS VARCHAR) AS INTEGER) AS anyo,
+           {MONTHS_SQL}[c_nationkey % 12 + 1] AS Mes, CAST(NULL AS VARCHAR) AS estamento,
+           c_name AS Nombres, translate(c_mktsegment, 'AEIOU', 'ÁÉÍÓÚ') AS Paterno,
+           CAST(NULL AS VARCHAR) AS Materno, c_mktsegment AS cargo,
+           {money_text(CENTS.format(x='c_acctbal'))} AS liq,
+           {money_text(CENTS.format(x='c_acctbal') + ' * 2')} AS bruta,
+           'Contrata' AS origen
+    FROM customer"""
+
+ORACLE["schema_unify"] = f"{_pay_rows_sql(SUPPLIER_PAY)} UNION ALL {_pay_rows_sql(CUSTOMER_PAY)}"
+
+ORACLE["audit_view"] = f"""
+SELECT 'Planta' AS Origen, s_name AS Nombres, CAST(NULL AS VARCHAR) AS Paterno,
+       CAST(NULL AS VARCHAR) AS Materno, CAST(1990 + s_nationkey AS VARCHAR) AS anyo,
+       {MONTHS_SQL}[s_nationkey % 12 + 1] AS Mes, CAST(s_nationkey AS VARCHAR) AS organismo,
+       {money_text(CENTS.format(x='s_acctbal'))} AS sueldo, 'Proveedor' AS estamento,
+       CAST(NULL AS VARCHAR) AS cargo
+FROM supplier
+UNION ALL
+SELECT 'Contrata', c_name, translate(c_mktsegment, 'AEIOU', 'ÁÉÍÓÚ'), NULL,
+       CAST(2000 + c_nationkey AS VARCHAR), {MONTHS_SQL}[c_nationkey % 12 + 1], c_mktsegment,
+       {money_text(CENTS.format(x='c_acctbal'))}, NULL, c_mktsegment
+FROM customer
+"""
+
+ORACLE["ragged_concat"] = f"""
+WITH both_ AS (
+  SELECT upper(CASE WHEN s_acctbal < 0 THEN '  ' ELSE s_name END) AS Nombres,
+         COALESCE(CASE WHEN s_nationkey < 5 THEN NULL ELSE 'Asesor legislativo' END, 'Asesor')
+           || ' de ' || COALESCE('Diputado ' || CAST(s_nationkey AS VARCHAR), 'Diputado') AS cargo,
+         COALESCE({digits_money(money_text(CENTS.format(x='s_acctbal')))}, 0) AS remuliquida_mensual,
+         'supplier' AS fuente
+  FROM supplier
+  UNION ALL
+  SELECT upper(c_name), 'Asesor de Diputado',
+         COALESCE({digits_money(money_text(CENTS.format(x='c_acctbal')))}, 0), 'customer'
+  FROM customer)
+SELECT * FROM both_ WHERE trim(COALESCE(Nombres, '')) <> ''
+"""
+
+ORACLE["column_layout"] = """
+SELECT c_mktsegment AS "c_mkt segment", c_name, c_custkey, c_acctbal FROM customer
+"""
+
+
+def _capitalize(x: str) -> str:
+    return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"
+
+
+ORACLE["month_lookup"] = f"""
+WITH t AS (SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS m FROM orders),
+n AS (SELECT o_orderkey, m, {MONTHS_SQL}[m] AS nombre FROM t)
+SELECT o_orderkey, m, nombre, COALESCE({MONTHS_SQL}[m + 6], 'Enero') AS nombre_mas_6,
+       CAST(list_position({MONTHS_SQL}, {_capitalize('upper(nombre)')}) AS INTEGER) AS de_vuelta,
+       CAST(COALESCE(list_position({MONTHS_SQL}, {_capitalize("nombre || 'x'")}), 0) AS INTEGER)
+         AS desconocido
+FROM n
+"""
+
+NAME_PARTS = """
+  SELECT p_partkey, split_part(p_name, ' ', 1) AS a,
+         CASE WHEN p_size < 10 THEN '  ' ELSE ' ' || split_part(p_name, ' ', 2) || ' ' END AS b,
+         CASE WHEN p_size > 40 THEN p_brand || '  x' ELSE NULL END AS c
+  FROM part"""
+
+ORACLE["person_key"] = f"""
+SELECT p_partkey,
+       trim(replace(concat_ws(' ', nullif(upper(trim(a)), ''), nullif(upper(trim(b)), ''),
+                              nullif(upper(trim(c)), '')), '  ', ' ')) AS llave
+FROM ({NAME_PARTS})
+"""
+
+ORACLE["audit_full_name"] = f"""
+SELECT p_partkey,
+       upper(trim(COALESCE(a, '')) || ' ' || trim(COALESCE(b, '')) || ' ' || trim(COALESCE(c, '')))
+         AS nombre_completo
+FROM ({NAME_PARTS})
+"""
+
+ORACLE["pay_with_expenses"] = f"""
+WITH pay AS (SELECT 1998 AS ano, 3 AS mes, c_custkey AS llave_senador,
+                    {CENTS.format(x='c_acctbal')} AS dieta FROM customer),
+spent AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+                 o_custkey AS llave_senador, SUM({CENTS.format(x='o_totalprice')}) AS t
+          FROM orders WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 3 GROUP BY ALL)
+SELECT p.ano, p.mes, p.llave_senador, p.dieta,
+       CAST(COALESCE(s.t, 0) AS BIGINT) AS total_gastos_operacionales,
+       CAST(p.dieta + COALESCE(s.t, 0) AS BIGINT) AS costo_total_mensual
+FROM pay p LEFT JOIN spent s USING (ano, mes, llave_senador)
+"""
+
+ORACLE["id_name_lookup"] = """
+SELECT e.user_id, e.event_id, upper(c.c_name) AS llave_senador
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+"""
+
+ORACLE["folded_name_link"] = f"""
+WITH users AS (SELECT DISTINCT e.user_id, c.c_name FROM events e JOIN customer c ON e.user_id = c.c_custkey),
+acc AS (SELECT c_custkey AS linked_custkey,
+               translate(upper(c_name), 'AEIOU', 'ÁÉÍÓÚ') AS nombre_acentuado FROM customer)
+SELECT u.user_id, u.c_name, a.nombre_acentuado, a.linked_custkey
+FROM users u LEFT JOIN acc a
+  ON nullif(trim({fold_full('u.c_name')}), '') = nullif(trim({fold_full('a.nombre_acentuado')}), '')
+"""
+
+ORACLE["footprint"] = f"""
+WITH keyed AS (SELECT o_orderkey, o_custkey AS llave, CAST(year(o_orderdate) AS INTEGER) AS anyo,
+                      CAST(month(o_orderdate) AS INTEGER) AS mes, o_totalprice FROM orders),
+lines AS (SELECT k.llave, k.anyo, k.mes, l.l_returnflag, l.l_extendedprice, l.l_tax
+          FROM lineitem l JOIN keyed k ON l.l_orderkey = k.o_orderkey),
+long_ AS (
+  SELECT llave, anyo, mes, 'pagos' AS kind, SUM({CENTS.format(x='o_totalprice')}) AS amount
+  FROM keyed GROUP BY ALL
+  UNION ALL
+  SELECT llave, anyo, mes, 'gastos', SUM({CENTS.format(x='l_extendedprice')})
+  FROM lines WHERE l_returnflag = 'R' GROUP BY ALL
+  UNION ALL
+  SELECT llave, anyo, mes, 'viaticos', SUM(CAST(round(l_extendedprice * l_tax * 100) AS BIGINT))
+  FROM lines GROUP BY ALL),
+wide AS (
+  SELECT llave, anyo, mes,
+         CAST(COALESCE(SUM(amount) FILTER (WHERE kind = 'pagos'), 0) AS BIGINT) AS pagos,
+         CAST(COALESCE(SUM(amount) FILTER (WHERE kind = 'gastos'), 0) AS BIGINT) AS gastos,
+         CAST(COALESCE(SUM(amount) FILTER (WHERE kind = 'viaticos'), 0) AS BIGINT) AS viaticos
+  FROM long_ GROUP BY ALL)
+SELECT *, pagos + gastos + viaticos AS total FROM wide
+"""
+
+
+def strip_tags(x: str) -> str:
+    inner = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+                    ("&nbsp;", " "), ("&amp;", "&")):
+        inner = f"replace({inner}, '{ent}', '{ch}')"
+    return f"trim({inner})"
+
+
+LINK = """(?i)<a\\b[^>]*?href="([^"]*)"[^>]*>([^<]*)<"""
+
+ORACLE["page_links"] = f"""
+WITH m AS (SELECT page_id, unnest(regexp_extract_all(html, '{LINK}', 0)) AS a FROM pages),
+x AS (SELECT page_id, regexp_extract(a, '{LINK}', 1) AS href,
+             {strip_tags(f"regexp_extract(a, '{LINK}', 2)")} AS text FROM m)
+SELECT DISTINCT page_id, href, text FROM x WHERE text <> ''
+"""
+
+ORACLE["page_title"] = f"""
+SELECT page_id,
+       regexp_replace({strip_tags("regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1)")},
+                      '^[Dd]iputad[oa]\\s+', '') AS title
+FROM pages
+"""
+
+ORACLE["page_table_rows"] = f"""
+WITH t AS (SELECT page_id, regexp_extract_all(html, '(?is)<ul\\b[^>]*>(.*?)</ul>', 1) AS tabs FROM pages),
+r AS (SELECT page_id, regexp_extract_all(tabs[1], '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS rws
+      FROM t WHERE len(tabs) > 0),
+rr AS (SELECT page_id, unnest(generate_series(0, len(rws) - 1)) AS row_no, unnest(rws) AS rw FROM r)
+SELECT page_id, 0 AS table_no, CAST(row_no AS INTEGER) AS row_no,
+       array_to_string(list_transform(regexp_extract_all(rw, '(?is)<a\\b[^>]*>(.*?)</a>', 1),
+                                      lambda x: {strip_tags('x')}), '|') AS cells
+FROM rr
+"""
+
+ORACLE["coverage_gaps"] = """
+WITH src AS (SELECT DISTINCT o_orderpriority AS source FROM orders),
+cells AS (SELECT source, CAST(y AS INTEGER) AS anyo, CAST(m AS INTEGER) AS mes
+          FROM src CROSS JOIN range(1995, 2003) AS r1(y) CROSS JOIN range(1, 13) AS r2(m)),
+have AS (SELECT DISTINCT o_orderpriority AS source, year(o_orderdate) AS anyo,
+                month(o_orderdate) AS mes FROM orders)
+SELECT c.* FROM cells c
+WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.source = c.source AND h.anyo = c.anyo AND h.mes = c.mes)
+"""
+
+ORACLE["manifest_diff"] = """
+WITH d AS (SELECT *, CAST(regexp_extract(source, '(\\d+)', 1) AS INTEGER) + 1 AS day FROM documents),
+remote AS (
+  SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS name,
+         CASE WHEN n_chars < 50 THEN 0 ELSE n_chars + CASE WHEN lang = 'fr' THEN 1 ELSE 0 END END AS size,
+         make_timestamp(2024, 2, day, 8, 30, 0) AS remote_modified
+  FROM d WHERE lang <> 'de'),
+local_ AS (
+  SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS name, n_chars AS size,
+         TIMESTAMP '2024-02-10 00:00:00' AS local_modified
+  FROM d WHERE lang <> 'es')
+SELECT COALESCE(r.name, l.name) AS name, l.size AS local_size, r.size AS remote_size,
+       CASE WHEN r.size IS NULL AND l.size IS NOT NULL THEN 'gone'
+            WHEN COALESCE(r.size, 0) = 0 THEN 'skip'
+            WHEN l.size IS NULL THEN 'download'
+            WHEN l.size <> r.size THEN 'download'
+            WHEN r.remote_modified IS NOT NULL AND l.local_modified < r.remote_modified THEN 'download'
+            ELSE 'up_to_date' END AS action
+FROM remote r FULL OUTER JOIN local_ l ON r.name = l.name
+"""

@@ -210,3 +210,248 @@ def catalogue_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.year_bounds(years).join(
         cat.organizations(c, "3-MEDIUM").unionByName(cat.organizations(c, "missing"))
         .select("dataset", F.size("organismos").alias("n_orgs")), "dataset")
+
+
+# ---------------------------------------------------------------- money, text, months
+
+from paylens.functions import money as mny  # noqa: E402
+from paylens.functions import months as mon  # noqa: E402
+from paylens.functions import text as txt  # noqa: E402
+from paylens.operators import unify as uni  # noqa: E402
+
+
+def _order_money(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    cents = mny.to_cents(F.col("o_totalprice"))
+    return o.select("o_orderkey", "o_orderstatus", cents.alias("cents"),
+                    views.money_text(cents).alias("texto"))
+
+
+@register("money_clean")
+def money_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _order_money(spark, sf_dir)
+    return t.select("o_orderkey", "texto", mny.clean_money(F.col("texto")).alias("x1"),
+                    mny.clean_money(F.translate("texto", ".,", ",.")).alias("x1_swapped"))
+
+
+@register("money_digits")
+def money_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _order_money(spark, sf_dir)
+    maybe = F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("texto"))
+    return t.select("o_orderkey", mny.digits_money(F.col("texto")).alias("x2"),
+                    mny.digits_money_or_zero(maybe).alias("x3"))
+
+
+@register("money_format_roundtrip")
+def money_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _order_money(spark, sf_dir).withColumn("fmt", mny.format_clp(F.col("cents")))
+    back = mny.clean_money(F.col("fmt"))
+    return t.select("o_orderkey", "fmt", back.alias("back"), (back == F.col("cents")).alias("ok"))
+
+
+def _raw_sources(spark, sf_dir):
+    """supplier and customer dressed as two differently headed pay drops."""
+    s = table(spark, sf_dir, "supplier")
+    c = table(spark, sf_dir, "customer")
+    s_raw = s.select(
+        F.col("s_nationkey").cast("string").alias("Institucion"),
+        (F.lit(1990) + F.col("s_nationkey")).cast("string").alias("Año"),
+        mon.month_name(F.col("s_nationkey") % 12 + 1).alias("mes"),
+        F.col("s_name").alias("Nombre"),
+        F.lit("Proveedor").alias("Tipo Estamento"),
+        views.money_text(mny.to_cents(F.col("s_acctbal"))).alias("Sueldo Liquido"))
+    c_raw = c.select(
+        F.col("c_mktsegment").alias("organismo_nombre"),
+        (F.lit(2000) + F.col("c_nationkey")).cast("string").alias("anyo"),
+        mon.month_name(F.col("c_nationkey") % 12 + 1).alias("Mes"),
+        F.col("c_name").alias("nombres"),
+        F.translate(F.col("c_mktsegment"), "AEIOU", "ÁÉÍÓÚ").alias("paterno"),
+        F.col("c_mktsegment").alias("Cargo"),
+        views.money_text(mny.to_cents(F.col("c_acctbal"))).alias("remuliquida_mensual"),
+        views.money_text(mny.to_cents(F.col("c_acctbal")) * 2).alias("Sueldo Bruto"))
+    return s_raw, c_raw
+
+
+@register("schema_unify")
+def schema_unify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s_raw, c_raw = _raw_sources(spark, sf_dir)
+    return uni.pay_rows(s_raw, "Planta").unionByName(uni.pay_rows(c_raw, "Contrata"))
+
+
+@register("audit_view")
+def audit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s_raw, c_raw = _raw_sources(spark, sf_dir)
+    return uni.audit_view([("Planta", s_raw), ("Contrata", c_raw)])
+
+
+@register("ragged_concat")
+def ragged_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    c = table(spark, sf_dir, "customer")
+    support = s.select(
+        F.when(F.col("s_acctbal") < 0, F.lit("  ")).otherwise(F.col("s_name")).alias("Nombre"),
+        F.when(F.col("s_nationkey") < 5, F.lit(None)).otherwise(F.lit("Asesor legislativo")).alias("Cargo"),
+        views.money_text(mny.to_cents(F.col("s_acctbal"))).alias("Sueldo"),
+        F.concat(F.lit("Diputado "), F.col("s_nationkey").cast("string")).alias("Diputado/a"),
+        F.lit("supplier").alias("fuente"))
+    others = c.select(F.col("c_name").alias("Nombre"),
+                      views.money_text(mny.to_cents(F.col("c_acctbal"))).alias("Sueldo"),
+                      F.lit("customer").alias("fuente"))
+    both = uni.ragged_concat([support, others])
+    boss = uni.find_column(both.columns, regex=r"(?i)diputad")
+    out = both.select(
+        F.upper(F.col("Nombre")).alias("Nombres"),
+        uni.role_of(F.col("Cargo"), F.col(f"`{boss}`")).alias("cargo"),
+        mny.digits_money_or_zero(F.col("Sueldo")).alias("remuliquida_mensual"), "fuente")
+    return out.filter(uni.non_blank(F.col("Nombres")))
+
+
+@register("column_layout")
+def column_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    messy = c.toDF(" c_custkey", "c_name\n", "c_nation\nkey ", "c_acctbal", " c_mkt\nsegment")
+    clean = uni.clean_headers(messy)
+    return uni.ordered_columns(clean, ("c_mkt segment", "c_name", "missing"), hidden=("c_nation key",))
+
+
+@register("month_lookup")
+def month_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.month("o_orderdate").alias("m"))
+    name = mon.month_name(F.col("m"))
+    return o.select(
+        "o_orderkey", "m", name.alias("nombre"),
+        mon.month_name(F.col("m") + 6, default="Enero").alias("nombre_mas_6"),
+        mon.month_number(F.upper(name)).alias("de_vuelta"),
+        mon.month_number(F.concat(name, F.lit("x")), default=0).alias("desconocido"))
+
+
+def _name_parts(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    words = F.split(F.col("p_name"), " ")
+    return p.select(
+        "p_partkey",
+        F.element_at(words, 1).alias("a"),
+        F.when(F.col("p_size") < 10, F.lit("  "))
+         .otherwise(F.concat(F.lit(" "), F.element_at(words, 2), F.lit(" "))).alias("b"),
+        F.when(F.col("p_size") > 40, F.concat(F.col("p_brand"), F.lit("  x")))
+         .otherwise(F.lit(None)).alias("c"))
+
+
+@register("person_key")
+def person_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _name_parts(spark, sf_dir)
+    return t.select("p_partkey", txt.person_key(F.col("a"), F.col("b"), F.col("c")).alias("llave"))
+
+
+@register("audit_full_name")
+def audit_full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _name_parts(spark, sf_dir)
+    return t.select("p_partkey",
+                    txt.audit_full_name(F.col("a"), F.col("b"), F.col("c")).alias("nombre_completo"))
+
+
+# ---------------------------------------------------------------- joins
+
+@register("pay_with_expenses")
+def pay_with_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    pay = c.select(F.lit(1998).alias("ano"), F.lit(3).alias("mes"),
+                   F.col("c_custkey").alias("llave_senador"),
+                   mny.to_cents(F.col("c_acctbal")).alias("dieta"))
+    o = table(spark, sf_dir, "orders").filter(views.month_range("o_orderdate", 1998, 3))
+    spent = o.select(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
+                     F.col("o_custkey").alias("llave_senador"),
+                     mny.to_cents(F.col("o_totalprice")).alias("monto"))
+    return exp.pay_with_expenses(pay, spent, ["ano", "mes", "llave_senador"])
+
+
+@register("id_name_lookup")
+def id_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id")
+    names = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.upper("c_name").alias("llave_senador"))
+    latest = exp.latest_names(names, key="user_id", name="llave_senador", order=("user_id",))
+    return exp.attach_names(ev, latest, key="user_id")
+
+
+@register("folded_name_link")
+def folded_name_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paylens.operators.joins import folded_link
+    ev = table(spark, sf_dir, "events").select("user_id").distinct()
+    cust = table(spark, sf_dir, "customer")
+    users = ev.join(cust.select(F.col("c_custkey").alias("user_id"), "c_name"), "user_id")
+    accented = cust.select(F.col("c_custkey").alias("linked_custkey"),
+                           F.translate(F.upper("c_name"), "AEIOU", "ÁÉÍÓÚ").alias("nombre_acentuado"))
+    linked = folded_link(users, accented, "c_name", "nombre_acentuado", how="left")
+    return linked.select("user_id", "c_name", "nombre_acentuado", "linked_custkey")
+
+
+@register("footprint")
+def footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    keyed = o.select("o_orderkey", F.col("o_custkey").alias("llave"),
+                     F.year("o_orderdate").alias("anyo"), F.month("o_orderdate").alias("mes"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice", "l_tax")
+    lines = li.join(keyed, li.l_orderkey == keyed.o_orderkey)
+    keys = ["llave", "anyo", "mes"]
+    parts = {
+        "pagos": o.select(F.col("o_custkey").alias("llave"), F.year("o_orderdate").alias("anyo"),
+                          F.month("o_orderdate").alias("mes"),
+                          mny.to_cents(F.col("o_totalprice")).alias("amount")),
+        "gastos": lines.filter(F.col("l_returnflag") == "R").select(
+            *keys, mny.to_cents(F.col("l_extendedprice")).alias("amount")),
+        "viaticos": lines.select(*keys, mny.to_cents(F.col("l_extendedprice") * F.col("l_tax")).alias("amount")),
+    }
+    return exp.footprint(parts, keys)
+
+
+# ---------------------------------------------------------------- pages, gaps, manifests
+
+from paylens.operators import pages as pg  # noqa: E402
+from paylens.operators import sync as syn  # noqa: E402
+
+
+@register("page_links")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pg.links(table(spark, sf_dir, "pages"))
+
+
+@register("page_title")
+def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pg.heading(table(spark, sf_dir, "pages"), tag="h1")
+
+
+@register("page_table_rows")
+def page_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pg.table_rows(table(spark, sf_dir, "pages"), table_tag="ul", row_tag="li", cell_tag="a")
+    return rows.withColumn("cells", F.array_join("cells", "|"))
+
+
+@register("coverage_gaps")
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("source"), F.year("o_orderdate").alias("anyo"),
+        F.month("o_orderdate").alias("mes"))
+    return syn.coverage_gaps(o, o, (1995, 2002))
+
+
+def _manifests(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    day = F.regexp_extract("source", r"(\d+)", 1).cast("int") + 1
+    stamp = F.make_timestamp(F.lit(2024), F.lit(2), day, F.lit(8), F.lit(30), F.lit(0))
+    remote = d.filter(F.col("lang") != "de").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("name"),
+        F.when(F.col("n_chars") < 50, F.lit(0)).otherwise(
+            F.col("n_chars") + F.when(F.col("lang") == "fr", 1).otherwise(0)).alias("size"),
+        F.concat(F.date_format(stamp, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT")).alias("last_modified"))
+    local = d.filter(F.col("lang") != "es").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("name"),
+        F.col("n_chars").alias("size"),
+        F.make_timestamp(F.lit(2024), F.lit(2), F.lit(10), F.lit(0), F.lit(0), F.lit(0)).alias("last_modified"))
+    return local, remote
+
+
+@register("manifest_diff")
+def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    local, remote = _manifests(spark, sf_dir)
+    return syn.manifest_diff(local, remote)

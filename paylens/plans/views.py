@@ -138,3 +138,12 @@ def line_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("gastos_operacionales"),
         F.col("l_linestatus"),
         to_cents(F.col("l_extendedprice")).alias("monto"))
+
+
+def money_text(cents) -> "F.Column":
+    """Integer cents as published money text: '$ -1.234,56'."""
+    mag = F.abs(cents)
+    sign = F.when(cents < 0, F.lit("-")).otherwise(F.lit(""))
+    whole = F.translate(F.format_number(F.floor(mag / 100), 0), ",", ".")
+    frac = F.lpad((mag % 100).cast("string"), 2, "0")
+    return F.concat(F.lit("$ "), sign, whole, F.lit(","), frac)
