@@ -542,3 +542,50 @@ SELECT COALESCE(r.name, l.name) AS name, l.size AS local_size, r.size AS remote_
             ELSE 'up_to_date' END AS action
 FROM remote r FULL OUTER JOIN local_ l ON r.name = l.name
 """
+
+ORACLE["json_envelope"] = "SELECT event_id, user_id, event_type, value FROM events"
+
+BULK_DROP = f"""
+    SELECT c_mktsegment AS organismo_nombre,
+           TRY_CAST(CAST(1990 + c_nationkey AS VARCHAR) AS INTEGER) AS anyo,
+           {MONTHS_SQL}[c_nationkey % 12 + 1] AS Mes, CAST(NULL AS VARCHAR) AS estamento,
+           c_name AS Nombres, translate(c_mktsegment, 'AEIOU', 'ÁÉÍÓÚ') AS Paterno,
+           CAST(NULL AS VARCHAR) AS Materno, CAST(NULL AS VARCHAR) AS cargo,
+           {money_text(CENTS.format(x='c_acctbal'))} AS liq,
+           {money_text(CENTS.format(x='c_acctbal') + ' * 2')} AS bruta,
+           'Planta' AS origen
+    FROM customer"""
+
+ORACLE["csv_ingest"] = _pay_rows_sql(BULK_DROP)
+
+ORACLE["parquet_roundtrip"] = f"""
+SELECT * FROM ({_pay_rows_sql(SUPPLIER_PAY)} UNION ALL {_pay_rows_sql(CUSTOMER_PAY)})
+WHERE anyo BETWEEN 2005 AND 2010
+"""
+
+ORACLE["filename_keys"] = f"""
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS anyo,
+       CAST(month(o_orderdate) AS INTEGER) AS mes, {CENTS.format(x='o_totalprice')} AS monto
+FROM orders
+"""
+
+ORACLE["report_export"] = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS Nombre,
+       translate(c_mktsegment, 'AEIOU', 'ÁÉÍÓÚ') AS Segmento,
+       {clp(CENTS.format(x='c_acctbal'))} AS Saldo
+FROM customer
+"""
+
+ORACLE["analyst_export"] = f"""
+SELECT CAST(ano AS VARCHAR) AS ano, CAST(mes AS VARCHAR) AS mes,
+       CAST(llave_senador AS VARCHAR) AS llave_senador, CAST(dieta AS VARCHAR) AS dieta,
+       CAST(total_gastos_operacionales AS VARCHAR) AS total_gastos_operacionales,
+       CAST(costo_total_mensual AS VARCHAR) AS costo_total_mensual
+FROM ({ORACLE['pay_with_expenses']})
+"""
+
+ORACLE["stream_ingest"] = f"""
+SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS anyo,
+       {CENTS.format(x='o_totalprice')} AS monto
+FROM orders
+"""

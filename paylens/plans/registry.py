@@ -455,3 +455,130 @@ def _manifests(spark, sf_dir):
 def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     local, remote = _manifests(spark, sf_dir)
     return syn.manifest_diff(local, remote)
+
+
+# ---------------------------------------------------------------- files in and out
+#
+# These write derived copies of the test tables into the shared folder
+# (``spark.checkpoint.dir``), then read them back through the library's
+# readers, so the sources and sinks run end to end over whole tables.
+
+from pyspark.sql import types as T  # noqa: E402
+
+from paylens.operators import legislative as leg  # noqa: E402
+from paylens.session import scratch_path  # noqa: E402
+from paylens.sources import readers as rd  # noqa: E402
+from paylens.sources import sinks as sk  # noqa: E402
+from paylens.streaming.file_ingest import ingest_new_files  # noqa: E402
+
+EVENT_ITEM = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()),
+                           T.StructField("value", T.DoubleType())])
+
+
+@register("json_envelope")
+def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> paged JSON documents (both envelope shapes, at most 500
+    items each, one file per document) -> parsed back into items."""
+    ev = table(spark, sf_dir, "events")
+    item = F.struct(*[F.col(f.name) for f in EVENT_ITEM.fields])
+    page = F.floor(F.col("event_id") / 500)
+    docs = (ev.groupBy("event_type", page.alias("page"))
+            .agg(F.collect_list(F.struct(F.col("event_id").alias("id"), item.alias("attributes"))).alias("wrapped"),
+                 F.collect_list(item).alias("plain")))
+    paged = F.to_json(F.struct(F.struct(F.col("wrapped").alias("data"),
+                                        F.struct(F.struct(F.size("wrapped").alias("total")).alias("pagination"))
+                                        .alias("meta")).alias("data")))
+    plain = F.to_json(F.struct(F.col("plain").alias("data")))
+    text = F.when(F.col("page") % 2 == 0, paged).otherwise(plain)
+    out = scratch_path(spark, "envelopes")
+    (docs.select(F.concat_ws("_", "event_type", F.col("page").cast("string")).alias("doc"), text.alias("value"))
+     .write.partitionBy("doc").text(out))
+    return rd.read_envelopes(spark, f"{out}/*/*.txt", EVENT_ITEM).drop("source_file")
+
+
+def _bulk_drop(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    cents = mny.to_cents(F.col("c_acctbal"))
+    return c.select(
+        F.col("c_mktsegment").alias("Organismo"),
+        (F.lit(1990) + F.col("c_nationkey")).cast("string").alias("Año"),
+        mon.month_name(F.col("c_nationkey") % 12 + 1).alias("Mes"),
+        F.col("c_name").alias("Nombres"),
+        F.translate(F.col("c_mktsegment"), "AEIOU", "ÁÉÍÓÚ").alias("Apellido Paterno"),
+        views.money_text(cents).alias("Sueldo Liquido"),
+        views.money_text(cents * 2).alias("Sueldo Bruto"))
+
+
+@register("csv_ingest")
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer written as a ';' Latin-1 bulk drop, then ingested."""
+    path = scratch_path(spark, "bulk") + "/TA_PersonalPlanta.csv"
+    sk.write_report_csv(_bulk_drop(spark, sf_dir), path)
+    return leg.bulk_pay(spark, [path])
+
+
+@register("parquet_roundtrip")
+def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unified rows -> partitioned ZSTD Parquet -> year-pruned read."""
+    s_raw, c_raw = _raw_sources(spark, sf_dir)
+    rows = uni.pay_rows(s_raw, "Planta").unionByName(uni.pay_rows(c_raw, "Contrata"))
+    out = scratch_path(spark, "pay")
+    sk.write_pay_parquet(rows, out, files_per_partition=2)
+    return spark.read.parquet(out).filter(F.col("anyo").between(2005, 2010))
+
+
+@register("filename_keys")
+def filename_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders written one folder per month, keys read back from the path."""
+    o = table(spark, sf_dir, "orders")
+    drop = o.select("o_orderkey", mny.to_cents(F.col("o_totalprice")).alias("monto"),
+                    F.date_format("o_orderdate", "yyyy_MM").alias("period"))
+    out = scratch_path(spark, "monthly")
+    drop.write.partitionBy("period").option("header", True).csv(out)
+    back = rd.read_keyed_csv(spark, out, r"period=(\d{4})_(\d{2})/", ["anyo", "mes"])
+    return back.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "anyo", "mes",
+                       F.col("monto").cast("bigint").alias("monto"))
+
+
+@register("report_export")
+def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A display table exported as ';' Latin-1 CSV and read back."""
+    c = table(spark, sf_dir, "customer")
+    rep = c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("Nombre"),
+                   F.translate(F.col("c_mktsegment"), "AEIOU", "ÁÉÍÓÚ").alias("Segmento"),
+                   mny.format_clp(mny.to_cents(F.col("c_acctbal"))).alias("Saldo"))
+    out = scratch_path(spark, "report")
+    sk.write_report_csv(rep, out)
+    raw = rd.read_lenient_csv(spark, out)
+    return raw.toDF(*rd.read_header(spark, out))
+
+
+@register("analyst_export")
+def analyst_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pay + expenses extract as analyst CSV, read back as text."""
+    extract = pay_with_expenses(spark, sf_dir)
+    out = scratch_path(spark, "analyst")
+    sk.write_analyst_csv(extract, out)
+    return spark.read.options(header=True, inferSchema=False).csv(out)
+
+
+@register("stream_ingest")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of order files; each available-now run ingests only new files."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
+                                               "o_totalprice", "o_orderstatus")
+    base = scratch_path(spark, "stream")
+    landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/checkpoint"
+    schema = o.schema
+
+    def shape(df):
+        return df.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("anyo"),
+                         mny.to_cents(F.col("o_totalprice")).alias("monto"))
+
+    o.filter(F.col("o_orderstatus") == "F").write.mode("append").parquet(landing)
+    ingest_new_files(spark, landing, schema, out, ckpt, transform=shape, fmt="parquet")
+    o.filter(F.col("o_orderstatus") != "F").write.mode("append").parquet(landing)
+    ingest_new_files(spark, landing, schema, out, ckpt, transform=shape, fmt="parquet")
+    return spark.read.parquet(out)
