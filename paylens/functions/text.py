@@ -60,23 +60,25 @@ def _build_fold_tables():
 
 
 _FOLD_FROM, _FOLD_TO, _FOLD_MULTI = _build_fold_tables()
-_MULTI_CLASS = "[" + "".join(
-    "\\x{%04X}" % ord(ch) for ch, _ in _FOLD_MULTI) + "]"
+_MULTI_CHARS = "".join(ch for ch, _ in _FOLD_MULTI)
 
 
 def fold_text(c: Column, strip: bool = False) -> Column:
     """``unicodedata.normalize('NFKD', lower(x)).encode('ascii','ignore')``.
 
     NULL and blank become ''.  ``strip`` also trims surrounding whitespace.
+    Cost: lower, one ``translate`` pass, one regex pass; the replace chain
+    for multi-character decompositions runs only on rows holding one
+    (detected by a second translate that deletes them and changes the
+    length).  Combining marks of decomposed input are non-ASCII, so the
+    final ASCII filter removes them as well.
     """
     low = F.lower(c)
-    # multi-character decompositions are rare; only rows holding one pay
-    # for the replace chain
+    has_multi = F.length(F.translate(low, _MULTI_CHARS, "")) != F.length(low)
     expanded = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])),
                       _FOLD_MULTI, low)
-    low = F.when(low.rlike(_MULTI_CLASS), expanded).otherwise(low)
+    low = F.when(has_multi, expanded).otherwise(low)
     out = F.translate(low, _FOLD_FROM, _FOLD_TO)
-    out = F.regexp_replace(out, r"\p{M}", "")
     out = F.regexp_replace(out, r"[^\x00-\x7F]", "")
     if strip:
         out = py_strip(out)

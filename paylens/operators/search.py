@@ -29,16 +29,26 @@ def union_sources(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def name_condition(person: str | None, vector: str = "search_vector") -> Column | None:
-    """AND of ``contains(word)`` for every folded word of the typed name."""
+def name_condition(person: str | None, vector: str | Column = "search_vector") -> Column | None:
+    """AND of ``contains(word)`` for every folded word of the typed name.
+
+    ``vector`` is a stored column (name) or an expression computed on the
+    fly (e.g. a fold of whole document text).  An expression is evaluated
+    once per row and bound to a lambda variable, so several words do not
+    fold the text several times.
+    """
     words = search_words(person)
     if not words:
         return None
-    return reduce(lambda a, b: a & b, [F.col(vector).contains(w) for w in words])
+    if isinstance(vector, str):
+        col = F.col(vector)
+        return reduce(lambda a, b: a & b, [col.contains(w) for w in words])
+    return F.transform(F.array(vector),
+                       lambda v: reduce(lambda a, b: a & b, [v.contains(w) for w in words]))[0]
 
 
 def search_condition(*, organization=None, years=None, month=None, person=None,
-                     vector: str = "search_vector", org_col: str = "organismo_nombre",
+                     vector: str | Column = "search_vector", org_col: str = "organismo_nombre",
                      year_col: str = "anyo", month_col: str = "Mes") -> Column:
     """The conjunctive filter of a search (F2, F3, F4, F5); TRUE when empty."""
     conds = []
@@ -62,7 +72,7 @@ def search_condition(*, organization=None, years=None, month=None, person=None,
 
 def search(pay: DataFrame, *, organization=None, years=None, month=None, person=None,
            limit: int | None = 500, columns=SEARCH_COLUMNS, order=None,
-           vector: str = "search_vector", org_col: str = "organismo_nombre",
+           vector: str | Column = "search_vector", org_col: str = "organismo_nombre",
            year_col: str = "anyo", month_col: str = "Mes") -> DataFrame:
     """Filtered rows, at most ``limit`` (C1 = F2-F5 + U1 + T2).
 
@@ -85,7 +95,7 @@ def _latest_order(year_col: str, month_col: str, tie) -> list[Column]:
             + [F.col(c).desc_nulls_last() for c in tie])
 
 
-def last_record(pay: DataFrame, person: str | None, *, vector: str = "search_vector",
+def last_record(pay: DataFrame, person: str | None, *, vector: str | Column = "search_vector",
                 columns=("anyo", "Mes", "organismo_nombre", "origen"),
                 year_col: str = "anyo", month_col: str = "Mes", tie=()) -> DataFrame:
     """The latest row matching the name, ignoring date filters.

@@ -17,7 +17,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["multi_employment"] = f"""
 WITH limpios AS (
   SELECT CAST(l_partkey AS VARCHAR) AS nombre_completo, l_suppkey AS organismo,
-         l_returnflag AS Origen, year(l_shipdate) AS anyo,
+         l_returnflag AS Origen, CAST(year(l_shipdate) AS INTEGER) AS anyo,
          {MONTHS_SQL}[month(l_shipdate)] AS Mes,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS sueldo_num
   FROM lineitem)
@@ -105,7 +105,7 @@ def clp(x: str) -> str:
 
 ORDER_ROWS = f"""
   SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority AS organismo_nombre,
-         year(o_orderdate) AS anyo, {MONTHS_SQL}[month(o_orderdate)] AS Mes,
+         CAST(year(o_orderdate) AS INTEGER) AS anyo, {MONTHS_SQL}[month(o_orderdate)] AS Mes,
          o_orderstatus AS origen,
          CAST(round(o_totalprice * 100) AS BIGINT) AS remuliquida_mensual
   FROM orders"""
@@ -216,14 +216,15 @@ FROM r
 """
 
 LINE_EXPENSES = """
-  SELECT year(o_orderdate) AS anyo, month(o_orderdate) AS Mes, o_custkey AS llave_senador,
-         l_returnflag AS gastos_operacionales, l_linestatus,
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS anyo, CAST(month(o_orderdate) AS INTEGER) AS Mes,
+         o_custkey AS llave_senador, l_returnflag AS gastos_operacionales, l_linestatus,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS monto
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 ORACLE["expense_breakdown"] = f"""
 WITH people AS (
-  SELECT DISTINCT year(o_orderdate) AS anyo, month(o_orderdate) AS Mes, o_custkey AS llave_senador
+  SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS anyo, CAST(month(o_orderdate) AS INTEGER) AS Mes,
+         o_custkey AS llave_senador
   FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1996),
 src AS (
   SELECT anyo, Mes, llave_senador, gastos_operacionales AS Concepto, SUM(monto) AS Monto
@@ -270,7 +271,7 @@ hit AS (
   SELECT p.dataset, COALESCE(c.anios, [2026, 2025, 2024, 2023, 2022, 2021, 2020]) AS anios,
          COALESCE(c.organismos, []) AS organismos
   FROM probe p LEFT JOIN c USING (dataset))
-SELECT dataset, list_min(anios) AS min_year, list_max(anios) AS max_year,
+SELECT dataset, CAST(list_min(anios) AS INTEGER) AS min_year, CAST(list_max(anios) AS INTEGER) AS max_year,
        CAST(len(anios) AS INTEGER) AS n_years, CAST(len(organismos) AS INTEGER) AS n_orgs
 FROM hit
 """

@@ -71,9 +71,9 @@ from paylens.session import table  # noqa: E402
 
 @register("person_search")
 def person_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("search_vector", fold_text(F.col("text")))
+    docs = table(spark, sf_dir, "documents")
     return srch.search(docs, person="des ELLE", columns=("doc_id", "lang", "source", "n_chars"),
-                       org_col="lang", order=("doc_id",))
+                       org_col="lang", order=("doc_id",), vector=fold_text(F.col("text")))
 
 
 @register("search_filters")
