@@ -124,21 +124,16 @@ def consolidate_senate(pay: DataFrame, expenses: DataFrame | None):
 
 # ------------------------------------------------------------------ C15 / C16
 
-MONTH_FILE = r"(?:^|/)(\d{4})_(\d{2})\.csv$"
-ID_MONTH_FILE = r"(?:^|/)(\d+)_(\d{4})_(\d{2})\.csv$"
+# A month key in a file name (``2024_03.csv``) or a folder name
+# (``period=2024_03/part-0.csv``); the expense drops also carry an id.
+MONTH_FILE = r"(?:^|[/=])(\d{4})_(\d{2})(?:\.csv$|/)"
+ID_MONTH_FILE = r"(?:^|[/=])(\d+)_(\d{4})_(\d{2})(?:\.csv$|/)"
 
 
-def read_month_files(spark: SparkSession, folder: str) -> DataFrame | None:
-    """All ``YYYY_MM.csv`` files of one folder with ``anyo`` / ``Mes_id``.
-
-    Empty files contribute no rows; files with another name are skipped.
-    """
-    path = f"{folder.rstrip('/')}/*.csv"
-    try:
-        df = readers.read_keyed_csv(spark, path, MONTH_FILE, ["anyo", "Mes_id"])
-    except Exception:  # noqa: BLE001 - nothing readable in the folder
-        return None
-    return df if df.columns else None
+def read_month_files(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Every monthly CSV drop of one folder, one frame per header shape,
+    with ``anyo`` / ``Mes_id`` from the path (S6, F15)."""
+    return readers.read_keyed_groups(spark, folder, MONTH_FILE, ["anyo", "Mes_id"])
 
 
 def support_staff(df: DataFrame) -> DataFrame | None:
@@ -204,18 +199,17 @@ def chamber_rows(parts) -> DataFrame:
 
 
 def consolidate_chamber(spark: SparkSession, raw_dir: str) -> DataFrame | None:
-    """C15 over a folder tree of monthly CSV drops."""
-    parts = []
-    support = read_month_files(spark, f"{raw_dir}/personal_apoyo")
-    if support is not None:
-        parts.append(support_staff(support))
+    """C15 over a folder tree of monthly CSV drops.
+
+    Columns are discovered per header shape (support staff need a name
+    column; staff files are searched for name / role / pay words), then
+    every shape is mapped and all are stacked in one plan.
+    """
+    parts = [support_staff(df) for df in read_month_files(spark, f"{raw_dir}/personal_apoyo")]
     for sub, role in STAFF_KINDS.items():
-        df = read_month_files(spark, f"{raw_dir}/{sub}")
-        if df is not None:
-            parts.append(staff(df, role))
-    base = read_month_files(spark, f"{raw_dir}/diputados_dieta")
-    if base is not None and "Nombre" in base.columns:
-        parts.append(deputies(base))
+        parts += [staff(df, role) for df in read_month_files(spark, f"{raw_dir}/{sub}")]
+    parts += [deputies(df) for df in read_month_files(spark, f"{raw_dir}/diputados_dieta")
+              if "Nombre" in df.columns]
     parts = [p for p in parts if p is not None]
     return chamber_rows(parts) if parts else None
 
@@ -237,14 +231,17 @@ def chamber_expenses(expenses: DataFrame, names: DataFrame) -> DataFrame:
 
 def read_chamber_expenses(spark: SparkSession, raw_dir: str) -> DataFrame | None:
     """``ID_YYYY_MM.csv`` expense drops + the deputies' monthly lists (C16 scan)."""
-    try:
-        e = readers.read_keyed_csv(spark, f"{raw_dir}/gastos_operacionales/*.csv", ID_MONTH_FILE,
-                                   ["ID_Diputado", "anyo", "Mes"])
-        n = readers.read_keyed_csv(spark, f"{raw_dir}/diputados_dieta/*.csv", MONTH_FILE,
-                                   ["anyo", "Mes"])
-    except Exception:  # noqa: BLE001 - folders missing
-        return None
-    if not {"Concepto", "Monto"} <= set(e.columns):
+    exp_frames = [df for df in readers.read_keyed_groups(
+        spark, f"{raw_dir}/gastos_operacionales", ID_MONTH_FILE, ["ID_Diputado", "anyo", "Mes"])
+        if {"Concepto", "Monto"} <= set(df.columns)]
+    name_frames = [df for df in readers.read_keyed_groups(
+        spark, f"{raw_dir}/diputados_dieta", MONTH_FILE, ["anyo", "Mes"])
+        if {"ID_Diputado", "Nombre"} <= set(df.columns)]
+    if not exp_frames or not name_frames:
         return None
-    names = n.select(F.col("ID_Diputado").try_cast("int").alias("ID_Diputado"), "Nombre", "anyo", "Mes")
-    return chamber_expenses(e, names)
+    expenses = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                      [df.select("Concepto", "Monto", "ID_Diputado", "anyo", "Mes") for df in exp_frames])
+    names = reduce(lambda a, b: a.unionByName(b),
+                   [df.select(F.col("ID_Diputado").try_cast("int").alias("ID_Diputado"), "Nombre",
+                              "anyo", "Mes") for df in name_frames])
+    return chamber_expenses(expenses, names)

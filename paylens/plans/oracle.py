@@ -590,3 +590,78 @@ SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS anyo,
        {CENTS.format(x='o_totalprice')} AS monto
 FROM orders
 """
+
+
+def person_key_sql(*parts: str) -> str:
+    inner = ", ".join(f"nullif(upper(trim({p})), '')" for p in parts)
+    return f"trim(replace(concat_ws(' ', {inner}), '  ', ' '))"
+
+
+ORACLE["senate_consolidation"] = f"""
+WITH oc AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
+pay AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+         c_name AS nombre, c_mktsegment AS appaterno, CAST(NULL AS VARCHAR) AS apmaterno,
+         {CENTS.format(x='o_totalprice')} AS dieta, {CENTS.format(x='o_totalprice')} - 1000 AS saldo,
+         {person_key_sql('c_name', 'c_mktsegment', 'NULL')} AS llave
+  FROM oc),
+ex AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+         {person_key_sql('c_name', 'c_mktsegment', 'NULL')} AS llave,
+         SUM({CENTS.format(x='l_extendedprice')}) AS t
+  FROM lineitem JOIN oc ON l_orderkey = o_orderkey GROUP BY ALL),
+fin AS (SELECT p.*, p.dieta + COALESCE(e.t, 0) AS costo
+        FROM pay p LEFT JOIN ex e USING (ano, mes, llave)),
+app AS (
+  SELECT 'Senado de la República' AS organismo_nombre, ano AS anyo,
+         COALESCE({MONTHS_SQL}[mes], 'Enero') AS Mes, 'Senador(a)' AS estamento,
+         COALESCE(upper(nombre), '') AS Nombres, COALESCE(upper(appaterno), '') AS Paterno,
+         COALESCE(upper(apmaterno), '') AS Materno, 'Senador(a) de la República' AS cargo,
+         CAST(COALESCE(saldo, 0) AS BIGINT) AS remuliquida_mensual,
+         CAST(COALESCE(costo, 0) AS BIGINT) AS remuneracionbruta_mensual, 'Senado' AS origen
+  FROM fin)
+SELECT *, trim({fold_full("concat_ws(' ', Nombres, Paterno, Materno)")}) AS search_vector FROM app
+"""
+
+_STAFF = f"""
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS anyo, CAST(month(o_orderdate) AS INTEGER) AS mes_id,
+         upper(c_name) AS Nombres, @cargo AS cargo,
+         COALESCE({digits_money(money_text(CENTS.format(x='o_totalprice')))}, 0) AS liq,
+         COALESCE({digits_money(money_text(CENTS.format(x='o_totalprice')))}, 0) AS bruta,
+         '@role' AS estamento
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = '@status'"""
+
+
+def _staff(cargo: str, role: str, status: str) -> str:
+    return _STAFF.replace("@cargo", cargo).replace("@role", role).replace("@status", status)
+
+ORACLE["chamber_consolidation"] = f"""
+WITH rows_ AS (
+  {_staff('o_orderpriority', 'Personal de Planta', 'F')}
+  UNION ALL
+  {_staff('o_orderpriority', 'Personal a Contrata', 'O')}
+  UNION ALL
+  {_staff('CAST(NULL AS VARCHAR)', 'Personal a Honorarios', 'P')}
+  UNION ALL
+  SELECT 2024, s_nationkey % 12 + 1,
+         upper(CASE WHEN s_acctbal < 0 THEN ' ' ELSE s_name END),
+         COALESCE(CASE WHEN s_nationkey < 5 THEN NULL ELSE 'Asesor' END, 'Asesor') || ' de '
+           || 'Dip. ' || CAST(s_nationkey AS VARCHAR),
+         COALESCE({digits_money(money_text(CENTS.format(x='s_acctbal')))}, 0),
+         COALESCE({digits_money(money_text(CENTS.format(x='s_acctbal')))}, 0),
+         'Personal de Apoyo Parlamentario'
+  FROM supplier
+  UNION ALL
+  SELECT 2024, c_nationkey % 12 + 1, upper(c_name), 'Diputado',
+         {CENTS.format(x='c_acctbal')} - 1000, {CENTS.format(x='c_acctbal')}, 'Diputado(a)'
+  FROM customer WHERE c_mktsegment = 'BUILDING'),
+app AS (
+  SELECT 'Cámara de Diputadas y Diputados' AS organismo_nombre, anyo, {MONTHS_SQL}[mes_id] AS Mes,
+         estamento, COALESCE(Nombres, '') AS Nombres, '' AS Paterno, '' AS Materno,
+         COALESCE(cargo, 'Funcionario/a') AS cargo, CAST(COALESCE(liq, 0) AS BIGINT) AS remuliquida_mensual,
+         CAST(COALESCE(bruta, 0) AS BIGINT) AS remuneracionbruta_mensual,
+         'Cámara de Diputados' AS origen
+  FROM rows_)
+SELECT *, trim({fold_full("concat_ws(' ', Nombres, Paterno, Materno)")}) AS search_vector
+FROM app WHERE trim(COALESCE(Nombres, '')) <> ''
+"""

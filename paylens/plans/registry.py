@@ -582,3 +582,73 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     o.filter(F.col("o_orderstatus") != "F").write.mode("append").parquet(landing)
     ingest_new_files(spark, landing, schema, out, ckpt, transform=shape, fmt="parquet")
     return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------- legislative consolidations
+
+def _named_order_lines(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return o.join(c, o.o_custkey == c.c_custkey)
+
+
+@register("senate_consolidation")
+def senate_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14: pay items from orders, expense items from their line items,
+    keyed by the normalised person name; app-schema rows out."""
+    oc = _named_order_lines(spark, sf_dir)
+    cents = mny.to_cents(F.col("o_totalprice"))
+    pay = oc.select(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
+                    F.col("c_custkey").cast("string").alias("rut"), F.col("c_name").alias("nombre"),
+                    F.col("c_mktsegment").alias("appaterno"), F.lit(None).cast("string").alias("apmaterno"),
+                    cents.alias("dieta"), (cents - 1000).alias("saldo"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice")
+    spent = li.join(oc, li.l_orderkey == oc.o_orderkey).select(
+        F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
+        F.col("c_name").alias("nombre"), F.col("c_mktsegment").alias("appaterno"),
+        F.col("l_returnflag").alias("gastos_operacionales"),
+        mny.to_cents(F.col("l_extendedprice")).alias("monto"))
+    _, app, _ = leg.consolidate_senate(pay, spent)
+    return app
+
+
+def _chamber_drops(spark, sf_dir, root):
+    orders = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
+        F.col("o_custkey") == F.col("c_custkey"))
+    period = F.date_format("o_orderdate", "yyyy_MM").alias("period")
+    money = views.money_text(mny.to_cents(F.col("o_totalprice")))
+
+    def write(df, sub):
+        df.write.partitionBy("period").option("header", True).csv(f"{root}/{sub}")
+
+    write(orders.filter(F.col("o_orderstatus") == "F").select(
+        F.col("c_name").alias("Nombre Completo"), F.col("o_orderpriority").alias("Cargo"),
+        money.alias("Remuneración Bruta"), period), "personal_planta")
+    write(orders.filter(F.col("o_orderstatus") == "O").select(
+        F.col("c_name").alias("nombre_funcionario"), F.col("o_orderpriority").alias("Función"),
+        money.alias("Sueldo"), period), "personal_contrata")
+    write(orders.filter(F.col("o_orderstatus") == "P").select(
+        F.col("c_name").alias("Nombre"), money.alias("Honorario Total"), period), "personal_honorarios")
+    s = table(spark, sf_dir, "supplier")
+    month_key = lambda k: F.concat(F.lit("2024_"), F.lpad((k % 12 + 1).cast("string"), 2, "0"))
+    write(s.select(
+        F.when(F.col("s_acctbal") < 0, F.lit(" ")).otherwise(F.col("s_name")).alias("Nombre"),
+        F.when(F.col("s_nationkey") < 5, F.lit(None)).otherwise(F.lit("Asesor")).alias("Cargo"),
+        views.money_text(mny.to_cents(F.col("s_acctbal"))).alias("Sueldo"),
+        F.concat(F.lit("Dip. "), F.col("s_nationkey").cast("string")).alias("Diputado Responsable"),
+        month_key(F.col("s_nationkey")).alias("period")), "personal_apoyo")
+    c = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    cc = mny.to_cents(F.col("c_acctbal"))
+    write(c.select(F.col("c_custkey").alias("ID_Diputado"), F.col("c_name").alias("Nombre"),
+                   F.lit("Diputado").alias("Cargo"), cc.alias("Sueldo Bruto"),
+                   (cc - 1000).alias("Sueldo Liquido"), month_key(F.col("c_nationkey")).alias("period")),
+          "diputados_dieta")
+
+
+@register("chamber_consolidation")
+def chamber_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly staff drops with differing headers -> app-schema rows."""
+    root = scratch_path(spark, "chamber")
+    _chamber_drops(spark, sf_dir, root)
+    return leg.consolidate_chamber(spark, root)

@@ -132,3 +132,66 @@ def read_envelopes(spark: SparkSession, path: str, item: T.StructType) -> DataFr
     """JSON documents, one per file, in either envelope shape."""
     docs = spark.read.text(path, wholetext=True).withColumn("source_file", F.col("_metadata.file_path"))
     return parse_envelopes(docs, item)
+
+
+def list_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Files under ``root`` (recursively) whose path matches ``pattern``.
+
+    A listing through the Hadoop FileSystem: metadata only, no data read.
+    """
+    import re
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    if not fs.exists(base):
+        return []
+    out, it, rx = [], fs.listFiles(base, True), re.compile(pattern)
+    while it.hasNext():
+        st = it.next()
+        p = st.getPath().toString()
+        if st.getLen() > 0 and rx.search(p):
+            out.append(p)
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, path: str, encoding: str = "utf-8") -> str | None:
+    """The first line of one file, read through the Hadoop FileSystem
+    (a few bytes; used to group files by header)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    if line is None:
+        return None
+    return line.lstrip("﻿")
+
+
+def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep: str = ",",
+                      encoding: str = "UTF-8", key_type: str = "int") -> list[DataFrame]:
+    """Monthly drops whose columns differ from file to file.
+
+    Files matching ``pattern`` (keys captured from the path) are grouped by
+    their exact header line; each group is one CSV scan with its own
+    header, carrying the keys.  Files that are empty or hold only a header
+    contribute no rows.  Returns one DataFrame per header shape.
+    """
+    groups: dict[str, list[str]] = {}
+    for path in list_files(spark, root, pattern):
+        head = first_line(spark, path, encoding)
+        if head and head.strip():
+            groups.setdefault(head, []).append(path)
+    frames = []
+    for paths in groups.values():
+        df = (spark.read.options(sep=sep, encoding=encoding, header=True, inferSchema=False,
+                                 mode="PERMISSIVE", quote='"', escape='"').csv(paths))
+        keys = file_keys(F.col("_metadata.file_path"), pattern, names)
+        frames.append(df.withColumns({k: F.nullif(v, F.lit("")).try_cast(key_type)
+                                      for k, v in keys.items()}))
+    return frames
