@@ -73,7 +73,8 @@ def histogram(df: DataFrame, amount: str, bins: int = 20) -> DataFrame:
     hi = vals.agg(F.max("x")).scalar()
     width = hi - lo
     raw = F.floor((F.lit(bins) * (F.col("x") - lo)) / F.nullif(width, F.lit(0))) + 1
-    bucket = F.coalesce(F.least(raw, F.lit(bins)), F.lit(1)).cast("int")
+    # least() skips NULL, so the lo = hi case is defaulted before clamping
+    bucket = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins)).cast("int")
     return (vals.groupBy(bucket.alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bin_min"), F.max("x").alias("bin_max")))
 

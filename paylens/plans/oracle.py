@@ -197,7 +197,7 @@ FROM ({SEGMENT_ORDERS})
 ORACLE["pay_histogram"] = f"""
 WITH v AS (SELECT remuliquida_mensual AS x FROM ({ORDER_ROWS}) WHERE remuliquida_mensual IS NOT NULL),
      b AS (SELECT min(x) AS lo, max(x) AS hi FROM v)
-SELECT CAST(COALESCE(least(floor((20 * (x - lo)) / NULLIF(hi - lo, 0)) + 1, 20), 1) AS INTEGER) AS bin,
+SELECT CAST(least(COALESCE(floor((20 * (x - lo)) / NULLIF(hi - lo, 0)) + 1, 1), 20) AS INTEGER) AS bin,
        COUNT(*) AS n, min(x) AS bin_min, max(x) AS bin_max
 FROM v, b GROUP BY 1
 """
