@@ -9,26 +9,38 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
+from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast, sized_side
 
 EXPENSE_KEYS = ("anyo", "Mes", "llave_senador")
 
 
 def expense_breakdown(people: DataFrame, *sources: DataFrame, keys=EXPENSE_KEYS,
-                      concept: str = "gastos_operacionales", amount: str = "monto") -> DataFrame:
+                      concept: str = "gastos_operacionales", amount: str = "monto",
+                      max_people: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Sum by concept over all expense sources, for a set of person-months (J5 + A4).
 
     ``people`` holds the key columns.  The sources are unioned (one scan
-    each), restricted to the people with a semi join, and summed once by
-    (keys, concept): Spark's partial/final aggregation does the reference's
-    per-source-then-total two levels.  Output: keys, Concepto, Monto.
+    each) and summed by (keys, concept); Spark's partial/final aggregation
+    does the reference's per-source-then-total two levels.
+
+    The distinct people keys are written and counted first.  A small set
+    (at most ``max_people``) is broadcast and filters the expense rows
+    before anything is shuffled; a large set is joined after the
+    aggregation, so the shuffle join sees one row per person-month-concept
+    rather than raw rows, whatever share of rows one person holds.
+    Output: keys, Concepto, Monto.
     """
     keys = list(keys)
     cols = keys + [concept, amount]
     union = reduce(lambda a, b: a.unionByName(b), [s.select(*cols) for s in sources])
-    mine = union.join(people.select(*keys).distinct(), on=keys, how="left_semi")
-    return (mine.groupBy(*keys, F.col(concept).alias("Concepto"))
-            .agg(F.sum(amount).alias("Monto")))
+    who, small = sized_side(people.select(*keys).distinct(), max_people)
+
+    def total(df):
+        return df.groupBy(*keys, F.col(concept).alias("Concepto")).agg(F.sum(amount).alias("Monto"))
+
+    if small:
+        return total(union.join(F.broadcast(who), on=keys, how="left_semi"))
+    return total(union).join(who, on=keys, how="left_semi")
 
 
 def expense_share(breakdown: DataFrame, *, concept: str = "Concepto", amount: str = "Monto",

@@ -15,35 +15,60 @@ from paylens.session import shared_dir
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      materialize: bool = True) -> DataFrame:
-    """Return ``df`` hinted for broadcast only if it has at most ``max_rows`` rows.
+def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+               materialize: bool = True) -> tuple[DataFrame, bool]:
+    """Measure a would-be broadcast side: ``(frame, rows <= max_rows)``.
 
     A derived side (an aggregate) is first written to the shared checkpoint
     folder, so counting it does not recompute it and the join reads the
     written copy; the lineage is cut there, which also keeps a lost executor
     from re-running the aggregation.  Plain scans can pass
-    ``materialize=False`` (Parquet counts come from footers).
-    Above the bound the same data is returned without a hint and Spark
-    plans a shuffle join (AQE may still switch it at run time).
+    ``materialize=False`` (Parquet counts come from footers).  Counting
+    stops at ``max_rows + 1``.
     """
     if materialize:
         shared_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return df, n <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      materialize: bool = True) -> DataFrame:
+    """``df`` hinted for broadcast only if it has at most ``max_rows`` rows.
+
+    Above the bound the same (written) data is returned without a hint and
+    Spark plans a shuffle join (AQE may still switch it at run time).
+    """
+    df, small = sized_side(df, max_rows, materialize)
+    return F.broadcast(df) if small else df
+
+
+# Folded keys are pure ASCII, so a key starting with this character can
+# never equal one: it marks blank names spread out by a row hash.
+_NO_MATCH = "\u00ff"
 
 
 def folded_link(left: DataFrame, right: DataFrame, left_name: Column | str,
                 right_name: Column | str, how: str = "left",
                 key: str = "_name_key") -> DataFrame:
-    """Equi-join two frames on the accent-folded, lower-cased full name.
+    """Equi-join two frames on the accent-folded, lower-cased full name.
 
     Both keys become a plain hash-join key, so Spark shuffles (or
-    broadcasts) on it like any equi-join; blank keys never link.
+    broadcasts) on it like any equi-join.  Blank names never link.  On the
+    left of a left join they get a unique, never-matching key made from a
+    hash of the row, so they spread over all reducers instead of piling
+    into the one that a shared blank key would hash to; the key is NULL
+    again in the output.
     """
     lcol = F.col(left_name) if isinstance(left_name, str) else left_name
     rcol = F.col(right_name) if isinstance(right_name, str) else right_name
-    lk = left.withColumn(key, F.nullif(fold_text(lcol, strip=True), F.lit("")))
-    rk = right.withColumn(key, F.nullif(fold_text(rcol, strip=True), F.lit("")))
-    return lk.join(rk, on=key, how=how)
+    lkey = F.nullif(fold_text(lcol, strip=True), F.lit(""))
+    rk = (right.withColumn(key, F.nullif(fold_text(rcol, strip=True), F.lit("")))
+          .filter(F.col(key).isNotNull()))
+    if how != "left":
+        return left.withColumn(key, lkey).filter(F.col(key).isNotNull()).join(rk, on=key, how=how)
+    spread = F.concat(F.lit(_NO_MATCH), F.xxhash64(*[F.col(c) for c in left.columns]).cast("string"))
+    lk = left.withColumn(key, F.coalesce(lkey, spread))
+    joined = lk.join(rk, on=key, how="left")
+    return joined.withColumn(key, F.when(~F.col(key).startswith(_NO_MATCH), F.col(key)))

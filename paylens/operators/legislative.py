@@ -62,12 +62,12 @@ def bulk_pay(spark: SparkSession, paths) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
 
 
-def ingest_bulk_csv(spark: SparkSession, paths, out: str, files_per_partition: int = 8) -> DataFrame | None:
+def ingest_bulk_csv(spark: SparkSession, paths, out: str, num_files: int | None = None) -> DataFrame | None:
     """CSV drops -> partitioned ZSTD Parquet; returns the written table."""
     rows = bulk_pay(spark, paths)
     if rows is None:
         return None
-    sinks.write_pay_parquet(rows, out, files_per_partition=files_per_partition)
+    sinks.write_pay_parquet(rows, out, num_files=num_files)
     return spark.read.parquet(out)
 
 

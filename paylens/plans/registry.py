@@ -525,7 +525,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     s_raw, c_raw = _raw_sources(spark, sf_dir)
     rows = uni.pay_rows(s_raw, "Planta").unionByName(uni.pay_rows(c_raw, "Contrata"))
     out = scratch_path(spark, "pay")
-    sk.write_pay_parquet(rows, out, files_per_partition=2)
+    sk.write_pay_parquet(rows, out, num_files=4)
     return spark.read.parquet(out).filter(F.col("anyo").between(2005, 2010))
 
 

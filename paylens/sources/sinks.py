@@ -9,23 +9,26 @@ LATIN1 = "ISO-8859-1"
 
 
 def write_pay_parquet(df: DataFrame, path: str, partition_by=("origen", "anyo"),
-                      files_per_partition: int = 8, sort_by: str | None = "search_vector",
-                      mode: str = "overwrite") -> None:
+                      num_files: int | None = None, sort_by: str | None = "search_vector",
+                      max_records_per_file: int = 5_000_000, mode: str = "overwrite") -> None:
     """Unified pay rows -> Parquet, ZSTD, partitioned.
 
-    Rows are hash-distributed on the partition columns plus a small spread
-    key, so each (origen, anyo) directory gets about ``files_per_partition``
-    files even when one year holds a large share of the rows; inside a
-    file rows are sorted by the search vector.  Overwrite is dynamic: only
-    the partitions present in ``df`` are replaced.
+    Rows are range-partitioned on (partition columns, search vector):
+    Spark samples the keys, so every task gets a similar share even when
+    one year holds a large part of all rows (that year is simply cut into
+    several ranges), each task writes into one or two directories, and
+    files come out sorted by the search vector (tight min/max statistics).
+    ``num_files`` defaults to ``spark.sql.shuffle.partitions``.  Overwrite
+    is dynamic: only the partitions present in ``df`` are replaced.
     """
     cols = list(partition_by)
-    spread = F.pmod(F.xxhash64(*(F.col(c) for c in df.columns)), F.lit(files_per_partition))
-    out = df.repartition(*[F.col(c) for c in cols], spread)
-    if sort_by and sort_by in df.columns:
-        out = out.sortWithinPartitions(*cols, sort_by)
+    n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = cols + ([sort_by] if sort_by and sort_by in df.columns else [])
+    out = df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in order])
+    out = out.sortWithinPartitions(*order)
     (out.write.mode(mode).option("compression", "zstd")
      .option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*cols).parquet(path))
 
 

@@ -151,3 +151,13 @@ def test_footprint_long_to_wide(spark):
     got = {(r.anyo, r.mes): (r.pagos, r.vuelos, r.total)
            for r in expenses.footprint(parts, ["llave", "anyo", "mes"]).collect()}
     assert got == {(2024, 1): (10, 0, 10), (2024, 2): (0, 7, 7)}
+
+
+def test_folded_link_blank_names_never_link(spark):
+    from paylens.operators.joins import folded_link
+    left = spark.createDataFrame([(1, "José Pérez"), (2, "  "), (3, None), (4, "Nadie")], "id int, n string")
+    right = spark.createDataFrame([(10, "JOSE PEREZ"), (11, ""), (12, None)], "rid int, m string")
+    got = {r.id: (r.rid, r._name_key) for r in folded_link(left, right, "n", "m").collect()}
+    assert got == {1: (10, "jose perez"), 2: (None, None), 3: (None, None), 4: (None, "nadie")}
+    inner = folded_link(left, right, "n", "m", how="inner").collect()
+    assert [(r.id, r.rid) for r in inner] == [(1, 10)]

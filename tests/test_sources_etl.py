@@ -40,7 +40,7 @@ def test_bulk_ingest_latin1(spark, tmp_dir):
     src = os.path.join(tmp_dir, "TA_PersonalContratohonorarios.csv")
     _write(src, BULK, "latin-1")
     out = os.path.join(tmp_dir, "pq")
-    df = leg.ingest_bulk_csv(spark, [src], out, files_per_partition=2)
+    df = leg.ingest_bulk_csv(spark, [src], out, num_files=2)
     rows = {r.Nombres: r for r in df.collect()}
     # year sanity keeps 2000 and 2050 only (text, empty, 1999, 2051 dropped)
     assert sorted(r.anyo for r in rows.values()) == [2000, 2024, 2050]
