@@ -97,12 +97,15 @@ def origin_for(name: str) -> str:
     return next((tag for frag, tag in ORIGIN_RULES if frag in name), UNKNOWN_ORIGIN)
 
 
-def pay_rows(raw: DataFrame, origin: Column | str, full_fold: bool = False,
+def pay_rows(raw: DataFrame, origin: Column | str, full_fold: bool = True,
              header=None) -> DataFrame:
-    """Raw bulk rows -> unified pay rows (C12 core: P1, X1, X11, X4, P3, F1).
+    """Raw bulk rows -> unified pay rows (C12 core: P1, X1, X11, X5, P3, F1).
 
     Money through the decimal-comma cleaner, year through a strict
     ``try_cast``, rows outside 2000..2050 (or without a year) dropped.
+    The search vector uses the same full fold as the query side, so every
+    accented letter matches its base letter; ``full_fold=False`` gives the
+    published 16-letter fold instead.
     """
     u = unify(raw, INGEST_MAPPING, header=header)
     year = F.col("anyo").try_cast("int")

@@ -331,7 +331,7 @@ def _pay_rows_sql(src: str) -> str:
   SELECT organismo_nombre, anyo, Mes, estamento, Nombres, Paterno, Materno, cargo,
          {clean_money('liq')} AS remuliquida_mensual,
          {clean_money('bruta')} AS remuneracionbruta_mensual,
-         {fold16("COALESCE(Nombres, '') || ' ' || COALESCE(Paterno, '') || ' ' || COALESCE(Materno, '')")}
+         trim({fold_full("COALESCE(Nombres, '') || ' ' || COALESCE(Paterno, '') || ' ' || COALESCE(Materno, '')")})
            AS search_vector,
          origen
   FROM ({src}) WHERE anyo BETWEEN 2000 AND 2050"""

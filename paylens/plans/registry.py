@@ -480,11 +480,12 @@ EVENT_ITEM = T.StructType([T.StructField("event_id", T.LongType()),
 @register("json_envelope")
 def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> paged JSON documents (both envelope shapes, at most 500
-    items each, one file per document) -> parsed back into items."""
+    items each: ids are unique, so a page of 500 consecutive ids is bounded
+    whatever the event mix; one file per document) -> parsed back into items."""
     ev = table(spark, sf_dir, "events")
     item = F.struct(*[F.col(f.name) for f in EVENT_ITEM.fields])
     page = F.floor(F.col("event_id") / 500)
-    docs = (ev.groupBy("event_type", page.alias("page"))
+    docs = (ev.groupBy(page.alias("page"))
             .agg(F.collect_list(F.struct(F.col("event_id").alias("id"), item.alias("attributes"))).alias("wrapped"),
                  F.collect_list(item).alias("plain")))
     paged = F.to_json(F.struct(F.struct(F.col("wrapped").alias("data"),
@@ -493,7 +494,7 @@ def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = F.to_json(F.struct(F.col("plain").alias("data")))
     text = F.when(F.col("page") % 2 == 0, paged).otherwise(plain)
     out = scratch_path(spark, "envelopes")
-    (docs.select(F.concat_ws("_", "event_type", F.col("page").cast("string")).alias("doc"), text.alias("value"))
+    (docs.select(F.col("page").alias("doc"), text.alias("value"))
      .write.partitionBy("doc").text(out))
     return rd.read_envelopes(spark, f"{out}/*/*.txt", EVENT_ITEM).drop("source_file")
 

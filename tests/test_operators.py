@@ -161,3 +161,11 @@ def test_folded_link_blank_names_never_link(spark):
     assert got == {1: (10, "jose perez"), 2: (None, None), 3: (None, None), 4: (None, "nadie")}
     inner = folded_link(left, right, "n", "m", how="inner").collect()
     assert [(r.id, r.rid) for r in inner] == [(1, 10)]
+
+
+def test_legislative_source_predicate(spark):
+    from paylens.functions.text import legislative
+    df = spark.createDataFrame([("Senado", "x"), ("Planta", "CÁMARA de Diputados"), ("Planta", "Min")],
+                               "origen string, organismo_nombre string")
+    got = [r.l for r in df.select(legislative(F.col("origen"), F.col("organismo_nombre")).alias("l")).collect()]
+    assert got == [True, True, False]

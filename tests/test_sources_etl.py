@@ -46,7 +46,7 @@ def test_bulk_ingest_latin1(spark, tmp_dir):
     assert sorted(r.anyo for r in rows.values()) == [2000, 2024, 2050]
     r = rows["María José"]
     assert r.remuliquida_mensual == 1001 and r.Mes == "Marzo"  # 'Mes' wins over 'mes'
-    assert r.search_vector == "maria jose munoz perez"
+    assert r.search_vector == "maria jose munoz perez"  # full fold, trimmed
     assert r.origen == "Honorarios" and r.remuneracionbruta_mensual is None
     assert rows["Luis"].cargo == "Jefe; área" and rows["Luis"].remuliquida_mensual == 2003
     assert rows["Eva"].Paterno is None  # short row padded with NULL
