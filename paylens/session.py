@@ -28,6 +28,29 @@ _LOCAL_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB inputs).
+# AQE starts from many shuffle partitions and coalesces them to about the
+# advisory size, so no per-query tuning is needed; scans read large splits;
+# skewed join partitions are split at run time; static broadcast choice
+# uses file-size estimates under a modest threshold, and the library's own
+# broadcasts are row-counted (``operators.joins.sized_side``).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "paylens") -> SparkSession:
     """A local session for tests and benchmarks."""
@@ -55,6 +78,10 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(HDFS / object store); a machine-local folder does not survive "
+                               "a lost executor")
         configured = tempfile.mkdtemp(prefix="paylens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
