@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.text import fold_text
-from paylens.session import shared_dir
+from paylens.session import scratch_path
 
 # A broadcast side is shipped to every executor; past this many rows it is
 # joined by shuffle instead.  Derived "dimension" tables (per-group
@@ -19,16 +19,19 @@ def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                materialize: bool = True) -> tuple[DataFrame, bool]:
     """Measure a would-be broadcast side: ``(frame, rows <= max_rows)``.
 
-    A derived side (an aggregate) is first written to the shared checkpoint
-    folder, so counting it does not recompute it and the join reads the
-    written copy; the lineage is cut there, which also keeps a lost executor
-    from re-running the aggregation.  Plain scans can pass
-    ``materialize=False`` (Parquet counts come from footers).  Counting
-    stops at ``max_rows + 1``.
+    A derived side (an aggregate) is computed once and written as Parquet
+    to the shared folder (``spark.checkpoint.dir``); counting it then reads
+    only file footers, and the join reads the written copy, so the lineage
+    is cut there and a lost executor never re-runs the aggregation.  (An
+    eager ``DataFrame.checkpoint`` would compute the side twice.)  Plain
+    scans can pass ``materialize=False``.  Counting stops at
+    ``max_rows + 1``.
     """
     if materialize:
-        shared_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        spark = df.sparkSession
+        path = scratch_path(spark, "side")
+        df.write.parquet(path)
+        df = spark.read.parquet(path)
     n = df.limit(max_rows + 1).count()
     return df, n <= max_rows
 

@@ -665,3 +665,35 @@ app AS (
 SELECT *, trim({fold_full("concat_ws(' ', Nombres, Paterno, Materno)")}) AS search_vector
 FROM app WHERE trim(COALESCE(Nombres, '')) <> ''
 """
+
+ORACLE["catalogue_json"] = ORACLE["catalogue"]
+
+ORACLE["senate_extract"] = f"""
+WITH oc AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
+pay AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+         CAST(c_custkey AS VARCHAR) AS rut, {CENTS.format(x='o_totalprice')} AS dieta,
+         {CENTS.format(x='o_totalprice')} - 1000 AS saldo,
+         {person_key_sql('c_name', 'c_mktsegment', 'NULL')} AS llave_senador
+  FROM oc),
+ex AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+         {person_key_sql('c_name', 'c_mktsegment', 'NULL')} AS llave_senador,
+         SUM({CENTS.format(x='l_extendedprice')}) AS t
+  FROM lineitem JOIN oc ON l_orderkey = o_orderkey GROUP BY ALL)
+SELECT p.ano, p.mes, p.rut, p.llave_senador, p.dieta, p.saldo,
+       CAST(COALESCE(e.t, 0) AS BIGINT) AS total_gastos_operacionales,
+       CAST(p.dieta + COALESCE(e.t, 0) AS BIGINT) AS costo_total_mensual
+FROM pay p LEFT JOIN ex e USING (ano, mes, llave_senador)
+"""
+
+ORACLE["chamber_expenses"] = f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS anyo, CAST(month(o_orderdate) AS INTEGER) AS Mes,
+       upper(r_name) || ' JR' AS llave_senador, l_returnflag AS gastos_operacionales,
+       COALESCE({digits_money(money_text(CENTS.format(x='l_extendedprice')))}, 0) AS monto,
+       'Cámara de Diputadas y Diputados' AS organismo_nombre
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+     JOIN region ON n_regionkey = r_regionkey
+WHERE year(o_orderdate) = 1996
+"""

@@ -593,10 +593,7 @@ def _named_order_lines(spark, sf_dir):
     return o.join(c, o.o_custkey == c.c_custkey)
 
 
-@register("senate_consolidation")
-def senate_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C14: pay items from orders, expense items from their line items,
-    keyed by the normalised person name; app-schema rows out."""
+def _senate(spark, sf_dir):
     oc = _named_order_lines(spark, sf_dir)
     cents = mny.to_cents(F.col("o_totalprice"))
     pay = oc.select(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
@@ -609,8 +606,20 @@ def senate_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("nombre"), F.col("c_mktsegment").alias("appaterno"),
         F.col("l_returnflag").alias("gastos_operacionales"),
         mny.to_cents(F.col("l_extendedprice")).alias("monto"))
-    _, app, _ = leg.consolidate_senate(pay, spent)
-    return app
+    return leg.consolidate_senate(pay, spent)
+
+
+@register("senate_consolidation")
+def senate_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14: pay items from orders, expense items from their line items,
+    keyed by the normalised person name; app-schema rows out."""
+    return _senate(spark, sf_dir)[1]
+
+
+@register("senate_extract")
+def senate_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14 analyst extract: present columns, sorted by year, month, person."""
+    return _senate(spark, sf_dir)[0]
 
 
 def _chamber_drops(spark, sf_dir, root):
@@ -653,3 +662,40 @@ def chamber_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "chamber")
     _chamber_drops(spark, sf_dir, root)
     return leg.consolidate_chamber(spark, root)
+
+
+@register("chamber_expenses")
+def chamber_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expense drops keyed by deputy id and month in the folder name,
+    named through the deputies' monthly lists (latest name per id)."""
+    root = scratch_path(spark, "chamber_exp")
+    o = table(spark, sf_dir, "orders").filter(
+        (F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
+        & (F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice")
+    lines = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
+             .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
+    # one deputy per region: 5 ids x 12 months of drops
+    key = F.concat_ws("_", F.col("n_regionkey").cast("string"), F.date_format("o_orderdate", "yyyy_MM"))
+    (lines.select(F.col("l_returnflag").alias("Concepto"),
+                  views.money_text(mny.to_cents(F.col("l_extendedprice"))).alias("Monto"),
+                  key.alias("drop"))
+     .write.partitionBy("drop").option("header", True).csv(f"{root}/gastos_operacionales"))
+    r = table(spark, sf_dir, "region")
+    months = r.select("r_regionkey", "r_name", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m"))
+    (months.select(F.col("r_regionkey").alias("ID_Diputado"),
+                   F.concat(F.col("r_name"), F.when(F.col("m") == 12, F.lit(" JR")).otherwise(F.lit(""))).alias("Nombre"),
+                   F.concat(F.lit("1996_"), F.lpad(F.col("m").cast("string"), 2, "0")).alias("period"))
+     .write.partitionBy("period").option("header", True).csv(f"{root}/diputados_dieta"))
+    return leg.read_chamber_expenses(spark, root)
+
+
+@register("catalogue_json")
+def catalogue_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13 + S10: the catalogue written as JSON lines and read back."""
+    out = scratch_path(spark, "catalogue")
+    sk.write_catalogue(_catalogue(spark, sf_dir), out)
+    back = spark.read.schema("dataset string, anios array<int>, organismos array<string>").json(out)
+    return back.withColumns({"anios": _join_list("anios"), "organismos": _join_list("organismos")})
