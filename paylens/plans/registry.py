@@ -623,11 +623,15 @@ def senate_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chamber_drops(spark, sf_dir, root):
-    orders = table(spark, sf_dir, "orders").join(
+    # the three staff drops come from one join, kept cached while written
+    orders = (table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
         F.col("o_custkey") == F.col("c_custkey"))
-    period = F.date_format("o_orderdate", "yyyy_MM").alias("period")
-    money = views.money_text(mny.to_cents(F.col("o_totalprice")))
+        .select("c_name", "o_orderpriority", "o_orderstatus",
+                F.date_format("o_orderdate", "yyyy_MM").alias("period"),
+                views.money_text(mny.to_cents(F.col("o_totalprice"))).alias("money"))
+        .persist())
+    period, money = F.col("period"), F.col("money")
 
     def write(df, sub):
         df.write.partitionBy("period").option("header", True).csv(f"{root}/{sub}")
@@ -640,6 +644,7 @@ def _chamber_drops(spark, sf_dir, root):
         money.alias("Sueldo"), period), "personal_contrata")
     write(orders.filter(F.col("o_orderstatus") == "P").select(
         F.col("c_name").alias("Nombre"), money.alias("Honorario Total"), period), "personal_honorarios")
+    orders.unpersist()
     s = table(spark, sf_dir, "supplier")
     month_key = lambda k: F.concat(F.lit("2024_"), F.lpad((k % 12 + 1).cast("string"), 2, "0"))
     write(s.select(

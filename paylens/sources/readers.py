@@ -134,31 +134,58 @@ def read_envelopes(spark: SparkSession, path: str, item: T.StructType) -> DataFr
     return parse_envelopes(docs, item)
 
 
+def _local_path(uri: str) -> str | None:
+    """The OS path of a ``file:`` URI or plain path, else None."""
+    if uri.startswith("file:"):
+        rest = uri[5:]
+        return "/" + rest.lstrip("/") if rest.startswith("/") else rest
+    return uri if "://" not in uri and not uri.startswith(("hdfs:", "s3", "gs:", "abfs")) else None
+
+
 def list_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
-    """Files under ``root`` (recursively) whose path matches ``pattern``.
+    """Non-empty files under ``root`` (recursively) whose path matches ``pattern``.
 
-    A listing through the Hadoop FileSystem: metadata only, no data read.
+    Metadata only: a directory walk for local paths, the Hadoop FileSystem
+    of the path otherwise (HDFS, object stores).  Spark's own output
+    markers (``_SUCCESS``, hidden files) never match a data pattern.
     """
+    import os
     import re
 
+    rx = re.compile(pattern)
+    local = _local_path(root)
+    if local is not None:
+        out = []
+        for d, _, files in os.walk(local):
+            for f in files:
+                full = os.path.join(d, f)
+                if not f.startswith((".", "_")) and rx.search(full) and os.path.getsize(full) > 0:
+                    out.append("file:" + full)
+        return sorted(out)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(conf)
     if not fs.exists(base):
         return []
-    out, it, rx = [], fs.listFiles(base, True), re.compile(pattern)
+    out, it = [], fs.listFiles(base, True)
     while it.hasNext():
         st = it.next()
         p = st.getPath().toString()
-        if st.getLen() > 0 and rx.search(p):
+        name = st.getPath().getName()
+        if st.getLen() > 0 and not name.startswith((".", "_")) and rx.search(p):
             out.append(p)
     return sorted(out)
 
 
 def first_line(spark: SparkSession, path: str, encoding: str = "utf-8") -> str | None:
-    """The first line of one file, read through the Hadoop FileSystem
-    (a few bytes; used to group files by header)."""
+    """The first line of one file (a few bytes; used to group files by header)."""
+    local = _local_path(path)
+    if local is not None:
+        with open(local, "rb") as f:
+            line = f.readline()
+        text = line.decode(encoding, errors="replace").rstrip("\r\n")
+        return text.lstrip("\ufeff") if line else None
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -170,7 +197,7 @@ def first_line(spark: SparkSession, path: str, encoding: str = "utf-8") -> str |
         stream.close()
     if line is None:
         return None
-    return line.lstrip("﻿")
+    return line.lstrip("\ufeff")
 
 
 def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep: str = ",",
@@ -187,10 +214,17 @@ def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep:
         head = first_line(spark, path, encoding)
         if head and head.strip():
             groups.setdefault(head, []).append(path)
+    import csv
+
     frames = []
-    for paths in groups.values():
+    for head, paths in groups.items():
+        cols = next(csv.reader([head], delimiter=sep, quotechar='"'))
+        cols = [c if c else f"_c{i}" for i, c in enumerate(cols)]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+        # the probed header is the schema: no inference job per group
         df = (spark.read.options(sep=sep, encoding=encoding, header=True, inferSchema=False,
-                                 mode="PERMISSIVE", quote='"', escape='"').csv(paths))
+                                 enforceSchema=True, mode="PERMISSIVE", quote='"', escape='"')
+              .schema(schema).csv(paths))
         keys = file_keys(F.col("_metadata.file_path"), pattern, names)
         frames.append(df.withColumns({k: F.nullif(v, F.lit("")).try_cast(key_type)
                                       for k, v in keys.items()}))
