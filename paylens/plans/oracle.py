@@ -695,5 +695,4 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS anyo, CAST(month(o_orderdate) AS IN
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
      JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
      JOIN region ON n_regionkey = r_regionkey
-WHERE year(o_orderdate) = 1996
 """

@@ -634,7 +634,9 @@ def _chamber_drops(spark, sf_dir, root):
     period, money = F.col("period"), F.col("money")
 
     def write(df, sub):
-        df.write.partitionBy("period").option("header", True).csv(f"{root}/{sub}")
+        # one file per month folder, written by all cores in parallel
+        (df.repartition(spark.sparkContext.defaultParallelism, "period")
+         .write.partitionBy("period").option("header", True).csv(f"{root}/{sub}"))
 
     write(orders.filter(F.col("o_orderstatus") == "F").select(
         F.col("c_name").alias("Nombre Completo"), F.col("o_orderpriority").alias("Cargo"),
@@ -674,25 +676,33 @@ def chamber_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expense drops keyed by deputy id and month in the folder name,
     named through the deputies' monthly lists (latest name per id)."""
     root = scratch_path(spark, "chamber_exp")
-    o = table(spark, sf_dir, "orders").filter(
-        (F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
-        & (F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")))
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice")
     lines = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
              .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
-    # one deputy per region: 5 ids x 12 months of drops
+    # one deputy per region: 5 ids x every month of drops
     key = F.concat_ws("_", F.col("n_regionkey").cast("string"), F.date_format("o_orderdate", "yyyy_MM"))
+    # one writer task per group of drops, all cores busy: every drop folder
+    # gets exactly one file
     (lines.select(F.col("l_returnflag").alias("Concepto"),
                   views.money_text(mny.to_cents(F.col("l_extendedprice"))).alias("Monto"),
                   key.alias("drop"))
+     .repartition(spark.sparkContext.defaultParallelism, "drop")
      .write.partitionBy("drop").option("header", True).csv(f"{root}/gastos_operacionales"))
+    # the deputies' monthly lists: every month of the orders' span; the name
+    # carries a suffix in the last month, so the latest name must win
     r = table(spark, sf_dir, "region")
-    months = r.select("r_regionkey", "r_name", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m"))
-    (months.select(F.col("r_regionkey").alias("ID_Diputado"),
-                   F.concat(F.col("r_name"), F.when(F.col("m") == 12, F.lit(" JR")).otherwise(F.lit(""))).alias("Nombre"),
-                   F.concat(F.lit("1996_"), F.lpad(F.col("m").cast("string"), 2, "0")).alias("period"))
+    lo = o.agg(F.min("o_orderdate")).scalar()
+    hi = o.agg(F.max("o_orderdate")).scalar()
+    month_seq = F.sequence(F.trunc(lo.cast("date"), "month"), F.trunc(hi.cast("date"), "month"),
+                           F.expr("INTERVAL 1 MONTH"))
+    lists = r.select("r_regionkey", "r_name", F.explode(month_seq).alias("m"))
+    last = F.trunc(hi.cast("date"), "month")
+    (lists.select(F.col("r_regionkey").alias("ID_Diputado"),
+                  F.concat(F.col("r_name"), F.when(F.col("m") == last, F.lit(" JR")).otherwise(F.lit(""))).alias("Nombre"),
+                  F.date_format("m", "yyyy_MM").alias("period"))
      .write.partitionBy("period").option("header", True).csv(f"{root}/diputados_dieta"))
     return leg.read_chamber_expenses(spark, root)
 
