@@ -66,12 +66,18 @@ from paylens.operators import catalogue as cat  # noqa: E402
 from paylens.operators import expenses as exp  # noqa: E402
 from paylens.operators import search as srch  # noqa: E402
 from paylens.operators import summary as summ  # noqa: E402
-from paylens.session import table  # noqa: E402
+from paylens.session import spread_narrow, table  # noqa: E402
+
+
+def text_table(spark, sf_dir, name):
+    """A table whose rows carry whole texts: folds and regexes over them are
+    CPU-bound, so a narrow scan is spread over the cores first."""
+    return spread_narrow(table(spark, sf_dir, name))
 
 
 @register("person_search")
 def person_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     return srch.search(docs, person="des ELLE", columns=("doc_id", "lang", "source", "n_chars"),
                        org_col="lang", order=("doc_id",), vector=fold_text(F.col("text")))
 
@@ -86,13 +92,13 @@ def search_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("accent_fold")
 def accent_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     return docs.select("doc_id", unaccent_lower(F.col("text")).alias("folded"))
 
 
 @register("accent_fold_full")
 def accent_fold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     return docs.select("doc_id", fold_text(F.col("text")).alias("folded"))
 
 
@@ -413,17 +419,17 @@ from paylens.operators import sync as syn  # noqa: E402
 
 @register("page_links")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.links(table(spark, sf_dir, "pages"))
+    return pg.links(text_table(spark, sf_dir, "pages"))
 
 
 @register("page_title")
 def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.heading(table(spark, sf_dir, "pages"), tag="h1")
+    return pg.heading(text_table(spark, sf_dir, "pages"), tag="h1")
 
 
 @register("page_table_rows")
 def page_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pg.table_rows(table(spark, sf_dir, "pages"), table_tag="ul", row_tag="li", cell_tag="a")
+    rows = pg.table_rows(text_table(spark, sf_dir, "pages"), table_tag="ul", row_tag="li", cell_tag="a")
     return rows.withColumn("cells", F.array_join("cells", "|"))
 
 

@@ -95,3 +95,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's test tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread_narrow(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cores when its scan yields fewer
+    partitions than that (one big row group, one small file).
+
+    Meant for CPU-heavy per-row work on whole texts (folds, HTML regexes).
+    A large input already has many splits and is returned unchanged, so no
+    shuffle is added at scale.
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
