@@ -444,7 +444,7 @@ def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _manifests(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     day = F.regexp_extract("source", r"(\d+)", 1).cast("int") + 1
-    stamp = F.make_timestamp(F.lit(2024), F.lit(2), day, F.lit(8), F.lit(30), F.lit(0))
+    stamp = F.make_timestamp_ntz(F.lit(2024), F.lit(2), day, F.lit(8), F.lit(30), F.lit(0))
     remote = d.filter(F.col("lang") != "de").select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("name"),
         F.when(F.col("n_chars") < 50, F.lit(0)).otherwise(
@@ -453,7 +453,8 @@ def _manifests(spark, sf_dir):
     local = d.filter(F.col("lang") != "es").select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("name"),
         F.col("n_chars").alias("size"),
-        F.make_timestamp(F.lit(2024), F.lit(2), F.lit(10), F.lit(0), F.lit(0), F.lit(0)).alias("last_modified"))
+        F.make_timestamp(F.lit(2024), F.lit(2), F.lit(10), F.lit(0), F.lit(0), F.lit(0),
+                         F.lit("UTC")).alias("last_modified"))
     return local, remote
 
 

@@ -22,10 +22,17 @@ from paylens.session import table
 
 
 def month_range(col: str, year: int, month: int):
-    """[first day of month, first day of next month) on a timestamp column."""
+    """[first day of month, first day of next month) on a timestamp column.
+
+    The bounds are wall-clock (``timestamp_ntz``) literals, so the filter
+    means the same in any session time zone and is pushed to the scan.
+    """
     start = dt.datetime(year, month, 1)
     end = dt.datetime(year + (month == 12), month % 12 + 1, 1)
-    return (F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(end))
+
+    def ntz(d):
+        return F.lit(d.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return (F.col(col) >= ntz(start)) & (F.col(col) < ntz(end))
 
 
 def lineitem_jobs(spark: SparkSession, sf_dir: str, year: int | None = None,
