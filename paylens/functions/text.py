@@ -85,9 +85,13 @@ def fold_text(c: Column, strip: bool = False) -> Column:
     return F.coalesce(out, F.lit(""))
 
 
+# Every character Python's str.strip() removes, derived from str.isspace.
+_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def py_strip(c: Column) -> Column:
-    """str.strip(): remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """str.strip(): remove leading/trailing Unicode whitespace (no regex)."""
+    return F.btrim(c, F.lit(_WHITESPACE))
 
 
 def search_words(text: str | None) -> list[str]:

@@ -129,3 +129,12 @@ def test_months_both_ways_with_defaults(spark):
     names = spark.createDataFrame([("MARZO",), ("marzo",), ("Foo",)], "s string")
     got = names.select(months.month_number(F.col("s"), default=0).alias("n")).collect()
     assert [r.n for r in got] == [3, 3, 0]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=" \t\n 　ab ", max_size=8)),
+                min_size=1, max_size=20))
+def test_py_strip_matches_str_strip(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r.x for r in df.select(text.py_strip(F.col("s")).alias("x")).collect()]
+    assert got == [None if v is None else v.strip() for v in values]
