@@ -9,9 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from paylens.functions import money as mny
+from paylens.functions import months as mon
+from paylens.functions import text as txt
+from paylens.functions.text import fold_text, unaccent_lower
 from paylens.operators import audits
+from paylens.operators import catalogue as cat
+from paylens.operators import expenses as exp
+from paylens.operators import legislative as leg
+from paylens.operators import pages as pg
+from paylens.operators import search as srch
+from paylens.operators import summary as summ
+from paylens.operators import sync as syn
+from paylens.operators import unify as uni
+from paylens.operators.joins import folded_link
 from paylens.plans import views
+from paylens.session import scratch_path, spread_narrow, table
+from paylens.sources import readers as rd
+from paylens.sources import sinks as sk
+from paylens.streaming.file_ingest import ingest_new_files
 
 REGISTRY: dict = {}
 
@@ -61,13 +79,6 @@ def pay_outliers_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- search
 
-from paylens.functions.text import fold_text, unaccent_lower  # noqa: E402
-from paylens.operators import catalogue as cat  # noqa: E402
-from paylens.operators import expenses as exp  # noqa: E402
-from paylens.operators import search as srch  # noqa: E402
-from paylens.operators import summary as summ  # noqa: E402
-from paylens.session import spread_narrow, table  # noqa: E402
-
 
 def text_table(spark, sf_dir, name):
     """A table whose rows carry whole texts: folds and regexes over them are
@@ -160,11 +171,10 @@ def pay_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("top_pay")
 def top_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from paylens.functions.money import to_cents
     c = table(spark, sf_dir, "customer")
     rows = c.select(F.col("c_name").alias("Nombres"), F.col("c_mktsegment").alias("Paterno"),
                     F.repeat(F.concat(F.col("c_mktsegment"), F.lit(" ")), 12).alias("cargo"),
-                    to_cents(F.col("c_acctbal")).alias("remuliquida_mensual"))
+                    mny.to_cents(F.col("c_acctbal")).alias("remuliquida_mensual"))
     return summ.top_pay(rows, "remuliquida_mensual", 10)
 
 
@@ -220,11 +230,6 @@ def catalogue_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- money, text, months
 
-from paylens.functions import money as mny  # noqa: E402
-from paylens.functions import months as mon  # noqa: E402
-from paylens.functions import text as txt  # noqa: E402
-from paylens.operators import unify as uni  # noqa: E402
-
 
 def _order_money(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
@@ -382,7 +387,6 @@ def id_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("folded_name_link")
 def folded_name_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from paylens.operators.joins import folded_link
     ev = table(spark, sf_dir, "events").select("user_id").distinct()
     cust = table(spark, sf_dir, "customer")
     users = ev.join(cust.select(F.col("c_custkey").alias("user_id"), "c_name"), "user_id")
@@ -413,9 +417,6 @@ def footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- pages, gaps, manifests
 
-from paylens.operators import pages as pg  # noqa: E402
-from paylens.operators import sync as syn  # noqa: E402
-
 
 @register("page_links")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,13 +471,6 @@ def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 # (``spark.checkpoint.dir``), then read them back through the library's
 # readers, so the sources and sinks run end to end over whole tables.
 
-from pyspark.sql import types as T  # noqa: E402
-
-from paylens.operators import legislative as leg  # noqa: E402
-from paylens.session import scratch_path  # noqa: E402
-from paylens.sources import readers as rd  # noqa: E402
-from paylens.sources import sinks as sk  # noqa: E402
-from paylens.streaming.file_ingest import ingest_new_files  # noqa: E402
 
 EVENT_ITEM = T.StructType([T.StructField("event_id", T.LongType()),
                            T.StructField("user_id", T.LongType()),
