@@ -51,3 +51,18 @@ def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_catalogue(catalogue: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The catalogue as JSON lines, one dataset per line."""
     catalogue.coalesce(1).write.mode(mode).json(path)
+
+
+def write_monthly_items(items: DataFrame, path: str, keys=("category", "ano", "mes"),
+                        mode: str = "overwrite") -> None:
+    """Paged API items stored per (category, year, month).
+
+    The published job merged every page of a month into one document; here
+    the items stay rows, written as JSON lines into one folder per month, so
+    no month is ever gathered into a single record or task.  Re-running a
+    month replaces only that month's folder (dynamic overwrite).
+    """
+    cols = list(keys)
+    (items.repartition(*[F.col(c) for c in cols], F.pmod(F.xxhash64(*items.columns), F.lit(4)))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*cols).json(path))

@@ -156,3 +156,15 @@ def test_existing_paths(spark, tmp_dir):
     p = os.path.join(tmp_dir, "x.csv")
     _write(p, "a\n1\n")
     assert readers.existing_paths(spark, [("a", p), ("b", p + ".missing")]) == [("a", p)]
+
+
+def test_monthly_items_roundtrip(spark, tmp_dir):
+    items = spark.createDataFrame([("dietas", 2024, 3, "a", 1), ("dietas", 2024, 3, "b", 2),
+                                   ("dietas", 2024, 4, "c", 3)],
+                                  "category string, ano int, mes int, nombre string, monto long")
+    out = os.path.join(tmp_dir, "items")
+    sinks.write_monthly_items(items, out)
+    again = spark.createDataFrame([("dietas", 2024, 4, "d", 9)], items.schema)
+    sinks.write_monthly_items(again, out)  # replaces April only
+    back = {(r.mes, r.nombre) for r in spark.read.json(out).collect()}
+    assert back == {(3, "a"), (3, "b"), (4, "d")}
