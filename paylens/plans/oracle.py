@@ -696,3 +696,9 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
      JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
      JOIN region ON n_regionkey = r_regionkey
 """
+
+ORACLE["monthly_items"] = """
+SELECT event_id, user_id, value, event_type AS category, CAST(year(ts) AS INTEGER) AS ano,
+       CAST(month(ts) AS INTEGER) AS mes
+FROM events
+"""

@@ -715,3 +715,15 @@ def catalogue_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     sk.write_catalogue(_catalogue(spark, sf_dir), out)
     back = spark.read.schema("dataset string, anios array<int>, organismos array<string>").json(out)
     return back.withColumns({"anios": _join_list("anios"), "organismos": _join_list("organismos")})
+
+
+@register("monthly_items")
+def monthly_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stored as items per (category, year, month) folder, read back."""
+    ev = table(spark, sf_dir, "events")
+    items = ev.select(F.col("event_type").alias("category"), F.year("ts").alias("ano"),
+                      F.month("ts").alias("mes"), "event_id", "user_id", "value")
+    out = scratch_path(spark, "monthly_items")
+    sk.write_monthly_items(items, out)
+    schema = "event_id long, user_id long, value double, category string, ano int, mes int"
+    return spark.read.schema(schema).json(out)
