@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.money import round_to_long
+from paylens.functions.text import fold_text
 from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
 
 # Surnames too common to signal anything, excluded by the
@@ -71,12 +72,20 @@ def surname_concentration(df: DataFrame, year=None, month=None, *, min_count: in
                           org: str = "organismo", surname: str = "Paterno",
                           amount: str = "sueldo_num", exclude=tuple(COMMON_SURNAMES),
                           year_col: str = "anyo", month_col: str = "Mes",
-                          limit: int = 100) -> DataFrame:
+                          limit: int = 100, fold: bool = False) -> DataFrame:
     """Organisations where one paternal surname repeats at least ``min_count``
-    times (F8 + F9 + A2 + T1).  Counts rows, as published."""
+    times (F8 + F9 + A2 + T1).  Counts rows, as published.
+
+    ``fold=True`` trims and accent-folds the surname before grouping and
+    before the exclusion test, so 'GONZÁLEZ' and ' Gonzalez' are the common
+    surname they spell (the published audit compares the raw upper case).
+    """
     base = _period(df, year, month, year_col, month_col)
-    upper = F.upper(F.col(surname))
-    base = base.filter((F.length(F.col(surname)) > 2) & ~upper.isin(list(exclude)))
+    raw = F.col(surname)
+    if fold:
+        raw = F.nullif(fold_text(raw, strip=True), F.lit(""))
+    upper = F.upper(raw)
+    base = base.filter((F.length(raw) > 2) & ~upper.isin(list(exclude)))
     grouped = (base.groupBy(F.col(org), upper.alias("apellido"))
                .agg(F.count(F.lit(1)).alias("cantidad_personas"),
                     F.sum(amount).alias("costo_mensual_total")))

@@ -169,3 +169,13 @@ def test_legislative_source_predicate(spark):
                                "origen string, organismo_nombre string")
     got = [r.l for r in df.select(legislative(F.col("origen"), F.col("organismo_nombre")).alias("l")).collect()]
     assert got == [True, True, False]
+
+
+def test_surname_concentration_fold_option(spark):
+    rows = [("o", s, 1) for s in ["GONZÁLEZ"] * 6 + [" Gonzalez "] * 2 + ["Peña"] * 5 + ["PENA"]]
+    df = spark.createDataFrame(rows, "organismo string, Paterno string, sueldo_num long")
+    plain = {r.apellido: r.cantidad_personas for r in audits.surname_concentration(df, min_count=1).collect()}
+    assert plain == {"GONZÁLEZ": 6, " GONZALEZ ": 2, "PEÑA": 5, "PENA": 1}  # published behaviour
+    folded = {r.apellido: r.cantidad_personas
+              for r in audits.surname_concentration(df, min_count=1, fold=True).collect()}
+    assert folded == {"PENA": 6}
