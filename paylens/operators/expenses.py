@@ -43,6 +43,21 @@ def expense_breakdown(people: DataFrame, *sources: DataFrame, keys=EXPENSE_KEYS,
     return total(union).join(who, on=keys, how="left_semi")
 
 
+def person_expenses(*sources: DataFrame, year, month, key: str, keys=EXPENSE_KEYS,
+                    concept: str = "gastos_operacionales", amount: str = "monto") -> DataFrame:
+    """One person-month's expenses by concept, largest first (C7 point lookup).
+
+    Equality filters on the three keys are written once over the union and
+    pushed by Catalyst into every source scan; no join is needed.
+    """
+    y, m, k = keys
+    cols = [y, m, k, concept, amount]
+    union = reduce(lambda a, b: a.unionByName(b), [s.select(*cols) for s in sources])
+    mine = union.filter((F.col(y) == F.lit(year)) & (F.col(m) == F.lit(month)) & (F.col(k) == F.lit(key)))
+    return (mine.groupBy(F.col(concept).alias("Concepto")).agg(F.sum(amount).alias("Monto"))
+            .orderBy(F.col("Monto").desc_nulls_last(), F.col("Concepto").asc_nulls_last()))
+
+
 def expense_share(breakdown: DataFrame, *, concept: str = "Concepto", amount: str = "Monto",
                   keys=()) -> DataFrame:
     """Share of each concept in its total, positive amounts only (A11 + F12).

@@ -702,3 +702,21 @@ SELECT event_id, user_id, value, event_type AS category, CAST(year(ts) AS INTEGE
        CAST(month(ts) AS INTEGER) AS mes
 FROM events
 """
+
+ORACLE["person_expenses"] = f"""
+SELECT gastos_operacionales AS Concepto, CAST(SUM(monto) AS BIGINT) AS Monto
+FROM ({LINE_EXPENSES})
+WHERE l_linestatus IN ('O', 'F') AND anyo = 1995 AND Mes = 5 AND llave_senador = 66
+GROUP BY 1
+"""
+
+ORACLE["search_union"] = f"""
+SELECT organismo_nombre, anyo, Mes, estamento, Nombres, Paterno, Materno, cargo,
+       remuliquida_mensual, remuneracionbruta_mensual, origen
+FROM ({_pay_rows_sql(SUPPLIER_PAY)} UNION ALL {_pay_rows_sql(CUSTOMER_PAY)})
+WHERE search_vector LIKE '%customer#00000001%' AND anyo BETWEEN 2000 AND 2020
+ORDER BY organismo_nombre NULLS LAST, anyo NULLS LAST, Mes NULLS LAST, estamento NULLS LAST,
+         Nombres NULLS LAST, Paterno NULLS LAST, Materno NULLS LAST, cargo NULLS LAST,
+         remuliquida_mensual NULLS LAST, remuneracionbruta_mensual NULLS LAST, origen NULLS LAST
+LIMIT 500
+"""

@@ -727,3 +727,18 @@ def monthly_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     sk.write_monthly_items(items, out)
     schema = "event_id long, user_id long, value double, category string, ano int, mes int"
     return spark.read.schema(schema).json(out)
+
+
+@register("person_expenses")
+def person_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 for one person-month: customer 66's line items of May 1995, two sources."""
+    open_src, done_src = _breakdown(spark, sf_dir)
+    return exp.person_expenses(open_src, done_src, year=1995, month=5, key=66)
+
+
+@register("search_union")
+def search_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 over the union of two differently shaped sources (U1 + U2)."""
+    s_raw, c_raw = _raw_sources(spark, sf_dir)
+    pay = srch.union_sources([uni.pay_rows(s_raw, "Planta"), uni.pay_rows(c_raw, "Contrata")])
+    return srch.search(pay, person="customer#00000001", years=(2000, 2020))
