@@ -200,6 +200,40 @@ def first_line(spark: SparkSession, path: str, encoding: str = "utf-8") -> str |
     return line.lstrip("\ufeff")
 
 
+# Up to this many files the header lines are read one by one on the driver
+# (a few bytes each); beyond it one Spark job reads them in parallel.
+DRIVER_PROBE_MAX_FILES = 512
+
+
+def probe_headers(spark: SparkSession, files: list[str], encoding: str = "utf-8",
+                  driver_max: int = DRIVER_PROBE_MAX_FILES) -> dict[str, str | None]:
+    """First line of every file: ``{path: header}``.
+
+    Many files: a text scan keeps, per file, the first split (offset 0) and
+    in it the row with the smallest ``monotonically_increasing_id`` (ids grow
+    in file order inside a partition), i.e. the header line.  Only one line
+    per file reaches the driver.
+    """
+    if len(files) <= driver_max:
+        return {f: first_line(spark, f, encoding) for f in files}
+    text = (spark.read.option("encoding", encoding).text(files)
+            .select(F.col("_metadata.file_path").alias("path"),
+                    F.col("_metadata.file_block_start").alias("start"), "value",
+                    F.monotonically_increasing_id().alias("rid")))
+    heads = (text.filter(F.col("start") == 0).groupBy("path")
+             .agg(F.min_by("value", "rid").alias("head")))
+    found = {_same_path(r.path): r.head.lstrip("\ufeff") if r.head else None for r in heads.collect()}
+    return {f: found.get(_same_path(f)) for f in files}
+
+
+def _same_path(uri: str) -> str:
+    """One spelling per file: URL-decoded, ``file:///x`` as ``file:/x``."""
+    from urllib.parse import unquote
+
+    u = unquote(uri)
+    return "file:/" + u[len("file:"):].lstrip("/") if u.startswith("file:") else u
+
+
 def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep: str = ",",
                       encoding: str = "UTF-8", key_type: str = "int") -> list[DataFrame]:
     """Monthly drops whose columns differ from file to file.
@@ -210,8 +244,8 @@ def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep:
     contribute no rows.  Returns one DataFrame per header shape.
     """
     groups: dict[str, list[str]] = {}
-    for path in list_files(spark, root, pattern):
-        head = first_line(spark, path, encoding)
+    files = list_files(spark, root, pattern)
+    for path, head in probe_headers(spark, files, encoding).items():
         if head and head.strip():
             groups.setdefault(head, []).append(path)
     import csv

@@ -168,3 +168,16 @@ def test_monthly_items_roundtrip(spark, tmp_dir):
     sinks.write_monthly_items(again, out)  # replaces April only
     back = {(r.mes, r.nombre) for r in spark.read.json(out).collect()}
     assert back == {(3, "a"), (3, "b"), (4, "d")}
+
+
+def test_distributed_header_probe_matches_driver_probe(spark, tmp_dir):
+    files = []
+    for i in range(12):
+        p = os.path.join(tmp_dir, "drops año", f"2024_{i + 1:02d}.csv")
+        head = "Nombre,Sueldo" if i % 2 else "nombre_completo,Remuneración"
+        _write(p, head + "\n" + "\n".join(f"p{j},{j}" for j in range(50)) + "\n")
+        files.append("file:" + p)
+    by_driver = readers.probe_headers(spark, files)
+    by_spark = readers.probe_headers(spark, files, driver_max=0)
+    assert by_driver == by_spark
+    assert by_spark[files[0]] == "nombre_completo,Remuneración" and by_spark[files[1]] == "Nombre,Sueldo"
