@@ -33,6 +33,7 @@ BULK = (
     "Org C;2051;Mayo;x;Eva;Paz;Lo;Cargo;1;extra;more\n"
     "Org C;texto;Mayo;x;Eva;Paz;Lo;Cargo;1\n"
     "Org C;;Mayo;x;Eva;Paz;Lo;Cargo;1\n"
+    "Org D;2030;Junio;x;I\u00f1aki;N\u00fa\u00f1ez;S\u00e1;Jefe;3,5;sobra;sobra\n"
 )
 
 
@@ -43,13 +44,17 @@ def test_bulk_ingest_latin1(spark, tmp_dir):
     df = leg.ingest_bulk_csv(spark, [src], out, num_files=2)
     rows = {r.Nombres: r for r in df.collect()}
     # year sanity keeps 2000 and 2050 only (text, empty, 1999, 2051 dropped)
-    assert sorted(r.anyo for r in rows.values()) == [2000, 2024, 2050]
+    assert sorted(r.anyo for r in rows.values()) == [2000, 2024, 2030, 2050]
     r = rows["María José"]
     assert r.remuliquida_mensual == 1001 and r.Mes == "Marzo"  # 'Mes' wins over 'mes'
     assert r.search_vector == "maria jose munoz perez"  # full fold, trimmed
     assert r.origen == "Honorarios" and r.remuneracionbruta_mensual is None
     assert rows["Luis"].cargo == "Jefe; área" and rows["Luis"].remuliquida_mensual == 2003
     assert rows["Eva"].Paterno is None  # short row padded with NULL
+    # decomposed accents fold like composed ones; an over-long row keeps its
+    # first columns and drops the overflow
+    d = rows["I\u00f1aki"]
+    assert d.search_vector == "inaki nunez sa" and d.remuliquida_mensual == 4 and d.cargo == "Jefe"
     # partitioned by origen / anyo, ZSTD
     assert os.path.isdir(os.path.join(out, "origen=Honorarios", "anyo=2024"))
 
@@ -107,7 +112,7 @@ def test_senate_envelopes_and_consolidation(spark, tmp_dir):
 def test_chamber_monthly_drops(spark, tmp_dir):
     raw = os.path.join(tmp_dir, "raw")
     _write(f"{raw}/personal_apoyo/2024_03.csv", "Nombre,Cargo,Sueldo,Diputada a cargo\nAna,,$ 1.000,Dip. X\n,Asesor,5,Dip. Y\n")
-    _write(f"{raw}/personal_apoyo/2024_04.csv", "Nombre,Sueldo\nEva,2.000\n")
+    _write(f"{raw}/personal_apoyo/2024_04.csv", "Nombre,Sueldo\nEva,2.000\nIn\u0303aki Nu\u0301n\u0303ez,1\n")
     _write(f"{raw}/personal_apoyo/notes.csv", "Nombre,Sueldo\nZed,1\n")
     _write(f"{raw}/personal_planta/2024_03.csv", "Nombre Completo,Función,Remuneración Bruta\nLuis,Chofer,1.500.000\n")
     _write(f"{raw}/personal_contrata/2024_03.csv", "")
@@ -119,7 +124,8 @@ def test_chamber_monthly_drops(spark, tmp_dir):
     _write(f"{raw}/gastos_operacionales/7_2024_04.csv", "Concepto,Monto,ID_Diputado\nOficina,$ 3.000,7\n")
     _write(f"{raw}/gastos_operacionales/8_2024_04.csv", "Concepto,Monto,ID_Diputado\nLuz,10,8\n")
     app = {r.Nombres: r for r in leg.consolidate_chamber(spark, raw).collect()}
-    assert set(app) == {"ANA", "EVA", "LUIS", "ROSA PAZ", "ROSA PAZ LO"}  # blank and unnamed dropped
+    assert set(app) == {"ANA", "EVA", "LUIS", "ROSA PAZ", "ROSA PAZ LO", "IN\u0303AKI NU\u0301N\u0303EZ"}  # blank, unnamed dropped
+    assert app["IN\u0303AKI NU\u0301N\u0303EZ"].search_vector == "inaki nunez"  # decomposed input folds like composed
     assert app["ANA"].cargo == "Asesor de Dip. X" and app["ANA"].remuliquida_mensual == 1000
     assert app["EVA"].cargo == "Asesor de Diputado" and app["EVA"].Mes == "Abril"
     assert app["LUIS"].cargo == "Chofer" and app["LUIS"].remuliquida_mensual == 1500000
