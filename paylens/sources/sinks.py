@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 LATIN1 = "ISO-8859-1"
 
 
-def write_pay_parquet(df: DataFrame, path: str, partition_by=("origen", "anyo"),
+def write_pay_parquet(df: DataFrame, path: str, partition_by=("origen", "anyo", "Mes"),
                       num_files: int | None = None, sort_by: str | None = "search_vector",
                       max_records_per_file: int = 5_000_000, mode: str = "overwrite") -> None:
     """Unified pay rows -> Parquet, ZSTD, partitioned.
 
+    Partitioned by source, year and month: audits read one month, searches
+    one year range, so both prune directories before any file is opened.
+
     Rows are range-partitioned on (partition columns, search vector):
     Spark samples the keys, so every task gets a similar share even when
     one year holds a large part of all rows (that year is simply cut into

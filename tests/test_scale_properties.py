@@ -78,7 +78,7 @@ def test_partitioned_writer_balances_a_hot_year(spark, tmp_dir):
         F.when(F.col("id") < 4000, F.lit(2024)).otherwise(F.lit(2023)).alias("anyo"),
         F.concat(F.lit("name"), F.col("id").cast("string")).alias("search_vector"))
     out = os.path.join(tmp_dir, "pay")
-    sinks.write_pay_parquet(rows, out, num_files=6)
+    sinks.write_pay_parquet(rows, out, partition_by=("origen", "anyo"), num_files=6)
     hot = os.path.join(out, "origen=Planta", "anyo=2024")
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) >= 3  # the hot year is cut into several ranges

@@ -56,7 +56,7 @@ def test_bulk_ingest_latin1(spark, tmp_dir):
     d = rows["I\u00f1aki"]
     assert d.search_vector == "inaki nunez sa" and d.remuliquida_mensual == 4 and d.cargo == "Jefe"
     # partitioned by origen / anyo, ZSTD
-    assert os.path.isdir(os.path.join(out, "origen=Honorarios", "anyo=2024"))
+    assert os.path.isdir(os.path.join(out, "origen=Honorarios", "anyo=2024", "Mes=Marzo"))
 
 
 def test_audit_view_two_sources(spark):
