@@ -179,3 +179,18 @@ def test_surname_concentration_fold_option(spark):
     folded = {r.apellido: r.cantidad_personas
               for r in audits.surname_concentration(df, min_count=1, fold=True).collect()}
     assert folded == {"PENA": 6}
+
+
+def test_defaults_columns_and_dates(spark):
+    from paylens.operators import unify
+    df = spark.createDataFrame([("Ana", None)], "Nombres string, cargo string")
+    out = unify.with_defaults(df, {"cargo": "Funcionario/a", "remuliquida_mensual": 0}).first()
+    assert out.cargo == "Funcionario/a" and out.remuliquida_mensual == 0
+    cols = ["Nombre Completo", "Función", "Remuneración Bruta", "Diputada a cargo"]
+    assert unify.find_column(cols, "nombre") == "Nombre Completo"
+    assert unify.find_column(cols, "cargo", "función") == "Función"
+    assert unify.find_column(cols, regex=r"(?i)diputad") == "Diputada a cargo"
+    assert unify.find_column(cols, "sueldo") is None
+    dates = spark.createDataFrame([("Wed, 21 Oct 2015 07:28:00 GMT",), ("garbage",), (None,)], "d string")
+    got = [r.t for r in dates.select(sync.parse_http_date(F.col("d")).alias("t")).collect()]
+    assert got[0] is not None and got[1] is None and got[2] is None

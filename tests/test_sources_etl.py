@@ -187,3 +187,23 @@ def test_distributed_header_probe_matches_driver_probe(spark, tmp_dir):
     by_spark = readers.probe_headers(spark, files, driver_max=0)
     assert by_driver == by_spark
     assert by_spark[files[0]] == "nombre_completo,Remuneración" and by_spark[files[1]] == "Nombre,Sueldo"
+
+
+def test_quarantine_column_flags_ragged_rows(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "q.csv")
+    _write(p, "a;b;c\n1;2;3\n4;5\n6;7;8;9\n", "latin-1")
+    df = readers.read_lenient_csv(spark, p, corrupt_column="_corrupt").cache()
+    rows = sorted(df.collect(), key=lambda r: r[0])
+    assert [r[0] for r in rows] == ["1", "4", "6"]
+    assert [r._corrupt is not None for r in rows] == [False, True, True]
+
+
+def test_parquet_sources_skip_missing(spark, tmp_dir):
+    a = os.path.join(tmp_dir, "a")
+    spark.createDataFrame([(1, "x")], "id int, v string").write.parquet(a)
+    b = os.path.join(tmp_dir, "b")
+    spark.createDataFrame([(2,)], "id int").write.parquet(b)
+    df = readers.read_parquet_sources(spark, [("A", a), ("B", b), ("C", a + "_missing")])
+    got = sorted((r.id, r.v, r.origen_fuente) for r in df.collect())
+    assert got == [(1, "x", "A"), (2, None, "B")]
+    assert readers.read_parquet_sources(spark, [("C", a + "_missing")]) is None
