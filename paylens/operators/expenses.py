@@ -107,13 +107,15 @@ def latest_names(names: DataFrame, *, key: str, name: str, order) -> DataFrame:
 
 
 def attach_names(facts: DataFrame, names: DataFrame, *, key: str,
-                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 max_rows: int = DEFAULT_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
     """Left-join an id -> name table (J3); unmatched ids get NULL.
 
-    The name table is written, counted and broadcast when small enough;
-    beyond ``max_rows`` it is joined by shuffle.
+    The name table is broadcast only when it is proven small: by the
+    footer count of ``bound_by`` (the scan it was derived from) when given,
+    else by writing and counting it.  Beyond ``max_rows`` it is joined by
+    shuffle.
     """
-    return facts.join(checked_broadcast(names, max_rows), on=key, how="left")
+    return facts.join(checked_broadcast(names, max_rows, bound_by=bound_by), on=key, how="left")
 
 
 def footprint(parts: dict, keys) -> DataFrame:

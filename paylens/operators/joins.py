@@ -16,9 +16,15 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-               materialize: bool = True) -> tuple[DataFrame, bool]:
+               materialize: bool = True, bound_by: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Measure a would-be broadcast side: ``(frame, rows <= max_rows)``.
 
+    ``bound_by`` is a plain scan with at least as many rows as ``df`` (for
+    example the table a per-key dedupe reads).  Its count comes from file
+    footers, so no data is read: within the bound ``df`` is small by proof;
+    beyond it ``df`` is treated as large and left for a shuffle join, and
+    nothing is written.
+
     A derived side (an aggregate) is computed once and written as Parquet
     to the shared folder (``spark.checkpoint.dir``); counting it then reads
     only file footers, and the join reads the written copy, so the lineage
@@ -27,6 +33,8 @@ def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     scans can pass ``materialize=False``.  Counting stops at
     ``max_rows + 1``.
     """
+    if bound_by is not None:
+        return df, bound_by.limit(max_rows + 1).count() <= max_rows
     if materialize:
         spark = df.sparkSession
         path = scratch_path(spark, "side")
@@ -37,13 +45,13 @@ def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      materialize: bool = True) -> DataFrame:
+                      materialize: bool = True, bound_by: DataFrame | None = None) -> DataFrame:
     """``df`` hinted for broadcast only if it has at most ``max_rows`` rows.
 
     Above the bound the same (written) data is returned without a hint and
     Spark plans a shuffle join (AQE may still switch it at run time).
     """
-    df, small = sized_side(df, max_rows, materialize)
+    df, small = sized_side(df, max_rows, materialize, bound_by)
     return F.broadcast(df) if small else df
 
 

@@ -222,7 +222,7 @@ def chamber_expenses(expenses: DataFrame, names: DataFrame) -> DataFrame:
     """
     latest = exp.latest_names(names.withColumn("llave_senador", F.upper(F.col("Nombre"))),
                               key="ID_Diputado", name="llave_senador", order=("anyo", "Mes"))
-    named = exp.attach_names(expenses, latest, key="ID_Diputado")
+    named = exp.attach_names(expenses, latest, key="ID_Diputado", bound_by=names)
     return named.select("anyo", "Mes", "llave_senador",
                         F.col("Concepto").alias("gastos_operacionales"),
                         digits_money_or_zero(F.col("Monto")).alias("monto"),

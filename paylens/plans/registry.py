@@ -382,7 +382,7 @@ def id_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.upper("c_name").alias("llave_senador"))
     latest = exp.latest_names(names, key="user_id", name="llave_senador", order=("user_id",))
-    return exp.attach_names(ev, latest, key="user_id")
+    return exp.attach_names(ev, latest, key="user_id", bound_by=names)
 
 
 @register("folded_name_link")

@@ -85,3 +85,14 @@ def test_partitioned_writer_balances_a_hot_year(spark, tmp_dir):
     back = spark.read.parquet(out).filter(F.col("anyo") == 2023)
     plan = _plan(back)
     assert "PartitionFilters: [isnotnull(anyo" in plan and back.count() == 2000
+
+
+def test_bound_by_decides_without_writing(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "names")
+    spark.range(50).selectExpr("id % 10 AS k", "CAST(id AS STRING) AS n").write.parquet(src)
+    scan = spark.read.parquet(src)
+    dedup = scan.groupBy("k").agg(F.max("n").alias("n"))
+    same, small = sized_side(dedup, max_rows=50, bound_by=scan)
+    assert small and same is dedup
+    _, big = sized_side(dedup, max_rows=49, bound_by=scan)
+    assert not big  # the bound is not proof; treated as large, nothing written
