@@ -122,14 +122,13 @@ def footprint(parts: dict, keys) -> DataFrame:
     """Per person-month totals across several sources (C17).
 
     ``parts`` maps a kind name to a DataFrame with ``keys`` + ``amount``.
-    Each source is pre-aggregated to the keys (partial aggregation), the
-    results are stacked in long form and turned wide with one
-    ``sum(when(kind = ...))`` per kind: one shuffle on the keys, no n-way
-    join.
+    The sources are stacked in long form (a union: no shuffle) and turned
+    wide by one aggregation with a ``sum(when(kind = ...))`` per kind: a
+    single shuffle on the keys, combined map-side first, and no n-way join.
     """
     keys = list(keys)
     long = reduce(lambda a, b: a.unionByName(b), [
-        df.groupBy(*keys).agg(F.sum("amount").alias("amount")).withColumn("kind", F.lit(kind))
+        df.select(*keys, F.col("amount").cast("bigint").alias("amount"), F.lit(kind).alias("kind"))
         for kind, df in parts.items()])
     wide = long.groupBy(*keys).agg(*[
         F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("amount"))), F.lit(0)).cast("bigint").alias(kind)
