@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast, sized_side
+from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast, sized_side, written
 
 EXPENSE_KEYS = ("anyo", "Mes", "llave_senador")
 
@@ -62,12 +62,15 @@ def expense_share(breakdown: DataFrame, *, concept: str = "Concepto", amount: st
                   keys=()) -> DataFrame:
     """Share of each concept in its total, positive amounts only (A11 + F12).
 
-    Without keys the total is a scalar subquery; with keys it is a grouped
+    Without keys the positive rows (one per concept) are written once to
+    the shared folder and the grand total is a scalar subquery over that
+    copy, so the breakdown is not computed twice; with keys it is a grouped
     total joined back on the keys (both sides one row per key).
     """
     pos = breakdown.filter(F.col(amount) > 0)
     keys = list(keys)
     if not keys:
+        pos = written(pos, "share")
         total = pos.agg(F.sum(amount)).scalar()
         return pos.select(concept, amount, (F.col(amount) / F.nullif(total, F.lit(0))).alias("share"))
     totals = pos.groupBy(*keys).agg(F.sum(amount).alias("_total"))

@@ -15,6 +15,16 @@ from paylens.session import scratch_path
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def written(df: DataFrame, name: str = "side") -> DataFrame:
+    """``df`` computed once and written as Parquet to the shared folder
+    (``spark.checkpoint.dir``), read back: later uses read the copy, and the
+    lineage is cut, so a lost executor never re-runs what produced it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                materialize: bool = True, bound_by: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Measure a would-be broadcast side: ``(frame, rows <= max_rows)``.
@@ -36,10 +46,7 @@ def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     if bound_by is not None:
         return df, bound_by.limit(max_rows + 1).count() <= max_rows
     if materialize:
-        spark = df.sparkSession
-        path = scratch_path(spark, "side")
-        df.write.parquet(path)
-        df = spark.read.parquet(path)
+        df = written(df)
     n = df.limit(max_rows + 1).count()
     return df, n <= max_rows
 

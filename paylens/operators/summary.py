@@ -62,20 +62,21 @@ def display_table(df: DataFrame, order=DISPLAY_ORDER, hidden=HIDDEN,
 def histogram(df: DataFrame, amount: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between the global min and max.
 
-    The bounds are scalar subqueries (one tiny job each, broadcast as
-    literals), so the binning itself is a map-side expression followed by
-    a partial count per bin; no window over the whole table, no cross join.
-    Bin = floor(bins * (x - lo) / (hi - lo)) + 1, the maximum falls in the
-    last bin, and lo = hi puts everything in bin 1.
+    The two bounds come from one global aggregate (one row, one small job:
+    partial min/max per task); the binning is then a map-side expression
+    followed by a partial count per bin.  No window over the whole table,
+    no cross join.  Bin = floor(bins * (x - lo) / (hi - lo)) + 1, the
+    maximum falls in the last bin, and lo = hi puts everything in bin 1.
     """
     vals = df.select(F.col(amount).alias("x")).filter(F.col("x").isNotNull())
-    lo = vals.agg(F.min("x")).scalar()
-    hi = vals.agg(F.max("x")).scalar()
-    width = hi - lo
-    raw = F.floor((F.lit(bins) * (F.col("x") - lo)) / F.nullif(width, F.lit(0))) + 1
-    # least() skips NULL, so the lo = hi case is defaulted before clamping
-    bucket = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins)).cast("int")
-    return (vals.groupBy(bucket.alias("bin"))
+    b = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    if b is None or b.lo is None:
+        bucket = F.lit(1)
+    else:
+        raw = F.floor((F.lit(bins) * (F.col("x") - F.lit(b.lo))) / F.nullif(F.lit(b.hi - b.lo), F.lit(0))) + 1
+        # least() skips NULL, so the lo = hi case is defaulted before clamping
+        bucket = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins))
+    return (vals.groupBy(bucket.cast("int").alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bin_min"), F.max("x").alias("bin_max")))
 
 

@@ -221,7 +221,10 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("catalogue_lookup")
 def catalogue_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _catalogue(spark, sf_dir)
+    """S10 then S11: the catalogue is written once, lookups read the copy."""
+    out = scratch_path(spark, "catalogue")
+    sk.write_catalogue(_catalogue(spark, sf_dir), out)
+    c = spark.read.schema("dataset string, anios array<int>, organismos array<string>").json(out)
     years = cat.available_years(c, "3-MEDIUM").unionByName(cat.available_years(c, "missing"))
     return cat.year_bounds(years).join(
         cat.organizations(c, "3-MEDIUM").unionByName(cat.organizations(c, "missing"))
