@@ -60,14 +60,15 @@ def resolve(columns, candidates) -> str | None:
 
 
 def unify(raw: DataFrame, mapping=INGEST_MAPPING, cast: dict | None = None,
-          header=None) -> DataFrame:
+          header=None, keep=()) -> DataFrame:
     """One column per target: the first present candidate, else NULL.
 
     ``header`` is the file's real header (from :func:`read_header`) when it
     differs from ``raw.columns``: Spark makes names that differ only in case
     unique, while candidates match case-sensitively, so the match is made
     on the real names and the column taken by position.
-    ``cast`` optionally types targets (missing ones become typed NULLs).
+    ``cast`` optionally types targets (missing ones become typed NULLs);
+    ``keep`` names extra columns passed through unchanged.
     """
     cast = cast or {}
     header = list(header) if header is not None else list(raw.columns)
@@ -80,7 +81,7 @@ def unify(raw: DataFrame, mapping=INGEST_MAPPING, cast: dict | None = None,
         if found and target in cast:
             col = col.cast(cast[target])
         cols.append(col.alias(target))
-    return raw.select(*cols)
+    return raw.select(*cols, *keep)
 
 
 def origin_from_name(name: Column) -> Column:
@@ -107,7 +108,14 @@ def pay_rows(raw: DataFrame, origin: Column | str, full_fold: bool = True,
     accented letter matches its base letter; ``full_fold=False`` gives the
     published 16-letter fold instead.
     """
-    u = unify(raw, INGEST_MAPPING, header=header)
+    keep = ()
+    if not isinstance(origin, str):
+        # an expression over the raw row (e.g. on the file name): evaluate
+        # it before the projection drops the raw columns
+        raw = raw.withColumn("__origen", origin)
+        header = (list(header) + ["__origen"]) if header is not None else None
+        keep, origin = ("__origen",), F.col("__origen")
+    u = unify(raw, INGEST_MAPPING, header=header, keep=keep)
     year = F.col("anyo").try_cast("int")
     u = u.withColumns({
         "anyo": year,
@@ -117,7 +125,7 @@ def pay_rows(raw: DataFrame, origin: Column | str, full_fold: bool = True,
     origin_col = F.lit(origin) if isinstance(origin, str) else origin
     u = u.withColumn("search_vector", search_vector(F.col("Nombres"), F.col("Paterno"),
                                                     F.col("Materno"), full_fold=full_fold))
-    u = u.withColumn("origen", origin_col)
+    u = u.withColumn("origen", origin_col).drop(*keep)
     return u.filter(F.col("anyo").between(2000, 2050))
 
 

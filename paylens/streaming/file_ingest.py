@@ -37,3 +37,30 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, ou
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def ingest_new_drops(spark: SparkSession, landing: str, header: list[str], out: str,
+                     checkpoint: str, sep: str = ";", encoding: str = "ISO-8859-1",
+                     partition_by=("origen", "anyo", "Mes")) -> None:
+    """New bulk CSV drops -> unified, partitioned pay Parquet (S13 + C12).
+
+    Every drop shares ``header`` (probe one file with
+    ``readers.read_header``); columns are read as text, unified with the
+    candidate lists, cleaned, folded and tagged with the source found in
+    each file's own name.  Files already processed are skipped through the
+    checkpoint, so re-running after a failure or with new drops writes each
+    row once.
+    """
+    from pyspark.sql import functions as F
+
+    from paylens.operators.unify import origin_from_name, pay_rows
+
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+
+    def transform(raw: DataFrame) -> DataFrame:
+        return pay_rows(raw, origin_from_name(F.col("_metadata.file_name")), header=list(header))
+
+    ingest_new_files(spark, landing, schema, out, checkpoint, transform=transform, fmt="csv",
+                     options={"sep": sep, "encoding": encoding, "header": "true",
+                              "enforceSchema": "true", "mode": "PERMISSIVE"},
+                     partition_by=partition_by)

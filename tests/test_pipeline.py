@@ -95,3 +95,21 @@ def test_stream_ingest_only_new_files(spark, tmp_dir):
     spark.createDataFrame([(3, "c")], schema).write.parquet(os.path.join(landing, "batch2"))
     ingest_new_files(spark, landing + "/*", schema, out, ckpt, fmt="parquet")
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_stream_new_bulk_drops(spark, tmp_dir):
+    from paylens.sources import readers as rd
+    from paylens.streaming.file_ingest import ingest_new_drops
+    a, b = _people()
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    _drop(os.path.join(landing, "TA_PersonalPlanta.csv"), HEAD_A, a[:10])
+    header = rd.read_header(spark, os.path.join(landing, "TA_PersonalPlanta.csv"))
+    out, ckpt = os.path.join(tmp_dir, "pay"), os.path.join(tmp_dir, "ckpt")
+    ingest_new_drops(spark, landing, header, out, ckpt)
+    _drop(os.path.join(landing, "TA_PersonalContratohonorarios_2.csv"), HEAD_A, a[10:])
+    ingest_new_drops(spark, landing, header, out, ckpt)
+    pay = spark.read.parquet(out)
+    got = {r.origen: r.n for r in pay.groupBy("origen").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {"Planta": 10, "Honorarios": 22}
+    assert pay.filter(F.col("Nombres") == "José").select("search_vector").first()[0] == "jose perez soto"
