@@ -32,20 +32,26 @@ def build_catalogue(pay: DataFrame, *, dataset: str = "origen", year_col: str =
                        F.sort_array("_o").alias("organismos"))
 
 
+def _lookup(catalogue: DataFrame, dataset: str, col: str, fallback) -> DataFrame:
+    """The ``col`` of one dataset's row, or ``fallback`` when the dataset is
+    missing: the hit (priority 0) and the default (priority 1) are stacked
+    and ``min_by`` keeps the better one - at most two rows, no join."""
+    hit = (catalogue.filter(F.col("dataset") == F.lit(dataset))
+           .select("dataset", F.col(col).alias("value"), F.lit(0).alias("_pri")))
+    default = catalogue.sparkSession.range(1).select(
+        F.lit(dataset).alias("dataset"), fallback.alias("value"), F.lit(1).alias("_pri"))
+    both = hit.unionByName(default)
+    return both.groupBy("dataset").agg(F.min_by("value", "_pri").alias(col))
+
+
 def available_years(catalogue: DataFrame, dataset: str, default=DEFAULT_YEARS) -> DataFrame:
     """Years of one dataset, or the default list when it is missing."""
-    fallback = F.array(*[F.lit(y) for y in default])
-    probe = catalogue.sparkSession.range(1).select(F.lit(dataset).alias("dataset"))
-    hit = probe.join(catalogue, "dataset", "left")
-    return hit.select("dataset", F.coalesce(F.col("anios"), fallback).alias("anios"))
+    return _lookup(catalogue, dataset, "anios", F.array(*[F.lit(y) for y in default]))
 
 
 def organizations(catalogue: DataFrame, dataset: str) -> DataFrame:
     """Organisations of one dataset, empty list when missing."""
-    probe = catalogue.sparkSession.range(1).select(F.lit(dataset).alias("dataset"))
-    hit = probe.join(catalogue, "dataset", "left")
-    return hit.select("dataset", F.coalesce(F.col("organismos"),
-                                            F.array().cast("array<string>")).alias("organismos"))
+    return _lookup(catalogue, dataset, "organismos", F.array().cast("array<string>"))
 
 
 def year_bounds(years: DataFrame, col: str = "anios") -> DataFrame:
