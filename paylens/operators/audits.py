@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.functions.money import round_to_long
-from paylens.functions.text import fold_text
+from paylens.functions.money import digits_money, round_to_long
+from paylens.functions.text import audit_full_name, fold_text
 from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
 
 # Surnames too common to signal anything, excluded by the
@@ -25,9 +25,24 @@ COMMON_SURNAMES = [
 ]
 
 
+def audit_rows(view: DataFrame) -> DataFrame:
+    """The audit view (all text, see ``unify.audit_view``) as audit input:
+    upper-cased full name, strict integer year, digits-only pay (X2, X8,
+    X11), keeping the other columns."""
+    return view.select(
+        "Origen", "organismo", "Mes", "estamento", "cargo", "Paterno",
+        F.col("Nombres").alias("nombre_raw"),
+        audit_full_name(F.col("Nombres"), F.col("Paterno"), F.col("Materno")).alias("nombre_completo"),
+        F.col("anyo").try_cast("int").alias("anyo"),
+        digits_money(F.col("sueldo")).alias("sueldo_num"))
+
+
 def _period(df: DataFrame, year, month, year_col: str, month_col: str) -> DataFrame:
     if year is not None:
-        df = df.filter(F.col(year_col) == F.lit(year))
+        col = F.col(year_col)
+        if dict(df.dtypes).get(year_col) == "string":
+            col = col.try_cast("int")  # text years: junk is no match, not an error
+        df = df.filter(col == F.lit(year))
     if month is not None:
         df = df.filter(F.col(month_col) == F.lit(month))
     return df

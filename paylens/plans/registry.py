@@ -745,3 +745,13 @@ def search_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     s_raw, c_raw = _raw_sources(spark, sf_dir)
     pay = srch.union_sources([uni.pay_rows(s_raw, "Planta"), uni.pay_rows(c_raw, "Contrata")])
     return srch.search(pay, person="customer#00000001", years=(2000, 2020))
+
+
+@register("audit_from_raw")
+def audit_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 straight from two raw, differently headed sources: audit view
+    (text), audit rows (name, year, digits-only pay), ranking of one month."""
+    s_raw, c_raw = _raw_sources(spark, sf_dir)
+    rows = audits.audit_rows(uni.audit_view([("Planta", s_raw), ("Contrata", c_raw)]))
+    return audits.pay_ranking(rows, 2005, "Junio",
+                              tie=("nombre_completo", "organismo", "Origen", "cargo"))

@@ -194,3 +194,18 @@ def test_defaults_columns_and_dates(spark):
     dates = spark.createDataFrame([("Wed, 21 Oct 2015 07:28:00 GMT",), ("garbage",), (None,)], "d string")
     got = [r.t for r in dates.select(sync.parse_http_date(F.col("d")).alias("t")).collect()]
     assert got[0] is not None and got[1] is None and got[2] is None
+
+
+def test_audits_accept_text_years_with_junk(spark):
+    view = spark.createDataFrame(
+        [("Planta", "Ana", "Soto", None, "2024", "Enero", "Org", "$ 1.000", "E", "c"),
+         ("Planta", "Eva", "Paz", "Lo", "texto", "Enero", "Org", "2.000", "E", "c"),
+         ("Contrata", "Ana", "Soto", None, "2024", "Enero", "Otra", "500", "E", "c")],
+        "Origen string, Nombres string, Paterno string, Materno string, anyo string, Mes string, "
+        "organismo string, sueldo string, estamento string, cargo string")
+    rows = audits.audit_rows(view)
+    multi = audits.multi_employment(rows, 2024, "Enero").collect()
+    assert [(r.nombre_completo, r.num_empleos, r.sueldo_total) for r in multi] == [("ANA SOTO ", 2, 1500)]
+    # a text year column is compared through a strict cast: junk is no match
+    raw = view.withColumn("sueldo_num", F.lit(1)).withColumn("nombre_completo", F.col("Nombres"))
+    assert audits.pay_ranking(raw, 2024, "Enero").count() == 2
