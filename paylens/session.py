@@ -52,10 +52,10 @@ CLUSTER_CONF = {
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "paylens") -> SparkSession:
-    """A local session for tests and benchmarks."""
+                  app: str = "paylens", extra: dict | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (``extra``: more settings)."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
-    for key, value in _LOCAL_CONF.items():
+    for key, value in {**_LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("PAYLENS_DRIVER_MEM", "8g"))
