@@ -13,20 +13,35 @@ from paylens.session import scratch_path
 # statistics, id -> name maps) usually sit far below it, but their size
 # grows with the data, so it is measured, not assumed.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# ... and past this many bytes of written (compressed) Parquet.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def _write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def written(df: DataFrame, name: str = "side") -> DataFrame:
     """``df`` computed once and written as Parquet to the shared folder
     (``spark.checkpoint.dir``), read back: later uses read the copy, and the
     lineage is cut, so a lost executor never re-runs what produced it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return _write(df, name)[0]
+
+
+def stored_bytes(spark, path: str) -> int:
+    """Total size of the files under ``path`` (FileSystem metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
 
 
 def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-               materialize: bool = True, bound_by: DataFrame | None = None) -> tuple[DataFrame, bool]:
+               materialize: bool = True, bound_by: DataFrame | None = None,
+               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Measure a would-be broadcast side: ``(frame, rows <= max_rows)``.
 
     ``bound_by`` is a plain scan with at least as many rows as ``df`` (for
@@ -41,12 +56,15 @@ def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     is cut there and a lost executor never re-runs the aggregation.  (An
     eager ``DataFrame.checkpoint`` would compute the side twice.)  Plain
     scans can pass ``materialize=False``.  Counting stops at
-    ``max_rows + 1``.
+    ``max_rows + 1``; a written side must also stay within ``max_bytes``
+    on disk, so wide rows cannot slip through a row bound.
     """
     if bound_by is not None:
         return df, bound_by.limit(max_rows + 1).count() <= max_rows
     if materialize:
-        df = written(df)
+        df, path = _write(df, "side")
+        if stored_bytes(df.sparkSession, path) > max_bytes:
+            return df, False
     n = df.limit(max_rows + 1).count()
     return df, n <= max_rows
 

@@ -96,3 +96,11 @@ def test_bound_by_decides_without_writing(spark, tmp_dir):
     assert small and same is dedup
     _, big = sized_side(dedup, max_rows=49, bound_by=scan)
     assert not big  # the bound is not proof; treated as large, nothing written
+
+
+def test_sized_side_byte_bound(spark):
+    wide = spark.range(2000).select((F.col("id") % 100).alias("k"),
+                                    F.sha2(F.col("id").cast("string"), 512).alias("blob"))
+    _, small = sized_side(wide, max_rows=10_000)
+    _, too_wide = sized_side(wide, max_rows=10_000, max_bytes=10_000)
+    assert small and not too_wide
