@@ -735,3 +735,15 @@ ORDER BY sueldo_num DESC, nombre_completo ASC NULLS LAST, organismo ASC NULLS LA
          Origen ASC NULLS LAST, cargo ASC NULLS LAST
 LIMIT 100
 """
+
+ORACLE["pay_with_expenses_bucketed"] = f"""
+WITH pay AS (SELECT 1998 AS ano, 3 AS mes, c_custkey AS llave_senador,
+                    {CENTS.format(x='c_acctbal')} AS dieta FROM customer),
+spent AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+                 o_custkey AS llave_senador, SUM({CENTS.format(x='o_totalprice')}) AS t
+          FROM orders GROUP BY ALL)
+SELECT p.ano, p.mes, p.llave_senador, p.dieta,
+       CAST(COALESCE(s.t, 0) AS BIGINT) AS total_gastos_operacionales,
+       CAST(p.dieta + COALESCE(s.t, 0) AS BIGINT) AS costo_total_mensual
+FROM pay p LEFT JOIN spent s USING (ano, mes, llave_senador)
+"""

@@ -755,3 +755,23 @@ def audit_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = audits.audit_rows(uni.audit_view([("Planta", s_raw), ("Contrata", c_raw)]))
     return audits.pay_ranking(rows, 2005, "Junio",
                               tie=("nombre_completo", "organismo", "Origen", "cargo"))
+
+
+@register("pay_with_expenses_bucketed")
+def pay_with_expenses_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 on co-located tables: pay and expenses bucketed on the same keys,
+    so totals and the left join need no shuffle."""
+    c = table(spark, sf_dir, "customer")
+    keys = ["ano", "mes", "llave_senador"]
+    pay = c.select(F.lit(1998).alias("ano"), F.lit(3).alias("mes"),
+                   F.col("c_custkey").alias("llave_senador"),
+                   mny.to_cents(F.col("c_acctbal")).alias("dieta"))
+    o = table(spark, sf_dir, "orders")
+    spent = o.select(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
+                     F.col("o_custkey").alias("llave_senador"),
+                     mny.to_cents(F.col("o_totalprice")).alias("monto"))
+    base = scratch_path(spark, "bucketed")
+    tag = base.rsplit("-", 1)[-1]
+    pay_t = sk.write_bucketed(pay, f"pay_{tag}", keys, 8, f"{base}/pay")
+    spent_t = sk.write_bucketed(spent, f"spent_{tag}", keys, 8, f"{base}/spent")
+    return exp.pay_with_expenses(pay_t, spent_t, keys)

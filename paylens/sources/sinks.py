@@ -69,3 +69,19 @@ def write_monthly_items(items: DataFrame, path: str, keys=("category", "ano", "m
     (items.repartition(*[F.col(c) for c in cols], F.pmod(F.xxhash64(*items.columns), F.lit(4)))
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).json(path))
+
+
+def write_bucketed(df: DataFrame, name: str, keys, buckets: int, path: str,
+                   mode: str = "overwrite") -> DataFrame:
+    """Write ``df`` as a bucketed, key-sorted Parquet table at ``path``
+    (registered as ``name``) and return it.
+
+    Tables joined or aggregated again and again on the same keys (pay and
+    expenses on year, month and person) are written once this way with the
+    same bucket count; later aggregations and joins on those keys then run
+    without any shuffle, bucket by bucket.
+    """
+    keys = list(keys)
+    (df.write.mode(mode).format("parquet").option("path", path).option("compression", "zstd")
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+    return df.sparkSession.table(name)

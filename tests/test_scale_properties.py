@@ -104,3 +104,31 @@ def test_sized_side_byte_bound(spark):
     _, small = sized_side(wide, max_rows=10_000)
     _, too_wide = sized_side(wide, max_rows=10_000, max_bytes=10_000)
     assert small and not too_wide
+
+
+def test_bucketed_pay_and_expenses_join_without_shuffle(spark, tmp_dir):
+    from paylens.operators.expenses import pay_with_expenses
+    keys = ["ano", "mes", "llave_senador"]
+    pay = spark.range(400).select(F.lit(2024).alias("ano"), (F.col("id") % 12 + 1).alias("mes"),
+                                  (F.col("id") % 37).cast("string").alias("llave_senador"),
+                                  F.col("id").alias("dieta"))
+    spent = spark.range(3000).select(F.lit(2024).alias("ano"), (F.col("id") % 12 + 1).alias("mes"),
+                                     (F.col("id") % 41).cast("string").alias("llave_senador"),
+                                     F.lit(1).cast("long").alias("monto"))
+    p = sinks.write_bucketed(pay, "t_pay_b", keys, 4, os.path.join(tmp_dir, "pay"))
+    s = sinks.write_bucketed(spent, "t_spent_b", keys, 4, os.path.join(tmp_dir, "spent"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:  # as with tables too large to broadcast
+            spark.conf.set(k, "-1")
+        out = pay_with_expenses(p, s, keys)
+        plan = _plan(out)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    expected = {(r.mes, r.llave_senador): r.n for r in
+                spent.groupBy("mes", "llave_senador").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for r in out.collect():
+        assert r.total_gastos_operacionales == expected.get((r.mes, r.llave_senador), 0)
