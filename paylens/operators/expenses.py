@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paylens.functions.months import month_number
+from paylens.functions.text import legislative, person_key
 from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast, sized_side, written
 
 EXPENSE_KEYS = ("anyo", "Mes", "llave_senador")
@@ -43,6 +45,21 @@ def expense_breakdown(people: DataFrame, *sources: DataFrame, keys=EXPENSE_KEYS,
     return total(union).join(who, on=keys, how="left_semi")
 
 
+def expense_detail_for(rows: DataFrame, *sources: DataFrame, year_col: str = "anyo",
+                       month_col: str = "Mes", names=("Nombres", "Paterno", "Materno"),
+                       origin_cols=("origen", "organismo_nombre")) -> DataFrame:
+    """C7 for selected result rows: only Senate / Chamber rows have expense
+    detail (F14); each is keyed like the detail tables - trimmed name parts
+    joined, case kept (X7), month name to number with 1 for unknown (J4) -
+    and broken down by concept over all ``sources`` (J5 + A4)."""
+    legis = rows.filter(legislative(*[F.col(c) for c in origin_cols]))
+    people = legis.select(
+        F.col(year_col).cast("int").alias("anyo"),
+        month_number(F.col(month_col), default=1, normalize=False).alias("Mes"),
+        person_key(*[F.col(n) for n in names], upper=False).alias("llave_senador"))
+    return expense_breakdown(people, *sources)
+
+
 def person_expenses(*sources: DataFrame, year, month, key: str, keys=EXPENSE_KEYS,
                     concept: str = "gastos_operacionales", amount: str = "monto") -> DataFrame:
     """One person-month's expenses by concept, largest first (C7 point lookup).

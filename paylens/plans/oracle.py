@@ -747,3 +747,25 @@ SELECT p.ano, p.mes, p.llave_senador, p.dieta,
        CAST(p.dieta + COALESCE(s.t, 0) AS BIGINT) AS costo_total_mensual
 FROM pay p LEFT JOIN spent s USING (ano, mes, llave_senador)
 """
+
+
+def person_key_keep_case(*parts: str) -> str:
+    inner = ", ".join(f"nullif(trim({p}), '')" for p in parts)
+    return f"trim(replace(concat_ws(' ', {inner}), '  ', ' '))"
+
+
+ORACLE["senate_expense_detail"] = f"""
+WITH oc AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey),
+people AS (
+  SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS anyo, CAST(month(o_orderdate) AS INTEGER) AS Mes,
+         {person_key_keep_case('upper(c_name)', 'upper(c_mktsegment)', "''")} AS llave_senador
+  FROM oc WHERE year(o_orderdate) = 1996 AND month(o_orderdate) = 3),
+ex AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS anyo, CAST(month(o_orderdate) AS INTEGER) AS Mes,
+         {person_key_sql('c_name', 'c_mktsegment', 'NULL')} AS llave_senador,
+         l_returnflag AS Concepto, {CENTS.format(x='l_extendedprice')} AS monto
+  FROM lineitem JOIN oc ON l_orderkey = o_orderkey)
+SELECT e.anyo, e.Mes, e.llave_senador, e.Concepto, CAST(SUM(e.monto) AS BIGINT) AS Monto
+FROM ex e JOIN people p USING (anyo, Mes, llave_senador)
+GROUP BY ALL
+"""

@@ -775,3 +775,12 @@ def pay_with_expenses_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     pay_t = sk.write_bucketed(pay, f"pay_{tag}", keys, 8, f"{base}/pay")
     spent_t = sk.write_bucketed(spent, f"spent_{tag}", keys, 8, f"{base}/spent")
     return exp.pay_with_expenses(pay_t, spent_t, keys)
+
+
+@register("senate_expense_detail")
+def senate_expense_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 over C14's own outputs: the Senate rows of March 1996 looked up in
+    the expense detail table, broken down by concept."""
+    _, app, detail = _senate(spark, sf_dir)
+    chosen = app.filter((F.col("anyo") == 1996) & (F.col("Mes") == "Marzo"))
+    return exp.expense_detail_for(chosen, detail)
