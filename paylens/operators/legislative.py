@@ -198,22 +198,29 @@ def chamber_rows(parts) -> DataFrame:
     return app.filter(non_blank(F.col("Nombres")))
 
 
-def consolidate_chamber(spark: SparkSession, raw_dir: str) -> DataFrame | None:
-    """C15 over a folder tree of monthly CSV drops.
-
-    Columns are discovered per header shape (support staff need a name
-    column; staff files are searched for name / role / pay words), then
-    every shape is mapped and all are stacked in one plan.
-    """
-    parts = [support_staff(df) for df in read_month_files(spark, f"{raw_dir}/personal_apoyo")]
-    for sub, role in STAFF_KINDS.items():
-        parts += [staff(df, role) for df in read_month_files(spark, f"{raw_dir}/{sub}")]
-    parts += [deputies(df) for df in read_month_files(spark, f"{raw_dir}/diputados_dieta")
-              if "Nombre" in df.columns]
+def consolidate_chamber_frames(support=(), staff_by_role: dict | None = None,
+                               base=()) -> DataFrame | None:
+    """C15 from DataFrames already read (each with ``anyo`` / ``Mes_id``):
+    support-staff frames, ``{role: [staff frames]}``, deputies' base-pay
+    frames.  Columns are discovered per frame, then all are stacked."""
+    parts = [support_staff(df) for df in support]
+    for role, frames in (staff_by_role or {}).items():
+        parts += [staff(df, role) for df in frames]
+    parts += [deputies(df) for df in base if "Nombre" in df.columns]
     parts = [p for p in parts if p is not None]
     return chamber_rows(parts) if parts else None
 
 
+def consolidate_chamber(spark: SparkSession, raw_dir: str) -> DataFrame | None:
+    """C15 over a folder tree of monthly CSV drops (one scan per header
+    shape in each folder)."""
+    return consolidate_chamber_frames(
+        support=read_month_files(spark, f"{raw_dir}/personal_apoyo"),
+        staff_by_role={role: read_month_files(spark, f"{raw_dir}/{sub}")
+                       for sub, role in STAFF_KINDS.items()},
+        base=read_month_files(spark, f"{raw_dir}/diputados_dieta"))
+
+
 def chamber_expenses(expenses: DataFrame, names: DataFrame) -> DataFrame:
     """Expense rows named through the deputies' id -> name table.
 
