@@ -784,3 +784,16 @@ def senate_expense_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, app, detail = _senate(spark, sf_dir)
     chosen = app.filter((F.col("anyo") == 1996) & (F.col("Mes") == "Marzo"))
     return exp.expense_detail_for(chosen, detail)
+
+
+@register("lake_surname_audit")
+def lake_surname_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C12 then C10: unified rows written to the partitioned pay table; the
+    audit of one month reads only that month's folders (partition filters)."""
+    _, c_raw = _raw_sources(spark, sf_dir)
+    lake = scratch_path(spark, "lake")
+    sk.write_pay_parquet(uni.pay_rows(c_raw, "Contrata"), lake, num_files=4)
+    pay = spark.read.parquet(lake)
+    view = pay.select(F.col("organismo_nombre").alias("organismo"), "Paterno", "anyo", "Mes",
+                      F.col("remuliquida_mensual").alias("sueldo_num"))
+    return audits.surname_concentration(view, 2005, "Junio", min_count=5)
