@@ -48,3 +48,29 @@ def test_last_records_matches_bruteforce(spark, rows):
         if who not in best or rank > best[who][0]:
             best[who] = (rank, tie)
     assert got == {w: v[1] for w, v in best.items()}
+
+
+def _sorted(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_both_join_strategies_agree(spark):
+    from paylens.operators import expenses
+    people = spark.range(30).select(F.lit(2024).alias("anyo"), (F.col("id") % 3 + 1).cast("int").alias("Mes"),
+                                    (F.col("id") % 7).cast("string").alias("llave_senador"))
+    src = spark.range(500).select(F.lit(2024).alias("anyo"), (F.col("id") % 4 + 1).cast("int").alias("Mes"),
+                                  (F.col("id") % 9).cast("string").alias("llave_senador"),
+                                  F.when(F.col("id") % 2 == 0, "Luz").otherwise("Agua").alias("gastos_operacionales"),
+                                  F.col("id").alias("monto"))
+    small = expenses.expense_breakdown(people, src)
+    large = expenses.expense_breakdown(people, src, max_people=0)  # aggregate first, shuffle join
+    assert _sorted(small) == _sorted(large) and small.count() > 0
+    names = src.select(F.col("llave_senador"), F.upper("gastos_operacionales").alias("n")).distinct()
+    names = names.groupBy("llave_senador").agg(F.max("n").alias("n"))
+    assert _sorted(expenses.attach_names(src, names, key="llave_senador")) == \
+        _sorted(expenses.attach_names(src, names, key="llave_senador", max_rows=0))
+    rows = src.select(F.col("llave_senador").alias("organismo"), F.col("monto").cast("string").alias("nombre"),
+                      F.col("gastos_operacionales").alias("estamento"), F.col("monto").alias("sueldo_num"))
+    a = audits.pay_outliers(rows, stats_floor=0, result_floor=0, sigma=1.0)
+    b = audits.pay_outliers(rows, stats_floor=0, result_floor=0, sigma=1.0, max_groups=0)
+    assert _sorted(a) == _sorted(b) and a.count() > 0
