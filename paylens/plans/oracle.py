@@ -783,3 +783,14 @@ HAVING COUNT(*) >= 5
 ORDER BY cantidad_personas DESC, organismo ASC NULLS LAST, apellido ASC NULLS LAST
 LIMIT 100
 """
+
+ORACLE["lake_search"] = f"""
+SELECT organismo_nombre, anyo, Mes, estamento, Nombres, Paterno, Materno, cargo,
+       remuliquida_mensual, remuneracionbruta_mensual, origen
+FROM ({_pay_rows_sql(SUPPLIER_PAY)} UNION ALL {_pay_rows_sql(CUSTOMER_PAY)})
+WHERE search_vector LIKE '%customer#00000001%' AND anyo BETWEEN 2003 AND 2012
+ORDER BY organismo_nombre NULLS LAST, anyo NULLS LAST, Mes NULLS LAST, estamento NULLS LAST,
+         Nombres NULLS LAST, Paterno NULLS LAST, Materno NULLS LAST, cargo NULLS LAST,
+         remuliquida_mensual NULLS LAST, remuneracionbruta_mensual NULLS LAST, origen NULLS LAST
+LIMIT 500
+"""

@@ -797,3 +797,14 @@ def lake_surname_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = pay.select(F.col("organismo_nombre").alias("organismo"), "Paterno", "anyo", "Mes",
                       F.col("remuliquida_mensual").alias("sueldo_num"))
     return audits.surname_concentration(view, 2005, "Junio", min_count=5)
+
+
+@register("lake_search")
+def lake_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 on the written pay table: the stored search vector is matched,
+    the year range prunes partition folders, at most 500 rows."""
+    s_raw, c_raw = _raw_sources(spark, sf_dir)
+    lake = scratch_path(spark, "lake")
+    rows = uni.pay_rows(s_raw, "Planta").unionByName(uni.pay_rows(c_raw, "Contrata"))
+    sk.write_pay_parquet(rows, lake, num_files=4)
+    return srch.search(spark.read.parquet(lake), person="Customer#00000001", years=(2003, 2012))
