@@ -19,7 +19,7 @@ def clean_money(c: Column) -> Column:
     characters.
     """
     digits = F.regexp_replace(c.cast("string"), r"[^0-9,]", "")
-    as_decimal = F.replace(digits, F.lit(","), F.lit(".")).try_cast("decimal(38,6)")
+    as_decimal = F.replace(digits, F.lit(","), F.lit(".")).try_cast("decimal(38,18)")
     return F.round(as_decimal, 0).try_cast("int")
 
 

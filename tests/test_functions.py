@@ -138,3 +138,8 @@ def test_py_strip_matches_str_strip(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r.x for r in df.select(text.py_strip(F.col("s")).alias("x")).collect()]
     assert got == [None if v is None else v.strip() for v in values]
+
+
+def test_clean_money_rounds_once(spark):
+    df = spark.createDataFrame([("0,4999999",), ("2,5000001",), ("1.234,4999999999",)], "s string")
+    assert [r.x for r in df.select(money.clean_money(F.col("s")).alias("x")).collect()] == [0, 3, 1234]
