@@ -45,6 +45,7 @@ def round_to_long(c: Column) -> Column:
 
 def format_clp(c: Column) -> Column:
     """12345.9 -> '$ 12.345' (truncated, '.' thousands); bad/NULL -> ''."""
-    whole = c.try_cast("double").try_cast("bigint")
+    # integers exactly; fractional values truncated toward zero
+    whole = F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
     text = F.translate(F.format_number(whole, 0), ",", ".")
     return F.coalesce(F.concat(F.lit("$ "), text), F.lit(""))

@@ -143,3 +143,9 @@ def test_py_strip_matches_str_strip(spark, values):
 def test_clean_money_rounds_once(spark):
     df = spark.createDataFrame([("0,4999999",), ("2,5000001",), ("1.234,4999999999",)], "s string")
     assert [r.x for r in df.select(money.clean_money(F.col("s")).alias("x")).collect()] == [0, 3, 1234]
+
+
+def test_format_clp_exact_for_large_integers(spark):
+    df = spark.createDataFrame([(9007199254740993,), (-5,)], "n bigint")
+    got = [r.f for r in df.select(money.format_clp(F.col("n")).alias("f")).collect()]
+    assert got == ["$ 9.007.199.254.740.993", "$ -5"]
