@@ -27,7 +27,8 @@ from paylens.operators.joins import checked_broadcast, folded_link, sized_side
 from paylens.operators.legislative import (consolidate_chamber, consolidate_chamber_frames, consolidate_senate,
                                            ingest_bulk_csv, read_chamber_expenses)
 from paylens.operators.pages import heading, links, table_rows
-from paylens.operators.search import last_record, last_records, profiles, search, select_profile
+from paylens.operators.search import (last_record, last_records, profiles, search,
+                                      search_or_last_record, select_profile)
 from paylens.operators.summary import display_table, histogram, kpis, top_pay
 from paylens.operators.sync import coverage_gaps, manifest_diff
 from paylens.operators.unify import audit_view, pay_rows, unify

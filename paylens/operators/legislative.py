@@ -62,12 +62,17 @@ def bulk_pay(spark: SparkSession, paths) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
 
 
-def ingest_bulk_csv(spark: SparkSession, paths, out: str, num_files: int | None = None) -> DataFrame | None:
-    """CSV drops -> partitioned ZSTD Parquet; returns the written table."""
+def ingest_bulk_csv(spark: SparkSession, paths, out: str, num_files: int | None = None,
+                    observation=None) -> DataFrame | None:
+    """CSV drops -> partitioned ZSTD Parquet; returns the written table.
+
+    Pass a ``pyspark.sql.Observation`` to get, after the write, the number
+    of rows written and how many carried a parsable net / gross amount.
+    """
     rows = bulk_pay(spark, paths)
     if rows is None:
         return None
-    sinks.write_pay_parquet(rows, out, num_files=num_files)
+    sinks.write_pay_parquet(rows, out, num_files=num_files, observation=observation)
     return spark.read.parquet(out)
 
 

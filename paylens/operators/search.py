@@ -111,6 +111,19 @@ def last_record(pay: DataFrame, person: str | None, *, vector: str | Column = "s
             .select(*columns).limit(1))
 
 
+def search_or_last_record(pay: DataFrame, *, person: str, limit: int = 500, **filters):
+    """The explorer's flow: the filtered search, and when it finds nothing,
+    the person's latest record ignoring the date filters (C1 then C2).
+
+    Returns ``(rows, last)``; ``last`` is None when the search found rows.
+    The emptiness test takes at most one row (``limit(1)``).
+    """
+    rows = search(pay, person=person, limit=limit, **filters)
+    if rows.limit(1).count() > 0:
+        return rows, None
+    return rows, last_record(pay, person)
+
+
 def last_records(pay: DataFrame, keys, *, columns=("anyo", "Mes", "organismo_nombre", "origen"),
                  year_col: str = "anyo", month_col: str = "Mes", tie=()) -> DataFrame:
     """Latest row per person key, for everyone at once.

@@ -10,7 +10,8 @@ LATIN1 = "ISO-8859-1"
 
 def write_pay_parquet(df: DataFrame, path: str, partition_by=("origen", "anyo", "Mes"),
                       num_files: int | None = None, sort_by: str | None = "search_vector",
-                      max_records_per_file: int = 5_000_000, mode: str = "overwrite") -> None:
+                      max_records_per_file: int = 5_000_000, mode: str = "overwrite",
+                      observation=None) -> None:
     """Unified pay rows -> Parquet, ZSTD, partitioned.
 
     Partitioned by source, year and month: audits read one month, searches
@@ -23,12 +24,21 @@ def write_pay_parquet(df: DataFrame, path: str, partition_by=("origen", "anyo",
     files come out sorted by the search vector (tight min/max statistics).
     ``num_files`` defaults to ``spark.sql.shuffle.partitions``.  Overwrite
     is dynamic: only the partitions present in ``df`` are replaced.
+    An ``Observation`` receives rows written and rows with net / gross pay,
+    counted in the write itself (above the range exchange, so the key
+    sampling pass does not count them twice).
     """
     cols = list(partition_by)
     n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = cols + ([sort_by] if sort_by and sort_by in df.columns else [])
     out = df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in order])
     out = out.sortWithinPartitions(*order)
+    if observation is not None:
+        metrics = [F.count(F.lit(1)).alias("rows_written")]
+        metrics += [F.count(c).alias(n) for c, n in (("remuliquida_mensual", "with_net_pay"),
+                                                   ("remuneracionbruta_mensual", "with_gross_pay"))
+                    if c in df.columns]
+        out = out.observe(observation, *metrics)
     (out.write.mode(mode).option("compression", "zstd")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)

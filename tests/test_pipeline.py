@@ -113,3 +113,17 @@ def test_stream_new_bulk_drops(spark, tmp_dir):
     got = {r.origen: r.n for r in pay.groupBy("origen").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {"Planta": 10, "Honorarios": 22}
     assert pay.filter(F.col("Nombres") == "José").select("search_vector").first()[0] == "jose perez soto"
+
+
+def test_search_fallback_and_ingest_observation(spark, tmp_dir):
+    from pyspark.sql import Observation
+    a, b = _people()
+    pa = os.path.join(tmp_dir, "TA_PersonalPlanta.csv")
+    _drop(pa, HEAD_A, a)
+    obs = Observation("ingest")
+    pay = leg.ingest_bulk_csv(spark, [pa], os.path.join(tmp_dir, "pay"), observation=obs)
+    assert obs.get == {"rows_written": 32, "with_net_pay": 32, "with_gross_pay": 32}
+    rows, last = search.search_or_last_record(pay, person="José Pérez", years=(2025, 2026))
+    assert rows.count() == 0 and (last.first().anyo, last.first().Mes) == (2024, "Enero")
+    rows, last = search.search_or_last_record(pay, person="José Pérez", years=(2024, 2024))
+    assert rows.count() == 1 and last is None
