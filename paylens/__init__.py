@@ -24,7 +24,7 @@ from paylens.operators.catalogue import available_years, build_catalogue, organi
 from paylens.operators.expenses import (expense_breakdown, expense_share, footprint,
                                         pay_with_expenses)
 from paylens.operators.joins import checked_broadcast, folded_link, sized_side
-from paylens.operators.legislative import (consolidate_chamber, consolidate_chamber_frames, consolidate_senate,
+from paylens.operators.legislative import (consolidate_chamber, consolidate_chamber_frames, consolidate_senate, senate_job,
                                            ingest_bulk_csv, read_chamber_expenses)
 from paylens.operators.pages import heading, links, table_rows
 from paylens.operators.search import (last_record, last_records, profiles, search,

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paylens.functions.money import digits_money_or_zero
 from paylens.functions.months import month_name
@@ -257,3 +258,41 @@ def read_chamber_expenses(spark: SparkSession, raw_dir: str) -> DataFrame | None
                    [df.select(F.col("ID_Diputado").try_cast("int").alias("ID_Diputado"), "Nombre",
                               "anyo", "Mes") for df in name_frames])
     return chamber_expenses(expenses, names)
+
+
+# Item fields of the two Senate endpoints that are consolidated.
+SENATE_PAY_ITEM = T.StructType([
+    T.StructField("ano", T.IntegerType()), T.StructField("mes", T.IntegerType()),
+    T.StructField("rut", T.StringType()), T.StructField("nombre", T.StringType()),
+    T.StructField("appaterno", T.StringType()), T.StructField("apmaterno", T.StringType()),
+    T.StructField("dieta", T.LongType()), T.StructField("deducciones", T.LongType()),
+    T.StructField("saldo", T.LongType())])
+SENATE_EXPENSE_ITEM = T.StructType([
+    T.StructField("ano", T.IntegerType()), T.StructField("mes", T.IntegerType()),
+    T.StructField("nombre", T.StringType()), T.StructField("appaterno", T.StringType()),
+    T.StructField("apmaterno", T.StringType()),
+    T.StructField("gastos_operacionales", T.StringType()), T.StructField("monto", T.LongType())])
+
+
+def senate_job(spark: SparkSession, cache_dir: str, out_dir: str,
+               pay_endpoint: str = "dietas", expense_endpoint: str = "gastos_operacionales") -> dict:
+    """C14 end to end: cached JSON pages of both endpoints
+    (``<cache>/<endpoint>/<year>/<file>.json``) -> app rows into the
+    partitioned pay table, expense detail as Parquet, analyst extract as CSV.
+
+    Returns the output paths.  Unreadable documents are skipped; a missing
+    expense endpoint gives zero expenses.
+    """
+    pay = readers.read_envelopes(spark, f"{cache_dir}/{pay_endpoint}/*/*.json", SENATE_PAY_ITEM)
+    exp_paths = readers.existing_paths(spark, [("e", f"{cache_dir}/{expense_endpoint}")])
+    spent = (readers.read_envelopes(spark, f"{cache_dir}/{expense_endpoint}/*/*.json", SENATE_EXPENSE_ITEM)
+             if exp_paths else None)
+    extract, app, detail = consolidate_senate(pay.drop("source_file"),
+                                              spent.drop("source_file") if spent is not None else None)
+    outs = {"pay": f"{out_dir}/pay", "detail": f"{out_dir}/senado_gastos_detalle",
+            "extract": f"{out_dir}/senadores_consolidado"}
+    sinks.write_pay_parquet(app, outs["pay"])
+    if detail is not None:
+        sinks.write_parquet(detail, outs["detail"])
+    sinks.write_analyst_csv(extract, outs["extract"])
+    return outs

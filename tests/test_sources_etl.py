@@ -207,3 +207,27 @@ def test_parquet_sources_skip_missing(spark, tmp_dir):
     got = sorted((r.id, r.v, r.origen_fuente) for r in df.collect())
     assert got == [(1, "x", "A"), (2, None, "B")]
     assert readers.read_parquet_sources(spark, [("C", a + "_missing")]) is None
+
+
+def test_senate_job_writes_all_outputs(spark, tmp_dir):
+    cache = os.path.join(tmp_dir, "cache")
+    a = {"ano": 2024, "mes": 3, "rut": "1-9", "nombre": "José", "appaterno": "Pérez",
+         "apmaterno": None, "dieta": 100, "deducciones": 10, "saldo": 90}
+    _write(os.path.join(cache, "dietas", "2024", "03.json"), json.dumps({"data": {"data": [{"attributes": a}]}}))
+    _write(os.path.join(cache, "gastos_operacionales", "2024", "03.json"), json.dumps(
+        {"data": [{"ano": 2024, "mes": 3, "nombre": "JOSE", "appaterno": "PÉREZ", "apmaterno": None,
+                   "gastos_operacionales": "LUZ", "monto": 7}]}))
+    outs = leg.senate_job(spark, cache, os.path.join(tmp_dir, "out"))
+    app = spark.read.parquet(outs["pay"]).first()
+    assert (app.origen, app.Mes, app.remuliquida_mensual) == ("Senado", "Marzo", 90)
+    assert spark.read.parquet(outs["detail"]).count() == 1
+    extract = spark.read.option("header", True).csv(outs["extract"]).first()
+    # 'JOSE' and 'JOSÉ' are different keys, as in the published job (no folding in the key)
+    assert extract.llave_senador == "JOSÉ PÉREZ" and extract.total_gastos_operacionales == "0"
+    # no expense endpoint cached at all: zero expenses, no detail table
+    only_pay = os.path.join(tmp_dir, "cache2")
+    _write(os.path.join(only_pay, "dietas", "2024", "03.json"), json.dumps({"data": [a]}))
+    outs2 = leg.senate_job(spark, only_pay, os.path.join(tmp_dir, "out2"))
+    row = spark.read.option("header", True).csv(outs2["extract"]).first()
+    assert row.total_gastos_operacionales == "0" and row.costo_total_mensual == "100"
+    assert not os.path.exists(outs2["detail"])
