@@ -20,11 +20,12 @@ from paylens.functions.months import month_name, month_number
 from paylens.functions.text import audit_full_name, fold_text, person_key, unaccent_lower
 from paylens.operators.audits import (multi_employment, pay_outliers, pay_ranking,
                                       surname_concentration)
-from paylens.operators.catalogue import available_years, build_catalogue, organizations
+from paylens.operators.catalogue import available_years, build_catalogue, catalogue_job, organizations
 from paylens.operators.expenses import (expense_breakdown, expense_share, footprint,
                                         pay_with_expenses)
 from paylens.operators.joins import checked_broadcast, folded_link, sized_side
-from paylens.operators.legislative import (consolidate_chamber, consolidate_chamber_frames, consolidate_senate, senate_job,
+from paylens.operators.legislative import (chamber_job, consolidate_chamber, consolidate_chamber_frames,
+                                           consolidate_senate, senate_job,
                                            ingest_bulk_csv, read_chamber_expenses)
 from paylens.operators.pages import heading, links, table_rows
 from paylens.operators.search import (last_record, last_records, profiles, search,

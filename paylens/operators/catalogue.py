@@ -58,3 +58,12 @@ def year_bounds(years: DataFrame, col: str = "anios") -> DataFrame:
     """min / max of the year list and the default (min, max) range."""
     return years.select("dataset", F.array_min(col).alias("min_year"),
                         F.array_max(col).alias("max_year"), F.size(col).alias("n_years"))
+
+
+def catalogue_job(spark, pay_path: str, out: str, **names) -> DataFrame:
+    """C13 end to end: the partitioned pay table -> catalogue JSON (S10);
+    returns the written catalogue for lookups (S11)."""
+    from paylens.sources.sinks import write_catalogue
+
+    write_catalogue(build_catalogue(spark.read.parquet(pay_path), **names), out)
+    return spark.read.schema("dataset string, anios array<int>, organismos array<string>").json(out)

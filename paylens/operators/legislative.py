@@ -296,3 +296,18 @@ def senate_job(spark: SparkSession, cache_dir: str, out_dir: str,
         sinks.write_parquet(detail, outs["detail"])
     sinks.write_analyst_csv(extract, outs["extract"])
     return outs
+
+
+def chamber_job(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:
+    """C15 + C16 end to end: monthly drops -> app rows into the partitioned
+    pay table and an analyst CSV; expense drops -> named expense detail."""
+    outs = {"pay": f"{out_dir}/pay", "extract": f"{out_dir}/diputados_consolidado",
+            "detail": f"{out_dir}/diputados_gastos_detalle"}
+    app = consolidate_chamber(spark, raw_dir)
+    if app is not None:
+        sinks.write_pay_parquet(app, outs["pay"])
+        sinks.write_analyst_csv(app, outs["extract"])
+    detail = read_chamber_expenses(spark, raw_dir)
+    if detail is not None:
+        sinks.write_parquet(detail, outs["detail"])
+    return outs

@@ -231,3 +231,19 @@ def test_senate_job_writes_all_outputs(spark, tmp_dir):
     row = spark.read.option("header", True).csv(outs2["extract"]).first()
     assert row.total_gastos_operacionales == "0" and row.costo_total_mensual == "100"
     assert not os.path.exists(outs2["detail"])
+
+
+def test_chamber_and_catalogue_jobs(spark, tmp_dir):
+    from paylens.operators import catalogue
+    raw = os.path.join(tmp_dir, "raw")
+    _write(f"{raw}/personal_apoyo/2024_03.csv", "Nombre,Cargo,Sueldo,Diputada a cargo\nAna,,$ 1.000,Dip. X\n")
+    _write(f"{raw}/diputados_dieta/2024_03.csv",
+           "ID_Diputado,Nombre,Cargo,Sueldo Bruto,Sueldo Liquido,Mes,Ano\n7,Rosa Paz,Diputada,100,90,3,2024\n")
+    _write(f"{raw}/gastos_operacionales/7_2024_03.csv", "Concepto,Monto,ID_Diputado\nOficina,$ 3.000,7\n")
+    outs = leg.chamber_job(spark, raw, os.path.join(tmp_dir, "out"))
+    pay = spark.read.parquet(outs["pay"])
+    assert sorted(r.Nombres for r in pay.collect()) == ["ANA", "ROSA PAZ"]
+    assert spark.read.parquet(outs["detail"]).first().llave_senador == "ROSA PAZ"
+    cat = {r.dataset: r for r in catalogue.catalogue_job(spark, outs["pay"], os.path.join(tmp_dir, "cat")).collect()}
+    assert cat["Cámara de Diputados"].anios == [2024]
+    assert cat["Todas (Búsqueda Global)"].organismos == ["Cámara de Diputadas y Diputados"]
