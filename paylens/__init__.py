@@ -33,6 +33,6 @@ from paylens.operators.search import (last_record, last_records, profiles, searc
 from paylens.operators.summary import display_table, histogram, kpis, top_pay
 from paylens.operators.sync import coverage_gaps, manifest_diff
 from paylens.operators.unify import audit_view, pay_rows, unify
-from paylens.streaming.file_ingest import ingest_new_files
+from paylens.streaming.file_ingest import ingest_new_drops, ingest_new_files
 
 __all__ = [n for n in dir() if not n.startswith("_")]
