@@ -247,3 +247,14 @@ def test_chamber_and_catalogue_jobs(spark, tmp_dir):
     cat = {r.dataset: r for r in catalogue.catalogue_job(spark, outs["pay"], os.path.join(tmp_dir, "cat")).collect()}
     assert cat["Cámara de Diputados"].anios == [2024]
     assert cat["Todas (Búsqueda Global)"].organismos == ["Cámara de Diputadas y Diputados"]
+
+
+def test_pay_table_overwrite_replaces_only_present_partitions(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "pay")
+    cols = "origen string, anyo int, Mes string, search_vector string, v int"
+    first = spark.createDataFrame([("Planta", 2023, "Enero", "a", 1), ("Planta", 2024, "Enero", "b", 2)], cols)
+    sinks.write_pay_parquet(first, out, num_files=2)
+    again = spark.createDataFrame([("Planta", 2024, "Enero", "c", 3)], cols)
+    sinks.write_pay_parquet(again, out, num_files=2)
+    got = sorted((r.anyo, r.search_vector) for r in spark.read.parquet(out).collect())
+    assert got == [(2023, "a"), (2024, "c")]
