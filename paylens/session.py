@@ -103,7 +103,9 @@ def spread_narrow(df, min_partitions: int | None = None):
 
     Meant for CPU-heavy per-row work on whole texts (folds, HTML regexes).
     A large input already has many splits and is returned unchanged, so no
-    shuffle is added at scale.
+    shuffle is added at scale.  Catalyst pushes filters below a
+    repartition, so this helps projections over every row, not selective
+    predicates (those run in the scan tasks either way).
     """
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism
