@@ -127,3 +127,23 @@ def test_search_fallback_and_ingest_observation(spark, tmp_dir):
     assert rows.count() == 0 and (last.first().anyo, last.first().Mes) == (2024, "Enero")
     rows, last = search.search_or_last_record(pay, person="José Pérez", years=(2024, 2024))
     assert rows.count() == 1 and last is None
+
+
+def test_readme_quick_start_runs(spark, tmp_dir):
+    import paylens as pl
+    a, b = _people()
+    drops = os.path.join(tmp_dir, "drops")
+    os.makedirs(drops)
+    _drop(os.path.join(drops, "TA_PersonalPlanta.csv"), HEAD_A, a)
+    _drop(os.path.join(drops, "TA_PersonalContrata.csv"), HEAD_B, b)
+    pay = pl.ingest_bulk_csv(spark, [os.path.join(drops, "TA_PersonalPlanta.csv"),
+                                     os.path.join(drops, "TA_PersonalContrata.csv")],
+                             os.path.join(tmp_dir, "lake", "pay"))
+    found = pl.search(pay, person="José Pérez", years=(2024, 2024), month="Enero")
+    assert pl.profiles(found).count() == 1
+    assert pl.kpis(found, "remuliquida_mensual").first().registros == 2
+    audit = pay.select(pl.audit_full_name(F.col("Nombres"), F.col("Paterno"), F.col("Materno"))
+                       .alias("nombre_completo"),
+                       F.col("organismo_nombre").alias("organismo"), F.col("origen").alias("Origen"),
+                       "anyo", "Mes", F.col("remuliquida_mensual").alias("sueldo_num"))
+    assert pl.multi_employment(audit, 2024, "Enero").first().num_empleos == 2
