@@ -11,7 +11,7 @@ with docs as (
   from documents),
 lines as (
   select rid, host, md5(body) as content, unnest(list_filter(string_split(body, chr(10)),
-         x -> regexp_matches(x, '[^\x20\x09-\x0D]'))) as line
+         lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) as line
   from docs),
 dups as (select rid, count(*) - count(distinct line) as n_dup_lines from lines group by rid),
 normal as (
@@ -32,7 +32,7 @@ repeats as (
   from (select rid, i, lead(i) over (partition by rid order by i) as nxt from twice) group by rid),
 counted as (
   select docs.rid, doc_id, host, len(ws) as n_words,
-         coalesce(list_sum(list_transform(ws, w -> length(w))), 0)::bigint as word_chars,
+         coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::bigint as word_chars,
          length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) as n_symbols,
          coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words
   from docs left join dups using (rid) left join repeats using (rid)),
