@@ -11,6 +11,7 @@ from paylens.llm import (
     ngram_join,
     packing,
     quality,
+    substring,
     token_counts,
     toxicity,
     url_filter,
@@ -38,6 +39,10 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(load(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(load(spark, sf_dir, "documents"))
+
+
 def op7_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(load(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_trie_token_counts": op4_trie_token_counts,
     "op5_pattern_packing": op5_pattern_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_minhash_fingerprints": op7_minhash_fingerprints,
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
