@@ -129,3 +129,19 @@ def running(table: DataFrame, keys: list[str], order: list[str], weight: str, na
     return (local.join(starts, cond)
             .withColumn(name, (F.col("_start") + F.col("_local")).cast("long"))
             .select(*table.columns, name))
+
+
+def boxed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``docs`` as one struct column ``doc`` beside computed ones, so that no
+    column of the input can clash with an operator's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *columns)
+
+
+def unboxed(rows: DataFrame, columns: list[str], text: Column | None = None, changed: Column | None = None) -> DataFrame:
+    """The documents of ``doc``; where ``changed``, with another text (``n_chars`` follows it)."""
+    if text is None:
+        return rows.select("doc.*")
+    rows = rows.select("doc", F.when(changed, text).otherwise(F.col("doc.text")).alias("text"), changed.alias("changed"))
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("changed"), F.length("text").cast("long"))
+           .otherwise(F.col("doc.n_chars")) if "n_chars" in columns else None}
+    return rows.select(*[new[c].alias(c) if new.get(c) is not None else F.col(f"doc.`{c}`").alias(c) for c in columns])

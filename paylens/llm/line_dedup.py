@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paylens.llm.common import BLANKS, saved, sliding_hashes, word_hashes
+from paylens.llm.common import BLANKS, boxed, saved, sliding_hashes, unboxed, word_hashes
 
 WIDTH = 3
 
@@ -92,15 +92,15 @@ def repeated_runs(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``docs`` with ``_left``: the text without its later repeated runs, and
-    ``_removed``: the lines with a word that went."""
+    """doc, doc_id, text, ``left`` (the text without its later repeated runs)
+    and ``touched`` (whether any line went) of every document."""
     runs = repeated_runs(docs, width)
-    rows = docs.withColumn("_text_hash", F.xxhash64("text")).join(
-        runs, (F.col("_text_hash") == F.col("_content")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    rows = boxed(docs, F.xxhash64("text").alias("hash"), F.col("doc_id"), F.col("text"))
+    rows = rows.join(runs, (F.col("hash") == F.col("_content")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     keep = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("_runs", lambda r: i.between(r["first"], r["last"])))
-    return (rows.withColumn("_left", F.when(F.col("_runs").isNull(), F.col("text")).otherwise(F.array_join(keep, "\n")))
-            .withColumn("_touched", F.col("_runs").isNotNull())
-            .drop("_text_hash", "_content", "_id", "_runs"))
+    touched = F.col("_runs").isNotNull()
+    return rows.select("doc", "doc_id", "text", F.when(touched, F.array_join(keep, "\n")).otherwise(F.col("text")).alias("left"),
+                       touched.alias("touched"))
 
 
 def _lines(text) -> F.Column:
@@ -113,19 +113,13 @@ def line_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     the text that is left (UTF-8; of an empty text for null)."""
     rows = deduplicated(docs.select("doc_id", "text"), width)
     return rows.select("doc_id", _lines(F.col("text")).alias("n_lines"),
-                       (_lines(F.col("text")) - _lines(F.col("_left"))).alias("n_removed"),
-                       F.sha2(F.coalesce(F.col("_left"), F.lit("")), 256).alias("kept_sha256"))
+                       (_lines(F.col("text")) - _lines(F.col("left"))).alias("n_removed"),
+                       F.sha2(F.coalesce(F.col("left"), F.lit("")), 256).alias("kept_sha256"))
 
 
 def apply_line_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents without their later repeated runs, in their own columns
     (``n_chars`` follows the text).  A document of which every line with a word
     was deleted goes: all of it stands in earlier documents."""
-    columns = docs.columns
-    rows = deduplicated(docs, width)
-    rows = rows.filter(~F.col("_touched") | (F.translate("_left", BLANKS, "") != ""))
-    rows = rows.withColumn("text", F.col("_left"))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_touched"), F.length("text").cast("long"))
-                               .otherwise(F.col("n_chars")))
-    return rows.select(*columns)
+    rows = deduplicated(docs, width).filter(~F.col("touched") | (F.translate("left", BLANKS, "") != ""))
+    return unboxed(rows, docs.columns, F.col("left"), F.col("touched"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import mixed, running, saved, words
+from paylens.llm.common import boxed, mixed, running, saved, unboxed, words
 
 BLOCK = 512
 SHARD_SLOTS = 4096
@@ -219,7 +219,6 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block
     """The mix as documents, in the columns of ``docs``: a row for each pass in
     which a document is taken, with its text, or, if the pass takes a part of
     it, the taken words joined by spaces (``n_chars`` follows)."""
-    columns = docs.columns
     sized = sized_rows(docs)
     mixture = mixture_of(sized, weights, block, seed)
     if not mixture.quota.sum():
@@ -233,16 +232,14 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block
                         F.struct("spans", (F.col("n") == F.col("size")).alias("whole")).alias("take"))
                 .groupBy(*[f"_{c}" for c in key]).agg(F.collect_list("take").alias("_takes")))
     # rows alike in these three are one row here; their takes are all in _takes
-    texts = docs.withColumn("content", F.xxhash64("text")).dropDuplicates(key)
-    rows = texts.join(per_text, (F.col("content") == F.col("_content")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-                      & F.col("source").eqNullSafe(F.col("_source")))
-    rows = rows.select(*columns, F.explode("_takes").alias("_take"))
+    texts = boxed(docs, F.col("doc_id"), F.col("source"), F.col("text"), F.xxhash64("text").alias("content"))
+    rows = texts.dropDuplicates(key).join(
+        per_text, (F.col("content") == F.col("_content")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+        & F.col("source").eqNullSafe(F.col("_source")))
+    rows = rows.select("doc", "text", F.explode("_takes").alias("take"))
+    cut = ~F.col("take.whole")
+    rows = rows.withColumn("words", F.when(cut, words(F.col("text"))))
     part = F.array_join(F.flatten(F.transform(
-        "_take.spans", lambda s: F.slice(F.col("_words"), (s["first"] + 1).cast("int"),
-                                         (s["end"] - s["first"]).cast("int")))), " ")
-    whole = F.col("_take.whole")
-    rows = rows.withColumn("_words", F.when(~whole, words(F.col("text"))))
-    rows = rows.withColumn("text", F.when(whole, F.col("text")).otherwise(part))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return rows.select(*columns)
+        "take.spans", lambda s: F.slice(F.col("words"), (s["first"] + 1).cast("int"),
+                                        (s["end"] - s["first"]).cast("int")))), " ")
+    return unboxed(rows, docs.columns, part, cut)

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paylens.llm.common import saved, shingle_set
+from paylens.llm.common import boxed, saved, shingle_set, unboxed
 from paylens.llm.components import components
 
 PERCENT = 80
@@ -331,8 +331,8 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, com
     marks = judged.groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).agg(
         F.max("stays").alias("_stays"), F.count("*").alias("_rows"))
     marks = marks.filter("not _stays or _rows > 1")
-    texts = docs.withColumn("_hash", F.xxhash64("text"))
-    alike = (F.col("_hash") == F.col("_content")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    kept = texts.join(marks, alike, "left_anti").select(*docs.columns)
-    repeated = texts.join(marks.filter("_stays"), alike, "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return kept.unionByName(repeated.select(*docs.columns))
+    texts = boxed(docs, F.xxhash64("text").alias("hash"), F.col("doc_id"))
+    alike = (F.col("hash") == F.col("_content")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    kept = unboxed(texts.join(marks, alike, "left_anti"), docs.columns)
+    repeated = texts.join(marks.filter("_stays"), alike, "left_semi").dropDuplicates(["doc_id", "hash"])
+    return kept.unionByName(unboxed(repeated, docs.columns))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import BLANKS, same, saved, words
+from paylens.llm.common import BLANKS, boxed, same, saved, unboxed, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -125,14 +125,10 @@ def apply_quality_rules(docs: DataFrame, **limits) -> DataFrame:
     out = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), "content",
                                                  F.lit(None).cast("array<bigint>").alias("_frequent")).distinct()
     marks = lost.unionByName(out).withColumn("_marked", F.lit(True))
-    rows = docs.withColumn("_content", F.xxhash64("text"))
-    rows = rows.join(marks, (F.col("_content") == F.col("content")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    rows = boxed(docs, F.xxhash64("text").alias("hash"), F.col("doc_id"), F.col("source"), F.col("text"))
+    rows = rows.join(marks, (F.col("hash") == F.col("content")) & F.col("doc_id").eqNullSafe(F.col("_id"))
                      & F.col("source").eqNullSafe(F.col("_host")), "left")
     rows = rows.filter(F.col("_marked").isNull() | F.col("_frequent").isNotNull())
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x: (F.translate(x, BLANKS, "") == "")
                                  | ~F.array_contains("_frequent", F.xxhash64(F.lower(F.array_join(words(x), " "))))), "\n")
-    rows = rows.withColumn("text", F.when(F.col("_marked"), left).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_marked"), F.length("text").cast("long"))
-                               .otherwise(F.col("n_chars")))
-    return rows.select(*columns)
+    return unboxed(rows, columns, left, F.coalesce("_marked", F.lit(False)))
