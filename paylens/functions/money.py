@@ -33,6 +33,12 @@ def digits_money_or_zero(c: Column) -> Column:
     return F.coalesce(digits_money(c), F.lit(0).cast("bigint"))
 
 
+def whole_number(c: Column) -> Column:
+    """A plain number written as 1000, 1000.0 or text -> BIGINT, rounded half
+    away from zero; NULL for anything else."""
+    return F.round(F.btrim(c.cast("string")).try_cast("decimal(38,6)"), 0).try_cast("bigint")
+
+
 def to_cents(c: Column) -> Column:
     """A DOUBLE amount as exact integer cents (sums become order-free)."""
     return F.round(c * 100).cast("bigint")

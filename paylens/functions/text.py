@@ -7,6 +7,7 @@ inside whole-stage codegen; no Python runs per row.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import reduce
 
@@ -26,58 +27,57 @@ def unaccent_lower(c: Column) -> Column:
 
 # --- full fold: lower -> NFKD -> keep ASCII -------------------------------
 #
-# The table is derived by rule from the Unicode database at import time:
-# every BMP code point whose compatibility decomposition, stripped to ASCII,
-# is exactly one character maps to it (``translate``); decompositions to
-# several ASCII characters get a ``replace``; everything else that is not
-# ASCII disappears at the end.  Decomposed input (base letter + combining
-# mark) is handled by removing marks before the final ASCII filter.
-# Multi-character decompositions are expanded for the Latin, punctuation,
-# number-form and ligature blocks only (about 60 characters; CJK
-# compatibility squares and enclosed numbers outside them are dropped).
-
-_MULTI_BLOCKS = ((0x80, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x218F), (0xFB00, 0xFB06))
+# The tables are derived by rule from the Unicode database at import time, for
+# every code point: what lower() leaves of it, decomposed for compatibility and
+# stripped to ASCII.  One letter: one ``translate``.  Several letters: layer k of
+# ``_LAYERS`` translates the character to its k-th letter, or to nothing.
+# Everything else that is not ASCII disappears at the end, combining marks of
+# decomposed input included.
 
 def _ascii_fold(ch: str) -> str:
-    return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
+    return unicodedata.normalize("NFKD", ch.lower()).encode("ascii", "ignore").decode("ascii")
 
 
 def _build_fold_tables():
-    single_from, single_to, multi = [], [], []
-    for cp in range(0x80, 0x10000):
+    single, multi = {}, {}
+    for cp in range(0x80, sys.maxunicode + 1):
         if 0xD800 <= cp <= 0xDFFF:
             continue
-        ch = chr(cp)
-        if unicodedata.combining(ch) or unicodedata.category(ch) in ("Mn", "Me", "Mc"):
-            continue
-        folded = _ascii_fold(ch)
+        folded = _ascii_fold(chr(cp))
         if len(folded) == 1:
-            single_from.append(ch)
-            single_to.append(folded)
-        elif len(folded) > 1 and any(lo <= cp <= hi for lo, hi in _MULTI_BLOCKS):
-            multi.append((ch, folded))
-    return "".join(single_from), "".join(single_to), multi
+            single[chr(cp)] = folded
+        elif folded:
+            multi[chr(cp)] = folded
+    # translate() deletes what has no counterpart: longest forms first
+    order = sorted(multi, key=lambda ch: (-len(multi[ch]), ch))
+    deepest = max(map(len, multi.values()))
+    layers = ["".join(multi[ch][k] for ch in order if len(multi[ch]) > k) for k in range(deepest)]
+    return "".join(single), "".join(single.values()), "".join(order), layers
+
+
+_FOLD_FROM, _FOLD_TO, _MULTI_CHARS, _LAYERS = _build_fold_tables()
+
 
+def _spell_out(c: Column) -> Column:
+    """Multi-letter forms (ligatures, fractions, units ...) letter by letter."""
+    def spelled(ch: Column) -> Column:
+        several = F.translate(ch, _MULTI_CHARS, "") == ""
+        return F.when(several, F.concat(*[F.translate(ch, _MULTI_CHARS, k) for k in _LAYERS])).otherwise(ch)
 
-_FOLD_FROM, _FOLD_TO, _FOLD_MULTI = _build_fold_tables()
-_MULTI_CHARS = "".join(ch for ch, _ in _FOLD_MULTI)
+    return F.array_join(F.transform(F.array_remove(F.split(c, ""), ""), spelled), "")
 
 
 def fold_text(c: Column, strip: bool = False) -> Column:
-    """``unicodedata.normalize('NFKD', lower(x)).encode('ascii','ignore')``.
+    """``unicodedata.normalize('NFKD', x.lower()).encode('ascii', 'ignore')``.
 
     NULL and blank become ''.  ``strip`` also trims surrounding whitespace.
-    Cost: lower, one ``translate`` pass, one regex pass; the replace chain
-    for multi-character decompositions runs only on rows holding one
-    (detected by a second translate that deletes them and changes the
-    length).  Combining marks of decomposed input are non-ASCII, so the
-    final ASCII filter removes them as well.
+    Cost: lower, one ``translate`` pass, one regex pass; characters that fold
+    to several letters are spelled out only in rows holding one (detected by a
+    second translate that deletes them and changes the length).
     """
     low = F.lower(c)
     has_multi = F.length(F.translate(low, _MULTI_CHARS, "")) != F.length(low)
-    expanded = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])),
-                      _FOLD_MULTI, low)
-    low = F.when(has_multi, expanded).otherwise(low)
+    low = F.when(has_multi, _spell_out(low)).otherwise(low)
     out = F.translate(low, _FOLD_FROM, _FOLD_TO)
     out = F.regexp_replace(out, r"[^\x00-\x7F]", "")
     if strip:
@@ -135,6 +135,7 @@ def ellipsis(c: Column, n: int = 100) -> Column:
 
 def strip_title(c: Column) -> Column:
     """Drop a leading 'Diputado ' / 'Diputada ' title (either case of D)."""
+    # Fixed value: the title pattern.
     return F.regexp_replace(c, r"^[Dd]iputad[oa]\s+", "")
 
 

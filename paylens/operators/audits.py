@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from paylens.functions.money import digits_money, round_to_long
 from paylens.functions.text import audit_full_name, fold_text
-from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
 
 # Surnames too common to signal anything, excluded by the
 # concentration audit (as published, unaccented).
@@ -126,17 +125,16 @@ def pay_outliers(df: DataFrame, year=None, month=None, *, group: str = "estament
                  amount: str = "sueldo_num", name: str = "nombre", org: str = "organismo",
                  sigma: float = 3.0, stats_floor=400000, min_group: int = 10,
                  result_floor=2000000, year_col: str = "anyo", month_col: str = "Mes",
-                 limit: int = 100, max_groups: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 limit: int = 100) -> DataFrame:
     """Pay more than ``sigma`` deviations above its group's mean (A3 + J2 + T1).
 
-    The per-group statistics are one row per group: they are written to the
-    shared folder, counted, and broadcast when at most ``max_groups`` rows
-    (else shuffle-joined).  A window over the group would instead put every
-    row of a large group into one task.
+    The per-group statistics are one row per group.  Adaptive execution
+    measures them once they are aggregated: few are broadcast, many are
+    shuffle-joined, with a hot group split.  A window over the group would
+    instead put every row of a large group into one task.
     """
     base = _period(df, year, month, year_col, month_col).select(org, name, group, amount)
     stats = group_stats(base, group=group, amount=amount, floor=stats_floor, min_group=min_group)
-    stats = checked_broadcast(stats, max_groups)
     amt = F.col(amount)
     hits = (base.join(stats, on=group, how="inner")
             .filter((amt > F.col("promedio") + F.lit(sigma) * F.col("desv"))
@@ -148,8 +146,3 @@ def pay_outliers(df: DataFrame, year=None, month=None, *, group: str = "estament
     return (out.orderBy(F.col("veces_promedio").desc_nulls_last(), F.col("sueldo").desc_nulls_last(),
                         F.col(name).asc_nulls_last(), F.col(org).asc_nulls_last())
             .limit(limit))
-
-
-def money_columns_as_text(df: DataFrame, cols, fmt) -> DataFrame:
-    """Replace amount columns by their display text (the audits' last step)."""
-    return df.withColumns({c: fmt(F.col(c)) for c in cols})

@@ -15,18 +15,19 @@ def build_catalogue(pay: DataFrame, *, dataset: str = "origen", year_col: str =
     """One row per dataset plus a global row: years (descending) and
     organisations (ascending), NULLs left out.
 
-    Sets are combined map-side (partial ``collect_set``), so each reducer
-    receives at most one set per task and dataset, bounded by the number of
-    distinct years / organisations.  The global row merges the per-dataset
-    rows (a handful), not the table again.
+    The table is read once, down to its distinct (dataset, year) and (dataset,
+    organisation) pairs, combined map-side; a rollup of these pairs gives the
+    datasets and the global row.
     """
-    per = (pay.groupBy(F.col(dataset).alias("dataset"))
-           .agg(F.collect_set(year_col).alias("_y"), F.collect_set(org_col).alias("_o")))
-    per = per.filter(F.col("dataset").isNotNull())
-    glob = per.agg(F.array_distinct(F.flatten(F.collect_list("_y"))).alias("_y"),
-                   F.array_distinct(F.flatten(F.collect_list("_o"))).alias("_o")
-                   ).select(F.lit(global_name).alias("dataset"), "_y", "_o")
-    both = per.unionByName(glob)
+    year, org = F.col(year_col), F.col(org_col)
+    marks = F.array(F.struct(year.alias("y"), F.lit(None).cast("string").alias("o")),
+                    F.struct(F.lit(None).cast(pay.schema[year_col].dataType).alias("y"), org.cast("string").alias("o")))
+    pairs = (pay.filter(F.col(dataset).isNotNull())
+             .select(F.col(dataset).alias("dataset"), F.explode(marks).alias("m"))
+             .select("dataset", "m.y", "m.o").distinct())
+    both = (pairs.rollup("dataset").agg(F.grouping("dataset").alias("_all"), F.collect_set("y").alias("_y"),
+                                        F.collect_set("o").alias("_o"))
+            .withColumn("dataset", F.when(F.col("_all") == 1, F.lit(global_name)).otherwise(F.col("dataset"))))
     return both.select("dataset",
                        F.sort_array("_y", asc=False).alias("anios"),
                        F.sort_array("_o").alias("organismos"))

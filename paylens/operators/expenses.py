@@ -11,36 +11,36 @@ from pyspark.sql import functions as F
 
 from paylens.functions.months import month_number
 from paylens.functions.text import legislative, person_key
-from paylens.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast, sized_side, written
+from paylens.operators.joins import checked_broadcast
 
 EXPENSE_KEYS = ("anyo", "Mes", "llave_senador")
 
 
 def expense_breakdown(people: DataFrame, *sources: DataFrame, keys=EXPENSE_KEYS,
                       concept: str = "gastos_operacionales", amount: str = "monto",
-                      max_people: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      few: bool = False) -> DataFrame:
     """Sum by concept over all expense sources, for a set of person-months (J5 + A4).
 
     ``people`` holds the key columns.  The sources are unioned (one scan
     each) and summed by (keys, concept); Spark's partial/final aggregation
     does the reference's per-source-then-total two levels.
 
-    The distinct people keys are written and counted first.  A small set
-    (at most ``max_people``) is broadcast and filters the expense rows
-    before anything is shuffled; a large set is joined after the
-    aggregation, so the shuffle join sees one row per person-month-concept
-    rather than raw rows, whatever share of rows one person holds.
-    Output: keys, Concepto, Monto.
+    The people are joined after the aggregation, so the join sees one row per
+    person-month-concept rather than raw rows, whatever share of rows one
+    person holds; adaptive execution broadcasts them if they turn out small.
+    A caller who knows that they are few (a result page of limited rows) says
+    ``few``: then they are broadcast and filter the expense rows before
+    anything is shuffled.  Output: keys, Concepto, Monto.
     """
     keys = list(keys)
     cols = keys + [concept, amount]
     union = reduce(lambda a, b: a.unionByName(b), [s.select(*cols) for s in sources])
-    who, small = sized_side(people.select(*keys).distinct(), max_people)
+    who = people.select(*keys).distinct()
 
     def total(df):
         return df.groupBy(*keys, F.col(concept).alias("Concepto")).agg(F.sum(amount).alias("Monto"))
 
-    if small:
+    if few:
         return total(union.join(F.broadcast(who), on=keys, how="left_semi"))
     return total(union).join(who, on=keys, how="left_semi")
 
@@ -79,15 +79,13 @@ def expense_share(breakdown: DataFrame, *, concept: str = "Concepto", amount: st
                   keys=()) -> DataFrame:
     """Share of each concept in its total, positive amounts only (A11 + F12).
 
-    Without keys the positive rows (one per concept) are written once to
-    the shared folder and the grand total is a scalar subquery over that
-    copy, so the breakdown is not computed twice; with keys it is a grouped
+    Without keys the grand total is a scalar subquery over the positive rows;
+    Spark reuses the breakdown's exchange for it.  With keys it is a grouped
     total joined back on the keys (both sides one row per key).
     """
     pos = breakdown.filter(F.col(amount) > 0)
     keys = list(keys)
     if not keys:
-        pos = written(pos, "share")
         total = pos.agg(F.sum(amount)).scalar()
         return pos.select(concept, amount, (F.col(amount) / F.nullif(total, F.lit(0))).alias("share"))
     totals = pos.groupBy(*keys).agg(F.sum(amount).alias("_total"))
@@ -127,15 +125,16 @@ def latest_names(names: DataFrame, *, key: str, name: str, order) -> DataFrame:
 
 
 def attach_names(facts: DataFrame, names: DataFrame, *, key: str,
-                 max_rows: int = DEFAULT_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+                 bound_by: DataFrame | None = None) -> DataFrame:
     """Left-join an id -> name table (J3); unmatched ids get NULL.
 
-    The name table is broadcast only when it is proven small: by the
-    footer count of ``bound_by`` (the scan it was derived from) when given,
-    else by writing and counting it.  Beyond ``max_rows`` it is joined by
-    shuffle.
+    The name table is broadcast only when it is proven small: by the bytes of
+    the files of ``bound_by``, the scan it was derived from, when given.
+    Otherwise the join is left to adaptive execution.
     """
-    return facts.join(checked_broadcast(names, max_rows, bound_by=bound_by), on=key, how="left")
+    if bound_by is not None:
+        names = checked_broadcast(names, bound_by)
+    return facts.join(names, on=key, how="left")
 
 
 def footprint(parts: dict, keys) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast (J2, J3) and folded-name link."""
+"""Join helpers: size-checked broadcast (J3) and folded-name link."""
 
 from __future__ import annotations
 
@@ -6,78 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.functions.text import fold_text
-from paylens.session import scratch_path
 
-# A broadcast side is shipped to every executor; past this many rows it is
-# joined by shuffle instead.  Derived "dimension" tables (per-group
-# statistics, id -> name maps) usually sit far below it, but their size
-# grows with the data, so it is measured, not assumed.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-# ... and past this many bytes of written (compressed) Parquet.
+# A side whose files hold more bytes than this is joined by shuffle.
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def _write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path), path
+def scan_bytes(df: DataFrame) -> int:
+    """Bytes of all files that ``df`` reads (FileSystem metadata, no job)."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for uri in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(uri))
+        total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
+    return total
 
 
-def written(df: DataFrame, name: str = "side") -> DataFrame:
-    """``df`` computed once and written as Parquet to the shared folder
-    (``spark.checkpoint.dir``), read back: later uses read the copy, and the
-    lineage is cut, so a lost executor never re-runs what produced it."""
-    return _write(df, name)[0]
+def checked_broadcast(df: DataFrame, source: DataFrame | None = None,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``df`` hinted for broadcast if the files it comes from are small.
 
-
-def stored_bytes(spark, path: str) -> int:
-    """Total size of the files under ``path`` (FileSystem metadata only)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-               materialize: bool = True, bound_by: DataFrame | None = None,
-               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Measure a would-be broadcast side: ``(frame, rows <= max_rows)``.
-
-    ``bound_by`` is a plain scan with at least as many rows as ``df`` (for
-    example the table a per-key dedupe reads).  Its count comes from file
-    footers, so no data is read: within the bound ``df`` is small by proof;
-    beyond it ``df`` is treated as large and left for a shuffle join, and
-    nothing is written.
-
-    A derived side (an aggregate) is computed once and written as Parquet
-    to the shared folder (``spark.checkpoint.dir``); counting it then reads
-    only file footers, and the join reads the written copy, so the lineage
-    is cut there and a lost executor never re-runs the aggregation.  (An
-    eager ``DataFrame.checkpoint`` would compute the side twice.)  Plain
-    scans can pass ``materialize=False``.  Counting stops at
-    ``max_rows + 1``; a written side must also stay within ``max_bytes``
-    on disk, so wide rows cannot slip through a row bound.
+    ``df`` must hold no more than a row for each row of ``source`` (default:
+    ``df`` itself), a scan with all of its columns: a projection, a filter or
+    a dedupe of it.  Then the files' bytes bound it, and planning runs no job.
+    Beyond the bound the join is left to Spark, which shuffles, or broadcasts
+    what turns out small at run time.  Sides without such a bound (aggregates)
+    need no helper: adaptive execution measures them.
     """
-    if bound_by is not None:
-        return df, bound_by.limit(max_rows + 1).count() <= max_rows
-    if materialize:
-        df, path = _write(df, "side")
-        if stored_bytes(df.sparkSession, path) > max_bytes:
-            return df, False
-    n = df.limit(max_rows + 1).count()
-    return df, n <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      materialize: bool = True, bound_by: DataFrame | None = None) -> DataFrame:
-    """``df`` hinted for broadcast only if it has at most ``max_rows`` rows.
-
-    Above the bound the same (written) data is returned without a hint and
-    Spark plans a shuffle join (AQE may still switch it at run time).
-    """
-    df, small = sized_side(df, max_rows, materialize, bound_by)
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if scan_bytes(source if source is not None else df) <= max_bytes else df
 
 
 # Folded keys are pure ASCII, so a key starting with this character can
@@ -87,9 +43,13 @@ _NO_MATCH = "\u00ff"
 
 def folded_link(left: DataFrame, right: DataFrame, left_name: Column | str,
                 right_name: Column | str, how: str = "left",
-                key: str = "_name_key") -> DataFrame:
+                key: str = "_name_key", one: bool = False) -> DataFrame:
     """Equi-join two frames on the accent-folded, lower-cased full name.
 
+    Each left row meets every right row of its name, so a name that many on
+    both sides share multiplies; ``one=True`` gives one row per left row
+    instead, with the number of matches (``n_matches``) and the first match.
+
     Both keys become a plain hash-join key, so Spark shuffles (or
     broadcasts) on it like any equi-join.  Blank names never link.  On the
     left of a left join they get a unique, never-matching key made from a
@@ -102,6 +62,9 @@ def folded_link(left: DataFrame, right: DataFrame, left_name: Column | str,
     lkey = F.nullif(fold_text(lcol, strip=True), F.lit(""))
     rk = (right.withColumn(key, F.nullif(fold_text(rcol, strip=True), F.lit("")))
           .filter(F.col(key).isNotNull()))
+    if one:
+        rk = rk.groupBy(key).agg(F.count(F.lit(1)).alias("n_matches"), F.min(F.struct(*right.columns)).alias("_first"))
+        rk = rk.select(key, "n_matches", "_first.*")
     if how != "left":
         return left.withColumn(key, lkey).filter(F.col(key).isNotNull()).join(rk, on=key, how=how)
     spread = F.concat(F.lit(_NO_MATCH), F.xxhash64(*[F.col(c) for c in left.columns]).cast("string"))

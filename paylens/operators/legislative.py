@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.functions.money import digits_money_or_zero
+from paylens.functions.money import digits_money_or_zero, whole_number
 from paylens.functions.months import month_name
 from paylens.functions.text import fold_text, person_key
 from paylens.operators import expenses as exp
-from paylens.operators.unify import (find_column, non_blank, origin_for, pay_rows,
+from paylens.operators.unify import (find_column, non_blank, origin_from_name, pay_rows,
                                      ragged_concat, role_of)
 from paylens.sources import readers, sinks
 
@@ -37,6 +37,8 @@ STAFF_KINDS = {"personal_planta": "Personal de Planta",
                "personal_contrata": "Personal a Contrata",
                "personal_honorarios": "Personal a Honorarios"}
 
+# Column names of the drops and the outputs.
+BASE_PAY = ("Nombre", "Cargo", "Sueldo Liquido", "Sueldo Bruto")
 APP_COLUMNS = ("organismo_nombre", "anyo", "Mes", "estamento", "Nombres", "Paterno", "Materno",
                "cargo", "remuliquida_mensual", "remuneracionbruta_mensual", "origen",
                "search_vector")
@@ -46,34 +48,58 @@ SENATE_EXTRACT = ("ano", "mes", "rut", "llave_senador", "dieta", "deducciones",
 
 # ------------------------------------------------------------------ C12
 
-def bulk_pay(spark: SparkSession, paths) -> DataFrame:
+def drop_name(path: str) -> str:
+    return os.path.basename(path.rstrip("/"))
+
+
+def bulk_pay(spark: SparkSession, paths, drops: bool = False, skipped: list | None = None) -> DataFrame | None:
     """All bulk CSV drops as unified pay rows (C12 without the write).
 
-    Files can differ in header, so each file is scanned with its own
-    header (one tiny probe each); the per-file plans are unioned and run
-    as one job.
+    A drop is a file, or a folder of parts.  Drops are grouped by header (one
+    job for all): one scan per header, whatever the number of drops.  A drop
+    that is missing or empty is skipped; ``skipped`` collects (path, reason).
+    ``drops`` adds the drop's name as a column.
     """
-    frames = []
-    for path in paths:
-        header = readers.read_header(spark, path)
-        if not header:
-            continue
-        raw = readers.read_lenient_csv(spark, path, columns=header)
-        frames.append(pay_rows(raw, origin_for(os.path.basename(path)), header=header))
-    return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
+    skipped = skipped if skipped is not None else []
+    paths = list(paths)
+    there = [p for _, p in readers.existing_paths(spark, [(p, p) for p in paths])]
+    skipped += [(p, "missing") for p in paths if p not in there]
+    if not there:
+        return None
+    heads = readers.headers_of(spark, there, readers.LATIN1)
+    # the part of a path that names the drop: the file, or the folder of parts
+    name = F.regexp_extract(readers.plain_path(), r"([^/]+?)(?:/part-[^/]*)?$", 1)
+    frames, read = [], set()
+    for head, files in heads.items():
+        header = readers.split_header(head, ";")
+        raw = readers.read_lenient_csv(spark, [readers.literal_path(f) for f in files], columns=header)
+        frames.append(pay_rows(raw.withColumn("__drop", name), origin_from_name(F.col("__drop")),
+                               header=header + ["__drop"], keep=("__drop",)))
+        read.update(files)
+    skipped += [(p, "empty") for p in there if not any(drop_name(p) in f for f in read)]
+    if not frames:
+        return None
+    rows = reduce(lambda a, b: a.unionByName(b), frames)
+    return rows.withColumnRenamed("__drop", "drop") if drops else rows.drop("__drop")
 
 
 def ingest_bulk_csv(spark: SparkSession, paths, out: str, num_files: int | None = None,
-                    observation=None) -> DataFrame | None:
+                    observation=None, skipped: list | None = None) -> DataFrame | None:
     """CSV drops -> partitioned ZSTD Parquet; returns the written table.
 
+    Every drop keeps rows of its own (partition ``drop`` below source, year
+    and month): another drop of the same source and month adds to it, the same
+    drop ingested again replaces all it had before.
     Pass a ``pyspark.sql.Observation`` to get, after the write, the number
     of rows written and how many carried a parsable net / gross amount.
     """
-    rows = bulk_pay(spark, paths)
+    paths = list(paths)
+    rows = bulk_pay(spark, paths, drops=True, skipped=skipped)
     if rows is None:
         return None
-    sinks.write_pay_parquet(rows, out, num_files=num_files, observation=observation)
+    sinks.remove_drops(spark, out, [drop_name(p) for _, p in readers.existing_paths(spark, [(p, p) for p in paths])])
+    sinks.write_pay_parquet(rows, out, partition_by=("origen", "anyo", "Mes", "drop"), num_files=num_files,
+                            observation=observation)
     return spark.read.parquet(out)
 
 
@@ -82,7 +108,8 @@ def ingest_bulk_csv(spark: SparkSession, paths, out: str, num_files: int | None
 def _key(df: DataFrame) -> F.Column:
     cols = [F.col(c) if c in df.columns else F.lit(None).cast("string")
             for c in ("nombre", "appaterno", "apmaterno")]
-    return person_key(*cols)
+    # nameless rows have no key: they match nothing and do not meet on one key
+    return F.nullif(person_key(*cols), F.lit(""))
 
 
 def consolidate_senate(pay: DataFrame, expenses: DataFrame | None):
@@ -132,8 +159,10 @@ def consolidate_senate(pay: DataFrame, expenses: DataFrame | None):
 
 # A month key in a file name (``2024_03.csv``) or a folder name
 # (``period=2024_03/part-0.csv``); the expense drops also carry an id.
-MONTH_FILE = r"(?:^|[/=])(\d{4})_(\d{2})(?:\.csv$|/)"
-ID_MONTH_FILE = r"(?:^|[/=])(\d+)_(\d{4})_(\d{2})(?:\.csv$|/)"
+# It is the last part of the path, or the folder of a drop written in parts:
+# months in names of folders above say nothing.
+MONTH_FILE = r"(?:^|[/=])(\d{4})_(\d{2})(?:\.csv)?(?:/part-[^/]*)?$"
+ID_MONTH_FILE = r"(?:^|[/=])(\d+)_(\d{4})_(\d{2})(?:\.csv)?(?:/part-[^/]*)?$"
 
 
 def read_month_files(spark: SparkSession, folder: str) -> list[DataFrame]:
@@ -172,12 +201,15 @@ def staff(df: DataFrame, role: str) -> DataFrame:
     return df.select(*cols)
 
 
-def deputies(df: DataFrame) -> DataFrame:
-    """Deputies' base pay rows (gross and net given)."""
+def deputies(df: DataFrame) -> DataFrame | None:
+    """Deputies' base pay rows (gross and net given as plain numbers, also
+    ``1000.0``); None for a drop without its columns."""
+    if not set(BASE_PAY) <= set(df.columns):
+        return None
     return df.select("anyo", "Mes_id", F.lit(DEPUTY_ROLE).alias("estamento"),
                      F.upper(F.col("Nombre")).alias("Nombres"), F.col("Cargo").alias("cargo"),
-                     F.col("`Sueldo Liquido`").try_cast("bigint").alias("remuliquida_mensual"),
-                     F.col("`Sueldo Bruto`").try_cast("bigint").alias("remuneracionbruta_mensual"))
+                     whole_number(F.col("`Sueldo Liquido`")).alias("remuliquida_mensual"),
+                     whole_number(F.col("`Sueldo Bruto`")).alias("remuneracionbruta_mensual"))
 
 
 def chamber_rows(parts) -> DataFrame:
@@ -212,7 +244,7 @@ def consolidate_chamber_frames(support=(), staff_by_role: dict | None = None,
     parts = [support_staff(df) for df in support]
     for role, frames in (staff_by_role or {}).items():
         parts += [staff(df, role) for df in frames]
-    parts += [deputies(df) for df in base if "Nombre" in df.columns]
+    parts += [deputies(df) for df in base]
     parts = [p for p in parts if p is not None]
     return chamber_rows(parts) if parts else None
 
@@ -306,7 +338,9 @@ def chamber_job(spark: SparkSession, raw_dir: str, out_dir: str) -> dict:
     app = consolidate_chamber(spark, raw_dir)
     if app is not None:
         sinks.write_pay_parquet(app, outs["pay"])
-        sinks.write_analyst_csv(app, outs["extract"])
+        # the CSV is derived from the written rows: the drops are read once
+        written = spark.read.parquet(outs["pay"]).filter(F.col("origen") == CHAMBER_ORIGIN)
+        sinks.write_analyst_csv(written.select(*app.columns), outs["extract"])
     detail = read_chamber_expenses(spark, raw_dir)
     if detail is not None:
         sinks.write_parquet(detail, outs["detail"])

@@ -33,6 +33,40 @@ def _blocks(html: Column, tag: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1)
 
 
+def outer_blocks(html: Column, tag: str) -> Column:
+    """Inner HTML of each outermost ``tag`` element, in order.
+
+    The page is cut before opening and after closing tags.  A running depth
+    over the pieces finds the outermost elements; the pieces of nested ones
+    keep their text but lose their tags, so that their rows are not taken for
+    rows of the outer element.
+    """
+    opens = rf"(?is)^<{tag}\b[^>]*>"
+    pieces = F.split(html, rf"(?is)(?=<{tag}\b)|(?<=</{tag}>)")
+    start = F.struct(F.lit(0).alias("depth"), F.lit(-1).alias("no"),
+                     F.array().cast("array<struct<no:int,part:string>>").alias("parts"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opening = piece.rlike(opens)
+        depth = state["depth"] + F.when(opening, 1).otherwise(0)
+        no = state["no"] + F.when(opening & (depth == 1), 1).otherwise(0)
+        inner = F.when(depth == 1, F.regexp_replace(piece, rf"{opens}|(?is)</{tag}>$", "")).otherwise(
+            F.regexp_replace(piece, r"<[^>]*>", " "))
+        held = F.when(depth > 0, F.array(F.struct(no.alias("no"), inner.alias("part")))).otherwise(
+            F.array().cast("array<struct<no:int,part:string>>"))
+        closing = F.when(piece.rlike(rf"(?is)</{tag}>$"), 1).otherwise(0)
+        return F.struct(F.greatest(depth - closing, F.lit(0)).alias("depth"), no.alias("no"),
+                        F.concat(state["parts"], held).alias("parts"))
+
+    def tables(state: Column) -> Column:
+        count = F.when(state["no"] < 0, F.array().cast("array<int>")).otherwise(
+            F.sequence(F.lit(0), F.greatest(state["no"], F.lit(0))))
+        return F.transform(count, lambda k: F.array_join(F.transform(
+            F.filter(state["parts"], lambda p: p["no"] == k), lambda p: p["part"]), ""))
+
+    return F.aggregate(pieces, start, step, tables)
+
+
 def table_rows(pages: DataFrame, *, html: str = "html", key: str = "page_id",
                table_tag: str = "table", row_tag: str = "tr", cell_tag: str = "t[dh]",
                first_table_only: bool = True) -> DataFrame:
@@ -40,9 +74,10 @@ def table_rows(pages: DataFrame, *, html: str = "html", key: str = "page_id",
 
     Defaults read ``<table>/<tr>/<td|th>``; other tags (for example
     ``ul``/``li``/``a``) treat lists as tables.  ``first_table_only`` keeps
-    the first table of each page, as the monthly scrape did.
+    the first table of each page, as the monthly scrape did.  A table inside a
+    cell counts as that cell's text.
     """
-    tables = pages.select(key, F.posexplode(_blocks(F.col(html), table_tag)).alias("table_no", "_t"))
+    tables = pages.select(key, F.posexplode(outer_blocks(F.col(html), table_tag)).alias("table_no", "_t"))
     if first_table_only:
         tables = tables.filter(F.col("table_no") == 0)
     rows = tables.select(key, "table_no", F.posexplode(_blocks(F.col("_t"), row_tag)).alias("row_no", "_r"))
@@ -50,7 +85,8 @@ def table_rows(pages: DataFrame, *, html: str = "html", key: str = "page_id",
     return rows.select(key, "table_no", "row_no", cells.alias("cells"))
 
 
-LINK = r'(?i)<a\b[^>]*?href="([^"]*)"[^>]*>([^<]*)<'
+# An anchor: its quoted href, and the HTML up to its end tag.
+LINK = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*')[^>]*>(.*?)</a>"""
 
 
 def links(pages: DataFrame, *, html: str = "html", key: str = "page_id",
@@ -62,7 +98,8 @@ def links(pages: DataFrame, *, html: str = "html", key: str = "page_id",
     """
     # one row per whole anchor match, then both groups from that match
     anchors = pages.select(key, F.explode(F.regexp_extract_all(F.col(html), F.lit(LINK), 0)).alias("_a"))
-    out = anchors.select(key, F.regexp_extract("_a", LINK, 1).alias("href"),
+    quoted = F.regexp_extract("_a", LINK, 1)
+    out = anchors.select(key, F.substring(quoted, F.lit(2), F.length(quoted) - 2).alias("href"),
                          strip_tags(F.regexp_extract("_a", LINK, 2)).alias("text"))
     out = out.filter(F.col("text") != "")
     if href_pattern:
@@ -72,7 +109,7 @@ def links(pages: DataFrame, *, html: str = "html", key: str = "page_id",
 
 
 def heading(pages: DataFrame, *, html: str = "html", key: str = "page_id",
-            tag: str = "h1") -> DataFrame:
+            tag: str = "h2") -> DataFrame:
     """First heading of each page as text, a leading 'Diputado/a ' title removed."""
     raw = F.regexp_extract(F.col(html), rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
     text = strip_tags(raw)

@@ -111,17 +111,19 @@ def last_record(pay: DataFrame, person: str | None, *, vector: str | Column = "s
             .select(*columns).limit(1))
 
 
-def search_or_last_record(pay: DataFrame, *, person: str, limit: int = 500, **filters):
+def search_or_last_record(pay: DataFrame, *, person: str, limit: int = 500, last: dict | None = None, **filters):
     """The explorer's flow: the filtered search, and when it finds nothing,
     the person's latest record ignoring the date filters (C1 then C2).
 
     Returns ``(rows, last)``; ``last`` is None when the search found rows.
-    The emptiness test takes at most one row (``limit(1)``).
+    The emptiness test takes at most one row (``limit(1)``).  ``last`` holds
+    options of :func:`last_record`; column options of the search hold for both.
     """
     rows = search(pay, person=person, limit=limit, **filters)
     if rows.limit(1).count() > 0:
         return rows, None
-    return rows, last_record(pay, person)
+    shared = {k: v for k, v in filters.items() if k in ("vector", "year_col", "month_col")}
+    return rows, last_record(pay, person, **{**shared, **(last or {})})
 
 
 def last_records(pay: DataFrame, keys, *, columns=("anyo", "Mes", "organismo_nombre", "origen"),
@@ -169,9 +171,13 @@ def select_profile(result: DataFrame, profile: dict, *, keys=PROFILE_KEYS) -> Da
 
 
 def result_flags(result: DataFrame, limit: int, *, keys=PROFILE_KEYS) -> DataFrame:
-    """One row: number of distinct profiles, ambiguity and truncation (A10)."""
+    """One row: number of distinct profiles, ambiguity and truncation (A10).
+
+    ``result`` is the unlimited result; it is truncated when it has more rows
+    than ``limit`` shows.
+    """
     prof = F.struct(*[_profile_key(k) for k in keys])
     return (result.agg(F.count_distinct(prof).alias("n_profiles"), F.count(F.lit(1)).alias("n_rows"))
             .select("n_profiles", "n_rows",
                     (F.col("n_profiles") > 1).alias("ambiguous"),
-                    (F.col("n_rows") == F.lit(limit)).alias("truncated")))
+                    (F.col("n_rows") > F.lit(limit)).alias("truncated")))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from paylens.functions.money import format_clp
 from paylens.functions.months import month_number
 from paylens.functions.text import ellipsis
+from paylens.operators.unify import ordered_columns
 
+# Money columns, display order and labels of the tables shown.
 MONEY_COLUMNS = ("remuliquida_mensual", "remuneracionbruta_mensual")
 DISPLAY_ORDER = (
     "anyo", "Mes", "Nombres", "Paterno", "Materno", "remuneracionbruta_mensual",
@@ -53,29 +55,25 @@ def display_table(df: DataFrame, order=DISPLAY_ORDER, hidden=HIDDEN,
                   money=MONEY_COLUMNS) -> DataFrame:
     """Known columns first in display order, then the rest; helper columns
     hidden; money as '$ 1.234.567' text (P6, X6)."""
-    first = [c for c in order if c in df.columns]
-    rest = [c for c in df.columns if c not in first and c not in hidden]
-    out = df.select(*first, *rest)
+    out = ordered_columns(df, order, hidden)
     return out.withColumns({c: format_clp(F.col(c)) for c in money if c in out.columns})
 
 
 def histogram(df: DataFrame, amount: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between the global min and max.
 
-    The two bounds come from one global aggregate (one row, one small job:
-    partial min/max per task); the binning is then a map-side expression
-    followed by a partial count per bin.  No window over the whole table,
-    no cross join.  Bin = floor(bins * (x - lo) / (hi - lo)) + 1, the
+    The two bounds are scalar subqueries over one global aggregate (partial
+    min/max per task), so planning runs no job; the binning is then a map-side
+    expression followed by a partial count per bin.  No window over the whole
+    table, no cross join.  Bin = floor(bins * (x - lo) / (hi - lo)) + 1, the
     maximum falls in the last bin, and lo = hi puts everything in bin 1.
     """
     vals = df.select(F.col(amount).alias("x")).filter(F.col("x").isNotNull())
-    b = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    if b is None or b.lo is None:
-        bucket = F.lit(1)
-    else:
-        raw = F.floor((F.lit(bins) * (F.col("x") - F.lit(b.lo))) / F.nullif(F.lit(b.hi - b.lo), F.lit(0))) + 1
-        # least() skips NULL, so the lo = hi case is defaulted before clamping
-        bucket = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins))
+    bounds = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
+    raw = F.floor((F.lit(bins) * (F.col("x") - lo)) / F.nullif(hi - lo, F.lit(0))) + 1
+    # least() skips NULL, so the lo = hi case is defaulted before clamping
+    bucket = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins))
     return (vals.groupBy(bucket.cast("int").alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bin_min"), F.max("x").alias("bin_max")))
 

@@ -99,22 +99,22 @@ def origin_for(name: str) -> str:
 
 
 def pay_rows(raw: DataFrame, origin: Column | str, full_fold: bool = True,
-             header=None) -> DataFrame:
+             header=None, keep=()) -> DataFrame:
     """Raw bulk rows -> unified pay rows (C12 core: P1, X1, X11, X5, P3, F1).
 
     Money through the decimal-comma cleaner, year through a strict
     ``try_cast``, rows outside 2000..2050 (or without a year) dropped.
     The search vector uses the same full fold as the query side, so every
     accented letter matches its base letter; ``full_fold=False`` gives the
-    published 16-letter fold instead.
+    published 16-letter fold instead.  ``keep`` names raw columns carried along.
     """
-    keep = ()
+    kept, keep = tuple(keep), tuple(keep)
     if not isinstance(origin, str):
         # an expression over the raw row (e.g. on the file name): evaluate
         # it before the projection drops the raw columns
         raw = raw.withColumn("__origen", origin)
         header = (list(header) + ["__origen"]) if header is not None else None
-        keep, origin = ("__origen",), F.col("__origen")
+        keep, origin = (*keep, "__origen"), F.col("__origen")
     u = unify(raw, INGEST_MAPPING, header=header, keep=keep)
     year = F.col("anyo").try_cast("int")
     u = u.withColumns({
@@ -125,7 +125,7 @@ def pay_rows(raw: DataFrame, origin: Column | str, full_fold: bool = True,
     origin_col = F.lit(origin) if isinstance(origin, str) else origin
     u = u.withColumn("search_vector", search_vector(F.col("Nombres"), F.col("Paterno"),
                                                     F.col("Materno"), full_fold=full_fold))
-    u = u.withColumn("origen", origin_col).drop(*keep)
+    u = u.withColumn("origen", origin_col).drop(*[c for c in keep if c not in kept])
     return u.filter(F.col("anyo").between(2000, 2050))
 
 
@@ -189,6 +189,7 @@ def find_column(columns, *needles, regex: str | None = None) -> str | None:
 
 def ordered_columns(df: DataFrame, order, hidden=()) -> DataFrame:
     """Known columns in the given order, then the rest, minus hidden."""
-    first = [c for c in order if c in df.columns]
-    rest = [c for c in df.columns if c not in first and c not in hidden]
-    return df.select(*first, *rest)
+    rank = {name: k for k, name in enumerate(order)}
+    shown = [c for c in df.columns if c in rank or c not in hidden]
+    # sorted() is stable: columns outside the order keep their places after it
+    return df.select(*sorted(shown, key=lambda c: rank.get(c, len(rank))))

@@ -15,23 +15,15 @@ MONTHS_SQL = ("['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto
 ORACLE: dict[str, str] = {}
 
 ORACLE["multi_employment"] = f"""
-WITH limpios AS (
-  SELECT CAST(l_partkey AS VARCHAR) AS nombre_completo, l_suppkey AS organismo,
-         l_returnflag AS Origen, CAST(year(l_shipdate) AS INTEGER) AS anyo,
-         {MONTHS_SQL}[month(l_shipdate)] AS Mes,
-         CAST(round(l_extendedprice * 100) AS BIGINT) AS sueldo_num
-  FROM lineitem)
-SELECT nombre_completo, anyo, Mes,
-       CAST(COUNT(DISTINCT organismo) AS INTEGER) AS num_empleos,
-       CAST(SUM(sueldo_num) AS BIGINT) AS sueldo_total,
-       array_to_string(list_sort(list(DISTINCT organismo)), ',') AS lista_organismos,
-       array_to_string(list_sort(list(DISTINCT Origen)), ',') AS tipos_contrato
-FROM limpios
-WHERE anyo = 1998 AND Mes = 'Marzo'
-GROUP BY 1, 2, 3
-HAVING COUNT(DISTINCT organismo) > 1
-ORDER BY sueldo_total DESC NULLS LAST, nombre_completo ASC NULLS LAST
-LIMIT 100
+SELECT CAST(l_partkey AS VARCHAR) AS nombre_completo, CAST(1998 AS INTEGER) AS anyo, 'Marzo' AS Mes,
+       CAST(len(list_distinct(list(l_suppkey))) AS INTEGER) AS num_empleos,
+       CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS sueldo_total,
+       array_to_string(list_sort(list_distinct(list(l_suppkey))), ',') AS lista_organismos,
+       array_to_string(list_sort(list_distinct(list(l_returnflag))), ',') AS tipos_contrato
+FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1998-03-01' AND l_shipdate < TIMESTAMP '1998-04-01'
+GROUP BY l_partkey HAVING min(l_suppkey) < max(l_suppkey)
+ORDER BY sueldo_total DESC, nombre_completo LIMIT 100
 """
 
 ORACLE["pay_ranking"] = f"""
@@ -47,39 +39,37 @@ ORDER BY sueldo_num DESC, nombre_completo ASC NULLS LAST, organismo ASC NULLS LA
 LIMIT 100
 """
 
-ORACLE["surname_concentration"] = """
-WITH staff AS (
-  SELECT p_brand AS organismo, split_part(p_name, ' ', 2) AS Paterno,
-         CAST(round(p_retailprice * 100) AS BIGINT) AS sueldo_num
-  FROM part)
-SELECT organismo, upper(Paterno) AS apellido,
-       COUNT(*) AS cantidad_personas,
-       CAST(SUM(sueldo_num) AS BIGINT) AS costo_mensual_total
-FROM staff
-WHERE length(Paterno) > 2
-  AND upper(Paterno) NOT IN ('GONZALEZ', 'MUÑOZ', 'ROJAS', 'DIAZ', 'PEREZ', 'SOTO',
-                             'CONTRERAS', 'SILVA', 'MARTINEZ', 'SEPULVEDA')
-GROUP BY 1, 2
-HAVING COUNT(*) >= 5
-ORDER BY cantidad_personas DESC, organismo ASC NULLS LAST, apellido ASC NULLS LAST
-LIMIT 100
+# The surnames left out of the concentration audit.
+COMMON_SQL = ("['GONZALEZ', 'MUÑOZ', 'ROJAS', 'DIAZ', 'PEREZ', 'SOTO', 'CONTRERAS', 'SILVA', 'MARTINEZ', "
+              "'SEPULVEDA']")
+
+
+def surname_sql(org: str, surname: str, amount: str, source: str) -> str:
+    """Surnames of five or more rows in an organisation, by count."""
+    return f"""
+SELECT org AS organismo, apellido, n AS cantidad_personas, total AS costo_mensual_total
+FROM (SELECT {org} AS org, upper({surname}) AS apellido, count(*) AS n,
+             CAST(sum({amount}) AS BIGINT) AS total
+      FROM {source} WHERE strlen({surname}) > 2 GROUP BY ALL)
+WHERE n >= 5 AND NOT list_contains({COMMON_SQL}, apellido)
+ORDER BY n DESC, org NULLS LAST, apellido NULLS LAST LIMIT 100
 """
 
 
+ORACLE["surname_concentration"] = surname_sql(
+    "p_brand", "split_part(p_name, ' ', 2)", "CAST(round(p_retailprice * 100) AS BIGINT)", "part")
+
+
 def _outliers_sql(base: str) -> str:
+    """Rows above mean + 3 deviations of their group, for groups of over ten
+    positive rows; mean and deviation as window values over the group."""
     return f"""
-WITH base AS ({base}),
-stats AS (
-  SELECT estamento, AVG(sueldo_num) AS promedio, STDDEV_SAMP(sueldo_num) AS desv
-  FROM base WHERE sueldo_num > 0 GROUP BY 1 HAVING COUNT(*) > 10)
-SELECT b.organismo, b.nombre, b.estamento, b.sueldo_num AS sueldo,
-       CAST(s.promedio AS BIGINT) AS promedio_estamento,
-       CAST((b.sueldo_num / NULLIF(s.promedio, 0)) AS DECIMAL(10,1)) AS veces_promedio
-FROM base b JOIN stats s ON b.estamento = s.estamento
-WHERE b.sueldo_num > (s.promedio + 3 * s.desv) AND b.sueldo_num > 0
-ORDER BY veces_promedio DESC NULLS LAST, sueldo DESC NULLS LAST, b.nombre ASC NULLS LAST,
-         b.organismo ASC NULLS LAST
-LIMIT 100
+SELECT organismo, nombre, estamento, sueldo_num AS sueldo, CAST(mean AS BIGINT) AS promedio_estamento,
+       CAST(sueldo_num / mean AS DECIMAL(10,1)) AS veces_promedio
+FROM (SELECT *, avg(sueldo_num) OVER g AS mean, stddev_samp(sueldo_num) OVER g AS spread, count(*) OVER g AS n
+      FROM ({base}) WHERE sueldo_num > 0 WINDOW g AS (PARTITION BY estamento))
+WHERE n > 10 AND sueldo_num > mean + 3 * spread AND estamento IS NOT NULL
+ORDER BY veces_promedio DESC, sueldo DESC, nombre NULLS LAST, organismo NULLS LAST LIMIT 100
 """
 
 
@@ -126,6 +116,15 @@ ORDER BY o_orderkey LIMIT 500
 ORACLE["accent_fold"] = f"SELECT doc_id, {FOLD16.format(x='text')} AS folded FROM documents"
 ORACLE["accent_fold_full"] = f"SELECT doc_id, {FOLD_FULL.format(x='text')} AS folded FROM documents"
 
+# What each character of registry.FOLD_SAMPLES folds to, spelled out.
+_FOLDED_DIGITS = ["kg", "10", "No", "viii", "A", "9", "", "", "", "n"]
+ORACLE["accent_fold_special"] = f"""
+SELECT c_custkey, array_to_string(list_transform(string_split(c_name, ''), lambda ch: CASE ch
+    {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in enumerate(_FOLDED_DIGITS))} ELSE lower(ch) END), '')
+    || 'fi12kg10NoviiiA9n' AS folded
+FROM customer
+"""
+
 ORACLE["last_record"] = f"""
 SELECT anyo, Mes, organismo_nombre, origen
 FROM ({ORDER_ROWS}) o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -168,14 +167,10 @@ SELECT COUNT(DISTINCT (trim(COALESCE(Nombres, '')), trim(COALESCE(Paterno, '')),
        COUNT(*) AS n_rows,
        COUNT(DISTINCT (trim(COALESCE(Nombres, '')), trim(COALESCE(Paterno, '')),
                        trim(COALESCE(Materno, '')))) > 1 AS ambiguous,
-       COUNT(*) = 500 AS truncated
-FROM ({PART_PEOPLE}) WHERE Paterno = 'ring'
+       COUNT(*) > 500 AS truncated
+FROM ({PART_PEOPLE})
 """
 
-SEGMENT_ORDERS = f"""
-  SELECT * FROM ({ORDER_ROWS})
-  WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""
-
 ORACLE["kpis"] = f"""
 SELECT registros, gasto_total, promedio, maximo,
        CASE WHEN registros = 1 THEN 'Gasto Total (Mes)' ELSE 'Gasto Total (Acumulado)' END
@@ -185,13 +180,13 @@ SELECT registros, gasto_total, promedio, maximo,
 FROM (SELECT COUNT(*) AS registros, CAST(SUM(remuliquida_mensual) AS BIGINT) AS gasto_total,
              round(AVG(remuliquida_mensual), 2) AS promedio, AVG(remuliquida_mensual) AS promedio_raw,
              MAX(remuliquida_mensual) AS maximo
-      FROM ({SEGMENT_ORDERS}))
+      FROM ({ORDER_ROWS}))
 """
 
 ORACLE["chronological_table"] = f"""
 SELECT anyo, Mes, {clp('remuliquida_mensual')} AS remuliquida_mensual, organismo_nombre, origen,
        o_orderkey
-FROM ({SEGMENT_ORDERS})
+FROM ({ORDER_ROWS})
 """
 
 ORACLE["pay_histogram"] = f"""
@@ -429,15 +424,13 @@ FROM ({NAME_PARTS})
 """
 
 ORACLE["pay_with_expenses"] = f"""
-WITH pay AS (SELECT 1998 AS ano, 3 AS mes, c_custkey AS llave_senador,
-                    {CENTS.format(x='c_acctbal')} AS dieta FROM customer),
-spent AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
-                 o_custkey AS llave_senador, SUM({CENTS.format(x='o_totalprice')}) AS t
-          FROM orders WHERE year(o_orderdate) = 1998 AND month(o_orderdate) = 3 GROUP BY ALL)
-SELECT p.ano, p.mes, p.llave_senador, p.dieta,
-       CAST(COALESCE(s.t, 0) AS BIGINT) AS total_gastos_operacionales,
-       CAST(p.dieta + COALESCE(s.t, 0) AS BIGINT) AS costo_total_mensual
-FROM pay p LEFT JOIN spent s USING (ano, mes, llave_senador)
+WITH spent AS (SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month, SUM({CENTS.format(x='o_totalprice')}) AS t
+               FROM orders GROUP BY ALL),
+pay AS (SELECT CAST(c_custkey % 7 + 1992 AS INTEGER) AS ano, CAST(c_custkey % 12 + 1 AS INTEGER) AS mes,
+               c_custkey, {CENTS.format(x='c_acctbal')} AS dieta FROM customer)
+SELECT ano, mes, c_custkey AS llave_senador, dieta, CAST(COALESCE(t, 0) AS BIGINT) AS total_gastos_operacionales,
+       CAST(dieta + COALESCE(t, 0) AS BIGINT) AS costo_total_mensual
+FROM pay LEFT JOIN spent ON o_custkey = c_custkey AND month = printf('%d-%02d', ano, mes)
 """
 
 ORACLE["id_name_lookup"] = """
@@ -486,12 +479,12 @@ def strip_tags(x: str) -> str:
     return f"trim({inner})"
 
 
-LINK = """(?i)<a\\b[^>]*?href="([^"]*)"[^>]*>([^<]*)<"""
-
+# Anchors found by splitting, not by the library's pattern.
 ORACLE["page_links"] = f"""
-WITH m AS (SELECT page_id, unnest(regexp_extract_all(html, '{LINK}', 0)) AS a FROM pages),
-x AS (SELECT page_id, regexp_extract(a, '{LINK}', 1) AS href,
-             {strip_tags(f"regexp_extract(a, '{LINK}', 2)")} AS text FROM m)
+WITH closed AS (SELECT page_id, unnest(string_split(html, '</a>')) AS s FROM pages),
+opened AS (SELECT page_id, string_split(s, '<a ')[-1] AS s FROM closed WHERE contains(s, '<a ')),
+x AS (SELECT page_id, split_part(split_part(s, 'href="', 2), '"', 1) AS href,
+             {strip_tags("substr(s, instr(s, '>') + 1)")} AS text FROM opened)
 SELECT DISTINCT page_id, href, text FROM x WHERE text <> ''
 """
 
@@ -502,15 +495,31 @@ SELECT page_id,
 FROM pages
 """
 
+# The first list of a page, cut out by splitting at its tags (lists do not nest here).
+_ITEMS = """
+items AS (
+  SELECT page_id, CAST(generate_subscripts(rws, 1) - 1 AS INTEGER) AS row_no, unnest(rws) AS rw
+  FROM (SELECT page_id, list_filter(string_split(split_part(split_part(html, '<ul>', 2), '</ul>', 1), '<li>'),
+                                    lambda x: contains(x, '</li>')) AS rws
+        FROM pages WHERE contains(html, '<ul>')))"""
+
 ORACLE["page_table_rows"] = f"""
-WITH t AS (SELECT page_id, regexp_extract_all(html, '(?is)<ul\\b[^>]*>(.*?)</ul>', 1) AS tabs FROM pages),
-r AS (SELECT page_id, regexp_extract_all(tabs[1], '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS rws
-      FROM t WHERE len(tabs) > 0),
-rr AS (SELECT page_id, unnest(generate_series(0, len(rws) - 1)) AS row_no, unnest(rws) AS rw FROM r)
-SELECT page_id, 0 AS table_no, CAST(row_no AS INTEGER) AS row_no,
-       array_to_string(list_transform(regexp_extract_all(rw, '(?is)<a\\b[^>]*>(.*?)</a>', 1),
-                                      lambda x: {strip_tags('x')}), '|') AS cells
-FROM rr
+WITH {_ITEMS},
+cells AS (SELECT page_id, row_no, list_filter(string_split(split_part(rw, '</li>', 1), '<a '),
+                                              lambda x: contains(x, '</a>')) AS cs FROM items)
+SELECT page_id, CAST(0 AS INTEGER) AS table_no, row_no,
+       array_to_string(list_transform(cs, lambda x: {strip_tags("substr(split_part(x, '</a>', 1), instr(x, '>') + 1)")}),
+                       '|') AS cells
+FROM cells
+"""
+
+ORACLE["page_nested_tables"] = f"""
+WITH items AS (
+  SELECT page_id, CAST(generate_subscripts(rws, 1) - 1 AS INTEGER) AS row_no, unnest(rws) AS rw
+  FROM (SELECT page_id, list_filter(string_split(html, '<li>'), lambda x: contains(x, '</li>')) AS rws FROM pages))
+SELECT page_id, CAST(0 AS INTEGER) AS table_no, row_no,
+       {strip_tags("split_part(rw, '</li>', 1)")} || '|' || CASE WHEN row_no % 2 = 1 THEN 'in' ELSE '-' END AS cells
+FROM items
 """
 
 ORACLE["coverage_gaps"] = """
@@ -565,11 +574,18 @@ WHERE anyo BETWEEN 2005 AND 2010
 """
 
 ORACLE["filename_keys"] = f"""
-SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS anyo,
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN CAST(o_custkey % 3 AS INTEGER) END AS id,
+       CAST(year(o_orderdate) AS INTEGER) AS anyo,
        CAST(month(o_orderdate) AS INTEGER) AS mes, {CENTS.format(x='o_totalprice')} AS monto
 FROM orders
 """
 
+ORACLE["drop_ingest"] = f"""
+SELECT *, CASE WHEN organismo_nombre IN ('BUILDING', 'MACHINERY') THEN 'TA_PersonalPlanta_a%41 1.csv'
+               ELSE 'TA_PersonalPlanta_b.csv' END AS drop
+FROM ({_pay_rows_sql(BULK_DROP)})
+"""
+
 ORACLE["report_export"] = f"""
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS Nombre,
        translate(c_mktsegment, 'AEIOU', 'ÁÉÍÓÚ') AS Segmento,
@@ -653,8 +669,9 @@ WITH rows_ AS (
   FROM supplier
   UNION ALL
   SELECT 2024, c_nationkey % 12 + 1, upper(c_name), 'Diputado',
-         {CENTS.format(x='c_acctbal')} - 1000, {CENTS.format(x='c_acctbal')}, 'Diputado(a)'
-  FROM customer WHERE c_mktsegment = 'BUILDING'),
+         CASE WHEN c_custkey % 5 <> 0 THEN {CENTS.format(x='c_acctbal')} - 1000 END,
+         {CENTS.format(x='c_acctbal')}, 'Diputado(a)'
+  FROM customer),
 app AS (
   SELECT 'Cámara de Diputadas y Diputados' AS organismo_nombre, anyo, {MONTHS_SQL}[mes_id] AS Mes,
          estamento, COALESCE(Nombres, '') AS Nombres, '' AS Paterno, '' AS Materno,
@@ -770,19 +787,10 @@ FROM ex e JOIN people p USING (anyo, Mes, llave_senador)
 GROUP BY ALL
 """
 
-ORACLE["lake_surname_audit"] = f"""
-WITH pay AS ({_pay_rows_sql(CUSTOMER_PAY)})
-SELECT organismo_nombre AS organismo, upper(Paterno) AS apellido,
-       COUNT(*) AS cantidad_personas, CAST(SUM(remuliquida_mensual) AS BIGINT) AS costo_mensual_total
-FROM pay
-WHERE anyo = 2005 AND Mes = 'Junio' AND length(Paterno) > 2
-  AND upper(Paterno) NOT IN ('GONZALEZ', 'MUÑOZ', 'ROJAS', 'DIAZ', 'PEREZ', 'SOTO',
-                             'CONTRERAS', 'SILVA', 'MARTINEZ', 'SEPULVEDA')
-GROUP BY 1, 2
-HAVING COUNT(*) >= 5
-ORDER BY cantidad_personas DESC, organismo ASC NULLS LAST, apellido ASC NULLS LAST
-LIMIT 100
-"""
+ORACLE["lake_surname_audit"] = surname_sql(
+    "organismo_nombre", "Paterno", "remuliquida_mensual",
+    f"({_pay_rows_sql(SUPPLIER_PAY)} AND Mes = 'Junio' AND anyo = 2005 UNION ALL "
+    f"{_pay_rows_sql(CUSTOMER_PAY)} AND Mes = 'Junio' AND anyo = 2005)")
 
 ORACLE["lake_search"] = f"""
 SELECT organismo_nombre, anyo, Mes, estamento, Nombres, Paterno, Materno, cargo,

@@ -88,9 +88,11 @@ def text_table(spark, sf_dir, name):
 
 @register("person_search")
 def person_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Search words in whole texts: the fold is a plain column, and several
+    words read it once (not bound in a lambda, so the filter stays compiled)."""
+    docs = text_table(spark, sf_dir, "documents").withColumn("search_vector", fold_text(F.col("text")))
     return srch.search(docs, person="des ELLE", columns=("doc_id", "lang", "source", "n_chars"),
-                       org_col="lang", order=("doc_id",), vector=fold_text(F.col("text")))
+                       org_col="lang", order=("doc_id",))
 
 
 @register("search_filters")
@@ -107,6 +109,18 @@ def accent_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", unaccent_lower(F.col("text")).alias("folded"))
 
 
+# Characters that fold to other letters, to several, or to none.
+FOLD_SAMPLES = "ﬁ½㎏⑩№Ⅷ𝐀𝟗ßŁ日ñ"
+
+
+@register("accent_fold_special")
+def accent_fold_special(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with ligatures, fractions, units and letters above U+FFFF."""
+    c = table(spark, sf_dir, "customer")
+    mixed = F.translate("c_name", "0123456789", FOLD_SAMPLES[2:])
+    return c.select("c_custkey", fold_text(F.concat(mixed, F.lit(FOLD_SAMPLES))).alias("folded"))
+
+
 @register("accent_fold_full")
 def accent_fold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = text_table(spark, sf_dir, "documents")
@@ -144,22 +158,20 @@ def profile_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("profile_flags")
 def profile_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = views.part_people(spark, sf_dir)
-    found = people.filter(F.col("Paterno") == "ring")
-    return srch.result_flags(found, limit=500)
+    return srch.result_flags(views.part_people(spark, sf_dir), limit=500)
 
 
 # ---------------------------------------------------------------- summary
 
 @register("kpis")
 def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.segment_orders(spark, sf_dir, "BUILDING")
+    rows = views.order_rows(spark, sf_dir)
     return summ.kpis(rows, "remuliquida_mensual").withColumn("promedio", F.round("promedio", 2))
 
 
 @register("chronological_table")
 def chronological_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.segment_orders(spark, sf_dir, "BUILDING").drop("o_orderdate", "o_custkey")
+    rows = views.order_rows(spark, sf_dir).drop("o_orderdate", "o_custkey")
     return summ.display_table(summ.chronological(rows))
 
 
@@ -368,11 +380,13 @@ def audit_full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("pay_with_expenses")
 def pay_with_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer is paid in one month; most spent nothing in it."""
     c = table(spark, sf_dir, "customer")
-    pay = c.select(F.lit(1998).alias("ano"), F.lit(3).alias("mes"),
+    pay = c.select((F.col("c_custkey") % 7 + 1992).cast("int").alias("ano"),
+                   (F.col("c_custkey") % 12 + 1).cast("int").alias("mes"),
                    F.col("c_custkey").alias("llave_senador"),
                    mny.to_cents(F.col("c_acctbal")).alias("dieta"))
-    o = table(spark, sf_dir, "orders").filter(views.month_range("o_orderdate", 1998, 3))
+    o = table(spark, sf_dir, "orders")
     spent = o.select(F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
                      F.col("o_custkey").alias("llave_senador"),
                      mny.to_cents(F.col("o_totalprice")).alias("monto"))
@@ -437,6 +451,21 @@ def page_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("cells", F.array_join("cells", "|"))
 
 
+@register("page_nested_tables")
+def page_nested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' lists as a real <table>, each second row with a table of its
+    own in a cell: the outer rows come back, the inner text as a cell's (R1)."""
+    pages = text_table(spark, sf_dir, "pages")
+    items = F.regexp_extract_all("html", F.lit(r"(?s)<li>(.*?)</li>"), 1)
+    inner = "<table><tr><td>in</td></tr></table>"
+    rows = F.transform(items, lambda x, i: F.concat(
+        F.lit("<tr class='r'><td>"), x, F.lit("</td><TD>"), F.when(i % 2 == 1, F.lit(inner)).otherwise(F.lit("-")),
+        F.lit("</TD></tr>")))
+    html = F.concat(F.lit("<p>x</p><TABLE border=1>"), F.array_join(rows, "\n"), F.lit("</TABLE><table><tr><td>2</td></tr></table>"))
+    out = pg.table_rows(pages.select("page_id", html.alias("html")))
+    return out.withColumn("cells", F.array_join("cells", "|"))
+
+
 @register("coverage_gaps")
 def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
@@ -485,22 +514,29 @@ EVENT_ITEM = T.StructType([T.StructField("event_id", T.LongType()),
 def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> paged JSON documents (both envelope shapes, at most 500
     items each: ids are unique, so a page of 500 consecutive ids is bounded
-    whatever the event mix; one file per document) -> parsed back into items."""
+    whatever the event mix; a document per line) -> parsed back into items.
+    A third of the pages writes user ids as 12.0, a third as quoted text."""
     ev = table(spark, sf_dir, "events")
-    item = F.struct(*[F.col(f.name) for f in EVENT_ITEM.fields])
     page = F.floor(F.col("event_id") / 500)
-    docs = (ev.groupBy(page.alias("page"))
-            .agg(F.collect_list(F.struct(F.col("event_id").alias("id"), item.alias("attributes"))).alias("wrapped"),
-                 F.collect_list(item).alias("plain")))
-    paged = F.to_json(F.struct(F.struct(F.col("wrapped").alias("data"),
-                                        F.struct(F.struct(F.size("wrapped").alias("total")).alias("pagination"))
-                                        .alias("meta")).alias("data")))
-    plain = F.to_json(F.struct(F.col("plain").alias("data")))
-    text = F.when(F.col("page") % 2 == 0, paged).otherwise(plain)
+    fields = [f.name for f in EVENT_ITEM.fields]
+
+    def items(user):
+        return F.transform("items", lambda i: F.struct(*[
+            (user(i[n]) if n == "user_id" else i[n]).alias(n) for n in fields]))
+
+    def shapes(user):
+        body = items(user)
+        wrapped = F.transform(body, lambda i: F.struct(i["event_id"].alias("id"), i.alias("attributes")))
+        paged = F.to_json(F.struct(F.struct(wrapped.alias("data"), F.struct(F.struct(F.size(wrapped).alias("total"))
+                                                                            .alias("pagination")).alias("meta")).alias("data")))
+        return F.when(F.col("page") % 2 == 0, paged).otherwise(F.to_json(F.struct(body.alias("data"))))
+
+    docs = ev.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*fields)).alias("items"))
+    text = (F.when(F.col("page") % 3 == 0, shapes(lambda u: u)).when(F.col("page") % 3 == 1, shapes(lambda u: u.cast("double")))
+            .otherwise(shapes(lambda u: u.cast("string"))))
     out = scratch_path(spark, "envelopes")
-    (docs.select(F.col("page").alias("doc"), text.alias("value"))
-     .write.partitionBy("doc").text(out))
-    return rd.read_envelopes(spark, f"{out}/*/*.txt", EVENT_ITEM).drop("source_file")
+    docs.select(text.alias("value")).write.text(out)
+    return rd.read_envelopes(spark, f"{out}/*.txt", EVENT_ITEM).drop("source_file")
 
 
 def _bulk_drop(spark, sf_dir):
@@ -524,26 +560,56 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leg.bulk_pay(spark, [path])
 
 
+@register("drop_ingest")
+def drop_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of the same source and months in two calls, the first again
+    with its columns reversed, and one that is missing: every row once (C12)."""
+    rows = _bulk_drop(spark, sf_dir)
+    base = scratch_path(spark, "drops")
+    a, b = f"{base}/TA_PersonalPlanta_a%41 1.csv", f"{base}/TA_PersonalPlanta_b.csv"
+    odd = F.col("Organismo").isin("BUILDING", "MACHINERY")
+    sk.write_report_csv(rows.filter(odd), a)
+    sk.write_report_csv(rows.filter(~odd), b)
+    lake = f"{base}/lake"
+    leg.ingest_bulk_csv(spark, [a, f"{base}/TA_PersonalPlanta_none.csv"], lake)
+    leg.ingest_bulk_csv(spark, [b], lake)
+    sk.write_report_csv(rows.filter(odd).select(*reversed(rows.columns)), a)
+    return leg.ingest_bulk_csv(spark, [a], lake)
+
+
 @register("parquet_roundtrip")
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unified rows -> partitioned ZSTD Parquet -> year-pruned read."""
     s_raw, c_raw = _raw_sources(spark, sf_dir)
     rows = uni.pay_rows(s_raw, "Planta").unionByName(uni.pay_rows(c_raw, "Contrata"))
     out = scratch_path(spark, "pay")
-    sk.write_pay_parquet(rows, out, num_files=4)
+    sk.write_pay_parquet(rows, out)
     return spark.read.parquet(out).filter(F.col("anyo").between(2005, 2010))
 
 
 @register("filename_keys")
 def filename_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders written one folder per month, keys read back from the path."""
+    """Drops named YYYY_MM.csv and ID_YYYY_MM.csv, under a folder that has a
+    month in its own name; keys come from the drop's name (S4, S6, F15)."""
     o = table(spark, sf_dir, "orders")
-    drop = o.select("o_orderkey", mny.to_cents(F.col("o_totalprice")).alias("monto"),
-                    F.date_format("o_orderdate", "yyyy_MM").alias("period"))
-    out = scratch_path(spark, "monthly")
-    drop.write.partitionBy("period").option("header", True).csv(out)
-    back = rd.read_keyed_csv(spark, out, r"period=(\d{4})_(\d{2})/", ["anyo", "mes"])
-    return back.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "anyo", "mes",
+    month = F.date_format("o_orderdate", "yyyy_MM")
+    rows = o.select("o_orderkey", mny.to_cents(F.col("o_totalprice")).alias("monto"), "o_orderstatus",
+                    F.col("o_custkey") % 3, month.alias("month")).toDF("o_orderkey", "monto", "status", "who", "month")
+    out = scratch_path(spark, "runs") + "/2024_03"
+
+    def write(df, name, sub):
+        # one task, and so one part, per drop; a large one is split at run time
+        (df.withColumn("drop", name).drop("status", "who", "month").hint("rebalance", "drop")
+         .write.partitionBy("drop").option("header", True).csv(f"{out}/{sub}"))
+
+    write(rows.filter("status = 'O'"), F.concat("month", F.lit(".csv")), "plain")
+    # the other drops have their columns the other way round
+    write(rows.filter("status != 'O'").select("monto", "o_orderkey", "status", "who", "month"),
+          F.concat_ws("_", "who", F.concat("month", F.lit(".csv"))), "by_id")
+    plain = rd.read_keyed_groups(spark, f"{out}/plain", leg.MONTH_FILE, ["anyo", "mes"])
+    by_id = rd.read_keyed_groups(spark, f"{out}/by_id", leg.ID_MONTH_FILE, ["id", "anyo", "mes"])
+    both = uni.ragged_concat(plain + by_id + rd.read_keyed_groups(spark, f"{out}/none", leg.MONTH_FILE, ["anyo", "mes"]))
+    return both.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "id", "anyo", "mes",
                        F.col("monto").cast("bigint").alias("monto"))
 
 
@@ -604,12 +670,14 @@ def _senate(spark, sf_dir):
                     F.col("c_custkey").cast("string").alias("rut"), F.col("c_name").alias("nombre"),
                     F.col("c_mktsegment").alias("appaterno"), F.lit(None).cast("string").alias("apmaterno"),
                     cents.alias("dieta"), (cents - 1000).alias("saldo"))
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice")
+    # line items are summed by order first: the joins and the person key see a
+    # row per order and concept
+    li = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_returnflag")
+          .agg(F.sum(mny.to_cents(F.col("l_extendedprice"))).alias("monto")))
     spent = li.join(oc, li.l_orderkey == oc.o_orderkey).select(
         F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
         F.col("c_name").alias("nombre"), F.col("c_mktsegment").alias("appaterno"),
-        F.col("l_returnflag").alias("gastos_operacionales"),
-        mny.to_cents(F.col("l_extendedprice")).alias("monto"))
+        F.col("l_returnflag").alias("gastos_operacionales"), "monto")
     return leg.consolidate_senate(pay, spent)
 
 
@@ -627,19 +695,20 @@ def senate_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chamber_drops(spark, sf_dir, root):
-    # the three staff drops come from one join, kept cached while written
-    orders = (table(spark, sf_dir, "orders").join(
+    # the three staff drops come from one join, written once to the shared folder
+    joined = (table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
         F.col("o_custkey") == F.col("c_custkey"))
         .select("c_name", "o_orderpriority", "o_orderstatus",
                 F.date_format("o_orderdate", "yyyy_MM").alias("period"),
-                views.money_text(mny.to_cents(F.col("o_totalprice"))).alias("money"))
-        .persist())
+                views.money_text(mny.to_cents(F.col("o_totalprice"))).alias("money")))
+    joined.write.parquet(f"{root}/orders")
+    orders = spark.read.parquet(f"{root}/orders")
     period, money = F.col("period"), F.col("money")
 
     def write(df, sub):
-        # one file per month folder, written by all cores in parallel
-        (df.repartition(spark.sparkContext.defaultParallelism, "period")
+        # rebalanced at run time: small months share a task, a large one is split
+        (df.hint("rebalance", "period")
          .write.partitionBy("period").option("header", True).csv(f"{root}/{sub}"))
 
     write(orders.filter(F.col("o_orderstatus") == "F").select(
@@ -650,7 +719,6 @@ def _chamber_drops(spark, sf_dir, root):
         money.alias("Sueldo"), period), "personal_contrata")
     write(orders.filter(F.col("o_orderstatus") == "P").select(
         F.col("c_name").alias("Nombre"), money.alias("Honorario Total"), period), "personal_honorarios")
-    orders.unpersist()
     s = table(spark, sf_dir, "supplier")
     month_key = lambda k: F.concat(F.lit("2024_"), F.lpad((k % 12 + 1).cast("string"), 2, "0"))
     write(s.select(
@@ -659,12 +727,17 @@ def _chamber_drops(spark, sf_dir, root):
         views.money_text(mny.to_cents(F.col("s_acctbal"))).alias("Sueldo"),
         F.concat(F.lit("Dip. "), F.col("s_nationkey").cast("string")).alias("Diputado Responsable"),
         month_key(F.col("s_nationkey")).alias("period")), "personal_apoyo")
-    c = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    # base pay as a spreadsheet writes a column with gaps: 1000.0
+    c = table(spark, sf_dir, "customer")
     cc = mny.to_cents(F.col("c_acctbal"))
+    floats = F.concat((cc - 1000).cast("string"), F.lit(".0"))
     write(c.select(F.col("c_custkey").alias("ID_Diputado"), F.col("c_name").alias("Nombre"),
                    F.lit("Diputado").alias("Cargo"), cc.alias("Sueldo Bruto"),
-                   (cc - 1000).alias("Sueldo Liquido"), month_key(F.col("c_nationkey")).alias("period")),
+                   F.when(F.col("c_custkey") % 5 != 0, floats).alias("Sueldo Liquido"),
+                   month_key(F.col("c_nationkey")).alias("period")),
           "diputados_dieta")
+    # a drop without pay columns is skipped, the others are read
+    write(s.select(F.col("s_name").alias("Nombre"), F.lit("2024_01").alias("period")), "diputados_dieta/sin_sueldo")
 
 
 @register("chamber_consolidation")
@@ -688,12 +761,10 @@ def chamber_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
              .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     # one deputy per region: 5 ids x every month of drops
     key = F.concat_ws("_", F.col("n_regionkey").cast("string"), F.date_format("o_orderdate", "yyyy_MM"))
-    # one writer task per group of drops, all cores busy: every drop folder
-    # gets exactly one file
     (lines.select(F.col("l_returnflag").alias("Concepto"),
                   views.money_text(mny.to_cents(F.col("l_extendedprice"))).alias("Monto"),
                   key.alias("drop"))
-     .repartition(spark.sparkContext.defaultParallelism, "drop")
+     .hint("rebalance", "drop")
      .write.partitionBy("drop").option("header", True).csv(f"{root}/gastos_operacionales"))
     # the deputies' monthly lists: every month of the orders' span; the name
     # carries a suffix in the last month, so the latest name must win
@@ -772,8 +843,9 @@ def pay_with_expenses_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
                      mny.to_cents(F.col("o_totalprice")).alias("monto"))
     base = scratch_path(spark, "bucketed")
     tag = base.rsplit("-", 1)[-1]
-    pay_t = sk.write_bucketed(pay, f"pay_{tag}", keys, 8, f"{base}/pay")
-    spent_t = sk.write_bucketed(spent, f"spent_{tag}", keys, 8, f"{base}/spent")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # the cluster's setting for this much data
+    pay_t = sk.write_bucketed(pay, f"pay_{tag}", keys, buckets, f"{base}/pay")
+    spent_t = sk.write_bucketed(spent, f"spent_{tag}", keys, buckets, f"{base}/spent")
     return exp.pay_with_expenses(pay_t, spent_t, keys)
 
 
@@ -790,9 +862,9 @@ def senate_expense_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lake_surname_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C12 then C10: unified rows written to the partitioned pay table; the
     audit of one month reads only that month's folders (partition filters)."""
-    _, c_raw = _raw_sources(spark, sf_dir)
+    s_raw, c_raw = _raw_sources(spark, sf_dir)
     lake = scratch_path(spark, "lake")
-    sk.write_pay_parquet(uni.pay_rows(c_raw, "Contrata"), lake, num_files=4)
+    sk.write_pay_parquet(uni.pay_rows(s_raw, "Planta").unionByName(uni.pay_rows(c_raw, "Contrata")), lake)
     pay = spark.read.parquet(lake)
     view = pay.select(F.col("organismo_nombre").alias("organismo"), "Paterno", "anyo", "Mes",
                       F.col("remuliquida_mensual").alias("sueldo_num"))
@@ -806,5 +878,5 @@ def lake_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     s_raw, c_raw = _raw_sources(spark, sf_dir)
     lake = scratch_path(spark, "lake")
     rows = uni.pay_rows(s_raw, "Planta").unionByName(uni.pay_rows(c_raw, "Contrata"))
-    sk.write_pay_parquet(rows, lake, num_files=4)
+    sk.write_pay_parquet(rows, lake)
     return srch.search(spark.read.parquet(lake), person="Customer#00000001", years=(2003, 2012))

@@ -57,8 +57,7 @@ def order_pay(spark: SparkSession, sf_dir: str, year: int | None = None,
     if year is not None and month is not None:
         orders = orders.filter(month_range("o_orderdate", year, month))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = checked_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
-                               materialize=False)
+    nation = checked_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     joined = (orders.join(customer, orders.o_custkey == customer.c_custkey)
               .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
     return joined.select(
@@ -112,13 +111,6 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         to_cents(F.col("o_totalprice")).alias("remuliquida_mensual"))
 
 
-def segment_orders(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
-    """order rows of the customers of one market segment (semi join)."""
-    cust = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == segment)
-    rows = order_rows(spark, sf_dir)
-    return rows.join(cust.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi")
-
-
 def part_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part as people: first / second name word, brand = organisation, type = role."""
     part = table(spark, sf_dir, "part")

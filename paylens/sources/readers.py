@@ -8,10 +8,16 @@ cleaner sees what the file says.  Files are split across tasks (no
 
 from __future__ import annotations
 
+import csv
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylens.functions.money import whole_number
+
 LATIN1 = "ISO-8859-1"
 
 
@@ -19,7 +25,8 @@ def read_header(spark: SparkSession, path: str, sep: str = ";",
                 encoding: str = LATIN1) -> list[str]:
     """The header row as written, duplicates and case kept.
 
-    Reads one line of the first file: a tiny job, no inference.
+    Reads one line of the first file: a tiny job, no inference.  For files
+    that may differ, see :func:`headers_of`.
     """
     first = (spark.read.options(sep=sep, encoding=encoding, header=False, inferSchema=False)
              .csv(path).limit(1).collect())
@@ -39,7 +46,13 @@ def read_lenient_csv(spark: SparkSession, path, sep: str = ";", encoding: str =
     reader = spark.read.options(sep=sep, encoding=encoding, header=header, inferSchema=False,
                                 mode="PERMISSIVE", multiLine=multiline, quote='"', escape='"')
     if columns is None and header:
-        columns = read_header(spark, path if isinstance(path, str) else path[0], sep, encoding)
+        if isinstance(path, str):
+            columns = read_header(spark, path, sep, encoding)
+        else:  # one header for all files: columns are never matched by position across headers
+            heads = headers_of(spark, path, encoding)
+            if len(heads) > 1:
+                raise ValueError(f"files of {len(heads)} different headers; read each group by itself: {sorted(heads)}")
+            columns = split_header(next(iter(heads)), sep) if heads else []
     if columns is not None:
         fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(len(columns))]
         if corrupt_column:
@@ -93,30 +106,46 @@ def read_keyed_csv(spark: SparkSession, path, pattern: str, names, sep: str = ",
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)
-    fpath = F.col("_metadata.file_path")
+    fpath = plain_path()
     keys = file_keys(fpath, pattern, names)
     df = df.withColumns({k: F.nullif(v, F.lit("")).try_cast(key_type) for k, v in keys.items()})
     return df.filter(fpath.rlike(pattern))
 
 
+def _as_text(item: T.StructType) -> T.StructType:
+    """The item with every number as text, as the document has it."""
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.NumericType) else f.dataType)
+                         for f in item.fields])
+
+
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """Text of a JSON number, or a quoted number, as ``kind``: 1000, 1000.0 and
+    "1000" are the same number."""
+    if isinstance(kind, T.IntegralType):
+        return whole_number(value).try_cast(kind)
+    return F.btrim(value).try_cast(kind) if isinstance(kind, T.NumericType) else value
+
+
 def envelope_schemas(item: T.StructType):
     """Both JSON envelope shapes over one item type."""
-    wrapped = T.StructType([T.StructField("id", T.LongType()),
-                            T.StructField("attributes", item)] + list(item.fields))
-    paged = T.StructType([T.StructField("data", T.StructType([
-        T.StructField("data", T.ArrayType(wrapped)),
-        T.StructField("meta", T.StructType([T.StructField("pagination", T.MapType(T.StringType(), T.LongType()))]))]))])
+    wrapped = T.StructType([T.StructField("id", T.StringType()),
+                            T.StructField("attributes", item)] + [f for f in item.fields if f.name != "id"])
+    paged = T.StructType([T.StructField("data", T.StructType([T.StructField("data", T.ArrayType(wrapped))]))])
     plain = T.StructType([T.StructField("data", T.ArrayType(wrapped))])
     return wrapped, paged, plain
 
 
-def parse_envelopes(docs: DataFrame, item: T.StructType, text: str = "value") -> DataFrame:
+def parse_envelopes(docs: DataFrame, item: T.StructType, text: str = "value",
+                    rejected: str | None = None) -> DataFrame:
     """One row per item of ``{"data": {"data": [...]}}`` or ``{"data": [...]}``
     documents; ``attributes`` unwrapped when present (S5, X19).
 
-    A document that is not valid JSON, or has neither shape, yields no rows.
+    Numbers are read as text and cast through decimal, so 1000.0 or "1000" is
+    no NULL.  ``rejected`` names a column that counts, per item, the fields
+    that hold something that is no number of their type.  A document that is
+    not valid JSON, or has neither shape, yields no rows.
     """
-    _, paged, plain = envelope_schemas(item)
+    _, paged, plain = envelope_schemas(_as_text(item))
     opts = {"mode": "PERMISSIVE"}
     items = F.coalesce(F.from_json(F.col(text), paged, opts)["data"]["data"],
                        F.from_json(F.col(text), plain, opts)["data"])
@@ -124,114 +153,60 @@ def parse_envelopes(docs: DataFrame, item: T.StructType, text: str = "value") ->
     names = [f.name for f in item.fields]
     body = F.when(F.col("_it.attributes").isNotNull(), F.col("_it.attributes")).otherwise(
         F.struct(*[F.col(f"_it.{n}").alias(n) for n in names]))
-    return exploded.select(*[c for c in exploded.columns if c != "_it"],
-                           *[body[n].alias(n) for n in names])
+    rest = [c for c in exploded.columns if c != "_it"]
+    rows = exploded.select(*rest, body.alias("_body"))
+    typed = {f.name: _typed(F.col("_body")[f.name], f.dataType) for f in item.fields}
+    out = [typed[n].alias(n) for n in names]
+    if rejected:
+        bad = [(F.col("_body")[n].isNotNull() & typed[n].isNull()).cast("int") for n in names]
+        out.append(reduce(lambda x, y: x + y, bad).alias(rejected))
+    return rows.select(*rest, *out)
 
 
-def read_envelopes(spark: SparkSession, path: str, item: T.StructType) -> DataFrame:
-    """JSON documents, one per file, in either envelope shape."""
-    docs = spark.read.text(path, wholetext=True).withColumn("source_file", F.col("_metadata.file_path"))
-    return parse_envelopes(docs, item)
+def read_envelopes(spark: SparkSession, path: str, item: T.StructType, rejected: str | None = None) -> DataFrame:
+    """JSON documents, one per file or one per line of ``.jsonl`` files, in
+    either envelope shape (S5)."""
+    lines = path.endswith((".jsonl", ".txt"))
+    docs = spark.read.text(path, wholetext=not lines).withColumn("source_file", F.col("_metadata.file_path"))
+    return parse_envelopes(docs, item, rejected=rejected)
 
 
-def _local_path(uri: str) -> str | None:
-    """The OS path of a ``file:`` URI or plain path, else None."""
-    if uri.startswith("file:"):
-        rest = uri[5:]
-        return "/" + rest.lstrip("/") if rest.startswith("/") else rest
-    return uri if "://" not in uri and not uri.startswith(("hdfs:", "s3", "gs:", "abfs")) else None
+def plain_path() -> Column:
+    """The path of the file a row comes from, as written (not URL-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def list_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
-    """Non-empty files under ``root`` (recursively) whose path matches ``pattern``.
+def literal_path(path: str) -> str:
+    """``path`` with its glob characters escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
-    Metadata only: a directory walk for local paths, the Hadoop FileSystem
-    of the path otherwise (HDFS, object stores).  Spark's own output
-    markers (``_SUCCESS``, hidden files) never match a data pattern.
-    """
-    import os
-    import re
-
-    rx = re.compile(pattern)
-    local = _local_path(root)
-    if local is not None:
-        out = []
-        for d, _, files in os.walk(local):
-            for f in files:
-                full = os.path.join(d, f)
-                if not f.startswith((".", "_")) and rx.search(full) and os.path.getsize(full) > 0:
-                    out.append("file:" + full)
-        return sorted(out)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(conf)
-    if not fs.exists(base):
-        return []
-    out, it = [], fs.listFiles(base, True)
-    while it.hasNext():
-        st = it.next()
-        p = st.getPath().toString()
-        name = st.getPath().getName()
-        if st.getLen() > 0 and not name.startswith((".", "_")) and rx.search(p):
-            out.append(p)
-    return sorted(out)
-
-
-def first_line(spark: SparkSession, path: str, encoding: str = "utf-8") -> str | None:
-    """The first line of one file (a few bytes; used to group files by header)."""
-    local = _local_path(path)
-    if local is not None:
-        with open(local, "rb") as f:
-            line = f.readline()
-        text = line.decode(encoding, errors="replace").rstrip("\r\n")
-        return text.lstrip("\ufeff") if line else None
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    if line is None:
-        return None
-    return line.lstrip("\ufeff")
 
+def split_header(head: str, sep: str) -> list[str]:
+    cols = next(csv.reader([head], delimiter=sep, quotechar='"'))
+    return [c if c else f"_c{i}" for i, c in enumerate(cols)]
 
-# Up to this many files the header lines are read one by one on the driver
-# (a few bytes each); beyond it one Spark job reads them in parallel.
-DRIVER_PROBE_MAX_FILES = 512
 
+def headers_of(spark: SparkSession, paths, encoding: str = "UTF-8", pattern: str | None = None) -> dict[str, list[str]]:
+    """``{header line: files that have it}`` of all files under ``paths``.
 
-def probe_headers(spark: SparkSession, files: list[str], encoding: str = "utf-8",
-                  driver_max: int = DRIVER_PROBE_MAX_FILES) -> dict[str, str | None]:
-    """First line of every file: ``{path: header}``.
-
-    Many files: a text scan keeps, per file, the first split (offset 0) and
-    in it the row with the smallest ``monotonically_increasing_id`` (ids grow
-    in file order inside a partition), i.e. the header line.  Only one line
-    per file reaches the driver.
+    One job, whatever the number of files: of each file's first split the row
+    with the least ``monotonically_increasing_id`` (ids grow in file order
+    inside a partition) is its header.  Files without a first line, or whose
+    path does not match ``pattern``, are left out.  The driver gets a path per
+    file, as it does to plan any scan of them.
     """
-    if len(files) <= driver_max:
-        return {f: first_line(spark, f, encoding) for f in files}
-    text = (spark.read.option("encoding", encoding).text(files)
-            .select(F.col("_metadata.file_path").alias("path"),
-                    F.col("_metadata.file_block_start").alias("start"), "value",
-                    F.monotonically_increasing_id().alias("rid")))
-    heads = (text.filter(F.col("start") == 0).groupBy("path")
-             .agg(F.min_by("value", "rid").alias("head")))
-    found = {_same_path(r.path): r.head.lstrip("\ufeff") if r.head else None for r in heads.collect()}
-    return {f: found.get(_same_path(f)) for f in files}
-
-
-def _same_path(uri: str) -> str:
-    """One spelling per file: URL-decoded, ``file:///x`` as ``file:/x``."""
-    from urllib.parse import unquote
-
-    u = unquote(uri)
-    return "file:/" + u[len("file:"):].lstrip("/") if u.startswith("file:") else u
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    # whole lines: the text source does not decode, so a separator that no line has
+    text = (spark.read.options(encoding=encoding, recursiveFileLookup=True, sep="\x01", quote="", header=False)
+            .schema("value string").csv([literal_path(p) for p in paths]))
+    rows = text.select(plain_path().alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
+                       F.monotonically_increasing_id().alias("rid")).filter("start = 0")
+    if pattern:
+        rows = rows.filter(F.col("path").rlike(pattern))
+    heads = rows.groupBy("path").agg(F.min_by("value", "rid").alias("head"))
+    heads = heads.select("path", F.btrim("head", F.lit("\ufeff\r")).alias("head")).filter(F.trim("head") != "")
+    found = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return {r["head"]: list(r["paths"]) for r in sorted(found, key=lambda r: r["paths"])}
 
 
 def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep: str = ",",
@@ -241,25 +216,18 @@ def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep:
     Files matching ``pattern`` (keys captured from the path) are grouped by
     their exact header line; each group is one CSV scan with its own
     header, carrying the keys.  Files that are empty or hold only a header
-    contribute no rows.  Returns one DataFrame per header shape.
+    contribute no rows; a missing root gives no frames.
     """
-    groups: dict[str, list[str]] = {}
-    files = list_files(spark, root, pattern)
-    for path, head in probe_headers(spark, files, encoding).items():
-        if head and head.strip():
-            groups.setdefault(head, []).append(path)
-    import csv
-
+    if not existing_paths(spark, [("", root)]):
+        return []
     frames = []
-    for head, paths in groups.items():
-        cols = next(csv.reader([head], delimiter=sep, quotechar='"'))
-        cols = [c if c else f"_c{i}" for i, c in enumerate(cols)]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+    for head, paths in headers_of(spark, root, encoding, pattern).items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in split_header(head, sep)])
         # the probed header is the schema: no inference job per group
         df = (spark.read.options(sep=sep, encoding=encoding, header=True, inferSchema=False,
                                  enforceSchema=True, mode="PERMISSIVE", quote='"', escape='"')
-              .schema(schema).csv(paths))
-        keys = file_keys(F.col("_metadata.file_path"), pattern, names)
+              .schema(schema).csv([literal_path(p) for p in paths]))
+        keys = file_keys(plain_path(), pattern, names)
         frames.append(df.withColumns({k: F.nullif(v, F.lit("")).try_cast(key_type)
                                       for k, v in keys.items()}))
     return frames

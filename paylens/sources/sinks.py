@@ -45,6 +45,18 @@ def write_pay_parquet(df: DataFrame, path: str, partition_by=("origen", "anyo",
      .partitionBy(*cols).parquet(path))
 
 
+def remove_drops(spark, path: str, drops) -> None:
+    """Delete the ``drop=<name>`` folders of a pay table (any source, year and
+    month), so that drops about to be written again leave nothing behind."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in drops:
+        escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/*/*/*/drop={escaped}")) or []:
+            fs.delete(status.getPath(), True)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Plain ZSTD Parquet (expense detail and other tables)."""
     df.write.mode(mode).option("compression", "zstd").parquet(path)
@@ -63,7 +75,7 @@ def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_catalogue(catalogue: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The catalogue as JSON lines, one dataset per line."""
-    catalogue.coalesce(1).write.mode(mode).json(path)
+    catalogue.write.mode(mode).json(path)
 
 
 def write_monthly_items(items: DataFrame, path: str, keys=("category", "ano", "mes"),
@@ -76,7 +88,9 @@ def write_monthly_items(items: DataFrame, path: str, keys=("category", "ano", "m
     month replaces only that month's folder (dynamic overwrite).
     """
     cols = list(keys)
-    (items.repartition(*[F.col(c) for c in cols], F.pmod(F.xxhash64(*items.columns), F.lit(4)))
+    # rebalanced by month at run time: a large month is split over many tasks
+    # and files, small ones get one
+    (items.hint("rebalance", *cols)
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).json(path))
 

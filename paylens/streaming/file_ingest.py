@@ -41,11 +41,14 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, ou
 
 def ingest_new_drops(spark: SparkSession, landing: str, header: list[str], out: str,
                      checkpoint: str, sep: str = ";", encoding: str = "ISO-8859-1",
-                     partition_by=("origen", "anyo", "Mes")) -> None:
+                     partition_by=("origen", "anyo", "Mes", "drop")) -> None:
     """New bulk CSV drops -> unified, partitioned pay Parquet (S13 + C12).
 
-    Every drop shares ``header`` (probe one file with
-    ``readers.read_header``); columns are read as text, unified with the
+    Every drop must have ``header`` (probe one file with
+    ``readers.read_header``): Spark checks each file's own header line against
+    it and fails the run on a file whose columns are named or ordered
+    otherwise, rather than mapping them by position.  Columns are read as
+    text, unified with the
     candidate lists, cleaned, folded and tagged with the source found in
     each file's own name.  Files already processed are skipped through the
     checkpoint, so re-running after a failure or with new drops writes each
@@ -55,12 +58,14 @@ def ingest_new_drops(spark: SparkSession, landing: str, header: list[str], out:
 
     from paylens.operators.unify import origin_from_name, pay_rows
 
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
 
     def transform(raw: DataFrame) -> DataFrame:
-        return pay_rows(raw, origin_from_name(F.col("_metadata.file_name")), header=list(header))
+        # by position from here on: names may differ in case only
+        raw = raw.withColumn("drop", F.col("_metadata.file_name")).toDF(*[f"_c{i}" for i in range(len(header))], "drop")
+        return pay_rows(raw, origin_from_name(F.col("drop")), header=[*header, "drop"], keep=("drop",))
 
     ingest_new_files(spark, landing, schema, out, checkpoint, transform=transform, fmt="csv",
                      options={"sep": sep, "encoding": encoding, "header": "true",
-                              "enforceSchema": "true", "mode": "PERMISSIVE"},
+                              "enforceSchema": "false", "mode": "PERMISSIVE"},
                      partition_by=partition_by)

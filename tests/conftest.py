@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from paylens.session import local_session
 
-    s = local_session("*", shuffle_partitions=8, app="paylens-tests")
+    s = local_session(os.environ.get("PAYLENS_TEST_CPUS", "*"), shuffle_partitions=8, app="paylens-tests")
     # tests set their own shared folder only when the session has none
     if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paylens-test-ckpt-"))

@@ -62,15 +62,25 @@ def test_both_join_strategies_agree(spark):
                                   (F.col("id") % 9).cast("string").alias("llave_senador"),
                                   F.when(F.col("id") % 2 == 0, "Luz").otherwise("Agua").alias("gastos_operacionales"),
                                   F.col("id").alias("monto"))
-    small = expenses.expense_breakdown(people, src)
-    large = expenses.expense_breakdown(people, src, max_people=0)  # aggregate first, shuffle join
+    small = expenses.expense_breakdown(people, src, few=True)  # broadcast, then aggregate
+    large = expenses.expense_breakdown(people, src)  # aggregate first, then join
     assert _sorted(small) == _sorted(large) and small.count() > 0
     names = src.select(F.col("llave_senador"), F.upper("gastos_operacionales").alias("n")).distinct()
     names = names.groupBy("llave_senador").agg(F.max("n").alias("n"))
-    assert _sorted(expenses.attach_names(src, names, key="llave_senador")) == \
-        _sorted(expenses.attach_names(src, names, key="llave_senador", max_rows=0))
     rows = src.select(F.col("llave_senador").alias("organismo"), F.col("monto").cast("string").alias("nombre"),
                       F.col("gastos_operacionales").alias("estamento"), F.col("monto").alias("sueldo_num"))
-    a = audits.pay_outliers(rows, stats_floor=0, result_floor=0, sigma=1.0)
-    b = audits.pay_outliers(rows, stats_floor=0, result_floor=0, sigma=1.0, max_groups=0)
-    assert _sorted(a) == _sorted(b) and a.count() > 0
+
+    def results():
+        return (_sorted(expenses.attach_names(src, names, key="llave_senador")),
+                _sorted(audits.pay_outliers(rows, stats_floor=0, result_floor=0, sigma=1.0)))
+
+    by_size = results()
+    thresholds = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in thresholds}
+    try:
+        for k in thresholds:  # as with sides too large to broadcast
+            spark.conf.set(k, "-1")
+        assert results() == by_size and by_size[1]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -149,3 +149,16 @@ def test_format_clp_exact_for_large_integers(spark):
     df = spark.createDataFrame([(9007199254740993,), (-5,)], "n bigint")
     got = [r.f for r in df.select(money.format_clp(F.col("n")).alias("f")).collect()]
     assert got == ["$ 9.007.199.254.740.993", "$ -5"]
+
+
+def test_full_fold_of_every_code_point(spark):
+    import sys
+    import unicodedata
+
+    points = [cp for cp in range(1, sys.maxunicode + 1) if not 0xD800 <= cp <= 0xDFFF]
+    chars = spark.createDataFrame([(cp, "x" + chr(cp) + "y") for cp in points], "cp long, s string")
+    got = {r.cp: r.f for r in chars.select("cp", text.fold_text(F.col("s")).alias("f")).collect()}
+    odd = [cp for cp in points
+           if got[cp] != unicodedata.normalize("NFKD", ("x" + chr(cp) + "y").lower()).encode("ascii", "ignore").decode()]
+    assert not odd, [hex(cp) for cp in odd[:20]]
+    assert spark.range(1).select(text.fold_text(F.lit("𝐀na ⑩ ㎏ ﬁn"))).first()[0] == "Ana 10 kg fin"

@@ -73,7 +73,8 @@ def test_profiles_and_flags(spark):
     prof = {r.Nombres: r for r in search.profiles(df).collect()}
     assert prof["Ana"].organismo_nombre == "o1 | o2" and prof["Eva"].cargo == ""
     assert search.select_profile(df, {"Nombres": "Ana", "Paterno": "Soto"}).count() == 2
-    flags = search.result_flags(df, limit=3).first()
+    assert not search.result_flags(df, limit=3).first().truncated  # all three rows are shown
+    flags = search.result_flags(df, limit=2).first()
     assert (flags.n_profiles, flags.ambiguous, flags.truncated) == (2, True, True)
 
 

@@ -65,7 +65,7 @@ def test_ingest_then_query(spark, tmp_dir):
     assert [(r.apellido, r.cantidad_personas) for r in conc] == [("LARRAÍN", 24)]  # MUÑOZ is a common surname
     out = audits.pay_outliers(view, 2024, "Enero").collect()
     assert [r.nombre for r in out] == ["José"]
-    shown = audits.money_columns_as_text(audits.pay_ranking(view, 2024, "Enero", limit=1), ["sueldo_num"], format_clp)
+    shown = audits.pay_ranking(view, 2024, "Enero", limit=1).withColumn("sueldo_num", format_clp(F.col("sueldo_num")))
     assert shown.first().sueldo_num == "$ 9.000.000"
     plan = pay.filter(F.col("anyo") == 2024)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan or "anyo" in plan

@@ -10,7 +10,7 @@ import os
 from pyspark.sql import functions as F
 
 from paylens.operators import audits, search, summary, sync
-from paylens.operators.joins import sized_side
+from paylens.operators.joins import checked_broadcast, folded_link, scan_bytes
 from paylens.sources import sinks
 
 
@@ -56,13 +56,6 @@ def test_outlier_statistics_side_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "Window" not in plan
 
 
-def test_sized_side_respects_the_bound(spark):
-    df = spark.range(100).groupBy((F.col("id") % 10).alias("k")).count()
-    _, small = sized_side(df, max_rows=10)
-    _, too_big = sized_side(df, max_rows=9)
-    assert small and not too_big
-
-
 def test_no_cartesian_products(spark):
     vals = spark.range(1000).select((F.col("id") * 3).alias("x"))
     hist = _plan(summary.histogram(vals, "x"))
@@ -87,23 +80,19 @@ def test_partitioned_writer_balances_a_hot_year(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(anyo" in plan and back.count() == 2000
 
 
-def test_bound_by_decides_without_writing(spark, tmp_dir):
+def test_broadcast_is_bounded_by_bytes_without_a_job(spark, tmp_dir):
     src = os.path.join(tmp_dir, "names")
-    spark.range(50).selectExpr("id % 10 AS k", "CAST(id AS STRING) AS n").write.parquet(src)
+    spark.range(64_000).selectExpr("id % 10 AS k", "CAST(id AS STRING) AS n").repartition(64).write.parquet(src)
     scan = spark.read.parquet(src)
     dedup = scan.groupBy("k").agg(F.max("n").alias("n"))
-    same, small = sized_side(dedup, max_rows=50, bound_by=scan)
-    assert small and same is dedup
-    _, big = sized_side(dedup, max_rows=49, bound_by=scan)
-    assert not big  # the bound is not proof; treated as large, nothing written
-
-
-def test_sized_side_byte_bound(spark):
-    wide = spark.range(2000).select((F.col("id") % 100).alias("k"),
-                                    F.sha2(F.col("id").cast("string"), 512).alias("blob"))
-    _, small = sized_side(wide, max_rows=10_000)
-    _, too_wide = sized_side(wide, max_rows=10_000, max_bytes=10_000)
-    assert small and not too_wide
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("broadcast", "planning")
+    small = checked_broadcast(dedup, scan)
+    large = checked_broadcast(dedup, scan, max_bytes=scan_bytes(scan) - 1)
+    assert not jobs.getJobIdsForGroup("broadcast")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
+    assert large is dedup
 
 
 def test_bucketed_pay_and_expenses_join_without_shuffle(spark, tmp_dir):
@@ -132,3 +121,11 @@ def test_bucketed_pay_and_expenses_join_without_shuffle(spark, tmp_dir):
                 spent.groupBy("mes", "llave_senador").agg(F.count(F.lit(1)).alias("n")).collect()}
     for r in out.collect():
         assert r.total_gastos_operacionales == expected.get((r.mes, r.llave_senador), 0)
+
+
+def test_folded_link_gives_one_row_on_request(spark):
+    left = spark.createDataFrame([("José",), ("jose",), (" ",)], "who string")
+    right = spark.createDataFrame([("JOSE", 2), ("josé", 1)], "name string, id int")
+    rows = sorted((r.who, r.n_matches, r.name) for r in folded_link(left, right, "who", "name", one=True).collect())
+    assert rows == [(" ", None, None), ("José", 2, "JOSE"), ("jose", 2, "JOSE")]
+    assert folded_link(left, right, "who", "name").count() == 5

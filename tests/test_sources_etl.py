@@ -3,7 +3,7 @@
 import json
 import os
 
-from pyspark.sql import functions as F
+import pytest
 from pyspark.sql import types as T
 
 from paylens.operators import legislative as leg
@@ -176,17 +176,67 @@ def test_monthly_items_roundtrip(spark, tmp_dir):
     assert back == {(3, "a"), (3, "b"), (4, "d")}
 
 
-def test_distributed_header_probe_matches_driver_probe(spark, tmp_dir):
-    files = []
-    for i in range(12):
-        p = os.path.join(tmp_dir, "drops año", f"2024_{i + 1:02d}.csv")
-        head = "Nombre,Sueldo" if i % 2 else "nombre_completo,Remuneración"
-        _write(p, head + "\n" + "\n".join(f"p{j},{j}" for j in range(50)) + "\n")
-        files.append("file:" + p)
-    by_driver = readers.probe_headers(spark, files)
-    by_spark = readers.probe_headers(spark, files, driver_max=0)
-    assert by_driver == by_spark
-    assert by_spark[files[0]] == "nombre_completo,Remuneración" and by_spark[files[1]] == "Nombre,Sueldo"
+def test_headers_of_any_number_of_files(spark, tmp_dir):
+    for n in (3, 60):
+        root = os.path.join(tmp_dir, f"drops año {n} [x]%41")
+        heads = ["Nombre,Sueldo", "nombre_completo,Remuneración", "Sueldo,Nombre"]
+        for i in range(n):
+            _write(os.path.join(root, f"2024_{i + 1:02d}.csv"), heads[i % 3] + "\n" + "".join(f"p{j},{j}\n" for j in range(5)))
+        _write(os.path.join(root, "2024_99.csv"), "")
+        _write(os.path.join(root, "notes.txt"), "x\n")
+        found = readers.headers_of(spark, root, pattern=r"\.csv$")
+        assert {h: len(p) for h, p in found.items()} == {h: n // 3 for h in heads}
+        assert found[heads[0]][0] == "file:" + os.path.join(root, "2024_01.csv") or found[heads[0]][0].endswith("2024_01.csv")
+
+
+def test_three_column_orders_and_odd_names(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "runs", "2024_03", "a%41 b")
+    _write(f"{root}/2019_07.csv", "Nombre,Cargo,Sueldo\nAna,Jefa,1\n")
+    _write(f"{root}/2019_08.csv", "Sueldo,Nombre,Cargo\n2,Eva,Jefa\n")
+    _write(f"{root}/2019_09.csv", "Cargo,Sueldo,Nombre\r\nJefa,3,Luz\r\n")
+    frames = readers.read_keyed_groups(spark, root, leg.MONTH_FILE, ["anyo", "mes"])
+    rows = sorted((r.anyo, r.mes, r.Nombre, r.Cargo, r.Sueldo) for r in unify.ragged_concat(frames).collect())
+    assert rows == [(2019, 7, "Ana", "Jefa", "1"), (2019, 8, "Eva", "Jefa", "2"), (2019, 9, "Luz", "Jefa", "3")]
+    assert readers.read_keyed_groups(spark, root + "_none", leg.MONTH_FILE, ["anyo", "mes"]) == []
+
+
+def test_files_of_different_headers_are_not_read_by_position(spark, tmp_dir):
+    a, b = os.path.join(tmp_dir, "a.csv"), os.path.join(tmp_dir, "b.csv")
+    _write(a, "x;y\n1;2\n")
+    _write(b, "y;x\n2;1\n")
+    with pytest.raises(ValueError, match="different headers"):
+        readers.read_lenient_csv(spark, [a, b])
+    assert readers.read_lenient_csv(spark, [a, a]).count() == 2
+
+
+def test_numbers_in_any_writing(spark, tmp_dir):
+    a = {"ano": "2024", "mes": 3.0, "rut": "1-9", "nombre": "Ana", "appaterno": "Soto", "apmaterno": None,
+         "dieta": 1000.0, "deducciones": "x", "saldo": " 900 "}
+    _write(os.path.join(tmp_dir, "d", "p.json"), json.dumps({"data": [a]}))
+    row = readers.read_envelopes(spark, os.path.join(tmp_dir, "d", "*.json"), ITEM, rejected="bad").first()
+    assert (row.ano, row.mes, row.dieta, row.saldo, row.deducciones, row.bad) == (2024, 3, 1000, 900, None, 1)
+
+
+def test_drops_of_one_month_add_up_and_replace_themselves(spark, tmp_dir):
+    head = "organismo_nombre;anyo;Mes;Nombres;remuliquida_mensual\n"
+    out, a, b = (os.path.join(tmp_dir, n) for n in ("lake", "TA_PersonalPlanta_a.csv", "TA_PersonalPlanta_b.csv"))
+    _write(a, head + "O;2024;Marzo;Ana;1\nO;2024;Abril;Ana;2\n")
+    _write(b, head + "O;2024;Marzo;Eva;3\n")
+    skipped = []
+    leg.ingest_bulk_csv(spark, [a, a + ".none"], out, skipped=skipped)
+    assert skipped == [(a + ".none", "missing")]
+    assert leg.ingest_bulk_csv(spark, [b], out).count() == 3
+    _write(a, head + "O;2024;Marzo;Ana;9\n")  # without April now
+    rows = sorted((r.drop[-5], r.Mes, r.Nombres, r.remuliquida_mensual) for r in leg.ingest_bulk_csv(spark, [a], out).collect())
+    assert rows == [("a", "Marzo", "Ana", 9), ("b", "Marzo", "Eva", 3)]
+
+
+def test_base_pay_with_gaps_and_without_columns(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    _write(f"{raw}/diputados_dieta/2019_07.csv", "ID_Diputado,Nombre,Cargo,Sueldo Bruto,Sueldo Liquido\n7,Rosa,D,100,90.0\n8,Luz,D,100,\n")
+    _write(f"{raw}/diputados_dieta/2019_08.csv", "ID_Diputado,Nombre\n7,Rosa\n")
+    rows = {r.Nombres: r for r in leg.consolidate_chamber(spark, raw).collect()}
+    assert rows["ROSA"].remuliquida_mensual == 90 and rows["LUZ"].remuliquida_mensual == 0 and len(rows) == 2
 
 
 def test_quarantine_column_flags_ragged_rows(spark, tmp_dir):
