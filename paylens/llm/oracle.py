@@ -45,3 +45,55 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from (select ruled.*, case when base_failed then 0 else coalesce(lost.n, 0) end as n_removed
       from ruled left join lost using (rid))
 """
+
+ORACLES["op6_substring_dedup"] = rf"""
+with docs as (select row_number() over () as rid, doc_id, {WORDS} as ws from documents),
+starts as (select rid, doc_id, ws, unnest(generate_series(1, len(ws) - 12)) as i from docs where len(ws) >= 13),
+windows as (select rid, doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') as w from starts),
+later as (select rid, i from (select rid, doc_id, i, min(doc_id) over (partition by w) as first from windows)
+          where first < doc_id),
+gone as (select distinct rid, unnest(generate_series(i, i + 12)) as i from later),
+spots as (select rid, unnest(ws) as word, generate_subscripts(ws, 1) as i from docs),
+kept as (
+  select rid, count(*) as n, string_agg(word, ' ' order by i) as body
+  from spots where not exists (select 1 from gone where gone.rid = spots.rid and gone.i = spots.i) group by rid)
+select doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256(coalesce(body, '')) as kept_sha256
+from docs left join kept using (rid)
+"""
+
+ORACLES["op10_line_winnowing"] = r"""
+with docs as (select row_number() over () as rid, doc_id, text, string_split(coalesce(text, ''), chr(10)) as ls
+              from documents),
+raws as (select rid, doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as raw from docs),
+lines as (
+  select rid, doc_id, raw, row_number() over (partition by rid order by raw) as pos,
+         array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+'), ' ') as line
+  from raws where regexp_matches(line, '[^\x20\x09-\x0D]')),
+windows as (
+  select rid, doc_id, pos, [line, lead(line, 1) over w, lead(line, 2) over w] as three,
+         lead(line, 2) over w as third
+  from lines window w as (partition by rid order by pos)),
+later as (
+  select rid, pos from (
+    select rid, pos, {'doc_id': doc_id, 'pos': pos} as here,
+           min({'doc_id': doc_id, 'pos': pos}) over (partition by three) as first
+    from windows where third is not null)
+  where first < here),
+covered as (select distinct rid, unnest(generate_series(pos, pos + 2)) as pos from later),
+marked as (
+  select lines.rid, raw, covered.pos is not null as gone,
+         lead(raw) over w as next_raw, lead(covered.pos) over w is not null as next_gone
+  from lines left join covered on lines.rid = covered.rid and lines.pos = covered.pos
+  window w as (partition by lines.rid order by lines.pos)),
+deleted as (
+  select rid, unnest(generate_series(raw, case when next_gone then next_raw - 1 else raw end)) as raw
+  from marked where gone),
+kept as (
+  select rid, string_agg(line, chr(10) order by raw) as body from raws
+  where not exists (select 1 from deleted d where d.rid = raws.rid and d.raw = raws.raw) group by rid),
+counts as (select rid, count(*) as n_lines, count(*) filter (where gone) as n_removed from marked group by rid)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(body, '')) as kept_sha256
+from docs left join counts using (rid) left join kept using (rid)
+"""
