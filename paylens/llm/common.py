@@ -28,7 +28,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     made the table."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,7 +17,6 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -65,10 +64,10 @@ def edited(text: str, following: str) -> str:
 
 
 _FIELDS = [("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("text", pa.string()),
-           ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-           ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
-SCHEMA = ("part int, kind int, doc_id long, text string, n_chars long, edited_sha256 string, fingerprint string, "
-          "edited_fingerprint string, near_edited double, near_next double")
+           ("n_chars", pa.int64()), ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()),
+           ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+SCHEMA = ("part int, kind int, doc_id long, text string, n_chars long, edited_sha256 binary, fingerprint binary, "
+          "edited_fingerprint binary, near_edited double, near_next double")
 DONE, HEAD, TAIL = 0, 1, 2
 
 
@@ -76,8 +75,7 @@ def _row(doc_id, text: str, mark: np.ndarray, following: str, next_mark: np.ndar
     other = edited(text, following)
     raw = other.encode()
     other_mark = printed(raw, *perms)
-    return (0, DONE, doc_id, None, len(text), hashlib.sha256(raw).hexdigest(),
-            base64.b64encode(mark.tobytes()).decode(), base64.b64encode(other_mark.tobytes()).decode(),
+    return (0, DONE, doc_id, None, len(text), hashlib.sha256(raw).digest(), mark.tobytes(), other_mark.tobytes(),
             float((mark == other_mark).mean()), float((mark == next_mark).mean()))
 
 
@@ -135,8 +133,10 @@ def fingerprints(docs: DataFrame, perms: int = PERMS) -> DataFrame:
     ends = (ends.withColumn("following", F.coalesce(F.lead("text").over(order), F.first("text").over(first)))
             .filter(F.col("kind") == TAIL).select("doc_id", "text", "following"))
     columns = [n for n, _ in _FIELDS if n not in ("part", "kind", "text")]
-    return (table.filter(F.col("kind") == DONE).select(*columns)
+    rows = (table.filter(F.col("kind") == DONE).select(*columns)
             .unionByName(ends.repartition("doc_id").mapInArrow(join, SCHEMA).select(*columns)))
+    # in hexadecimal only here: the written table holds bytes
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 
 
 def near_links(docs: DataFrame, percent: int = 80, bands: int = BANDS, perms: int = PERMS) -> DataFrame:
