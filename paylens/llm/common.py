@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +23,37 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+# Paths of the tables written within each open temporary() scope.
+_scopes: list[list[str]] = []
+
+
+def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written once to the shared folder (``spark.checkpoint.dir``) and
     read back.  This cuts the lineage: a lost executor never re-runs what
-    made the table."""
+    made the table.  Within :func:`temporary` the table is deleted at the end
+    of the scope, or of the next outer one if ``keep``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    scopes = _scopes[:-1] if keep else _scopes
+    if scopes:
+        scopes[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that ``saved`` writes within it, when it ends: what
+    is still needed then must have been saved with ``keep``."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; none for a null text."""
     flat = F.translate(F.coalesce(text, F.lit("")), BLANKS, " " * len(BLANKS))

@@ -30,7 +30,8 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least node) of every node of ``links`` (a, b: long)."""
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct()
-    edges, before = saved(edges, "edges"), None
+    before = None
+    edges = saved(edges, "edges")
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()  # a row
         if state == before:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import boxed, mixed, running, saved, unboxed, words
+from paylens.llm.common import boxed, mixed, running, saved, temporary, unboxed, words
 
 BLOCK = 512
 SHARD_SLOTS = 4096
@@ -219,18 +219,20 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block
     """The mix as documents, in the columns of ``docs``: a row for each pass in
     which a document is taken, with its text, or, if the pass takes a part of
     it, the taken words joined by spaces (``n_chars`` follows)."""
-    sized = sized_rows(docs)
-    mixture = mixture_of(sized, weights, block, seed)
-    if not mixture.quota.sum():
-        return docs.limit(0)
     key = ["doc_id", "source", "content"]
-    spans = (takes(sized, mixture).groupBy("row", "turn")
-             .agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"),
-                  F.sum(F.col("end") - F.col("first")).alias("n")))
-    per_text = (spans.join(sized, "row")
-                .select(*[F.col(c).alias(f"_{c}") for c in key],
-                        F.struct("spans", (F.col("n") == F.col("size")).alias("whole")).alias("take"))
-                .groupBy(*[f"_{c}" for c in key]).agg(F.collect_list("take").alias("_takes")))
+    with temporary(docs.sparkSession):
+        sized = sized_rows(docs)
+        mixture = mixture_of(sized, weights, block, seed)
+        if not mixture.quota.sum():
+            return docs.limit(0)
+        spans = (takes(sized, mixture).groupBy("row", "turn")
+                 .agg(F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"),
+                      F.sum(F.col("end") - F.col("first")).alias("n")))
+        per_text = (spans.join(sized, "row")
+                    .select(*[F.col(c).alias(f"_{c}") for c in key],
+                            F.struct("spans", (F.col("n") == F.col("size")).alias("whole")).alias("take"))
+                    .groupBy(*[f"_{c}" for c in key]).agg(F.collect_list("take").alias("_takes")))
+        per_text = saved(per_text, "takes", keep=True)
     # rows alike in these three are one row here; their takes are all in _takes
     texts = boxed(docs, F.col("doc_id"), F.col("source"), F.col("text"), F.xxhash64("text").alias("content"))
     rows = texts.dropDuplicates(key).join(
