@@ -15,7 +15,9 @@ documents link if intersection / union reaches ``percent`` per cent.
    are joined once more by their whole sets, rarest shingles first, so that a
    shared passage in otherwise different texts drops out of the prefixes.
    Where many still share a prefix shingle (a family of near copies), each is
-   compared with one of them.
+   compared with one of them.  Everywhere a pair counts under a shingle only if
+   the shingles from there on could be enough: true under the first one that
+   they share.
 4. Pairs are expanded to classes and verified on whole sets.  Links give
    components; then every pair that 2 and 3 listed but did not compare, and
    that is not in one component yet, is compared too.  So no link between
@@ -41,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paylens.llm.common import boxed, saved, shingle_set, unboxed
+from paylens.llm.common import boxed, saved, shingle_set, temporary, unboxed
 from paylens.llm.components import components
 
 PERCENT = 80
@@ -198,23 +200,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
             .mapInArrow(compare, "a long, b long"))
 
 
+def _enough_left(x: str, y: str, percent: int) -> Column:
+    """Whether the shingles left on both sides could make two sets similar."""
+    left = F.least(F.col(f"left_{x}"), F.col(f"left_{y}"))
+    return (100 + percent) * left >= percent * (F.col(f"n_{x}") + F.col(f"n_{y}"))
+
+
 def rich_prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """token, class, n, shared (classes with that shingle in their prefix): the
-    rarest shingles of every set, counted among these sets."""
+    """token, class, n, left (shingles from this one on), shared (classes with
+    that shingle in their prefix): the rarest shingles of every set, counted
+    among these sets."""
     listed = sets.select(F.explode("tokens").alias("token"), "class", "n").repartition("token")
     counted = listed.join(listed.groupBy("token").agg(F.count("*").alias("df")), "token")
     rank = F.row_number().over(Window.partitionBy("class").orderBy("df", "token"))  # the shingles of one document
     prefix = (counted.withColumn("rank", rank).filter(F.col("rank") <= prefix_size(F.col("n"), percent))
-              .filter("df > 1").select("token", "class", "n"))
+              .filter("df > 1").select("token", "class", "n", (F.col("n") - F.col("rank") + 1).alias("left")))
     prefix = saved(prefix, "prefix")
     return prefix.join(prefix.groupBy("token").agg(F.count("*").alias("shared")).filter("shared > 1"), "token")
 
 
 def _both(rows: DataFrame, percent: int) -> DataFrame:
     """All pairs of classes under a token (few classes each)."""
-    left = rows.select("token", F.col("class").alias("a"), F.col("n").alias("n_a"))
-    right = rows.select("token", F.col("class").alias("b"), F.col("n").alias("n_b"))
-    return (left.join(right, "token").filter((F.col("a") < F.col("b")) & _sizes_allow("n_a", "n_b", percent))
+    left, right = (rows.select("token", F.col("class").alias(s), F.col("n").alias(f"n_{s}"),
+                               F.col("left").alias(f"left_{s}")) for s in "ab")
+    return (left.join(right, "token").filter((F.col("a") < F.col("b")) & _enough_left("a", "b", percent))
             .select("a", "b").distinct())
 
 
@@ -229,16 +238,16 @@ def _with_one(rows: DataFrame) -> DataFrame:
 
 def _apart(rows: DataFrame, key: str, percent: int) -> DataFrame:
     """Pairs under a key whose classes are in different components.  rows: key,
-    class, n, component.  Members of the key's largest component are compared
+    class, n, left, component.  Members of the key's largest component are compared
     only with the others, which are few."""
     sizes = rows.groupBy(key, "component").agg(F.count("*").alias("members"))
     most = sizes.groupBy(key).agg(F.max(F.struct("members", "component"))["component"].alias("largest"),
                                   F.count("*").alias("kinds")).filter("kinds > 1")
     rows = rows.join(most, key)
-    others = rows.filter("component != largest").select(key, F.col("class").alias("x"), F.col("n").alias("n_x"),
-                                                        F.col("component").alias("c_x"))
-    every = rows.select(key, F.col("class").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"))
-    return (others.join(every, key).filter((F.col("c_x") != F.col("c_y")) & _sizes_allow("n_x", "n_y", percent))
+    others, every = (part.select(key, F.col("class").alias(s), F.col("n").alias(f"n_{s}"), F.col("left").alias(f"left_{s}"),
+                                 F.col("component").alias(f"c_{s}"))
+                     for s, part in (("x", rows.filter("component != largest")), ("y", rows)))
+    return (others.join(every, key).filter((F.col("c_x") != F.col("c_y")) & _enough_left("x", "y", percent))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
@@ -275,9 +284,10 @@ def linked_classes(docs: DataFrame, table: DataFrame, percent: int = PERCENT, wi
         found = rows.join(known, F.col("class") == F.col("node"), "left").drop("node")
         return found.withColumn("component", F.coalesce("component", "class"))
 
-    crowd = members.join(mixed_groups.select("group"), "group", "left_semi").select("group", "class", "n")
+    crowd = members.join(mixed_groups.select("group"), "group", "left_semi").select(
+        "group", "class", "n", F.col("n").alias("left"))
     again = _apart(placed(crowd), "group", percent).unionByName(
-        _apart(placed(many.select("token", "class", "n")), "token", percent))
+        _apart(placed(many.drop("shared")), "token", percent))
     wide = pairs.join(mixed_groups.select(F.col("group").alias("a")), "a", "left_semi").unionByName(
         pairs.join(mixed_groups.select(F.col("group").alias("b")), "b", "left_semi").select("a", "b")).distinct()
     spot = placed(members.join(wide.select(F.col("a").alias("group")).unionByName(wide.select(F.col("b").alias("group")))
@@ -313,7 +323,8 @@ def classified(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, comm
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common: int = COMMON) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    rows = saved(classified(docs, percent, width, common).select("doc_id", "n", "key"), "classified")
+    with temporary(docs.sparkSession):
+        rows = saved(classified(docs, percent, width, common).select("doc_id", "n", "key"), "classified", keep=True)
     least = rows.filter("key is not null").groupBy(F.col("key").alias("_key")).agg(F.min("doc_id").alias("least"))
     return rows.join(least, F.col("key") == F.col("_key"), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
@@ -323,7 +334,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
 def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common: int = COMMON) -> DataFrame:
     """``docs`` with one document of each component: that of the least doc_id
     (documents without words all stay; of rows alike in doc_id and text, one)."""
-    rows = saved(classified(docs, percent, width, common).select("doc_id", "content", "key"), "classified")
+    with temporary(docs.sparkSession):
+        rows = saved(classified(docs, percent, width, common).select("doc_id", "content", "key"), "classified", keep=True)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "content")
     least = rows.filter("key is not null").groupBy(F.col("key").alias("_key")).agg(
         F.min(place).alias("one"), F.count("*").alias("rows")).filter("rows > 1")
