@@ -121,7 +121,8 @@ def url_filter(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, ord
     ratios = saved(log_ratios(saved(counts, "grams"), order), "ratios")
     lines = urls.select(F.xxhash64("host", "path").alias("key"), F.explode(grams(order)).alias("gram"))
     # urls with the same host and path share a key and a score: a mean over all their characters
-    scores = lines.join(ratios, "gram").groupBy("key").agg(F.avg("ratio").alias("score"))
+    # a merge join: Spark would take the exploded rows for as small as the urls' file and broadcast them
+    scores = lines.join(ratios.hint("merge"), "gram").groupBy("key").agg(F.avg("ratio").alias("score"))
     scored = saved(urls.withColumn("key", F.xxhash64("host", "path")).join(scores, "key"), "scored")
     limit = threshold(scored)
     verdict = F.coalesce(F.col("said"), F.when(F.col("score") >= limit, "allow").otherwise("block"))
