@@ -35,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import saved, sliding_hashes, word_hashes
+from paylens.llm.common import saved, sliding_hashes, temporary, word_hashes
 
 WINDOW = 13
 GRAM = 4
-CROWD = 64
+CROWD = 1024
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
 
@@ -106,6 +106,11 @@ def anchors_of(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray,
     return h, runs, spans.argmin(axis=1) + np.arange(len(spans))
 
 
+def anchor_values(runs: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The hash of each window's anchor, an even long: its last bit is free for a mark."""
+    return runs[at].view(np.int64) & ~1
+
+
 def listed_anchors(rows: DataFrame, window: int, gram: int, crowd: int) -> DataFrame:
     """Per document: d and its ``rare`` anchors, and ``often`` those in over
     ``crowd`` documents of the batch; a row without d lists the latter again."""
@@ -116,7 +121,7 @@ def listed_anchors(rows: DataFrame, window: int, gram: int, crowd: int) -> DataF
             sets = []
             for text in batch.column(1):
                 _, runs, at = anchors_of((text.as_py() or b"").split(), window, gram)
-                sets.append(np.unique(runs[at].view(np.int64)))
+                sets.append(np.unique(anchor_values(runs, at)))
             values, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.int64),) * 2
             often = values[counts > crowd]
             hot = [np.isin(s, often, kind="sort") for s in sets]
@@ -129,7 +134,7 @@ def listed_anchors(rows: DataFrame, window: int, gram: int, crowd: int) -> DataF
 
 
 def shared_anchors(table: DataFrame, crowd: int) -> DataFrame:
-    """d, anchors: (anchor, crowded) of those in two or more documents."""
+    """d, anchors: those in two or more documents, their last bit set if crowded."""
     listed = table.select(F.explode("rare").alias("anchor"), "d").repartition("anchor")
     counts = (listed.groupBy("anchor").agg(F.count("*").alias("rows"), F.min("d").alias("low"), F.max("d").alias("high"),
                                            F.max(F.col("d").isNull()).alias("marked"))
@@ -137,8 +142,9 @@ def shared_anchors(table: DataFrame, crowd: int) -> DataFrame:
               .select("anchor", (F.col("marked") | (F.col("rows") > crowd)).alias("crowded")))
     shared = listed.join(counts, "anchor").filter("d is not null")
     hot = table.filter("d is not null").select(F.explode("often").alias("anchor"), "d", F.lit(True).alias("crowded"))
-    return shared.select("anchor", "d", "crowded").unionByName(hot).groupBy(F.col("d").alias("_d")).agg(
-        F.collect_list(F.struct("anchor", "crowded")).alias("anchors"))
+    marked = shared.select("anchor", "d", "crowded").unionByName(hot).select(
+        F.col("d").alias("_d"), (F.col("anchor") + F.col("crowded").cast("long")).alias("anchor"))
+    return marked.groupBy("_d").agg(F.collect_list("anchor").alias("anchors"))
 
 
 def segments_of(rows: DataFrame, anchors: DataFrame, window: int, gram: int) -> DataFrame:
@@ -155,11 +161,9 @@ def segments_of(rows: DataFrame, anchors: DataFrame, window: int, gram: int) ->
                 h, runs, at = anchors_of(words, window, gram)
                 if not len(at):
                     continue
-                fields = marks.values.flatten()
-                known, crowded = fields[0].to_numpy(), fields[1].to_numpy(zero_copy_only=False)
-                order = np.argsort(known)
-                known, crowded = known[order], crowded[order]
-                value = runs[at].view(np.int64)
+                known = np.sort(marks.values.to_numpy())
+                known, crowded = known & ~1, (known & 1).astype(bool)
+                value = anchor_values(runs, at)
                 place = np.minimum(np.searchsorted(known, value), len(known) - 1)
                 hit = known[place] == value
                 alone = hit & crowded[place]
@@ -262,7 +266,8 @@ def keep(rows: DataFrame, spans: DataFrame) -> DataFrame:
                 left = words
                 if parts.is_valid:
                     gone = np.zeros(len(words) + 1, dtype=np.int64)
-                    first, end = (c.to_numpy() for c in parts.values.flatten())
+                    both = parts.values.to_numpy()
+                    first, end = both >> 32, both & 0xFFFFFFFF
                     np.add.at(gone, first, 1)
                     np.add.at(gone, end, -1)
                     left = [words[k] for k in np.flatnonzero(np.cumsum(gone)[:-1] == 0)]
@@ -275,7 +280,8 @@ def keep(rows: DataFrame, spans: DataFrame) -> DataFrame:
                     ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
     per_text = spans.groupBy(F.col("d").alias("_d"), F.col("content").alias("_content")).agg(
-        F.collect_list(F.struct("first", "end")).alias("spans"))
+        # a span in one long: half the bytes of a struct to shuffle
+        F.collect_list(F.shiftleft("first", 32).bitwiseOR(F.col("end"))).alias("spans"))
     joined = rows.join(per_text, (F.col("d") == F.col("_d")) & (F.col("content") == F.col("_content")), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         scan, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary")
@@ -285,9 +291,10 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd:
     """doc_id, n_words, n_removed, kept_sha256 and kept (the kept words) of every document."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"),
                        F.xxhash64("text").alias("content"), F.col("text").cast("binary"))
-    table = saved(listed_anchors(rows, window, gram, crowd), "anchors")
-    segments = saved(segments_of(rows, shared_anchors(table, crowd), window, gram), "segments")
-    spans = shard_spans(segments, window).unionByName(crowded_spans(segments, window))
+    with temporary(docs.sparkSession):
+        table = saved(listed_anchors(rows, window, gram, crowd), "anchors")
+        segments = saved(segments_of(rows, shared_anchors(table, crowd), window, gram), "segments")
+        spans = saved(shard_spans(segments, window).unionByName(crowded_spans(segments, window)), "spans", keep=True)
     return keep(rows, spans)
 
 
