@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paylens.llm.common import BLANKS, boxed, saved, sliding_hashes, unboxed, word_hashes
+from paylens.llm.common import BLANKS, boxed, saved, sliding_hashes, temporary, unboxed, word_hashes
 
 WIDTH = 3
 
@@ -94,9 +94,11 @@ def repeated_runs(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc, doc_id, text, ``left`` (the text without its later repeated runs)
     and ``touched`` (whether any line went) of every document."""
-    runs = repeated_runs(docs, width)
+    with temporary(docs.sparkSession):
+        runs = saved(repeated_runs(docs, width), "runs", keep=True)
     rows = boxed(docs, F.xxhash64("text").alias("hash"), F.col("doc_id"), F.col("text"))
-    rows = rows.join(runs, (F.col("hash") == F.col("_content")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    # the same plan at every size: texts meet their runs by a merge join
+    rows = rows.join(runs.hint("merge"), (F.col("hash") == F.col("_content")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     keep = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("_runs", lambda r: i.between(r["first"], r["last"])))
     touched = F.col("_runs").isNotNull()
     return rows.select("doc", "doc_id", "text", F.when(touched, F.array_join(keep, "\n")).otherwise(F.col("text")).alias("left"),
