@@ -27,7 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paylens.llm.common import saved, shingle_set
+from paylens.llm.common import saved, shingle_set, temporary
+from paylens.llm.components import components
+from paylens.llm.ngram_join import _apart, class_of, sets_of, shingles, verified
 
 PERMS = 128
 BANDS = 25  # of five numbers: at a similarity of 0.8 all but one pair in 20,000 share a band
@@ -142,29 +144,68 @@ def fingerprints(docs: DataFrame, perms: int = PERMS) -> DataFrame:
 def near_links(docs: DataFrame, percent: int = 80, bands: int = BANDS, perms: int = PERMS) -> DataFrame:
     """a, b: documents linked by a band and by exact Jaccard similarity.
 
-    In each band, every document is linked to the least doc_id of equal band
-    numbers (never all with all): links of classes, not all pairs.  Documents
-    without words are linked with nothing.  doc_ids should be unique.
+    Equal shingle sets are one class, named by its least doc_id and linked with
+    its other documents.  In each band, every class is compared with the least
+    of equal band numbers; then classes of equal band numbers that are not in
+    one component yet are compared with each other.  So the links give the
+    components of all similar pairs that share a band, while a family of
+    copies never makes all its pairs.
+
+    Documents without words are linked with nothing.  A null doc_id is greater
+    than all others: it comes as ``b``, as ``a`` too if both are null.  Rows
+    that repeat a doc_id are not linked with each other.
     """
-    from paylens.llm.ngram_join import similar_pairs
+    with temporary(docs.sparkSession):
+        return saved(_links(docs, percent, bands, perms), "links", keep=True)
+
 
+def _links(docs: DataFrame, percent: int, bands: int, perms: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = permutations(perms)
         width = perms // bands
         for batch in batches:
-            ids, keys = [], []
-            for doc_id, text in zip(*batch.columns, strict=True):
-                shingles = shingle_set((text.as_py() or b"").lower().split())
-                if len(shingles):
-                    mark = minhash(shingles, *hashes)
-                    ids += [doc_id.as_py()] * bands
-                    keys += [bytes([k]) + mark[k * width:(k + 1) * width].tobytes() for k in range(bands)]
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "band"])
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    banded = saved(rows.mapInArrow(scan, "doc_id long, band binary"), "bands")
-    least = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("most"))
-    pairs = (banded.join(least.filter("a < most").select("band", "a"), "band").filter("a < doc_id")
-             .select("a", F.col("doc_id").alias("b")).distinct())
-    return similar_pairs(pairs, rows, percent)
+            out: list[tuple] = []
+            seen = set()
+            for doc_id, key, text in zip(*batch.columns, strict=True):
+                tokens = shingles(text.as_py() or b"")
+                if not len(tokens):
+                    continue
+                name, keys = class_of(tokens), None
+                if name not in seen:
+                    seen.add(name)
+                    mark = minhash(tokens.view(np.uint64), *hashes)
+                    keys = [bytes([k]) + mark[k * width:(k + 1) * width].tobytes() for k in range(bands)]
+                out.append((doc_id.as_py(), key.as_py(), name, len(tokens), keys))
+            if out:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
+                                                 ["doc_id", "key", "class", "n", "bands"])
+
+    # a row is found again by the hash of its doc_id and text
+    rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
+    table = rows.select("doc_id", "key", F.col("text").cast("binary")).mapInArrow(
+        scan, "doc_id long, key long, class long, n int, bands array<binary>")
+    table = saved(table.withColumn("row", F.monotonically_increasing_id()), "bands")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "key")
+    classes = saved(table.groupBy("class").agg(F.min(place).alias("one")), "classes")
+
+    banded = table.filter("bands is not null").select(F.explode("bands").alias("band"), "class", "n").distinct()
+    banded = saved(banded, "banded")
+    least = banded.groupBy("band").agg(F.min("class").alias("a"), F.max("class").alias("most")).filter("a < most")
+    shared = saved(banded.join(least.select("band", "a"), "band"), "shared")
+    wanted = classes.join(shared.select("class").distinct(), "class").select("class", F.col("one.key").alias("doc_id"))
+    sets = saved(sets_of(rows.select(F.col("key").alias("doc_id"), "text"), wanted), "sets")
+    stars = shared.filter("a < class").select("a", F.col("class").alias("b")).distinct()
+    links = saved(verified(stars, sets, percent), "stars")
+
+    known = saved(components(links), "components")
+    placed = shared.drop("a").join(known, F.col("class") == F.col("node"), "left").select(
+        "band", "class", "n", F.col("n").alias("left"), F.coalesce("component", "class").alias("component"))
+    links = links.unionByName(verified(_apart(placed, "band", percent), sets, percent))
+
+    for side in "ab":
+        links = links.join(classes.select(F.col("class").alias(side), F.col("one").alias(f"one_{side}")), side)
+    links = links.select(F.least("one_a", "one_b")["doc_id"].alias("a"), F.greatest("one_a", "one_b")["doc_id"].alias("b"))
+    copies = table.join(classes, "class").filter(F.col("row") != F.col("one.row")).select(
+        F.col("one.doc_id").alias("a"), F.col("doc_id").alias("b"))
+    return links.unionByName(copies).filter("a is null or b is null or a < b")

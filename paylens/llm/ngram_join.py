@@ -301,18 +301,6 @@ def linked_classes(docs: DataFrame, table: DataFrame, percent: int = PERCENT, wi
     return components(links.unionByName(more))
 
 
-def similar_pairs(pairs: DataFrame, rows: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose shingle sets are similar enough.  rows: doc_id, text (binary)."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _sets(batch.column(0).to_pylist(), [shingles(t.as_py() or b"", width) for t in batch.column(1)])
-
-    near = rows.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text")
-    return verified(pairs, saved(near.mapInArrow(scan, "class long, n int, tokens array<long>"), "sets"), percent)
-
-
 def classified(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common: int = COMMON) -> DataFrame:
     """Per document: doc_id, content, n, class, key (its component among classes)."""
     table = saved(read_sets(docs, percent, width, common), "documents")

@@ -395,6 +395,41 @@ def test_band_links_are_verified(spark):
     assert {b for _, b in links} >= {k for k, c in enumerate(expected) if c != k and sets[k] in sets[:k]}
 
 
+def test_links_of_a_family_of_edited_copies_make_its_components(spark):
+    rng = random.Random(32)
+    base = prose(rng, 110).split()
+    texts = []
+    for _ in range(80):  # two that share an edit are similar, the others are not
+        words = list(base)
+        for k in rng.sample(range(110), 2):
+            words[k] = f"e{k}"
+        texts.append(" ".join(words))
+    texts += corpus(33, 20) + [None, "", texts[7], texts[7].upper()]
+    expected, _ = linked(texts)
+    links = [(r["a"], r["b"]) for r in fingerprints.near_links(frame(spark, texts, clash=True)).collect()]
+    parent = list(range(len(texts)))
+
+    def find(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    assert len(set(expected[:80])) > 5
+    assert [find(k) for k in range(len(texts))] == expected
+
+
+def test_links_of_null_doc_ids(spark):
+    rng = random.Random(34)
+    text, other = prose(rng, 40), prose(rng, 40)
+    texts = [text, text + " x", text, other, other + " y", None, ""]
+    links = [(r["a"], r["b"]) for r in fingerprints.near_links(frame(spark, texts, [4, None, None, None, None, None, 9])).collect()]
+    assert sorted(links, key=repr) == [(4, None), (4, None), (None, None)]
+    assert fingerprints.near_links(edges(spark)).count() == 1 and fingerprints.near_links(empty(spark)).count() == 0
+
+
 # ------------------------------------------------------------ toxicity
 
 def test_toxicity_on_held_out_rows_and_its_folds(spark):
