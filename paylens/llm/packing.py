@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from paylens.llm.common import running, saved
 
 END = 0
+ADDED = {"<|endoftext|>": 50256}  # the added tokens of byte_bpe_50k.json: one id wherever a text holds the string
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -38,14 +39,14 @@ def vocabulary() -> str:
 
 
 def encoder(path: str):
-    """Byte-level BPE with the ids of byte_bpe_50k.json (no special tokens)."""
+    """Byte-level BPE with the ids of byte_bpe_50k.json."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={})
+                             special_tokens=ADDED)
 
 
 def cuts(n: int, length: int) -> list[tuple[int, int]]:
@@ -64,7 +65,7 @@ def token_pieces(docs: DataFrame, length: int = 2048, path: str | None = None) -
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.array([*coder.encode_ordinary(text.as_py() or ""), END], dtype="<u4")
+                ids = np.array([*coder.encode(text.as_py() or "", allowed_special="all"), END], dtype="<u4")
                 for k, (a, b) in enumerate(cuts(len(ids), length)):
                     out.append((doc_id.as_py(), k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
             if out:

@@ -262,6 +262,23 @@ def test_pieces_are_the_public_tokenizers_ids(spark):
         assert sorted(got[k]) == expected
 
 
+def test_the_added_token_inside_a_text_is_the_public_tokenizers_id(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"  {end}  \n\n{end}\tx", f"don{end}'t", f"x  {end}", f"é{end}日本 12{end}5",
+             "<|endoftext|", "<|ENDOFTEXT|>", "<|endof text|>", f"<|{end}|>", f"word {end} " * 100]
+    got = defaultdict(list)
+    for r in packing.packed(frame(spark, texts), length=64).collect():
+        got[r["doc_id"]].append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for k, t in enumerate(texts):
+        ids = coder.encode(t, add_special_tokens=False).ids + [0]
+        assert sorted(got[k]) == [(p, a, b - a, zlib.crc32(np.array(ids[a:b], dtype="<u4").tobytes()))
+                                  for p, (a, b) in enumerate(packing.cuts(len(ids), 64))], t
+
+
 def test_sequences_are_gapless_and_few(spark):
     rng = random.Random(6)
     texts = [prose(rng, rng.randint(0, 80)) for _ in range(400)]
