@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -69,9 +70,10 @@ def _py(scalar: pa.Scalar):
     return scalar.as_py()
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
     """64-bit hashes of words, as an array."""
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+    digest = partial(xxhash.xxh3_64_intdigest, seed=seed) if seed else xxhash.xxh3_64_intdigest
+    return np.fromiter(map(digest, words), dtype=np.uint64, count=len(words))
 
 
 # Odd multipliers of a sliding hash: powers of one 64-bit constant.

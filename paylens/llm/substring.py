@@ -40,6 +40,7 @@ from paylens.llm.common import saved, sliding_hashes, temporary, word_hashes
 WINDOW = 13
 GRAM = 4
 CROWD = 1024
+CHECK_SEED = 1
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
 
@@ -111,6 +112,11 @@ def anchor_values(runs: np.ndarray, at: np.ndarray) -> np.ndarray:
     return runs[at].view(np.int64) & ~1
 
 
+def window_hashes(words: list[bytes], h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each window: of the words' hashes, and of others by another seed."""
+    return sliding_hashes(h, window), sliding_hashes(word_hashes(words, CHECK_SEED), window)
+
+
 def listed_anchors(rows: DataFrame, window: int, gram: int, crowd: int) -> DataFrame:
     """Per document: d and its ``rare`` anchors, and ``often`` those in over
     ``crowd`` documents of the batch; a row without d lists the latter again."""
@@ -169,7 +175,7 @@ def segments_of(rows: DataFrame, anchors: DataFrame, window: int, gram: int) ->
                 alone = hit & crowded[place]
                 lone = np.flatnonzero(alone)
                 if len(lone):
-                    first, second = sliding_hashes(h, window), sliding_hashes(~h, window)
+                    first, second = window_hashes(words, h, window)
                     out[0] += [d.as_py()] * len(lone)
                     out[1] += [content.as_py()] * len(lone)
                     out[2] += lone.tolist()

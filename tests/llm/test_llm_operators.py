@@ -24,7 +24,7 @@ from paylens.llm import (
     toxicity,
     url_filter,
 )
-from paylens.llm.common import running
+from paylens.llm.common import _ODD, running, sliding_hashes, word_hashes
 
 # ------------------------------------------------------------ n-gram join
 
@@ -361,6 +361,21 @@ def test_automaton_gives_matching_statistics():
         assert list(automaton.matches(query)) == expected
 
 
+def test_windows_of_one_key_are_parted_by_their_check():
+    rng = random.Random(14)
+    words = prose(rng, 30).encode().split()
+    h = word_hashes(words)
+    other = h.copy()  # other words of the same sum, so of the same key
+    other[0] += _ODD[1]
+    other[1] -= _ODD[0]
+    assert sliding_hashes(h, 13)[0] == sliding_hashes(other, 13)[0]
+    assert sliding_hashes(~h, 13)[0] == sliding_hashes(~other, 13)[0]  # the former check: a function of the key
+    key, check = substring.window_hashes(words, h, 13)
+    assert (key == sliding_hashes(h, 13)).all()
+    assert (check == sliding_hashes(word_hashes(words, 1), 13)).all()
+    assert not (word_hashes(words, 1) == h).any() and not (check == sliding_hashes(~h, 13)).any()
+
+
 # ------------------------------------------------------------ fingerprints
 
 def test_fingerprints_follow_the_edit_and_the_next_text(spark):
