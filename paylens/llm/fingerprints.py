@@ -128,12 +128,16 @@ def fingerprints(docs: DataFrame, perms: int = PERMS) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     table = saved(ordered.mapInArrow(scan, SCHEMA), "prints")
-    # two rows for each range; a range's last text is followed by the next range's first, the last by the very first
+    # two rows for each range; a range's last text is followed by the next range's first, the last by the very first.
+    # Only the numbers of the ranges meet in one task, their texts are joined
     ends = table.filter(F.col("kind") != DONE).select("part", "kind", "doc_id", "text")
-    order = Window.partitionBy().orderBy("part", "kind")
-    first = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = (ends.withColumn("following", F.coalesce(F.lead("text").over(order), F.first("text").over(first)))
-            .filter(F.col("kind") == TAIL).select("doc_id", "text", "following"))
+    heads = ends.filter(F.col("kind") == HEAD).select(F.col("part").alias("next"), F.col("text").alias("following"))
+    order = Window.partitionBy().orderBy("part")
+    every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = heads.select(F.col("next").alias("part")).select(
+        F.col("part").alias("_part"), F.coalesce(F.lead("part").over(order), F.first("part").over(every)).alias("_next"))
+    ends = (ends.filter(F.col("kind") == TAIL).join(after, F.col("part") == F.col("_part"))
+            .join(heads.hint("merge"), F.col("_next") == F.col("next")).select("doc_id", "text", "following"))
     columns = [n for n, _ in _FIELDS if n not in ("part", "kind", "text")]
     rows = (table.filter(F.col("kind") == DONE).select(*columns)
             .unionByName(ends.repartition("doc_id").mapInArrow(join, SCHEMA).select(*columns)))

@@ -396,6 +396,19 @@ def test_fingerprints_follow_the_edit_and_the_next_text(spark):
     assert rows[33]["fingerprint"] == rows[34]["fingerprint"] and rows[33]["near_next"] == 1.0
 
 
+def test_only_numbers_of_ranges_meet_in_one_task(spark):
+    rows = fingerprints.fingerprints(frame(spark, [f"text number {k}" for k in range(50)]))
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    windows, nodes = 0, [plan]
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+        if node.nodeName() == "Window":
+            windows += 1
+            assert "text" not in node.output().toString()
+    assert windows
+
+
 def test_minhash_estimates_jaccard():
     rng = np.random.default_rng(1)
     hashes = fingerprints.permutations()
