@@ -97,3 +97,92 @@ select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_remo
        sha256(coalesce(body, '')) as kept_sha256
 from docs left join counts using (rid) left join kept using (rid)
 """
+
+# CRC-32 of a text's UTF-8 bytes, from its rule: a table of 256 remainders, a step per byte.
+CRC_TABLE = """select list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+         lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as steps"""
+
+
+def crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of ``text``, where CRC_TABLE's ``steps`` is in scope."""
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, length(hex({text})), 2), "
+            f"lambda i: ('0x' || substr(hex({text}), i, 2))::bigint)), "
+            "lambda c, x: xor(steps[(xor(c, x) & 255) + 1], c >> 8)))")
+
+
+ORACLES["op11_spelling_variants"] = rf"""
+with recursive table256 as ({CRC_TABLE}),
+runs as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-z\x{{C0}}-\x{{FF}}]+')) as run from documents),
+counted as (
+  select run, n, {crc32("concat(doc_id, ':', run)")} as h
+  from (select doc_id, run, count(*) as n from runs group by all), table256),
+words as (
+  select word, sum(n)::bigint as n from (
+    select case when h % 97 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n
+    from counted)
+  where length(word) >= 5 group by word having sum(n) >= 3),
+cut as (
+  select word, n, i, left(word, i - 1) || substr(word, i + 1) as part
+  from (select word, n, unnest(generate_series(1, length(word))) as i from words)),
+near as (
+  select distinct a.word, b.word as other, b.n from cut a join cut b on a.i = b.i and a.part = b.part and a.word <> b.word
+  union
+  select words.word, cut.word, cut.n from words join cut on words.word = cut.part
+  union
+  select cut.word, words.word, words.n from words join cut on words.word = cut.part),
+best as (select word, count(*) as n_near, min({{'less': -n, 'other': other}}) as b from near group by word),
+forms as (
+  select words.word, words.n, coalesce(n_near, 0) as n_near,
+         case when -b.less >= 2 * words.n then b.other end as form, case when -b.less >= 2 * words.n then -b.less end as form_n
+  from words left join best using (word)),
+walk as (
+  select word, word as at, 0 as steps from forms
+  union all
+  select walk.word, forms.form, walk.steps + 1 from walk join forms on walk.at = forms.word where forms.form is not null),
+roots as (select word, arg_max(at, steps) as root from walk group by word)
+select word, form, root, n, n_near, form_n from forms join roots using (word)
+"""
+
+ORACLES["op12_conversation_trie"] = rf"""
+with table256 as ({CRC_TABLE}),
+turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first) - 1 as place
+  from conversations where conv_id is not null),
+convs as (select conv_id, {crc32("conv_id::varchar")} % 4 as h
+          from (select distinct conv_id from turns), table256),
+parts as (
+  select convs.conv_id, 0 as own, place, role, text from convs join turns
+  on turns.conv_id = convs.conv_id - convs.conv_id % 20 and place < h
+  union all
+  select convs.conv_id, 1, place, role, text from convs join turns on turns.conv_id = convs.conv_id and place >= h),
+rebuilt as (
+  select conv_id, role, text, row_number() over (partition by conv_id order by own, place) as depth from parts),
+paths as (
+  select conv_id, depth, md5(string_agg(md5(role) || md5(text), '') over (partition by conv_id order by depth)) as node,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as tokens
+  from rebuilt
+  union all
+  select conv_id, 0, 'root', 0 from convs),
+linked as (
+  select *, lag(node) over w as parent, lead(node) over w is null as last from paths window w as (partition by conv_id order by depth)),
+nodes as (
+  select depth, node, any_value(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs, any_value(tokens) as tokens,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where last), '')) as ends_sha256
+  from linked group by depth, node),
+children as (select depth - 1 as depth, parent as node, count(*) as n_children from nodes group by all),
+full_nodes as (
+  select nodes.*, coalesce(n_children, 0) as n_children from nodes left join children
+  on nodes.depth = children.depth and nodes.node = children.node),
+above as (
+  select distinct low.depth as depth, low.node as node, high.depth as top_depth, high.node as top
+  from paths low join paths high on low.conv_id = high.conv_id and high.depth <= low.depth),
+sums as (
+  select top_depth as depth, top as node, sum((n_children = 0)::int)::bigint as n_leaves,
+         sum((n_convs - 1) * tokens)::bigint as saved_tokens
+  from above join full_nodes using (depth, node) group by all)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+from full_nodes n join sums using (depth, node) left join full_nodes p on p.depth = n.depth - 1 and p.node = n.parent
+"""

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.llm import (
+    conversation_trie,
     fingerprints,
     line_dedup,
     mixing,
     ngram_join,
     packing,
     quality,
+    simhash,
+    spelling,
     substring,
     token_counts,
     toxicity,
@@ -59,6 +62,18 @@ def op10_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(load(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(load(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(load(spark, sf_dir, "conversations"))
+
+
+def op13_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_source_mixing": op2_source_mixing,
@@ -70,4 +85,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_winnowing": op10_line_winnowing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_simhash_covering": op13_simhash_covering,
 }
