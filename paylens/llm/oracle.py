@@ -138,10 +138,10 @@ forms as (
          case when -b.less >= 2 * words.n then b.other end as form, case when -b.less >= 2 * words.n then -b.less end as form_n
   from words left join best using (word)),
 walk as (
-  select word, word as at, 0 as steps from forms
+  select word, word as here, 0 as steps from forms
   union all
-  select walk.word, forms.form, walk.steps + 1 from walk join forms on walk.at = forms.word where forms.form is not null),
-roots as (select word, arg_max(at, steps) as root from walk group by word)
+  select walk.word, forms.form, walk.steps + 1 from walk join forms on walk.here = forms.word where forms.form is not null),
+roots as (select word, arg_max(here, steps) as root from walk group by word)
 select word, form, root, n, n_near, form_n from forms join roots using (word)
 """
 
