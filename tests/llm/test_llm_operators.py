@@ -504,6 +504,41 @@ def test_toxicity_edges(spark):
     assert len(toxicity.features("You IDIOT!! f00l 1d1ot")) == len(toxicity.FEATURES)
 
 
+def test_obfuscated_words_are_decoded():
+    for word, plain in (("1d1ot", "idiot"), ("$tup!d!!", "stupid"), ("i*d*i*o*t,", "idiot"), ("12idiot", "idiot"),
+                        ("Idiot$$$", "idiot"), ("(IDIOT)", "idiot")):
+        assert toxicity.decoded(word)[0] == plain
+    assert list(toxicity.spelled("you i d i o t a b go".split())) == ["idiotab"]
+    assert toxicity.decoded("2024")[0] == "" and toxicity.decoded("!!!")[0] == ""
+
+
+def test_features_of_very_long_words_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for text in ("a" * 1_000_000, "a1" * 500_000, "1" * 1_000_000, "a*" * 500_000 + "!", "x " * 500_000):
+        assert len(toxicity.features(text, {"aaa": 3.0}, {})) == len(toxicity.FEATURES)
+    assert time.perf_counter() - began < 5
+
+
+def test_a_lexicon_leaves_out_its_fold_and_finds_rare_languages(spark):
+    rng = random.Random(13)
+    texts, marks = [], []
+    for k in range(600):
+        toxic = k % 3 == 0
+        texts.append(prose(rng, 30) + (f" zorgh{rng.randrange(50)}" if toxic else "") + " " + prose(rng, 5))
+        marks.append((k, int(toxic)))
+    docs, labels = frame(spark, texts, clash=True), spark.createDataFrame(marks, "doc_id long, toxic int")
+    sample = toxicity.labelled(docs, labels, 10_000)
+    known = toxicity.lexicons(sample, 1000)
+    assert {"zor", "zorg", "zorgh"} <= set(known[0]) and set(known) == {0, 1, 2, 3}
+    only = sample.filter("fold != 2")
+    assert toxicity.lexicons(only, 1000)[2] == known[2]
+    rows = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels, trees=4).collect()}
+    assert all(rows[k]["predicted"] == y for k, y in marks)
+    assert toxicity.labelled(docs, labels, 100).count() < 200
+
+
 # ------------------------------------------------------------ quality rules
 
 def reference_counts(text):
