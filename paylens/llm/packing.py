@@ -8,6 +8,9 @@ and what is left is packed largest first.  Spark numbers the pieces of each
 length and looks each number up in the table of pattern slots, whose size
 depends on ``length`` alone.
 
+A text that the fast encoder cannot cut (a run of about a million blanks ends its
+pattern search) is encoded by the public tokenizer library, with the same ids.
+
 Defined results: a null or empty text is the end token alone; repeated rows
 (or doc_ids) are packed separately; an empty table gives an empty result;
 other columns of the input are ignored.
@@ -49,6 +52,23 @@ def encoder(path: str):
                              special_tokens=ADDED)
 
 
+class Coder:
+    """The ids of any text."""
+
+    def __init__(self, path: str) -> None:
+        self.path, self.fast, self.thorough = path, encoder(path), None
+
+    def ids(self, text: str) -> list[int]:
+        try:
+            return self.fast.encode(text, allowed_special="all")
+        except ValueError:
+            if self.thorough is None:
+                import tokenizers
+
+                self.thorough = tokenizers.Tokenizer.from_file(self.path.removesuffix(".tiktoken") + ".json")
+            return self.thorough.encode(text, add_special_tokens=False).ids
+
+
 def cuts(n: int, length: int) -> list[tuple[int, int]]:
     """(start, end) of the pieces of n tokens; only the first may be short."""
     first = n % length or length
@@ -60,12 +80,12 @@ def token_pieces(docs: DataFrame, length: int = 2048, path: str | None = None) -
     path = path or vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
+        coder = Coder(path)
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.array([*coder.encode(text.as_py() or "", allowed_special="all"), END], dtype="<u4")
+                ids = np.array([*coder.ids(text.as_py() or ""), END], dtype="<u4")
                 for k, (a, b) in enumerate(cuts(len(ids), length)):
                     out.append((doc_id.as_py(), k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
             if out:

@@ -279,6 +279,21 @@ def test_the_added_token_inside_a_text_is_the_public_tokenizers_id(spark):
                                   for p, (a, b) in enumerate(packing.cuts(len(ids), 64))], t
 
 
+def test_very_long_runs_are_packed_as_the_public_tokenizer_has_them(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a" + " " * 1_000_000 + "b", "\n" * 1_000_000, "a\t" + "\t" * 1_000_000, "x" * 1_000_000, "y " + " \n" * 500_000]
+    got = defaultdict(list)
+    for r in packing.packed(frame(spark, texts)).collect():
+        got[r["doc_id"]].append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for k, t in enumerate(texts):
+        ids = np.array(coder.encode(t, add_special_tokens=False).ids + [0], dtype="<u4")
+        assert sorted(got[k]) == [(p, a, b - a, zlib.crc32(ids[a:b].tobytes()))
+                                  for p, (a, b) in enumerate(packing.cuts(len(ids), 2048))]
+
+
 def test_sequences_are_gapless_and_few(spark):
     rng = random.Random(6)
     texts = [prose(rng, rng.randint(0, 80)) for _ in range(400)]
