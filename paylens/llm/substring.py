@@ -32,6 +32,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,6 +154,24 @@ def shared_anchors(table: DataFrame, crowd: int) -> DataFrame:
     return marked.groupBy("_d").agg(F.collect_list("anchor").alias("anchors"))
 
 
+def compact(rows: DataFrame) -> DataFrame:
+    """``rows`` with compressed texts (``zipped``): whole texts are shuffled twice."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=6)
+        for batch in batches:
+            texts = pa.array([press.compress(t.as_py() or b"") for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts], [*batch.schema.names[:3], "zipped"])
+
+    return rows.select("doc_id", "d", "content", "text").mapInArrow(
+        scan, "doc_id long, d long, content long, zipped binary")
+
+
+def opened(zipped: pa.Scalar) -> list[bytes]:
+    """The words of a compressed text."""
+    return zstandard.decompress(zipped.as_py()).split()
+
+
 def segments_of(rows: DataFrame, anchors: DataFrame, window: int, gram: int) -> DataFrame:
     """d, content, start, key, check and words of every segment of a shared
     anchor; windows of a crowded one stand alone, without words."""
@@ -162,8 +181,8 @@ def segments_of(rows: DataFrame, anchors: DataFrame, window: int, gram: int) ->
         kinds = [pa.int64()] * 5 + [pa.binary()]
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for d, content, text, marks in zip(*batch.columns, strict=True):
-                words = (text.as_py() or b"").split()
+            for d, content, zipped, marks in zip(*batch.columns, strict=True):
+                words = opened(zipped)
                 h, runs, at = anchors_of(words, window, gram)
                 if not len(at):
                     continue
@@ -195,7 +214,7 @@ def segments_of(rows: DataFrame, anchors: DataFrame, window: int, gram: int) ->
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
-    return rows.join(anchors, F.col("d") == F.col("_d")).select("d", "content", "text", "anchors").mapInArrow(
+    return rows.join(anchors, F.col("d") == F.col("_d")).select("d", "content", "zipped", "anchors").mapInArrow(
         scan, "d long, content long, start long, key long, check long, words binary")
 
 
@@ -267,8 +286,8 @@ def keep(rows: DataFrame, spans: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text, parts in zip(*batch.columns, strict=True):
-                words = (text.as_py() or b"").split()
+            for doc_id, zipped, parts in zip(*batch.columns, strict=True):
+                words = opened(zipped)
                 left = words
                 if parts.is_valid:
                     gone = np.zeros(len(words) + 1, dtype=np.int64)
@@ -289,7 +308,7 @@ def keep(rows: DataFrame, spans: DataFrame) -> DataFrame:
         # a span in one long: half the bytes of a struct to shuffle
         F.collect_list(F.shiftleft("first", 32).bitwiseOR(F.col("end"))).alias("spans"))
     joined = rows.join(per_text, (F.col("d") == F.col("_d")) & (F.col("content") == F.col("_content")), "left")
-    return joined.select("doc_id", "text", "spans").mapInArrow(
+    return joined.select("doc_id", "zipped", "spans").mapInArrow(
         scan, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary")
 
 
@@ -297,11 +316,13 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd:
     """doc_id, n_words, n_removed, kept_sha256 and kept (the kept words) of every document."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"),
                        F.xxhash64("text").alias("content"), F.col("text").cast("binary"))
+    texts = compact(rows)
     with temporary(docs.sparkSession):
-        table = saved(listed_anchors(rows, window, gram, crowd), "anchors")
-        segments = saved(segments_of(rows, shared_anchors(table, crowd), window, gram), "segments")
+        with temporary(docs.sparkSession):  # the list of all anchors goes as soon as the shared ones are known
+            shared = saved(shared_anchors(saved(listed_anchors(rows, window, gram, crowd), "anchors"), crowd), "shared", keep=True)
+        segments = saved(segments_of(texts, shared, window, gram), "segments")
         spans = saved(shard_spans(segments, window).unionByName(crowded_spans(segments, window)), "spans", keep=True)
-    return keep(rows, spans)
+    return keep(texts, spans)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
