@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import partial
 
 import numpy as np
@@ -24,8 +25,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Paths of the tables written within each open temporary() scope.
-_scopes: list[list[str]] = []
+# Paths of the tables written within each open temporary() scope of this thread.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -35,7 +36,7 @@ def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     of the scope, or of the next outer one if ``keep``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    scopes = _scopes[:-1] if keep else _scopes
+    scopes = _scopes.get()[:-1] if keep else _scopes.get()
     if scopes:
         scopes[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
@@ -46,15 +47,25 @@ def saved(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Deletes the tables that ``saved`` writes within it, when it ends: what
     is still needed then must have been saved with ``keep``."""
-    _scopes.append([])
+    outer = _scopes.get()
+    _scopes.set((*outer, []))
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        *_, paths = _scopes.get()
+        _scopes.set(outer)
+        for path in paths:
             where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def hashed_sample(rows: DataFrame, key: str, total: int, size: int) -> DataFrame:
+    """About ``size`` of ``total`` rows, all if there are fewer: those whose key's
+    hash is in the lowest share.  A filter: the same rows in every run, no sort."""
+    share = min(1.0, size / max(1, total))
+    return rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < F.lit(round(share * (1 << 40))))
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; none for a null text."""
     flat = F.translate(F.coalesce(text, F.lit("")), BLANKS, " " * len(BLANKS))

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paylens.llm.common import running, saved, temporary, words
+from paylens.llm.common import hashed_sample, running, saved, temporary, words
 
 MOST = 4  # h is below this
 GROUP = 20
@@ -113,10 +113,10 @@ def with_prefixes(rows: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ shards
 
-def splitters_of(paths: DataFrame, shards: int, per_shard: int) -> list[tuple]:
+def splitters_of(paths: DataFrame, total: int, shards: int, per_shard: int) -> list[tuple]:
     """The first (path, conv_id) of every shard but the first, from a sample of
-    at most ``shards * per_shard`` paths: those of least hash."""
-    sample = (paths.select("keys", "conv_id").orderBy(F.xxhash64("conv_id"), "conv_id").limit(shards * per_shard).collect())
+    about ``shards * per_shard`` paths at most."""
+    sample = hashed_sample(paths.select("keys", "conv_id"), "conv_id", total, shards * per_shard).collect()
     ordered = sorted((tuple(map(tuple, r["keys"])), r["conv_id"]) for r in sample)
     return sorted({ordered[len(ordered) * k // shards] for k in range(1, shards)}) if ordered else []
 
@@ -302,7 +302,7 @@ def prefix_trie(conversations: DataFrame, shards: int | None = None, per_shard:
                  .select("conv_id", "length", F.concat(F.array(top), F.coalesce("shared", F.array().cast(f"array<{NODE}>"))).alias("path")))
         paths = saved(paths.withColumn("keys", F.transform("path", lambda x: F.struct(
             x["depth"].alias("depth"), x["p"].alias("p"), x["q"].alias("q")))), "paths")
-        splitters = splitters_of(paths, shards, per_shard)
+        splitters = splitters_of(paths, total, shards, per_shard)
         rows = saved(finished(dealt(paths, splitters), skeleton_of(splitters)), "finished")
         last = F.element_at("path", -1)
         tails = paths.filter(F.col("length") > last["depth"]).select(

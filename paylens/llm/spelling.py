@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import saved, temporary
+from paylens.llm.common import hashed_sample, saved, temporary
 
 RUN = re.compile("[a-zÀ-ÿ]+")  # of text whose A-Z are lower-cased
 LETTERS = 26 + 64
@@ -231,11 +231,10 @@ def best_of(q: np.ndarray, p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
 
 def skeletons(words: DataFrame, cell: int, sample: int) -> dict[int, Tree]:
     """length: tree of cells, for the lengths that need more than one cell.  The
-    sample holds at most ``sample`` words (those of least hash), so the trees
-    have at most as many nodes; a longer word than 255 code points is not taken."""
+    sample holds about ``sample`` words at most, so the trees have no more
+    nodes; a longer word than 255 code points is not taken."""
     total = words.count()
-    some = (words.filter(F.length("word") < 256).select("word").orderBy(F.xxhash64("word"), "word").limit(sample)
-            .collect())  # at most ``sample`` short rows
+    some = hashed_sample(words.select("word"), "word", total, sample).filter(F.length("word") < 256).collect()
     by_length: dict[int, list[str]] = {}
     for row in some:
         by_length.setdefault(len(row["word"]), []).append(row["word"])

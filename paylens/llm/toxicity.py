@@ -36,7 +36,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import saved, temporary
+from paylens.llm.common import hashed_sample, saved, temporary
 
 SECOND = frozenset("you your yours yourself u ur tu toi te ton ta tes vous votre vos du dich dir dein deine ihr euch "
                    "usted tú ti tus vosotros".split())
@@ -151,8 +151,7 @@ def labelled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     """doc_id, text, label, fold of the rows that are learned from."""
     marks = (labels.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").alias("label"))
              .filter(F.col("label").isNotNull() & (fold(F.col("_id")) != 0)))
-    share = min(1.0, max_rows / max(1, marks.count()))
-    marks = marks.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 40)) < F.lit(round(share * (1 << 40))))
+    marks = hashed_sample(marks, "_id", marks.count(), max_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.join(marks, F.col("doc_id") == F.col("_id")).select(
         "doc_id", "text", F.col("label").cast("double"), fold(F.col("doc_id")).alias("fold"))

@@ -267,3 +267,28 @@ def test_a_long_text_is_chunked():
     h = np.array([xxhash.xxh64_intdigest(b" ".join(words[k:k + 3]), 42) for k in range(len(words) - 2)], dtype=np.uint64)
     expected = sum(1 << k for k in range(64) if 2 * int((h >> np.uint64(k) & np.uint64(1)).sum()) > len(h))
     assert simhash.fingerprint(text.encode()) == expected
+
+
+# ------------------------------------------------------------ scratch tables
+
+def test_scopes_of_two_threads_are_apart(spark):
+    import threading
+
+    from paylens.llm.common import saved, temporary
+
+    inside, done, kept = threading.Event(), threading.Event(), []
+
+    def other():
+        with temporary(spark):
+            kept.append(saved(spark.range(5), "other"))
+            inside.set()
+            done.wait(60)
+            kept.append(kept[0].count())
+
+    thread = threading.Thread(target=other)
+    with temporary(spark):
+        thread.start()
+        inside.wait(60)
+    done.set()
+    thread.join()
+    assert kept[1] == 5
