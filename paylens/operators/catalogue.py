@@ -64,7 +64,8 @@ def year_bounds(years: DataFrame, col: str = "anios") -> DataFrame:
 def catalogue_job(spark, pay_path: str, out: str, **names) -> DataFrame:
     """C13 end to end: the partitioned pay table -> catalogue JSON (S10);
     returns the written catalogue for lookups (S11)."""
+    from paylens.sources.generations import read_or_plain
     from paylens.sources.sinks import write_catalogue
 
-    write_catalogue(build_catalogue(spark.read.parquet(pay_path), **names), out)
+    write_catalogue(build_catalogue(read_or_plain(spark, pay_path), **names), out)
     return spark.read.schema("dataset string, anios array<int>, organismos array<string>").json(out)

@@ -7,7 +7,7 @@ aggregations and joins on the person-month key, and a single write.
 
 from __future__ import annotations
 
-import os
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from paylens.functions.text import fold_text, person_key
 from paylens.operators import expenses as exp
 from paylens.operators.unify import (find_column, non_blank, origin_from_name, pay_rows,
                                      ragged_concat, role_of)
-from paylens.sources import readers, sinks
+from paylens.sources import generations, readers, sinks
 
 # Literal organisation / role / source names of the
 # legislative outputs.
@@ -48,17 +48,27 @@ SENATE_EXTRACT = ("ano", "mes", "rut", "llave_senador", "dieta", "deducciones",
 
 # ------------------------------------------------------------------ C12
 
-def drop_name(path: str) -> str:
-    return os.path.basename(path.rstrip("/"))
+def drop_id(path: str, root: str | None = None) -> str:
+    """What names a drop: its path, without the store's address; below ``root``, if given."""
+    plain = re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?(?=/)", "", path.rstrip("/"))
+    return plain.removeprefix(drop_id(root) + "/") if root else plain
 
 
-def bulk_pay(spark: SparkSession, paths, drops: bool = False, skipped: list | None = None) -> DataFrame | None:
+def _drop_of_row(root: str | None) -> F.Column:
+    """The same of the file a row comes from; a drop can be a folder of parts."""
+    plain = F.regexp_replace(readers.plain_path(), r"^[a-z][a-z0-9+.-]*:(//[^/]*)?(?=/)|/part-[^/]*$", "")
+    below = drop_id(root) + "/" if root else ""
+    return F.when(plain.startswith(below), F.substr(plain, F.lit(len(below) + 1))).otherwise(plain)
+
+
+def bulk_pay(spark: SparkSession, paths, drops: bool = False, skipped: list | None = None,
+             root: str | None = None) -> DataFrame | None:
     """All bulk CSV drops as unified pay rows (C12 without the write).
 
     A drop is a file, or a folder of parts.  Drops are grouped by header (one
     job for all): one scan per header, whatever the number of drops.  A drop
     that is missing or empty is skipped; ``skipped`` collects (path, reason).
-    ``drops`` adds the drop's name as a column.
+    ``drops`` adds the drop's id as a column: its path, below ``root`` if given.
     """
     skipped = skipped if skipped is not None else []
     paths = list(paths)
@@ -67,16 +77,15 @@ def bulk_pay(spark: SparkSession, paths, drops: bool = False, skipped: list | No
     if not there:
         return None
     heads = readers.headers_of(spark, there, readers.LATIN1)
-    # the part of a path that names the drop: the file, or the folder of parts
-    name = F.regexp_extract(readers.plain_path(), r"([^/]+?)(?:/part-[^/]*)?$", 1)
     frames, read = [], set()
     for head, files in heads.items():
         header = readers.split_header(head, ";")
         raw = readers.read_lenient_csv(spark, [readers.literal_path(f) for f in files], columns=header)
-        frames.append(pay_rows(raw.withColumn("__drop", name), origin_from_name(F.col("__drop")),
+        raw = raw.withColumn("__drop", _drop_of_row(root))
+        frames.append(pay_rows(raw, origin_from_name(F.regexp_extract("__drop", "([^/]+)$", 1)),
                                header=header + ["__drop"], keep=("__drop",)))
-        read.update(files)
-    skipped += [(p, "empty") for p in there if not any(drop_name(p) in f for f in read)]
+        read.update(drop_id(re.sub(r"/part-[^/]*$", "", f)) for f in files)
+    skipped += [(p, "empty") for p in there if drop_id(p) not in read]
     if not frames:
         return None
     rows = reduce(lambda a, b: a.unionByName(b), frames)
@@ -84,23 +93,29 @@ def bulk_pay(spark: SparkSession, paths, drops: bool = False, skipped: list | No
 
 
 def ingest_bulk_csv(spark: SparkSession, paths, out: str, num_files: int | None = None,
-                    observation=None, skipped: list | None = None) -> DataFrame | None:
-    """CSV drops -> partitioned ZSTD Parquet; returns the written table.
+                    observation=None, skipped: list | None = None, root: str | None = None) -> DataFrame | None:
+    """CSV drops -> partitioned ZSTD Parquet; returns the committed table.
 
     Every drop keeps rows of its own (partition ``drop`` below source, year
     and month): another drop of the same source and month adds to it, the same
-    drop ingested again replaces all it had before.
+    drop ingested again replaces all it had before.  A drop is known by its
+    path, below ``root`` if given: publishers use the same file name every
+    year.  All drops of a call are committed at once, after the write (see
+    :mod:`paylens.sources.generations`): a call that fails changes nothing, and
+    a drop that is missing or has no rows now keeps the rows it had and is
+    reported in ``skipped``.
     Pass a ``pyspark.sql.Observation`` to get, after the write, the number
     of rows written and how many carried a parsable net / gross amount.
     """
-    paths = list(paths)
-    rows = bulk_pay(spark, paths, drops=True, skipped=skipped)
+    paths, skipped = list(paths), skipped if skipped is not None else []
+    rows = bulk_pay(spark, paths, drops=True, skipped=skipped, root=root)
     if rows is None:
-        return None
-    sinks.remove_drops(spark, out, [drop_name(p) for _, p in readers.existing_paths(spark, [(p, p) for p in paths])])
-    sinks.write_pay_parquet(rows, out, partition_by=("origen", "anyo", "Mes", "drop"), num_files=num_files,
-                            observation=observation)
-    return spark.read.parquet(out)
+        return generations.read(spark, out)
+    done = set(generations.commit(rows, out, ("origen", "anyo", "Mes", "drop"), lambda df, columns: sinks.write_pay_parquet(
+        df, out, partition_by=columns, num_files=num_files, observation=observation, mode="append")))
+    known = {p for p, _ in skipped}
+    skipped += [(p, "empty") for p in paths if p not in known and drop_id(p, root) not in done]
+    return generations.read(spark, out)
 
 
 # ------------------------------------------------------------------ C14
@@ -275,20 +290,22 @@ def chamber_expenses(expenses: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def read_chamber_expenses(spark: SparkSession, raw_dir: str) -> DataFrame | None:
-    """``ID_YYYY_MM.csv`` expense drops + the deputies' monthly lists (C16 scan)."""
+    """``ID_YYYY_MM.csv`` expense drops + the deputies' monthly lists (C16 scan).
+    Without any list every name is NULL; no expense row is lost."""
     exp_frames = [df for df in readers.read_keyed_groups(
         spark, f"{raw_dir}/gastos_operacionales", ID_MONTH_FILE, ["ID_Diputado", "anyo", "Mes"])
         if {"Concepto", "Monto"} <= set(df.columns)]
     name_frames = [df for df in readers.read_keyed_groups(
         spark, f"{raw_dir}/diputados_dieta", MONTH_FILE, ["anyo", "Mes"])
         if {"ID_Diputado", "Nombre"} <= set(df.columns)]
-    if not exp_frames or not name_frames:
+    if not exp_frames:
         return None
     expenses = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                       [df.select("Concepto", "Monto", "ID_Diputado", "anyo", "Mes") for df in exp_frames])
+    nobody = spark.createDataFrame([], "ID_Diputado int, Nombre string, anyo int, Mes int")
     names = reduce(lambda a, b: a.unionByName(b),
                    [df.select(F.col("ID_Diputado").try_cast("int").alias("ID_Diputado"), "Nombre",
-                              "anyo", "Mes") for df in name_frames])
+                              "anyo", "Mes") for df in name_frames] or [nobody])
     return chamber_expenses(expenses, names)
 
 

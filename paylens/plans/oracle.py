@@ -586,6 +586,12 @@ SELECT *, CASE WHEN organismo_nombre IN ('BUILDING', 'MACHINERY') THEN 'TA_Perso
 FROM ({_pay_rows_sql(BULK_DROP)})
 """
 
+ORACLE["drop_generations"] = f"""
+SELECT *, CASE WHEN organismo_nombre IN ('BUILDING', 'MACHINERY') THEN '2024/TA_PersonalPlanta.csv'
+               WHEN organismo_nombre = 'FURNITURE' THEN '2025/TA_PersonalPlanta.csv' ELSE '2025/TA_PersonalPlanta_otros.csv' END AS drop
+FROM ({_pay_rows_sql(BULK_DROP)})
+"""
+
 ORACLE["report_export"] = f"""
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS Nombre,
        translate(c_mktsegment, 'AEIOU', 'ÁÉÍÓÚ') AS Segmento,

@@ -571,10 +571,31 @@ def drop_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     sk.write_report_csv(rows.filter(odd), a)
     sk.write_report_csv(rows.filter(~odd), b)
     lake = f"{base}/lake"
-    leg.ingest_bulk_csv(spark, [a, f"{base}/TA_PersonalPlanta_none.csv"], lake)
-    leg.ingest_bulk_csv(spark, [b], lake)
+    leg.ingest_bulk_csv(spark, [a, f"{base}/TA_PersonalPlanta_none.csv"], lake, root=base)
+    leg.ingest_bulk_csv(spark, [b], lake, root=base)
     sk.write_report_csv(rows.filter(odd).select(*reversed(rows.columns)), a)
-    return leg.ingest_bulk_csv(spark, [a], lake)
+    return leg.ingest_bulk_csv(spark, [a], lake, root=base)
+
+
+@register("drop_generations")
+def drop_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of one file name in two folders; the second again beside a new
+    one; then the first again, but empty, beside the new one as corrected: every
+    row once, none lost, as the last commit has it (S7, C12)."""
+    rows = _bulk_drop(spark, sf_dir)
+    base = scratch_path(spark, "drops")
+    a, b, c = (f"{base}/{name}" for name in ("2024/TA_PersonalPlanta.csv", "2025/TA_PersonalPlanta.csv", "2025/TA_PersonalPlanta_otros.csv"))
+    part = {a: F.col("Organismo").isin("BUILDING", "MACHINERY"), b: F.col("Organismo") == "FURNITURE"}
+    part[c] = ~part[a] & ~part[b]
+    lake = f"{base}/lake"
+    for step in ([a], [b], [b, c]):
+        for path in step:
+            wrong = rows.withColumn("Sueldo Liquido", F.lit("1")) if path in (b, c) and len(step) != 2 or path == c else rows
+            sk.write_report_csv(wrong.filter(part[path]), path)
+        leg.ingest_bulk_csv(spark, step, lake, root=base)
+    sk.write_report_csv(rows.filter(F.lit(False)), a)
+    sk.write_report_csv(rows.filter(part[c]), c)
+    return leg.ingest_bulk_csv(spark, [a, c], lake, root=base)
 
 
 @register("parquet_roundtrip")

@@ -186,48 +186,142 @@ def split_header(head: str, sep: str) -> list[str]:
     return [c if c else f"_c{i}" for i, c in enumerate(cols)]
 
 
+def apart(names: list[str]) -> list[str]:
+    """Column names that Spark can tell apart: a repeated one, or one that
+    differs in case only, gets ``.1``, ``.2`` and so on."""
+    seen: dict[str, int] = {}
+    out: list[str] = []
+    for name in names:
+        low, plain = name.lower(), name
+        while name.lower() in seen:
+            seen[low] += 1
+            name = f"{plain}.{seen[low]}"
+        seen[name.lower()] = 0
+        out.append(name)
+    return out
+
+
+HEADER_BLOCK = 64 * 1024
+LONGEST_HEADER = 1 << 20
+
+
+def first_line(file) -> bytes:
+    """The first line of an open file, read block by block up to its end
+    (a mebibyte at most: no header is longer)."""
+    text = b""
+    while not re.search(rb"[\r\n]", text) and len(text) < LONGEST_HEADER:
+        block = file.read(HEADER_BLOCK)
+        if not block:
+            break
+        text += block
+    return re.split(rb"[\r\n]", text, maxsplit=1)[0]
+
+
+def open_file(path: str):
+    """A file of a store that Arrow reaches (local or shared folders, HDFS, S3, GCS)."""
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    if scheme == "file" or path.startswith("/"):
+        return fs.LocalFileSystem().open_input_stream(re.sub("^//[^/]*", "", rest) if scheme == "file" else path)
+    store, name = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+    return store.open_input_stream(name)
+
+
+def probed(files: DataFrame, encoding: str) -> DataFrame:
+    """path, head (the first line), opened of every file (path).  A block of each
+    file is read, whatever its size; ``opened`` is false where Arrow cannot reach it."""
+
+    def scan(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    with open_file(path) as file:
+                        rows.append((path, first_line(file).decode(encoding, "replace"), True))
+                except Exception:  # noqa: BLE001 - any store's errors: the file is read by Spark instead
+                    rows.append((path, None, False))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*rows, strict=True) if rows else ([], [], []), (pa.string(), pa.string(), pa.bool_()), strict=True)],
+                ["path", "head", "opened"])
+
+    return files.mapInArrow(scan, "path string, head string, opened boolean")
+
+
+def scanned(spark: SparkSession, paths, encoding: str) -> DataFrame:
+    """path, head of files that only Spark can open: of each file's first split the
+    row with the least ``monotonically_increasing_id`` (ids grow in file order
+    inside a partition).  Spark's text scan cannot stop after a line."""
+    # whole lines: the text source does not decode, so a separator that no line has
+    text = (spark.read.options(encoding=encoding, recursiveFileLookup=True, sep="\x01", quote="", header=False)
+            .schema("value string").csv([literal_path(p) for p in paths]))
+    rows = text.select(plain_path().alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
+                       F.monotonically_increasing_id().alias("rid")).filter("start = 0")
+    return rows.groupBy("path").agg(F.min_by("value", "rid").alias("head"))
+
+
 def headers_of(spark: SparkSession, paths, encoding: str = "UTF-8", pattern: str | None = None) -> dict[str, list[str]]:
     """``{header line: files that have it}`` of all files under ``paths``.
 
-    One job, whatever the number of files: of each file's first split the row
-    with the least ``monotonically_increasing_id`` (ids grow in file order
-    inside a partition) is its header.  Files without a first line, or whose
+    Two jobs, whatever the number of files: a listing (no content is read), and
+    tasks that read the first block of each file.  Files that those cannot open,
+    in stores that only Spark reaches, are scanned.  Files without a first line, or whose
     path does not match ``pattern``, are left out.  The driver gets a path per
     file, as it does to plan any scan of them.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    # whole lines: the text source does not decode, so a separator that no line has
-    text = (spark.read.options(encoding=encoding, recursiveFileLookup=True, sep="\x01", quote="", header=False)
-            .schema("value string").csv([literal_path(p) for p in paths]))
-    rows = text.select(plain_path().alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
-                       F.monotonically_increasing_id().alias("rid")).filter("start = 0")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .load([literal_path(p) for p in paths]).select("path"))
     if pattern:
-        rows = rows.filter(F.col("path").rlike(pattern))
-    heads = rows.groupBy("path").agg(F.min_by("value", "rid").alias("head"))
-    heads = heads.select("path", F.btrim("head", F.lit("\ufeff\r")).alias("head")).filter(F.trim("head") != "")
-    found = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    return {r["head"]: list(r["paths"]) for r in sorted(found, key=lambda r: r["paths"])}
+        files = files.filter(F.col("path").rlike(pattern))
+    clean = F.btrim("head", F.lit("\ufeff\r")).alias("head")
+    found: dict[str, list[str]] = {}
+    closed: list[str] = []
+    spread = files.repartition(spark.sparkContext.defaultParallelism)  # paths only: small files share a scan task
+    groups = (probed(spread, encoding).select("path", clean, "opened").groupBy("opened", "head")
+              .agg(F.collect_list("path").alias("paths")).collect())
+    for group in groups:
+        if group["opened"]:
+            found.setdefault(group["head"], []).extend(group["paths"])
+        else:
+            closed += group["paths"]
+    if closed:
+        heads = scanned(spark, closed, encoding).select("path", clean)
+        for group in heads.groupBy("head").agg(F.collect_list("path").alias("paths")).collect():
+            found.setdefault(group["head"], []).extend(group["paths"])
+    return {head: sorted(files) for head, files in sorted(found.items(), key=lambda g: min(g[1])) if head and head.strip()}
 
 
 def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep: str = ",",
-                      encoding: str = "UTF-8", key_type: str = "int") -> list[DataFrame]:
+                      encoding: str = "UTF-8", key_type: str = "int", skipped: list | None = None) -> list[DataFrame]:
     """Monthly drops whose columns differ from file to file.
 
     Files matching ``pattern`` (keys captured from the path) are grouped by
-    their exact header line; each group is one CSV scan with its own
-    header, carrying the keys.  Files that are empty or hold only a header
-    contribute no rows; a missing root gives no frames.
+    their exact header line; each group is one CSV scan, read by position and
+    then named by its header (see :func:`apart` for repeated names), carrying
+    the keys.  Files that are empty or hold only a header contribute no rows;
+    files whose header cannot be read as one are left out, and ``skipped``
+    collects (path, reason); a missing root gives no frames.
     """
     if not existing_paths(spark, [("", root)]):
         return []
     frames = []
     for head, paths in headers_of(spark, root, encoding, pattern).items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in split_header(head, sep)])
+        try:
+            header = apart(split_header(head, sep))
+        except csv.Error as error:
+            if skipped is not None:
+                skipped += [(p, f"header: {error}") for p in paths]
+            continue
+        schema = T.StructType([T.StructField(f"_p{i}", T.StringType()) for i in range(len(header))])
         # the probed header is the schema: no inference job per group
         df = (spark.read.options(sep=sep, encoding=encoding, header=True, inferSchema=False,
                                  enforceSchema=True, mode="PERMISSIVE", quote='"', escape='"')
               .schema(schema).csv([literal_path(p) for p in paths]))
-        keys = file_keys(plain_path(), pattern, names)
-        frames.append(df.withColumns({k: F.nullif(v, F.lit("")).try_cast(key_type)
-                                      for k, v in keys.items()}))
+        keys = {k: F.nullif(v, F.lit("")).try_cast(key_type) for k, v in file_keys(plain_path(), pattern, names).items()}
+        taken = {k.lower() for k in keys}
+        frames.append(df.select(*[F.col(f"_p{i}").alias(c) for i, c in enumerate(header) if c.lower() not in taken],
+                                *[v.alias(k) for k, v in keys.items()]))
     return frames

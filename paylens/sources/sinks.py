@@ -45,18 +45,6 @@ def write_pay_parquet(df: DataFrame, path: str, partition_by=("origen", "anyo",
      .partitionBy(*cols).parquet(path))
 
 
-def remove_drops(spark, path: str, drops) -> None:
-    """Delete the ``drop=<name>`` folders of a pay table (any source, year and
-    month), so that drops about to be written again leave nothing behind."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for name in drops:
-        escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
-        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/*/*/*/drop={escaped}")) or []:
-            fs.delete(status.getPath(), True)
-
-
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Plain ZSTD Parquet (expense detail and other tables)."""
     df.write.mode(mode).option("compression", "zstd").parquet(path)

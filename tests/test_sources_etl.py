@@ -308,3 +308,150 @@ def test_pay_table_overwrite_replaces_only_present_partitions(spark, tmp_dir):
     sinks.write_pay_parquet(again, out, num_files=2)
     got = sorted((r.anyo, r.search_vector) for r in spark.read.parquet(out).collect())
     assert got == [(2023, "a"), (2024, "c")]
+
+
+# ---------------------------------------------------------- committed generations
+
+HEAD = "organismo_nombre;anyo;Mes;Nombres;remuliquida_mensual\n"
+
+
+def _held(spark, out):
+    from paylens.sources import generations
+    return sorted((r.drop, r.Mes, r.Nombres, r.remuliquida_mensual) for r in generations.read(spark, out).collect())
+
+
+def test_a_write_that_fails_changes_nothing(spark, tmp_dir, monkeypatch):
+    out, a, b = (os.path.join(tmp_dir, n) for n in ("lake", "TA_PersonalPlanta.csv", "TA_PersonalContrata.csv"))
+    _write(a, HEAD + "O;2024;Marzo;Ana;1\nO;2024;Abril;Ana;2\n")
+    leg.ingest_bulk_csv(spark, [a], out, root=tmp_dir)
+    before = _held(spark, out)
+    _write(a, HEAD + "O;2024;Marzo;Eva;9\n")
+    _write(b, HEAD + "O;2024;Marzo;Luz;3\n")
+    whole = sinks.write_pay_parquet
+
+    def broken(df, path, **options):
+        whole(df, path, **options)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "write_pay_parquet", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        leg.ingest_bulk_csv(spark, [a, b], out, root=tmp_dir)
+    assert _held(spark, out) == before
+    assert spark.read.parquet(out).count() == 2  # nothing is left of it
+    monkeypatch.undo()
+    leg.ingest_bulk_csv(spark, [a, b], out, root=tmp_dir)
+    assert _held(spark, out) == [("TA_PersonalContrata.csv", "Marzo", "Luz", 3), ("TA_PersonalPlanta.csv", "Marzo", "Eva", 9)]
+
+
+def test_a_driver_lost_before_its_commit_changes_nothing(spark, tmp_dir, monkeypatch):
+    from paylens.sources import generations
+    out, a = os.path.join(tmp_dir, "lake"), os.path.join(tmp_dir, "TA_PersonalPlanta.csv")
+    _write(a, HEAD + "O;2024;Marzo;Ana;1\n")
+    leg.ingest_bulk_csv(spark, [a], out, root=tmp_dir)
+    _write(a, HEAD + "O;2024;Marzo;Eva;9\n")
+
+    def lost(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(generations._Folder, "publish", lost)
+    monkeypatch.setattr(generations._Folder, "drop_generation", lambda *args: None)
+    with pytest.raises(KeyboardInterrupt):
+        leg.ingest_bulk_csv(spark, [a], out, root=tmp_dir)
+    monkeypatch.undo()
+    assert _held(spark, out) == [("TA_PersonalPlanta.csv", "Marzo", "Ana", 1)]
+    assert spark.read.parquet(out).count() == 2
+    assert generations.vacuum(spark, out) == 1
+    assert spark.read.parquet(out).count() == 1 and len(_held(spark, out)) == 1
+
+
+def test_same_names_in_two_folders_and_an_empty_drop(spark, tmp_dir):
+    from paylens.sources import generations
+    out = os.path.join(tmp_dir, "lake")
+    a, b, c = (os.path.join(tmp_dir, n) for n in ("2024/TA_Planta a%41 =.csv", "2025/TA_Planta a%41 =.csv", "x/aTA.csv"))
+    _write(a, HEAD + "O;2024;Marzo;Ana;1\n")
+    _write(b, HEAD + "O;2025;Marzo;Ana;2\n")
+    for root in (tmp_dir, None):
+        lake = out + str(root is None)
+        _write(a, HEAD + "O;2024;Marzo;Ana;1\n")
+        leg.ingest_bulk_csv(spark, [a], lake, root=root)
+        assert leg.ingest_bulk_csv(spark, [b], lake, root=root).count() == 2
+        _write(c, HEAD + "O;2025;Marzo;Eva;3\n")
+        for empty in ("", HEAD):
+            _write(a, empty)
+            skipped = []
+            rows = leg.ingest_bulk_csv(spark, [a, c], lake, skipped=skipped, root=root)
+            assert skipped == [(a, "empty")]
+            assert sorted((r.Nombres, r.remuliquida_mensual) for r in rows.collect()) == [("Ana", 1), ("Ana", 2), ("Eva", 3)]
+        assert generations.vacuum(spark, lake) == 1 and generations.vacuum(spark, lake) == 0
+        assert generations.read(spark, lake).count() == 3
+    # a name that ends like another one is a drop of its own
+    _write(os.path.join(tmp_dir, "x/TA.csv"), "")
+    skipped = []
+    leg.bulk_pay(spark, [c, os.path.join(tmp_dir, "x/TA.csv")], skipped=skipped)
+    assert skipped == [(os.path.join(tmp_dir, "x/TA.csv"), "empty")]
+
+
+def test_two_writers_commit_one_after_the_other(spark, tmp_dir, monkeypatch):
+    from paylens.sources import generations
+    out, a, b = (os.path.join(tmp_dir, n) for n in ("lake", "TA_a.csv", "TA_b.csv"))
+    _write(a, HEAD + "O;2024;Marzo;Ana;1\n")
+    _write(b, HEAD + "O;2024;Marzo;Eva;2\n")
+    publish, calls = generations._Folder.publish, []
+
+    def slow(self, name, text):
+        calls.append(name)
+        if len(calls) == 1:  # another run commits first
+            leg.ingest_bulk_csv(spark, [b], out, root=tmp_dir)
+        return publish(self, name, text)
+
+    monkeypatch.setattr(generations._Folder, "publish", slow)
+    leg.ingest_bulk_csv(spark, [a], out, root=tmp_dir)
+    assert [c[-6:-5] for c in calls] == ["1", "1", "2"]
+    assert [r[2] for r in _held(spark, out)] == ["Ana", "Eva"]
+
+
+# ---------------------------------------------------------- headers
+
+def test_the_header_probe_reads_a_block_of_each_file(spark, tmp_dir, monkeypatch):
+    root = os.path.join(tmp_dir, "big [x]%41 b")
+    _write(f"{root}/2024_01.csv", "a;b\r\n" + "1;2\r\n" * 2_000_000)
+    _write(f"{root}/2024_02.csv", "﻿a;b")
+    _write(f"{root}/2024_03.csv", "\n1;2\n")
+    _write(f"{root}/2024_04.csv", "x" * 200_000 + ";y\n1;2\n")
+    found = readers.headers_of(spark, root)
+    assert sorted((len(h), len(p)) for h, p in found.items()) == [(3, 2), (200_002, 1)]
+
+    class Counted:
+        def __init__(self, file):
+            self.file, self.bytes = file, 0
+
+        def read(self, n):
+            block = self.file.read(n)
+            self.bytes += len(block)
+            return block
+
+    with readers.open_file(f"file:{root}/2024_01.csv") as file:
+        counted = Counted(file)
+        assert readers.first_line(counted) == b"a;b" and counted.bytes == readers.HEADER_BLOCK
+    # what Arrow cannot open is scanned by Spark, with the same result
+    seen = readers.scanned(spark, [root], "UTF-8").filter("head is not null").collect()
+    assert {r["path"][-6:] for r in seen} >= {"01.csv", "02.csv", "04.csv"}
+
+
+def test_repeated_and_case_twin_headers(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    _write(f"{raw}/personal_planta/2019_07.csv", "Nombre,Cargo,Sueldo,Sueldo\nAna,Jefa,1,8\n")
+    _write(f"{raw}/personal_planta/2019_08.csv", "Nombre,nombre,Mes,mes,Sueldo\nEva,x,1,2,3\n")
+    _write(f"{raw}/personal_planta/2019_09.csv", "Nombre,Sueldo\nLuz,4\n")
+    rows = sorted((r.Nombres, r.remuliquida_mensual, r.Mes) for r in leg.consolidate_chamber(spark, raw).collect())
+    assert rows == [("ANA", 1, "Julio"), ("EVA", 3, "Agosto"), ("LUZ", 4, "Septiembre")]
+    assert readers.apart(["a", "A", "a", "b", "a.1"]) == ["a", "A.1", "a.2", "b", "a.1.1"]
+
+
+def test_expenses_without_a_name_list(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    _write(f"{raw}/gastos_operacionales/7_2024_03.csv", "Concepto,Monto,ID_Diputado\nOficina,$ 3.000,7\n")
+    rows = [(r.llave_senador, r.gastos_operacionales, r.monto) for r in leg.read_chamber_expenses(spark, raw).collect()]
+    assert rows == [(None, "Oficina", 3000)]
+    _write(f"{raw}/diputados_dieta/2024_03.csv", "ID_Diputado,Nombre\n8,Rosa Paz\n")
+    assert leg.read_chamber_expenses(spark, raw).first().llave_senador is None
