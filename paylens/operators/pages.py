@@ -1,27 +1,51 @@
 """HTML pages as data (R1, R2, X16): table rows, links and headings.
 
-The reference fetched pages one by one and parsed them with an HTML
-library; here a table of pages is processed in parallel with regular
-expressions evaluated in the JVM (``regexp_extract_all``), whole page
-text at a time.
+A table of pages is processed in parallel, in the JVM.  Links and headings are
+regular expressions over whole pages.  Table rows come from tag tokens: a page
+without its comments, scripts and styles is cut before every tag of a table, a
+row or a cell, and running sums over the tokens of a page give the depth of
+tables and number tables, rows and cells.  End tags of rows and cells are never
+needed: the next row or cell, or the end of the table, closes them.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from paylens.functions.text import strip_title
 
-# The HTML entities decoded in extracted text.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&")]
+_NAMED = r"&([A-Za-z][A-Za-z0-9]{1,8});"
+_NUMBER = r"&#(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));"
+
+
+def _entities() -> Column:
+    """The named entities of HTML, as the standard library lists them; a no-break space is a blank."""
+    known = {**name2codepoint, "apos": ord("'"), "nbsp": ord(" ")}
+    return F.str_to_map(F.lit("\x01".join(f"{n}\x02{chr(k)}" for n, k in sorted(known.items()))), F.lit("\x01"), F.lit("\x02"))
 
 
 def decode_entities(c: Column) -> Column:
-    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), ENTITIES, c)
+    """Named (``&aacute;``) and numeric (``&#225;``, ``&#xe1;``) entities as
+    characters; unknown ones stay.  Decoded once: ``&amp;lt;`` is ``&lt;``."""
+
+    def one(token: Column) -> Column:
+        decimal, hexadecimal = (F.nullif(F.regexp_extract(token, _NUMBER, k), F.lit("")) for k in (1, 2))
+        code = F.coalesce(decimal.try_cast("int"), F.conv(hexadecimal, 16, 10).try_cast("int"))
+        fits = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")  # a code point is its four bytes
+        return F.coalesce(F.when(code == 0xA0, " ").when(fits, sign),
+                          F.try_element_at(_entities(), F.regexp_extract(token, _NAMED, 1)), token)
+
+    def piece(part: Column) -> Column:
+        token = F.regexp_extract(part, f"^(?:{_NAMED}|{_NUMBER})", 0)
+        return F.when(token == "", part).otherwise(F.concat(one(token), F.substr(part, F.length(token) + 1)))
+
+    decoded = F.array_join(F.transform(F.split(c, f"(?={_NAMED}|{_NUMBER})"), piece), "")
+    return F.when(c.contains("&"), decoded).otherwise(c)
 
 
 def strip_tags(c: Column) -> Column:
@@ -29,42 +53,22 @@ def strip_tags(c: Column) -> Column:
     return F.trim(decode_entities(F.regexp_replace(c, r"<[^>]*>", "")))
 
 
-def _blocks(html: Column, tag: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), 1)
-
+# Comments, and elements whose content is no markup; an unclosed one runs to the end.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 
-def outer_blocks(html: Column, tag: str) -> Column:
-    """Inner HTML of each outermost ``tag`` element, in order.
 
-    The page is cut before opening and after closing tags.  A running depth
-    over the pieces finds the outermost elements; the pieces of nested ones
-    keep their text but lose their tags, so that their rows are not taken for
-    rows of the outer element.
-    """
-    opens = rf"(?is)^<{tag}\b[^>]*>"
-    pieces = F.split(html, rf"(?is)(?=<{tag}\b)|(?<=</{tag}>)")
-    start = F.struct(F.lit(0).alias("depth"), F.lit(-1).alias("no"),
-                     F.array().cast("array<struct<no:int,part:string>>").alias("parts"))
-
-    def step(state: Column, piece: Column) -> Column:
-        opening = piece.rlike(opens)
-        depth = state["depth"] + F.when(opening, 1).otherwise(0)
-        no = state["no"] + F.when(opening & (depth == 1), 1).otherwise(0)
-        inner = F.when(depth == 1, F.regexp_replace(piece, rf"{opens}|(?is)</{tag}>$", "")).otherwise(
-            F.regexp_replace(piece, r"<[^>]*>", " "))
-        held = F.when(depth > 0, F.array(F.struct(no.alias("no"), inner.alias("part")))).otherwise(
-            F.array().cast("array<struct<no:int,part:string>>"))
-        closing = F.when(piece.rlike(rf"(?is)</{tag}>$"), 1).otherwise(0)
-        return F.struct(F.greatest(depth - closing, F.lit(0)).alias("depth"), no.alias("no"),
-                        F.concat(state["parts"], held).alias("parts"))
-
-    def tables(state: Column) -> Column:
-        count = F.when(state["no"] < 0, F.array().cast("array<int>")).otherwise(
-            F.sequence(F.lit(0), F.greatest(state["no"], F.lit(0))))
-        return F.transform(count, lambda k: F.array_join(F.transform(
-            F.filter(state["parts"], lambda p: p["no"] == k), lambda p: p["part"]), ""))
-
-    return F.aggregate(pieces, start, step, tables)
+def _tokens(pages: DataFrame, html: str, key: str, tags: dict[str, str]) -> DataFrame:
+    """_page, key, pos, part, kind: the pieces of every page, each with the tag it starts with."""
+    any_tag = "|".join(tags.values())
+    clean = F.regexp_replace(F.col(html), _HIDDEN, " ")
+    # numbered before they are cut
+    numbered = pages.select(F.monotonically_increasing_id().alias("_page"), F.col(key), clean.alias("_html"))
+    parts = numbered.select("_page", key, F.posexplode(F.split("_html", rf"(?i)(?=</?(?:{any_tag})[\s/>])")).alias("_pos", "_part"))
+    kind = F.lit("text")
+    for name, tag in tags.items():
+        kind = (F.when(F.col("_part").rlike(rf"(?i)^<{tag}[\s/>]"), name)
+                .when(F.col("_part").rlike(rf"(?i)^</{tag}[\s/>]"), f"/{name}").otherwise(kind))
+    return parts.withColumn("_kind", kind)
 
 
 def table_rows(pages: DataFrame, *, html: str = "html", key: str = "page_id",
@@ -75,14 +79,52 @@ def table_rows(pages: DataFrame, *, html: str = "html", key: str = "page_id",
     Defaults read ``<table>/<tr>/<td|th>``; other tags (for example
     ``ul``/``li``/``a``) treat lists as tables.  ``first_table_only`` keeps
     the first table of each page, as the monthly scrape did.  A table inside a
-    cell counts as that cell's text.
+    cell counts as that cell's text.  Comments, scripts and styles hold no
+    tables.  End tags of rows and cells, and of the last table, may be missing;
+    a cell outside a row starts one; text outside cells is left out.  A
+    ``colspan`` repeats its cell in each of its columns.
     """
-    tables = pages.select(key, F.posexplode(outer_blocks(F.col(html), table_tag)).alias("table_no", "_t"))
+    order = Window.partitionBy("_page").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kind, depth = F.col("_kind"), F.col("_depth")
+    rows = _tokens(pages, html, key, {"table": table_tag, "row": row_tag, "cell": cell_tag})
+    rows = rows.withColumn("_level", F.sum(F.when(kind == "table", 1).when(kind == "/table", -1).otherwise(0)).over(order))
+    # an end tag too many closes nothing
+    rows = rows.withColumn("_depth", F.col("_level") - F.min(F.least(F.lit(0), F.col("_level"))).over(order))
+    outer = (depth == 1) & kind.isin("table", "row", "cell", "/row", "/cell")
+    rows = rows.withColumns({
+        "table_no": F.sum((outer & (kind == "table")).cast("int")).over(order) - 1,
+        # what was opened or closed last, outside inner tables
+        "_last": F.last(F.when(outer, kind), ignorenulls=True).over(order),
+        "_cells": F.sum((outer & (kind == "cell")).cast("int")).over(order),
+        # the row of a cell is open unless the table has just begun or a row was closed
+        "_frame": F.last(F.when(outer & kind.isin("table", "row", "/row"), kind), ignorenulls=True).over(order)})
+    rows = rows.withColumn("_before", F.last(F.when(outer & kind.isin("table", "row", "/row"), F.col("_cells")),
+                                             ignorenulls=True).over(order))
+    implied = (kind == "cell") & F.col("_frame").isin("table", "/row") & (F.col("_cells") == F.col("_before") + 1)
+    rows = rows.withColumn("_rows", F.sum((outer & ((kind == "row") | implied)).cast("int")).over(order))
+    rows = rows.withColumn("row_no", F.col("_rows") - F.last(F.when(outer & (kind == "table"), F.col("_rows")), ignorenulls=True)
+                           .over(order) - 1)
+    rows = rows.filter((depth > 0) & (F.col("row_no") >= 0))
     if first_table_only:
-        tables = tables.filter(F.col("table_no") == 0)
-    rows = tables.select(key, "table_no", F.posexplode(_blocks(F.col("_t"), row_tag)).alias("row_no", "_r"))
-    cells = F.transform(_blocks(F.col("_r"), cell_tag), strip_tags)
-    return rows.select(key, "table_no", "row_no", cells.alias("cells"))
+        rows = rows.filter("table_no = 0")
+    # an inner table's tags part words
+    text = F.when(outer, F.regexp_replace("_part", "^<[^>]*>", "")).otherwise(F.regexp_replace("_part", r"<[^>]*>", " "))
+    inside = F.col("_last") == "cell"
+    pieces = rows.groupBy("_page", key, "table_no", "row_no", F.when(inside, F.col("_cells")).alias("_cell")).agg(
+        F.sort_array(F.collect_list(F.struct("_pos", text.alias("text")))).alias("_texts"),
+        F.max(F.when(outer & (kind == "cell"), _colspan(F.col("_part")))).alias("_wide"))
+    # line ends before the next tag are the page's layout
+    value = F.btrim(strip_tags(F.array_join(F.transform("_texts", lambda t: t["text"]), "")), F.lit(" \t\r\n\f"))
+    cell = F.when(F.col("_cell").isNotNull(), F.struct("_cell", value.alias("text"), "_wide"))
+    tables = pieces.groupBy("_page", key, "table_no", "row_no").agg(F.sort_array(F.collect_list(cell)).alias("_row"))
+    cells = F.flatten(F.transform("_row", lambda c: F.array_repeat(c["text"], c["_wide"])))
+    return tables.select(key, "table_no", F.col("row_no").cast("int").alias("row_no"), cells.alias("cells"))
+
+
+def _colspan(tag: Column) -> Column:
+    """How many columns a cell takes: 1 to 1,000, as HTML has it."""
+    asked = F.regexp_extract(tag, r"""(?i)^<[^>]*\scolspan\s*=\s*["']?\s*([0-9]{1,5})""", 1).try_cast("int")
+    return F.least(F.lit(1000), F.greatest(F.lit(1), F.coalesce(asked, F.lit(1))))
 
 
 # An anchor: its quoted href, and the HTML up to its end tag.

@@ -522,6 +522,18 @@ SELECT page_id, CAST(0 AS INTEGER) AS table_no, row_no,
 FROM items
 """
 
+ORACLE["page_lenient_tables"] = f"""
+WITH items AS (
+  SELECT page_id, CAST(generate_subscripts(rws, 1) - 1 AS INTEGER) AS row_no, unnest(rws) AS rw
+  FROM (SELECT page_id, list_filter(string_split(html, '<li>'), lambda x: contains(x, '</li>')) AS rws FROM pages)),
+texts AS (
+  SELECT page_id, row_no, {strip_tags("split_part(rw, '</li>', 1)")} AS first,
+         'Áñó &lt; &no;' || CASE WHEN row_no % 2 = 1 THEN '   in' ELSE '' END AS second
+  FROM items)
+SELECT page_id, CAST(0 AS INTEGER) AS table_no, row_no, first || '|' || second || '|' || second AS cells
+FROM texts
+"""
+
 ORACLE["coverage_gaps"] = """
 WITH src AS (SELECT DISTINCT o_orderpriority AS source FROM orders),
 cells AS (SELECT source, CAST(y AS INTEGER) AS anyo, CAST(m AS INTEGER) AS mes

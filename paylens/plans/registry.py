@@ -466,6 +466,20 @@ def page_nested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("cells", F.array_join("cells", "|"))
 
 
+@register("page_lenient_tables")
+def page_lenient_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' lists as a table without a single end tag, behind tables in a
+    comment and a script, with entities and a cell over two columns (R1)."""
+    pages = text_table(spark, sf_dir, "pages")
+    items = F.regexp_extract_all("html", F.lit(r"(?s)<li>(.*?)</li>"), 1)
+    rows = F.transform(items, lambda x, i: F.concat(F.lit("<TR class=r>\n<td>"), x, F.lit("<td colspan='2'>&Aacute;&#241;&#xf3; &amp;lt; &no;"),
+                                                    F.when(i % 2 == 1, F.lit("<table><tr><td>in</table>")).otherwise(F.lit(""))))
+    hidden = "<!-- <table><tr><td>old</td></tr></table> --><script>x = '<table><tr><td>js</table>'</script></table>"
+    html = F.concat(F.lit(f"{hidden}<table>"), F.array_join(rows, "\n"))
+    out = pg.table_rows(pages.select("page_id", html.alias("html")))
+    return out.withColumn("cells", F.array_join("cells", "|"))
+
+
 @register("coverage_gaps")
 def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(

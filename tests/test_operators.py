@@ -139,6 +139,40 @@ def test_pages_tables_links_headings(spark):
     assert heads == {1: "Ana  Soto", 2: ""}
 
 
+TIDY = "<table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table>"
+
+
+@pytest.mark.parametrize("html,rows", [
+    (TIDY, [["a", "b"], ["c"]]),
+    ("<table><tr><td>a<td>b<tr><td>c", [["a", "b"], ["c"]]),
+    ("<TABLE><TBODY><TR ><TH>a<TH\n>b</TR><TR><TD/>c</TABLE> tail", [["a", "b"], ["c"]]),
+    ("<table>x<td>a<td>b<tr>y<td>c</tr>z</table>", [["a", "b"], ["c"]]),
+    ("<table><tr><td>a</td>junk<td>b</tr><td>c</table>", [["a", "b"], ["c"]]),
+    ("<!-- <table><tr><td>no</td></tr></table> -->" + TIDY, [["a", "b"], ["c"]]),
+    ("<script>'<table><tr><td>no'</script></table></td>" + TIDY, [["a", "b"], ["c"]]),
+    ("<table><tr><td>a<td>b</tr><!-- <tr><td>no --><tr><td>c</table><table><tr><td>d", [["a", "b"], ["c"]]),
+    ("<table><tr><td>a <table><tr><td>in<td>ner</table> z<td>b", [["a    in ner  z", "b"]]),
+    ("<table><tr></tr><tr><td></td></tr></table>", [[], [""]]),
+    ("<table><tr><td colspan=2>a<td colspan='0'>b<th COLSPAN = \"3\">c", [["a", "a", "b", "c", "c", "c"]]),
+    ("<table><tr><td>&aacute;&#225;&#xE1; &amp;lt; &nbsp;&nope; &#128512; &#0; &copy", [["ááá &lt;  &nope; 😀 &#0; &copy"]]),
+    ("<tablet><tr><td>no</tablet>", []), ("<p>none", []), ("", []), (None, []),
+])
+def test_lenient_tables(spark, html, rows):
+    df = spark.createDataFrame([(1, html), (1, TIDY)], "page_id long, html string")
+    found = pages.table_rows(df.limit(1)).orderBy("row_no").collect()
+    assert [r.cells for r in found] == rows
+    assert [r.row_no for r in found] == list(range(len(rows)))
+
+
+def test_tables_of_a_large_page_and_of_repeated_keys(spark):
+    many = "<table>" + "".join(f"<tr><td>{k}<td>x" for k in range(20_000)) + "</table>" + TIDY * 500
+    df = spark.createDataFrame([(1, many), (2, TIDY), (2, TIDY)], "page_id long, html string")
+    rows = pages.table_rows(df, first_table_only=False)
+    assert rows.filter("page_id = 1").count() == 21_000 and rows.filter("page_id = 2").count() == 4
+    assert rows.filter("page_id = 1 and table_no = 0").agg({"row_no": "max"}).first()[0] == 19_999
+    assert rows.agg({"table_no": "max"}).first()[0] == 500
+
+
 def test_coverage_gaps(spark):
     present = spark.createDataFrame([("s", 2024, 1), ("s", 2024, 3)], "source string, anyo int, mes int")
     gaps = sync.coverage_gaps(present, present, (2024, 2024)).collect()
