@@ -153,7 +153,8 @@ def labelled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
              .filter(F.col("label").isNotNull() & (fold(F.col("_id")) != 0)))
     marks = hashed_sample(marks, "_id", marks.count(), max_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(marks, F.col("doc_id") == F.col("_id")).select(
+    # about ``max_rows`` narrow rows at most: small enough for every task, so no text is shuffled
+    return texts.join(F.broadcast(marks), F.col("doc_id") == F.col("_id")).select(
         "doc_id", "text", F.col("label").cast("double"), fold(F.col("doc_id")).alias("fold"))
 
 
