@@ -158,7 +158,7 @@ def compact(rows: DataFrame) -> DataFrame:
     """``rows`` with compressed texts (``zipped``): whole texts are shuffled twice."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=6)
+        press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             texts = pa.array([press.compress(t.as_py() or b"") for t in batch.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts], [*batch.schema.names[:3], "zipped"])
