@@ -604,6 +604,12 @@ SELECT *, CASE WHEN organismo_nombre IN ('BUILDING', 'MACHINERY') THEN '2024/TA_
 FROM ({_pay_rows_sql(BULK_DROP)})
 """
 
+ORACLE["stream_mixed_drops"] = f"""
+SELECT *, CASE WHEN organismo_nombre IN ('BUILDING', 'MACHINERY', 'FURNITURE')
+               THEN 'TA_PersonalPlanta_' || organismo_nombre || '.csv' ELSE 'new/TA_PersonalPlanta_BUILDING.csv' END AS drop
+FROM ({_pay_rows_sql(BULK_DROP)})
+"""
+
 ORACLE["report_export"] = f"""
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS Nombre,
        translate(c_mktsegment, 'AEIOU', 'ÁÉÍÓÚ') AS Segmento,

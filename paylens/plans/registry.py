@@ -27,9 +27,10 @@ from paylens.operators import unify as uni
 from paylens.operators.joins import folded_link
 from paylens.plans import views
 from paylens.session import scratch_path, spread_narrow, table
+from paylens.sources import generations
 from paylens.sources import readers as rd
 from paylens.sources import sinks as sk
-from paylens.streaming.file_ingest import ingest_new_files
+from paylens.streaming.file_ingest import ingest_mixed_drops, ingest_new_files
 
 REGISTRY: dict = {}
 
@@ -884,6 +885,24 @@ def pay_with_expenses_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exp.pay_with_expenses(pay_t, spent_t, keys)
 
 
+@register("stream_mixed_drops")
+def stream_mixed_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV drops of two headers in one landing folder, taken by two runs of the
+    stream: every row once (S13, C12)."""
+    rows = _bulk_drop(spark, sf_dir)
+    base = scratch_path(spark, "mixed")
+    landing, lake = f"{base}/landing", f"{base}/lake"
+    for step in (("BUILDING", "MACHINERY"), ("FURNITURE",), ()):
+        for k, name in enumerate(step):
+            part = rows.filter(F.col("Organismo") == name)
+            sk.write_report_csv(part.select(*reversed(rows.columns)) if k else part, f"{landing}/TA_PersonalPlanta_{name}.csv")
+        if not step:
+            sk.write_report_csv(rows.filter(~F.col("Organismo").isin("BUILDING", "MACHINERY", "FURNITURE")),
+                                f"{landing}/new/TA_PersonalPlanta_BUILDING.csv")
+        ingest_mixed_drops(spark, landing, lake, f"{base}/checkpoint")
+    return generations.read(spark, lake)
+
+
 @register("senate_expense_detail")
 def senate_expense_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C7 over C14's own outputs: the Senate rows of March 1996 looked up in

@@ -69,3 +69,38 @@ def ingest_new_drops(spark: SparkSession, landing: str, header: list[str], out:
                      options={"sep": sep, "encoding": encoding, "header": "true",
                               "enforceSchema": "false", "mode": "PERMISSIVE"},
                      partition_by=partition_by)
+
+
+def ingest_mixed_drops(spark: SparkSession, landing: str, out: str, checkpoint: str, pattern: str = "*.csv",
+                       max_files_per_trigger: int | None = None, skipped: list | None = None) -> None:
+    """New bulk CSV drops, each with a header of its own -> committed pay table (S13 + C12).
+
+    The stream carries the names of new files only.  Each micro-batch is one
+    batch ingest of its drops: grouped by header, one scan per header, and
+    committed as one generation.  A drop is known by its path below
+    ``landing`` and replaces itself, so a batch that runs again after a lost
+    driver writes every row once.  Parts of one drop (a folder) belong
+    together: land them before the run.  ``skipped`` collects (path, reason); a
+    file of no bytes is passed over.
+    Read the table with :func:`paylens.sources.generations.read`.
+    """
+    import re
+
+    from paylens.operators.legislative import ingest_bulk_csv
+
+    files = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+             .option("recursiveFileLookup", True).option("pathGlobFilter", pattern))
+    if max_files_per_trigger:
+        files = files.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def batch(names: DataFrame, batch_id: int) -> None:
+        # a name per drop: what a scan of them needs, too
+        drops = sorted({re.sub(r"/part-[^/]*$", "", r["path"]) for r in names.select("path").collect()})
+        if drops:
+            ingest_bulk_csv(names.sparkSession, drops, out, skipped=skipped, root=landing)
+
+    query = (files.load(landing).select("path").writeStream.foreachBatch(batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
