@@ -33,7 +33,7 @@ _LOCAL_CONF = {
 # advisory size, so no per-query tuning is needed; scans read large splits;
 # skewed join partitions are split at run time; static broadcast choice
 # uses file-size estimates under a modest threshold, and the library's own
-# broadcasts are row-counted (``operators.joins.sized_side``).
+# broadcasts are bounded by file bytes (``operators.joins.checked_broadcast``).
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
