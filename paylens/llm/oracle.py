@@ -68,19 +68,26 @@ raws as (select rid, doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as r
 lines as (
   select rid, doc_id, raw, row_number() over (partition by rid order by raw) as pos,
          array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                            '[^\x20\x09-\x0D]+'), ' ') as line
+                                            '[^\x20\x09-\x0D]+'), ' ') as line,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as size
   from raws where regexp_matches(line, '[^\x20\x09-\x0D]')),
-windows as (
-  select rid, doc_id, pos, [line, lead(line, 1) over w, lead(line, 2) over w] as three,
-         lead(line, 2) over w as third
-  from lines window w as (partition by rid order by pos)),
-later as (
-  select rid, pos from (
-    select rid, pos, {'doc_id': doc_id, 'pos': pos} as here,
-           min({'doc_id': doc_id, 'pos': pos}) over (partition by three) as first
-    from windows where third is not null)
-  where first < here),
-covered as (select distinct rid, unnest(generate_series(pos, pos + 2)) as pos from later),
+pairs as (
+  select here.rid as rid, there.rid as other, here.pos as pos, here.pos - there.pos as shift, here.size as size
+  from lines here join lines there on here.line = there.line
+  where {'doc_id': there.doc_id, 'pos': there.pos} < {'doc_id': here.doc_id, 'pos': here.pos}),
+runs as (
+  select rid, min(pos) as start, max(pos) as stop
+  from (select *, pos - row_number() over (partition by rid, other, shift order by pos) as island from pairs)
+  group by rid, other, shift, island having count(*) >= 3 or sum(size) >= 50),
+wholes as (
+  select rid, doc_id, list(line order by pos) as body, max(pos) as stop from lines group by rid, doc_id
+  having count(*) < 3 and sum(size) < 50),
+short as (
+  select rid, 1 as start, stop from (select *, min(doc_id) over (partition by body) as least from wholes)
+  where least < doc_id),
+covered as (
+  select distinct rid, unnest(generate_series(start, stop)) as pos
+  from (select * from runs union all select * from short)),
 marked as (
   select lines.rid, raw, covered.pos is not null as gone,
          lead(raw) over w as next_raw, lead(covered.pos) over w is not null as next_gone

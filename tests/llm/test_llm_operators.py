@@ -605,21 +605,26 @@ def test_quality_edges(spark):
 
 # ------------------------------------------------------------ line dedup
 
-def reference_lines(texts, ids, width=3):
-    """Raw lines that go, by comparing every window with all earlier positions."""
+def reference_lines(texts, ids, width=3, words=50):
+    """Raw lines that go: of every pair of places the maximal common run, line by line."""
     split = [(t or "").split("\n") for t in texts]
     lines = [[(k, tuple(x.encode().lower().split())) for k, x in enumerate(s) if x.encode().split()] for s in split]
-    first = {}
-    for i, rows in zip(ids, lines, strict=True):
-        for p in range(len(rows) - width + 1):
-            key = tuple(x for _, x in rows[p:p + width])
-            first[key] = min(first.get(key, (i, p)), (i, p))
+    bodies = [[x for _, x in rows] for rows in lines]
     out = []
-    for i, rows, s in zip(ids, lines, split, strict=True):
+    for i, rows, body, s in zip(ids, lines, bodies, split, strict=True):
         covered = set()
-        for p in range(len(rows) - width + 1):
-            if first[tuple(x for _, x in rows[p:p + width])] < (i, p):
-                covered.update(range(p, p + width))
+        for j, other in zip(ids, bodies, strict=True):
+            for p in range(len(body)):
+                for q in range(len(other)):
+                    if not (j, q) < (i, p) or (p and q and body[p - 1] == other[q - 1]):
+                        continue
+                    n = 0
+                    while p + n < len(body) and q + n < len(other) and body[p + n] == other[q + n]:
+                        n += 1
+                    if n >= width or sum(map(len, body[p:p + n])) >= words:
+                        covered.update(range(p, p + n))
+            if j < i and body == other and len(body) < width and sum(map(len, body)) < words:
+                covered.update(range(len(body)))
         gone = {rows[p][0] for p in covered}
         for p in covered:  # blank lines between two lines of one run
             if p + 1 in covered:
@@ -637,6 +642,9 @@ def lined_texts(seed):
         part = pool[start:start + rng.randint(0, 6)]
         own = [prose(rng, 4) for _ in range(rng.randint(0, 3))]
         texts.append("\n".join(rng.choice((own + part, part + own, own + part + [""] + own, [p.upper() + "  " for p in part]))))
+    passage, half = prose(rng, 55), prose(rng, 30)
+    texts += [f"x{rng.random()}\n{passage}\ny", f"z\n{passage} \ny", f"1\n{half}\n{half} end\n2", f"3\n{half}\n\n{half} end",
+              f"{half}\n4", passage, "one line", "ONE  line", "one line\nand two", "one line\nand two\n", "and two"]
     return texts + ["a\nb\nc\na\nb\nc\nd", "l\nl\nl\nl\nl", "q\n\nr\n\ns", "q\nr\n\n\ns\nt"]
 
 
@@ -656,9 +664,25 @@ def test_winnowing_selects_the_last_least():
     assert line_dedup.selected(h, 3).tolist() == [2, 2, 4, 4]
 
 
+def test_windows_are_written_once_by_their_least_line():
+    h = np.array([5, 3, 8, 9, 1, 7], dtype=np.uint64)
+    _, start, end, least = line_dedup.windows(h, np.array([1, 60, 1, 1, 1, 1]), 3, 50)
+    assert sorted(zip(start.tolist(), end.tolist(), least.tolist(), strict=True)) == [
+        (0, 1, 1), (0, 2, 1), (1, 1, 1), (1, 2, 1), (1, 3, 1), (2, 4, 4), (3, 5, 4)]
+    assert line_dedup.windows(h[:2], np.array([1, 1]), 3, 50)[1].tolist() == [0]
+
+
+def test_line_dedup_of_a_hundred_thousand_lines(spark):
+    text = "\n".join(f"line {k % 50_000}" for k in range(100_000))
+    rows = line_dedup.line_dedup(frame(spark, [text, text + "\nnew"], [1, 2])).collect()
+    assert sorted((r["doc_id"], r["n_lines"], r["n_removed"]) for r in rows) == [(1, 100_000, 50_000), (2, 100_001, 100_000)]
+
+
 def test_line_dedup_edges(spark):
     rows = line_dedup.line_dedup(edges(spark)).collect()
-    assert len(rows) == len(EDGES) and not any(r["n_removed"] for r in rows)
+    ids = [9 if i is None else i for i in EDGE_IDS]
+    assert sorted((9 if r["doc_id"] is None else r["doc_id"], r["n_removed"]) for r in rows) == sorted(
+        (i, gone) for i, _, gone, _ in reference_lines(EDGES, ids))
     assert line_dedup.apply_line_dedup(edges(spark)).columns == edges(spark).columns
     assert line_dedup.line_dedup(empty(spark)).count() == 0 and line_dedup.apply_line_dedup(empty(spark)).count() == 0
     repeated = frame(spark, ["a\nb\nc", "a\nb\nc", "a\nb\nc", "a\nb\nc"], [1, 1, None, 2])
