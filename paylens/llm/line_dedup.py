@@ -32,14 +32,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paylens.llm.common import BLANKS, boxed, mixed, saved, sliding_hashes, temporary, unboxed, word_hashes
+from paylens.llm.common import BLANKS, boxed, mixed, rows_of, saved, sliding_hashes, temporary, unboxed
 
 WIDTH = 3
 WORDS = 50
+# Whole documents are scanned together up to about this many lines.
+LINES_AT_ONCE = 1 << 15
 WHOLE = np.uint64(0xD6E8FEB86659FD93)
 MATCH = pa.struct([("match", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
                    ("first", pa.int32()), ("last", pa.int32())])
@@ -51,19 +54,26 @@ def selected(h: np.ndarray, width: int) -> np.ndarray:
     return np.arange(len(windows)) + width - 1 - windows.argmin(axis=1)
 
 
-def windows(h: np.ndarray, sizes: np.ndarray, width: int, words: int) -> tuple[np.ndarray, ...]:
-    """Hash, start, end and selected position of every window of a document's
-    lines (hashes ``h`` with ``sizes`` words), ordered by selected position."""
+def windows(h: np.ndarray, sizes: np.ndarray, doc: np.ndarray, width: int, words: int) -> tuple[np.ndarray, ...]:
+    """Hash, start, end and selected line of every window of the lines (hashes
+    ``h`` with ``sizes`` words) of documents that follow each other (``doc``:
+    the number of each line's document), ordered by selected line."""
     total = np.concatenate([[0], np.cumsum(sizes)])
+    lines = np.bincount(doc)
+    begin = np.cumsum(lines) - lines
+    windowless = lines < width
     parts = []
     for k in range(1, min(width, len(h)) + 1):
         start = np.arange(len(h) - k + 1)
+        keep = doc[start] == doc[start + k - 1]
         if k < width:
-            start = start[total[k:][start] - total[start] >= words]
+            keep &= total[k:][start] - total[start] >= words
+        start = start[keep]
+        windowless[doc[start]] = False
         parts.append((sliding_hashes(h, k)[start], start, start + k - 1, selected(h, k)[start]))
-    if not any(len(start) for _, start, _, _ in parts):
-        n = len(h)
-        parts = [(mixed(sliding_hashes(h, n) ^ WHOLE), np.zeros(1, int), np.full(1, n - 1), selected(h, n))]
+    for k in range(1, min(width - 1, len(h)) + 1):
+        start = begin[windowless & (lines == k)]
+        parts.append((mixed(sliding_hashes(h, k)[start] ^ WHOLE), start, start + k - 1, selected(h, k)[start]))
     keys, start, end, least = (np.concatenate(p) for p in zip(*parts, strict=True))
     order = np.lexsort((end, start, least))
     return keys[order], start[order], end[order], least[order]
@@ -74,25 +84,44 @@ def fingerprints_of(docs: DataFrame, width: int = WIDTH, words: int = WORDS) ->
     and ``matches``: the windows that selected it (hash, positions of their
     start and end, and the raw line numbers of both)."""
 
+    def rows(hashes: list, sizes: list[int], raw: list[int], doc: list[int], ids: list, contents: list) -> pa.RecordBatch:
+        h, number, line = np.array(hashes, np.uint64), np.array(doc), np.array(raw)
+        keys, start, end, least = windows(h, np.array(sizes), number, width, words)
+        at, offsets = np.unique(least, return_index=True)
+        before = np.searchsorted(number, number[start])
+        matches = pa.StructArray.from_arrays(
+            [pa.array(keys.view(np.int64)),
+             *(pa.array(v, pa.int32()) for v in (start - before, end - before, line[start], line[end]))], fields=list(MATCH))
+        owner = pa.array(number[at])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()).take(owner), pa.array(contents, pa.int64()).take(owner),
+             pa.array(h[at].view(np.int64)),
+             pa.ListArray.from_arrays(pa.array(np.append(offsets, len(least)), pa.int32()), matches)],
+            ["doc_id", "content", "fingerprint", "matches"])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        held: tuple[list, ...] = ([], [], [], [], [], [])
         for batch in batches:
-            for doc_id, content, text in zip(*batch.columns, strict=True):
-                lines = [(k, line.lower().split()) for k, line in enumerate((text.as_py() or b"").split(b"\n"))]
-                lines = [(k, line) for k, line in lines if line]
-                if not lines:
+            for doc_id, content, text in rows_of(batch):
+                hashes, sizes, raw, doc, ids, contents = held
+                before = len(hashes)
+                for k, line in enumerate((text or b"").lower().split(b"\n")):
+                    cut = line.split()
+                    if cut:
+                        hashes.append(digest(b" ".join(cut)))
+                        sizes.append(len(cut))
+                        raw.append(k)
+                if len(hashes) == before:
                     continue
-                h = word_hashes([b" ".join(line) for _, line in lines])
-                raw = np.array([k for k, _ in lines])
-                keys, start, end, least = windows(h, np.array([len(line) for _, line in lines]), width, words)
-                at, offsets = np.unique(least, return_index=True)
-                matches = pa.StructArray.from_arrays(
-                    [pa.array(keys.view(np.int64)), *(pa.array(v, pa.int32()) for v in (start, end, raw[start], raw[end]))],
-                    fields=list(MATCH))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc_id.as_py()] * len(at), pa.int64()), pa.array([content.as_py()] * len(at), pa.int64()),
-                     pa.array(h[at].view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(np.append(offsets, len(least)), pa.int32()), matches)],
-                    ["doc_id", "content", "fingerprint", "matches"])
+                doc += [len(ids)] * (len(hashes) - before)
+                ids.append(doc_id)
+                contents.append(content)
+                if len(hashes) >= LINES_AT_ONCE:
+                    yield rows(*held)
+                    held = ([], [], [], [], [], [])
+        if held[0]:
+            yield rows(*held)
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("content"),
                        F.col("text").cast("binary")).mapInArrow(

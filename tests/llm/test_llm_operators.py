@@ -665,11 +665,12 @@ def test_winnowing_selects_the_last_least():
 
 
 def test_windows_are_written_once_by_their_least_line():
-    h = np.array([5, 3, 8, 9, 1, 7], dtype=np.uint64)
-    _, start, end, least = line_dedup.windows(h, np.array([1, 60, 1, 1, 1, 1]), 3, 50)
+    h = np.array([5, 3, 8, 9, 1, 7, 4, 2], dtype=np.uint64)
+    doc = np.array([0, 0, 0, 0, 0, 0, 1, 1])
+    _, start, end, least = line_dedup.windows(h, np.array([1, 60, 1, 1, 1, 1, 1, 1]), doc, 3, 50)
     assert sorted(zip(start.tolist(), end.tolist(), least.tolist(), strict=True)) == [
-        (0, 1, 1), (0, 2, 1), (1, 1, 1), (1, 2, 1), (1, 3, 1), (2, 4, 4), (3, 5, 4)]
-    assert line_dedup.windows(h[:2], np.array([1, 1]), 3, 50)[1].tolist() == [0]
+        (0, 1, 1), (0, 2, 1), (1, 1, 1), (1, 2, 1), (1, 3, 1), (2, 4, 4), (3, 5, 4), (6, 7, 7)]
+    assert least.tolist() == sorted(least.tolist())
 
 
 def test_line_dedup_of_a_hundred_thousand_lines(spark):
