@@ -567,6 +567,29 @@ FROM remote r FULL OUTER JOIN local_ l ON r.name = l.name
 
 ORACLE["json_envelope"] = "SELECT event_id, user_id, event_type, value FROM events"
 
+ORACLE["json_drift"] = """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, event_type,
+       CASE WHEN event_id % 11 <> 0 THEN value END AS value
+FROM events WHERE (event_id // 500) % 5 < 3
+"""
+
+ORACLE["json_quarantine"] = """
+WITH e AS (
+  SELECT *, event_id // 500 AS page, row_number() OVER (PARTITION BY event_id // 500 ORDER BY event_id) - 1 AS pos
+  FROM events),
+w AS (
+  SELECT *, CASE WHEN page % 2 = 0 THEN '$.data.data[' || pos || '].attributes.' ELSE '$.data[' || pos || '].' END AS item
+  FROM e WHERE page % 5 < 3)
+SELECT page, item || 'user_id' AS path, 'bigint' AS expected, 'OBJECT' AS found,
+       '{"id":' || coalesce(CAST(user_id AS VARCHAR), 'null') || '}' AS value FROM w WHERE event_id % 7 = 0
+UNION ALL
+SELECT page, item || 'value', 'double', 'STRING', 'n/a' FROM w WHERE event_id % 11 = 0
+UNION ALL
+SELECT DISTINCT page, '$.data', 'ARRAY', 'missing', NULL FROM e WHERE page % 5 = 3
+UNION ALL
+SELECT DISTINCT page, '$', 'JSON', 'no JSON', NULL FROM e WHERE page % 5 = 4
+"""
+
 BULK_DROP = f"""
     SELECT c_mktsegment AS organismo_nombre,
            TRY_CAST(CAST(1990 + c_nationkey AS VARCHAR) AS INTEGER) AS anyo,
@@ -762,6 +785,14 @@ ORDER BY organismo_nombre NULLS LAST, anyo NULLS LAST, Mes NULLS LAST, estamento
 LIMIT 500
 """
 
+ORACLE["search_fallback"] = f"""
+SELECT anyo, Mes, organismo_nombre, origen, Nombres
+FROM ({_pay_rows_sql(SUPPLIER_PAY)} UNION ALL {_pay_rows_sql(CUSTOMER_PAY)})
+WHERE search_vector LIKE '%customer#00000001%'
+ORDER BY anyo DESC NULLS LAST, coalesce(list_position({MONTHS_SQL}, Mes), 0) DESC, Nombres DESC NULLS LAST
+LIMIT 1
+"""
+
 ORACLE["audit_from_raw"] = f"""
 WITH v AS ({ORACLE['audit_view']}),
 r AS (

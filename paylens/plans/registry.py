@@ -27,7 +27,7 @@ from paylens.operators import unify as uni
 from paylens.operators.joins import folded_link
 from paylens.plans import views
 from paylens.session import scratch_path, spread_narrow, table
-from paylens.sources import generations
+from paylens.sources import drift, generations
 from paylens.sources import readers as rd
 from paylens.sources import sinks as sk
 from paylens.streaming.file_ingest import ingest_mixed_drops, ingest_new_files
@@ -554,6 +554,44 @@ def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.read_envelopes(spark, f"{out}/*.txt", EVENT_ITEM).drop("source_file")
 
 
+def _drifting_pages(spark, sf_dir):
+    """events as pages of 500 in both shapes, with drift: every seventh user id
+    is an object, every eleventh value a text; of five pages one has no list of
+    items and one is cut off."""
+    ev = table(spark, sf_dir, "events")
+
+    def number(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit("null"))
+
+    text = F.format_string(
+        '{"event_id":%s,"user_id":%s,"event_type":%s,"value":%s}', number("event_id"),
+        F.when(F.col("event_id") % 7 == 0, F.format_string('{"id":%s}', number("user_id"))).otherwise(number("user_id")),
+        F.coalesce(F.concat(F.lit('"'), F.col("event_type"), F.lit('"')), F.lit("null")),
+        F.when(F.col("event_id") % 11 == 0, F.lit('"n/a"')).otherwise(number("value")))
+    wrapped = F.when(F.floor(F.col("event_id") / 500) % 2 == 0,
+                     F.format_string('{"id":%s,"attributes":%s}', number("event_id"), text)).otherwise(text)
+    pages = (ev.groupBy(F.floor(F.col("event_id") / 500).alias("page"))
+             .agg(F.sort_array(F.collect_list(F.struct("event_id", wrapped.alias("text")))).alias("items")))
+    body = F.concat(F.lit("["), F.array_join("items.text", ","), F.lit("]"))
+    whole = F.when(F.col("page") % 2 == 0, F.format_string('{"data":{"data":%s}}', body)).otherwise(
+        F.format_string('{"data":%s}', body))
+    return pages.select("page", F.when(F.col("page") % 5 == 3, F.lit('{"error":"no data"}'))
+                        .when(F.col("page") % 5 == 4, F.left(whole, F.length(whole) - 2)).otherwise(whole).alias("value"))
+
+
+@register("json_drift")
+def json_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of drifting documents; a drifting field is NULL."""
+    return drift.good_items(drift.checked_envelopes(_drifting_pages(spark, sf_dir), EVENT_ITEM)).drop("page")
+
+
+@register("json_quarantine")
+def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drifting fields and broken documents of the same, with their paths."""
+    bad = drift.quarantine(drift.checked_envelopes(_drifting_pages(spark, sf_dir), EVENT_ITEM))
+    return bad.select("page", "path", "expected", "found", F.when(F.col("path") > "$.data", F.col("value")).alias("value"))
+
+
 def _bulk_drop(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     cents = mny.to_cents(F.col("c_acctbal"))
@@ -854,6 +892,17 @@ def search_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return srch.search(pay, person="customer#00000001", years=(2000, 2020))
 
 
+@register("search_fallback")
+def search_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 then C2: no row of the person in these years, so the latest record."""
+    s_raw, c_raw = _raw_sources(spark, sf_dir)
+    pay = srch.union_sources([uni.pay_rows(s_raw, "Planta"), uni.pay_rows(c_raw, "Contrata")])
+    columns = ("anyo", "Mes", "organismo_nombre", "origen", "Nombres")
+    rows, last = srch.search_or_last_record(pay, person="customer#00000001", years=(1900, 1950), columns=columns,
+                                            last={"columns": columns, "tie": ("Nombres",)})
+    return rows if last is None else last
+
+
 @register("audit_from_raw")
 def audit_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C9 straight from two raw, differently headed sources: audit view

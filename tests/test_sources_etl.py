@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from paylens.operators import legislative as leg
 from paylens.operators import sync
 from paylens.operators import unify
-from paylens.sources import readers, sinks
+from paylens.sources import drift, readers, sinks
 
 
 def _write(path, text, encoding="utf-8"):
@@ -455,3 +455,25 @@ def test_expenses_without_a_name_list(spark, tmp_dir):
     assert rows == [(None, "Oficina", 3000)]
     _write(f"{raw}/diputados_dieta/2024_03.csv", "ID_Diputado,Nombre\n8,Rosa Paz\n")
     assert leg.read_chamber_expenses(spark, raw).first().llave_senador is None
+
+
+def test_drifting_json_is_read_and_reported(spark):
+    item = T.StructType([T.StructField("n", T.LongType()), T.StructField("name", T.StringType()),
+                         T.StructField("x", T.DoubleType())])
+    texts = ['{"data":{"data":[{"id":"1","attributes":{"n":1000.0,"name":"a","x":"1.5"}},{"id":"2","attributes":{"n":"?","x":null}}]}}',
+             '{"data":[{"n":7,"name":5},{"n":[1],"name":{"a":1}},8,{"attributes":"none"}]}',
+             '{"data":[]}', '{"data":{"other":1}}', '{"data":[{"n":1}', '{"data":[{"n":1,"n":2}]}', "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "file int, value string")
+    checked = drift.checked_envelopes(docs, item)
+    assert sorted(map(tuple, drift.good_items(checked).collect()), key=str) == [
+        (0, 1000, "a", 1.5), (0, None, None, None), (1, 7, "5", None), (1, None, None, None)]
+    bad = sorted((r["file"], r["path"], r["expected"], r["found"], r["value"]) for r in drift.quarantine(checked).collect()
+                 if r["file"] != 7)
+    assert bad == [
+        (0, "$.data.data[1].attributes.n", "bigint", "STRING", "?"),
+        (1, "$.data[1].n", "bigint", "ARRAY", "[1]"), (1, "$.data[1].name", "string", "OBJECT", '{"a":1}'),
+        (1, "$.data[2]", "OBJECT", "BIGINT", "8"), (1, "$.data[3].attributes", "OBJECT", "STRING", "none"),
+        (3, "$.data", "ARRAY", "OBJECT", texts[3]), (4, "$", "JSON", "no JSON", texts[4]),
+        (5, "$", "JSON", "no JSON", texts[5]), (6, "$", "JSON", "no JSON", "")]
+    assert drift.quarantine(checked).filter("file = 7").count() == 1
+    assert drift.checked_envelopes(docs.limit(0), item).count() == 0
