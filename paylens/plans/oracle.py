@@ -106,6 +106,8 @@ WHERE {FOLD_FULL.format(x='text')} LIKE '%des%' AND {FOLD_FULL.format(x='text')}
 ORDER BY doc_id LIMIT 500
 """
 
+ORACLE["indexed_search"] = ORACLE["person_search"]
+
 ORACLE["search_filters"] = f"""
 SELECT o_orderkey, organismo_nombre, anyo, Mes, origen, remuliquida_mensual
 FROM ({ORDER_ROWS})

@@ -24,6 +24,7 @@ from paylens.operators import search as srch
 from paylens.operators import summary as summ
 from paylens.operators import sync as syn
 from paylens.operators import unify as uni
+from paylens.operators import word_index as widx
 from paylens.operators.joins import folded_link
 from paylens.plans import views
 from paylens.session import scratch_path, spread_narrow, table
@@ -96,6 +97,17 @@ def person_search(spark: SparkSession, sf_dir: str) -> DataFrame:
                        org_col="lang", order=("doc_id",))
 
 
+@register("indexed_search")
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search of person_search through a word index: written once, then read
+    by the buckets of its words."""
+    docs = text_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "word_index")
+    widx.write_word_index(docs, "doc_id", fold_text(F.col("text")), path, buckets=32)
+    return widx.indexed_search(table(spark, sf_dir, "documents"), "doc_id", path, "des ELLE",
+                               columns=("doc_id", "lang", "source", "n_chars"), order=("doc_id",))
+
+
 @register("search_filters")
 def search_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.order_rows(spark, sf_dir)

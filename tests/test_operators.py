@@ -244,3 +244,23 @@ def test_audits_accept_text_years_with_junk(spark):
     # a text year column is compared through a strict cast: junk is no match
     raw = view.withColumn("sueldo_num", F.lit(1)).withColumn("nombre_completo", F.col("Nombres"))
     assert audits.pay_ranking(raw, 2024, "Enero").count() == 2
+
+
+def test_word_index_equals_a_scan(spark, tmp_path):
+    from paylens.operators import search, word_index
+
+    names = ["jose perez soto", "maria jose  tapia", "", None, "perez\nperez", "ana  perezosa jose", "soto", " "]
+    rows = spark.createDataFrame([(k, n, k % 3) for k, n in enumerate(names * 3)], "id int, search_vector string, word int")
+    path = str(tmp_path / "index")
+    word_index.write_word_index(rows, "id", "search_vector", path, buckets=4)
+    for person in ("José Pérez", "perez", "ere jos jos", "nobody", "soto nobody", "z", "", None):
+        scan = search.search(rows, person=person, columns=("id", "word"), order=("id",), limit=None)
+        found = word_index.indexed_search(rows, "id", path, person, columns=("id", "word"), order=("id",), limit=None)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, scan.collect())), person
+    limited = word_index.indexed_search(rows, "id", path, "perez", columns=("id",), order=("id",), limit=2)
+    assert [r["id"] for r in limited.collect()] == [0, 4]
+    plan = word_index.indexed_keys(spark, path, "soto")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    word_index.write_word_index(rows.limit(0), "id", "search_vector", path + "0", buckets=4)
+    nothing = word_index.indexed_search(rows, "id", path + "0", "perez", columns=("id",), order=("id",))
+    assert nothing.count() == 0
