@@ -23,7 +23,7 @@ from paylens.operators.audits import (multi_employment, pay_outliers, pay_rankin
 from paylens.operators.catalogue import available_years, build_catalogue, catalogue_job, organizations
 from paylens.operators.expenses import (expense_breakdown, expense_share, footprint,
                                         pay_with_expenses)
-from paylens.operators.joins import checked_broadcast, folded_link
+from paylens.operators.joins import checked_broadcast, folded_link, spread_folded_link
 from paylens.operators.legislative import (chamber_job, consolidate_chamber, consolidate_chamber_frames,
                                            consolidate_senate, senate_job,
                                            ingest_bulk_csv, read_chamber_expenses)

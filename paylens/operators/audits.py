@@ -125,16 +125,19 @@ def pay_outliers(df: DataFrame, year=None, month=None, *, group: str = "estament
                  amount: str = "sueldo_num", name: str = "nombre", org: str = "organismo",
                  sigma: float = 3.0, stats_floor=400000, min_group: int = 10,
                  result_floor=2000000, year_col: str = "anyo", month_col: str = "Mes",
-                 limit: int = 100) -> DataFrame:
+                 limit: int = 100, stats: DataFrame | None = None) -> DataFrame:
     """Pay more than ``sigma`` deviations above its group's mean (A3 + J2 + T1).
 
     The per-group statistics are one row per group.  Adaptive execution
     measures them once they are aggregated: few are broadcast, many are
     shuffle-joined, with a hot group split.  A window over the group would
-    instead put every row of a large group into one task.
+    instead put every row of a large group into one task.  ``stats`` (group,
+    ``promedio``, ``desv``) gives them ready-made, such as merged from summaries
+    of the drops (:mod:`paylens.operators.partials`): then the rows are read once.
     """
     base = _period(df, year, month, year_col, month_col).select(org, name, group, amount)
-    stats = group_stats(base, group=group, amount=amount, floor=stats_floor, min_group=min_group)
+    if stats is None:
+        stats = group_stats(base, group=group, amount=amount, floor=stats_floor, min_group=min_group)
     amt = F.col(amount)
     hits = (base.join(stats, on=group, how="inner")
             .filter((amt > F.col("promedio") + F.lit(sigma) * F.col("desv"))

@@ -71,3 +71,45 @@ def folded_link(left: DataFrame, right: DataFrame, left_name: Column | str,
     lk = left.withColumn(key, F.coalesce(lkey, spread))
     joined = lk.join(rk, on=key, how="left")
     return joined.withColumn(key, F.when(~F.col(key).startswith(_NO_MATCH), F.col(key)))
+
+
+def hot_names(left: DataFrame, key: str, parts: int) -> DataFrame:
+    """Keys that hold over a ``parts``-th of all keyed rows, with ``_pieces``, the
+    number of pieces that bring each under that share.  Fewer than ``parts``
+    rows, whatever the input."""
+    names = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = names.agg(F.sum("_n")).scalar()
+    return (names.filter(F.col("_n") * F.lit(parts) > total)
+            .select(key, F.ceil(F.col("_n") * F.lit(parts) / total).cast("int").alias("_pieces")))
+
+
+def spread_folded_link(left: DataFrame, right: DataFrame, left_name: Column | str,
+                       right_name: Column | str, how: str = "left",
+                       key: str = "_name_key", parts: int = 200) -> DataFrame:
+    """:func:`folded_link` where some names may hold a large share of the left
+    rows (J7): the same rows, but a hot name is spread over tasks.
+
+    Hot names are found by a partial count; there are fewer than ``parts``, so
+    their list is broadcast.  Left rows of a hot name are cut into pieces by a
+    row hash, the right rows of that name are repeated once per piece, and the
+    join runs on (name, piece).  A hash, not a random number: a task that runs
+    again after a lost executor deals its rows alike.  Left rows that are equal
+    in all columns stay in one piece; a skewed piece is left to adaptive
+    execution.  ``how`` is 'left' or 'inner' (a repeated right side has no other).
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"left or inner, not {how!r}")
+    lcol = F.col(left_name) if isinstance(left_name, str) else left_name
+    rcol = F.col(right_name) if isinstance(right_name, str) else right_name
+    row = F.xxhash64(*[F.col(c) for c in left.columns])
+    keyed = left.withColumns({key: F.nullif(fold_text(lcol, strip=True), F.lit("")), "_row": row})
+    hot = F.broadcast(hot_names(keyed, key, parts))
+    rk = (right.withColumn(key, F.nullif(fold_text(rcol, strip=True), F.lit("")))
+          .filter(F.col(key).isNotNull()).join(hot, key, "left")
+          .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))).drop("_pieces"))
+    blank = F.concat(F.lit(_NO_MATCH), F.col("_row").cast("string"))
+    lk = keyed.filter(F.col(key).isNotNull()) if how == "inner" else keyed.withColumn(key, F.coalesce(key, blank))
+    lk = (lk.join(hot, key, "left")
+          .withColumn("_piece", F.coalesce(F.pmod("_row", "_pieces"), F.lit(0)).cast("int")).drop("_row", "_pieces"))
+    joined = lk.join(rk, [key, "_piece"], how).drop("_piece")
+    return joined.withColumn(key, F.when(~F.col(key).startswith(_NO_MATCH), F.col(key)))

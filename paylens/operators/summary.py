@@ -59,7 +59,7 @@ def display_table(df: DataFrame, order=DISPLAY_ORDER, hidden=HIDDEN,
     return out.withColumns({c: format_clp(F.col(c)) for c in money if c in out.columns})
 
 
-def histogram(df: DataFrame, amount: str, bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, amount: str, bins: int = 20, bounds: DataFrame | None = None) -> DataFrame:
     """Equal-width bins between the global min and max.
 
     The two bounds are scalar subqueries over one global aggregate (partial
@@ -67,10 +67,14 @@ def histogram(df: DataFrame, amount: str, bins: int = 20) -> DataFrame:
     expression followed by a partial count per bin.  No window over the whole
     table, no cross join.  Bin = floor(bins * (x - lo) / (hi - lo)) + 1, the
     maximum falls in the last bin, and lo = hi puts everything in bin 1.
+    ``bounds``, one row (lo, hi) of just these rows, spares the first of the two
+    scans: ``partials.merged_bounds`` has it from the summaries of the drops.
     """
     vals = df.select(F.col(amount).alias("x")).filter(F.col("x").isNotNull())
-    bounds = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
+    if bounds is None:
+        bounds = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    pair = bounds.select(F.struct("lo", "hi")).scalar()
+    lo, hi = pair["lo"], pair["hi"]
     raw = F.floor((F.lit(bins) * (F.col("x") - lo)) / F.nullif(hi - lo, F.lit(0))) + 1
     # least() skips NULL, so the lo = hi case is defaulted before clamping
     bucket = F.least(F.coalesce(raw, F.lit(1)), F.lit(bins))

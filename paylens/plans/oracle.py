@@ -60,15 +60,17 @@ ORACLE["surname_concentration"] = surname_sql(
     "p_brand", "split_part(p_name, ' ', 2)", "CAST(round(p_retailprice * 100) AS BIGINT)", "part")
 
 
-def _outliers_sql(base: str) -> str:
-    """Rows above mean + 3 deviations of their group, for groups of over ten
-    positive rows; mean and deviation as window values over the group."""
+def _outliers_sql(base: str, sigma: str = "3", names: dict | None = None) -> str:
+    """Rows above mean + ``sigma`` deviations of their group, for groups of over
+    ten positive rows; mean and deviation as window values over the group.
+    ``names``: other names of the first three columns."""
+    shown = ", ".join(f"{c} AS {(names or {}).get(c, c)}" for c in ("organismo", "nombre", "estamento"))
     return f"""
-SELECT organismo, nombre, estamento, sueldo_num AS sueldo, CAST(mean AS BIGINT) AS promedio_estamento,
+SELECT {shown}, sueldo_num AS sueldo, CAST(mean AS BIGINT) AS promedio_estamento,
        CAST(sueldo_num / mean AS DECIMAL(10,1)) AS veces_promedio
 FROM (SELECT *, avg(sueldo_num) OVER g AS mean, stddev_samp(sueldo_num) OVER g AS spread, count(*) OVER g AS n
       FROM ({base}) WHERE sueldo_num > 0 WINDOW g AS (PARTITION BY estamento))
-WHERE n > 10 AND sueldo_num > mean + 3 * spread AND estamento IS NOT NULL
+WHERE n > 10 AND sueldo_num > mean + {sigma} * spread AND estamento IS NOT NULL
 ORDER BY veces_promedio DESC, sueldo DESC, nombre NULLS LAST, organismo NULLS LAST LIMIT 100
 """
 
@@ -449,6 +451,15 @@ FROM users u LEFT JOIN acc a
   ON nullif(trim({fold_full('u.c_name')}), '') = nullif(trim({fold_full('a.nombre_acentuado')}), '')
 """
 
+ORACLE["folded_link_hot_name"] = f"""
+WITH o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'José Núñez' WHEN 'P' THEN ' '
+                                   ELSE 'Cliente ' || CAST(o_custkey AS VARCHAR) END AS who FROM orders),
+c AS (SELECT c_custkey, CASE WHEN c_custkey <= 2 THEN 'JOSE NUÑEZ' ELSE 'CLIENTE ' || CAST(c_custkey AS VARCHAR) END AS nombre
+      FROM customer)
+SELECT o.o_orderkey, o.who, c.c_custkey, c.nombre FROM o LEFT JOIN c
+  ON nullif(trim({fold_full('o.who')}), '') = nullif(trim({fold_full('c.nombre')}), '')
+"""
+
 ORACLE["footprint"] = f"""
 WITH keyed AS (SELECT o_orderkey, o_custkey AS llave, CAST(year(o_orderdate) AS INTEGER) AS anyo,
                       CAST(month(o_orderdate) AS INTEGER) AS mes, o_totalprice FROM orders),
@@ -629,6 +640,35 @@ SELECT *, CASE WHEN organismo_nombre IN ('BUILDING', 'MACHINERY') THEN '2024/TA_
 FROM ({_pay_rows_sql(BULK_DROP)})
 """
 
+SUMMARISED = f"""
+SELECT * REPLACE (CASE WHEN organismo_nombre = 'FURNITURE' THEN 'Contrata' ELSE 'Planta' END AS origen)
+FROM ({_pay_rows_sql(BULK_DROP)})"""
+
+ORACLE["catalogue_incremental"] = f"""
+SELECT dataset, array_to_string(list_reverse_sort(list_distinct(list(anyo))), ',') AS anios,
+       array_to_string(list_sort(list_distinct(list(organismo_nombre))), ',') AS organismos
+FROM (SELECT origen AS dataset, anyo, organismo_nombre FROM ({SUMMARISED})
+      UNION ALL SELECT 'Todas (Búsqueda Global)', anyo, organismo_nombre FROM ({SUMMARISED}))
+GROUP BY dataset
+"""
+
+ORACLE["outliers_incremental"] = _outliers_sql(
+    f"SELECT organismo_nombre AS organismo, Nombres AS nombre, Mes AS estamento, remuliquida_mensual AS sueldo_num FROM ({SUMMARISED})",
+    sigma="1.5", names={"organismo": "organismo_nombre", "nombre": "Nombres", "estamento": "Mes"})
+
+ORACLE["group_stats_incremental"] = f"""
+SELECT organismo_nombre, round(avg(remuliquida_mensual), 2) AS promedio, round(stddev_samp(remuliquida_mensual), 2) AS desv
+FROM ({SUMMARISED}) WHERE remuliquida_mensual > 0 GROUP BY organismo_nombre HAVING count(*) > 10
+"""
+
+ORACLE["histogram_one_scan"] = f"""
+WITH v AS (SELECT remuliquida_mensual AS x FROM ({SUMMARISED}) WHERE remuliquida_mensual IS NOT NULL),
+     b AS (SELECT min(x) AS lo, max(x) AS hi FROM v)
+SELECT CAST(least(COALESCE(floor((20 * (x - lo)) / NULLIF(hi - lo, 0)) + 1, 1), 20) AS INTEGER) AS bin,
+       COUNT(*) AS n, min(x) AS bin_min, max(x) AS bin_max
+FROM v, b GROUP BY 1
+"""
+
 ORACLE["stream_mixed_drops"] = f"""
 SELECT *, CASE WHEN organismo_nombre IN ('BUILDING', 'MACHINERY', 'FURNITURE')
                THEN 'TA_PersonalPlanta_' || organismo_nombre || '.csv' ELSE 'new/TA_PersonalPlanta_BUILDING.csv' END AS drop

@@ -20,12 +20,13 @@ from paylens.operators import catalogue as cat
 from paylens.operators import expenses as exp
 from paylens.operators import legislative as leg
 from paylens.operators import pages as pg
+from paylens.operators import partials as prt
 from paylens.operators import search as srch
 from paylens.operators import summary as summ
 from paylens.operators import sync as syn
 from paylens.operators import unify as uni
 from paylens.operators import word_index as widx
-from paylens.operators.joins import folded_link
+from paylens.operators.joins import folded_link, spread_folded_link
 from paylens.plans import views
 from paylens.session import scratch_path, spread_narrow, table
 from paylens.sources import drift, generations
@@ -426,6 +427,19 @@ def folded_name_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("user_id", "c_name", "nombre_acentuado", "linked_custkey")
 
 
+@register("folded_link_hot_name")
+def folded_link_hot_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders linked to customers by name; half of the orders bear one name,
+    which two customers have, and some a blank one (J7)."""
+    status = F.col("o_orderstatus")
+    who = (F.when(status == "F", "José Núñez").when(status == "P", " ")
+           .otherwise(F.concat(F.lit("Cliente "), F.col("o_custkey").cast("string"))))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", who.alias("who"))
+    name = F.when(F.col("c_custkey") <= 2, "JOSE NUÑEZ").otherwise(F.concat(F.lit("CLIENTE "), F.col("c_custkey").cast("string")))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", name.alias("nombre"))
+    return spread_folded_link(orders, customers, "who", "nombre").select("o_orderkey", "who", "c_custkey", "nombre")
+
+
 @register("footprint")
 def footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
@@ -663,6 +677,55 @@ def drop_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leg.ingest_bulk_csv(spark, [a, c], lake, root=base)
 
 
+def _summarised_lake(spark, sf_dir):
+    """A pay table of three drops and its summaries: refreshed after two wrong
+    drops, and again after the second was corrected and a third came."""
+    rows = _bulk_drop(spark, sf_dir)
+    base = scratch_path(spark, "drops")
+    lake, states = f"{base}/lake", f"{base}/states"
+    names = [f"{base}/{n}" for n in ("2024/TA_PersonalPlanta.csv", "2024/TA_PersonalContrata.csv", "2025/TA_PersonalPlanta.csv")]
+    parts = [F.col("Organismo").isin("BUILDING", "MACHINERY"), F.col("Organismo") == "FURNITURE",
+             ~F.col("Organismo").isin("BUILDING", "MACHINERY", "FURNITURE")]
+    wrong = rows.withColumns({"Sueldo Liquido": F.lit("$ 99.999.999,00"), "Año": F.lit("2001")})
+    for step in ([0, 1], [1, 2]):
+        for i in step:
+            sk.write_report_csv((wrong if step == [0, 1] and i == 1 else rows).filter(parts[i]), names[i])
+        leg.ingest_bulk_csv(spark, [names[i] for i in step], lake, root=base)
+        prt.refresh(spark, lake, states, floor=0)
+    return generations.read(spark, lake), generations.read(spark, states)
+
+
+@register("catalogue_incremental")
+def catalogue_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue from summaries of drops, of which only new and replaced ones were read."""
+    _, states = _summarised_lake(spark, sf_dir)
+    return cat.build_catalogue(states).withColumns({"anios": _join_list("anios"), "organismos": _join_list("organismos")})
+
+
+@register("outliers_incremental")
+def outliers_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outliers against statistics merged from summaries: one scan of the pay table (C11, A3)."""
+    pay, states = _summarised_lake(spark, sf_dir)
+    stats = prt.merged_stats(states, group="Mes")
+    return audits.pay_outliers(pay, group="Mes", amount="remuliquida_mensual", name="Nombres",
+                               org="organismo_nombre", sigma=1.5, result_floor=0, stats=stats)
+
+
+@register("group_stats_incremental")
+def group_stats_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation per organisation, merged from summaries (A3)."""
+    _, states = _summarised_lake(spark, sf_dir)
+    stats = prt.merged_stats(states, group="organismo_nombre")
+    return stats.select("organismo_nombre", F.round("promedio", 2).alias("promedio"), F.round("desv", 2).alias("desv"))
+
+
+@register("histogram_one_scan")
+def histogram_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pay histogram with bounds from summaries: one scan of the pay table."""
+    pay, states = _summarised_lake(spark, sf_dir)
+    return summ.histogram(pay, "remuliquida_mensual", bins=20, bounds=prt.merged_bounds(states))
+
+
 @register("parquet_roundtrip")
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unified rows -> partitioned ZSTD Parquet -> year-pruned read."""
