@@ -61,10 +61,12 @@ def year_bounds(years: DataFrame, col: str = "anios") -> DataFrame:
                         F.array_max(col).alias("max_year"), F.size(col).alias("n_years"))
 
 
-def catalogue_job(spark, pay_path: str, out: str, state_path: str | None = None, **names) -> DataFrame:
+def catalogue_job(spark, pay_path: str, out: str, state_path: str | None = None,
+                  measure: dict | None = None, **names) -> DataFrame:
     """C13 end to end: the partitioned pay table -> catalogue JSON (S10);
     returns the written catalogue for lookups (S11).  With ``state_path``, the
-    folder of the table's summaries, only new and replaced drops are read."""
+    folder of the table's summaries, only new and replaced drops are read;
+    ``measure`` is the ``amount`` and ``floor`` that these are kept with."""
     from paylens.operators import partials
     from paylens.sources.generations import read, read_or_plain
     from paylens.sources.sinks import write_catalogue
@@ -72,7 +74,7 @@ def catalogue_job(spark, pay_path: str, out: str, state_path: str | None = None,
     if state_path is None:
         rows = read_or_plain(spark, pay_path)
     else:
-        partials.refresh(spark, pay_path, state_path)
+        partials.refresh(spark, pay_path, state_path, **(measure or {}))
         rows = read(spark, state_path)
     write_catalogue(build_catalogue(rows, **names), out)
     return spark.read.schema("dataset string, anios array<int>, organismos array<string>").json(out)

@@ -68,6 +68,10 @@ def test_a_replaced_drop_replaces_its_summary(spark, tmp_dir):
     # another floor is another measure: all drops are summarised again
     assert partials.refresh(spark, lake, states, floor=600000) == ["a", "b"]
     _same_as_full(spark, lake, states, 600000)
+    plain = catalogue.catalogue_job(spark, lake, f"{tmp_dir}/plain")
+    merged = catalogue.catalogue_job(spark, lake, f"{tmp_dir}/merged", states, measure={"floor": 600000})
+    assert sorted(plain.collect()) == sorted(merged.collect())
+    assert partials.refresh(spark, lake, states, floor=600000) == []
 
 
 def test_a_failing_refresh_keeps_the_summaries(spark, tmp_dir, monkeypatch):
