@@ -31,19 +31,24 @@ def _problem(path: Column, expected: str, found: Column, value: Column) -> Colum
     return F.struct(path.alias("path"), F.lit(expected).alias("expected"), found.alias("found"), value.alias("value"))
 
 
-def _field(body: Column, where: Column, field: T.StructField) -> tuple[Column, Column]:
-    """The field's value, and what is wrong with it (NULL if nothing)."""
+def _parts(body: Column, k: int, field: T.StructField) -> list[Column]:
+    """What stands in the field: as found, as text, and its kind."""
     path = f"$['{field.name}']"
     found = F.try_variant_get(body, path, "variant")
-    text = F.try_variant_get(body, path, "string")
+    return [found.alias(f"_found{k}"), F.try_variant_get(body, path, "string").alias(f"_text{k}"), _kind(found).alias(f"_kind{k}")]
+
+
+def _field(body: Column, where: Column, k: int, field: T.StructField) -> tuple[Column, Column]:
+    """The field's value, and what is wrong with it (NULL if nothing), from its :func:`_parts`."""
+    found, text, kind = F.col(f"_found{k}"), F.col(f"_text{k}"), F.col(f"_kind{k}")
     given = found.isNotNull() & ~F.is_variant_null(found)
     if isinstance(field.dataType, (T.NumericType, T.StringType)):
-        scalar = F.when(~_kind(found).isin("OBJECT", "ARRAY"), text)
+        scalar = F.when(~kind.isin("OBJECT", "ARRAY"), text)
         value = _typed(scalar, field.dataType)
     else:
-        value = F.try_variant_get(body, path, field.dataType.simpleString())
+        value = F.try_variant_get(body, f"$['{field.name}']", field.dataType.simpleString())
     wrong = F.when(given & value.isNull(), _problem(
-        F.concat(where, F.lit(f".{field.name}")), field.dataType.simpleString(), _kind(found), text))
+        F.concat(where, F.lit(f".{field.name}")), field.dataType.simpleString(), kind, text))
     return value, wrong
 
 
@@ -57,26 +62,33 @@ def checked_envelopes(docs: DataFrame, item: T.StructType, text: str = "value")
     """
     rest = [c for c in docs.columns if c != text]
     parsed = docs.select(*rest, F.col(text).alias("_text"), F.try_parse_json(F.col(text)).alias("_doc"))
-    paged = F.try_variant_get("_doc", "$.data.data", "array<variant>")
-    plain = F.try_variant_get("_doc", "$.data", "array<variant>")
-    items = F.transform(F.coalesce(paged, plain), lambda x, k: F.struct(k.alias("at"), x.alias("it")))
-    nothing = F.array(F.struct(F.lit(None).cast("int").alias("at"), F.lit(None).cast("variant").alias("it")))
+    # a step of its own for all that is taken from a whole document: beside the
+    # explode it would be computed again, and the document carried, for every item
+    lists = parsed.select(*rest, "_text", "_doc", F.try_variant_get("_doc", "$.data.data", "array<variant>").alias("_paged"),
+                          F.try_variant_get("_doc", "$.data", "array<variant>").alias("_plain"))
+    paged, both = F.col("_paged"), F.coalesce("_paged", "_plain")
     broken = F.when(F.col("_doc").isNull(), _problem(F.lit("$"), "JSON", F.lit("no JSON"), F.col("_text"))).when(
-        F.coalesce(paged, plain).isNull(), _problem(
+        both.isNull(), _problem(
             F.lit("$.data"), "ARRAY", _kind(F.try_variant_get("_doc", "$.data", "variant")), F.col("_text")))
-    rows = parsed.select(*rest, broken.alias("_broken"),
-                         F.when(paged.isNotNull(), F.lit("$.data.data[")).otherwise(F.lit("$.data[")).alias("_list"),
-                         F.explode(F.coalesce(items, nothing)).alias("_it"))
-    inner = F.try_variant_get(F.col("_it.it"), "$.attributes", "variant")
+    documents = lists.select(*rest, broken.alias("_broken"), both.alias("_items"),
+                             F.when(paged.isNotNull(), F.lit("$.data.data[")).otherwise(F.lit("$.data[")).alias("_list"))
+    items = F.transform("_items", lambda x, k: F.struct(k.alias("at"), x.alias("it")))
+    nothing = F.array(F.struct(F.lit(None).cast("int").alias("at"), F.lit(None).cast("variant").alias("it")))
+    rows = documents.select(*rest, "_broken", "_list", F.explode(F.coalesce(items, nothing)).alias("_it"))
+    rows = rows.select(*rest, "_broken", "_list", "_it", F.try_variant_get(F.col("_it.it"), "$.attributes", "variant").alias("_inner"))
+    inner = F.col("_inner")
     wrapped = inner.isNotNull() & ~F.is_variant_null(inner)
     rows = rows.select(*rest, "_broken", F.when(wrapped, inner).otherwise(F.col("_it.it")).alias("_body"),
                        F.concat("_list", F.col("_it.at").cast("string"), F.lit("]"),
                                 F.when(wrapped, F.lit(".attributes")).otherwise(F.lit(""))).alias("_where"))
     body, where = F.col("_body"), F.col("_where")
-    fields = {f.name: _field(body, where, f) for f in item.fields}
-    is_object = _kind(body) == "OBJECT"
+    # each part once, whatever uses it
+    rows = rows.select(*rest, "_broken", "_body", "_where", _kind(body).alias("_kind"),
+                       *[part for k, f in enumerate(item.fields) for part in _parts(body, k, f)])
+    fields = {f.name: _field(body, where, k, f) for k, f in enumerate(item.fields)}
+    is_object = F.col("_kind") == "OBJECT"
     problems = (F.when(F.col("_broken").isNotNull(), F.array("_broken"))
-                .when(~is_object, F.array(_problem(where, "OBJECT", _kind(body), body.cast("string"))))
+                .when(~is_object, F.array(_problem(where, "OBJECT", F.col("_kind"), body.cast("string"))))
                 .otherwise(F.filter(F.array(*[wrong for _, wrong in fields.values()]), lambda p: p.isNotNull())))
     read = F.when(F.col("_broken").isNull() & is_object, F.struct(*[value.alias(n) for n, (value, _) in fields.items()]))
     return rows.select(*rest, read.alias("item"), problems.cast(PROBLEMS).alias("problems"))
@@ -91,4 +103,7 @@ def good_items(checked: DataFrame) -> DataFrame:
 def quarantine(checked: DataFrame) -> DataFrame:
     """One row per problem: path, expected, found, value beside the document's columns."""
     rest = [c for c in checked.columns if c not in ("item", "problems")]
-    return checked.select(*rest, F.inline("problems"))
+    # outer, then filtered: for a plain inline the optimizer filters by the size of
+    # ``problems``, so all checks of an item would be made twice
+    found = checked.select(*rest, F.explode_outer("problems").alias("_problem")).filter(F.col("_problem").isNotNull())
+    return found.select(*rest, "_problem.*")

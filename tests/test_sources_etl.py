@@ -477,3 +477,29 @@ def test_drifting_json_is_read_and_reported(spark):
         (5, "$", "JSON", "no JSON", texts[5]), (6, "$", "JSON", "no JSON", "")]
     assert drift.quarantine(checked).filter("file = 7").count() == 1
     assert drift.checked_envelopes(docs.limit(0), item).count() == 0
+
+
+def _above_the_explode(df):
+    """The optimized plan's steps on single items, as lines."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    return lines[:next(k for k, line in enumerate(lines) if "Generate explode(coalesce" in line)]
+
+
+def _pages_of_items(spark):
+    item = T.StructType([T.StructField("n", T.LongType())])
+    texts = ['{"data":{"data":[' + ",".join(f'{{"n":{k if k % 3 else "[]"}}}' for k in range(30)) + "]}}",
+             '{"data":[' + ",".join(f'{{"attributes":{{"n":{k}}}}}' for k in range(20)) + "]}", "{"]
+    return drift.checked_envelopes(spark.createDataFrame(list(enumerate(texts)), "page int, value string"), item)
+
+
+def test_quarantine_reads_a_document_once_for_all_its_items(spark):
+    bad = drift.quarantine(_pages_of_items(spark))
+    # what is taken from a whole document stays below the explode, and no filter repeats an item's checks
+    steps = _above_the_explode(bad)
+    assert not any("ArrayType(VariantType" in line or "_doc" in line for line in steps)
+    assert not any("Filter" in line and "variant" in line.lower() for line in steps)
+    assert sorted(map(tuple, bad.collect())) == sorted(
+        [(0, f"$.data.data[{k}].n", "bigint", "ARRAY", "[]") for k in range(0, 30, 3)] + [(2, "$", "JSON", "no JSON", "{")])
+    # a column of the documents may have a report's name
+    named = drift.quarantine(_pages_of_items(spark).withColumnRenamed("page", "path"))
+    assert named.columns == ["path", "path", "expected", "found", "value"] and named.count() == 11
