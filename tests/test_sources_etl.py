@@ -503,3 +503,11 @@ def test_quarantine_reads_a_document_once_for_all_its_items(spark):
     # a column of the documents may have a report's name
     named = drift.quarantine(_pages_of_items(spark).withColumnRenamed("page", "path"))
     assert named.columns == ["path", "path", "expected", "found", "value"] and named.count() == 11
+
+
+def test_good_items_read_a_document_once_for_all_its_items(spark):
+    good = drift.good_items(_pages_of_items(spark))
+    steps = _above_the_explode(good)
+    assert not any("ArrayType(VariantType" in line or "_doc" in line for line in steps)
+    assert sorted(map(tuple, good.collect()), key=str) == sorted(
+        [(0, k if k % 3 else None) for k in range(30)] + [(1, k) for k in range(20)], key=str)
