@@ -906,13 +906,13 @@ def chamber_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice")
-    lines = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
-             .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     # one deputy per region: 5 ids x every month of drops
     key = F.concat_ws("_", F.col("n_regionkey").cast("string"), F.date_format("o_orderdate", "yyyy_MM"))
+    drops = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select("o_orderkey", key.alias("drop")))
+    lines = li.join(drops, F.col("l_orderkey") == F.col("o_orderkey"))
     (lines.select(F.col("l_returnflag").alias("Concepto"),
-                  views.money_text(mny.to_cents(F.col("l_extendedprice"))).alias("Monto"),
-                  key.alias("drop"))
+                  views.money_text(mny.to_cents(F.col("l_extendedprice"))).alias("Monto"), "drop")
      .hint("rebalance", "drop")
      .write.partitionBy("drop").option("header", True).csv(f"{root}/gastos_operacionales"))
     # the deputies' monthly lists: every month of the orders' span; the name

@@ -12,6 +12,7 @@ import csv
 import re
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,9 +172,11 @@ def read_envelopes(spark: SparkSession, path: str, item: T.StructType, rejected:
     return parse_envelopes(docs, item, rejected=rejected)
 
 
-def plain_path() -> Column:
-    """The path of the file a row comes from, as written (not URL-encoded)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def plain_path(file: Column | None = None) -> Column:
+    """The path of the file a row comes from, as written (not URL-encoded);
+    ``file``: such a path kept in a column."""
+    file = F.col("_metadata.file_path") if file is None else file
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
 
 
 def literal_path(path: str) -> str:
@@ -229,25 +232,24 @@ def open_file(path: str):
 
 
 def probed(files: DataFrame, encoding: str) -> DataFrame:
-    """path, head (the first line), opened of every file (path).  A block of each
-    file is read, whatever its size; ``opened`` is false where Arrow cannot reach it."""
+    """path, file, head (the first line), opened of every file (path, file).  A block of
+    each file is read, whatever its size; ``opened`` is false where Arrow cannot reach it."""
 
     def scan(batches):
-        import pyarrow as pa
-
         for batch in batches:
             rows = []
-            for path in batch.column(0).to_pylist():
+            for path, uri in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 try:
                     with open_file(path) as file:
-                        rows.append((path, first_line(file).decode(encoding, "replace"), True))
+                        rows.append((path, uri, first_line(file).decode(encoding, "replace"), True))
                 except Exception:  # noqa: BLE001 - any store's errors: the file is read by Spark instead
-                    rows.append((path, None, False))
+                    rows.append((path, uri, None, False))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*rows, strict=True) if rows else ([], [], []), (pa.string(), pa.string(), pa.bool_()), strict=True)],
-                ["path", "head", "opened"])
+                zip(*rows, strict=True) if rows else ([], [], [], []),
+                (pa.string(), pa.string(), pa.string(), pa.bool_()), strict=True)],
+                ["path", "file", "head", "opened"])
 
-    return files.mapInArrow(scan, "path string, head string, opened boolean")
+    return files.mapInArrow(scan, "path string, file string, head string, opened boolean")
 
 
 def scanned(spark: SparkSession, paths, encoding: str) -> DataFrame:
@@ -262,36 +264,39 @@ def scanned(spark: SparkSession, paths, encoding: str) -> DataFrame:
     return rows.groupBy("path").agg(F.min_by("value", "rid").alias("head"))
 
 
-def headers_of(spark: SparkSession, paths, encoding: str = "UTF-8", pattern: str | None = None) -> dict[str, list[str]]:
-    """``{header line: files that have it}`` of all files under ``paths``.
-
-    Two jobs, whatever the number of files: a listing (no content is read), and
-    tasks that read the first block of each file.  Files that those cannot open,
-    in stores that only Spark reaches, are scanned.  Files without a first line, or whose
-    path does not match ``pattern``, are left out.  The driver gets a path per
-    file, as it does to plan any scan of them.
-    """
+def _files_by_header(spark: SparkSession, paths, encoding: str, pattern: str | None) -> dict[str, dict[str, str]]:
+    """``{header line: {path: the same as ``_metadata.file_path`` has it}}``; see :func:`headers_of`."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .load([literal_path(p) for p in paths]).select("path"))
+             .load([literal_path(p) for p in paths]).select("path", F.col("_metadata.file_path").alias("file")))
     if pattern:
         files = files.filter(F.col("path").rlike(pattern))
     clean = F.btrim("head", F.lit("\ufeff\r")).alias("head")
-    found: dict[str, list[str]] = {}
-    closed: list[str] = []
+    found: dict[str, dict[str, str]] = {}
+    closed: dict[str, str] = {}
     spread = files.repartition(spark.sparkContext.defaultParallelism)  # paths only: small files share a scan task
-    groups = (probed(spread, encoding).select("path", clean, "opened").groupBy("opened", "head")
-              .agg(F.collect_list("path").alias("paths")).collect())
+    groups = (probed(spread, encoding).select("path", "file", clean, "opened").groupBy("opened", "head")
+              .agg(F.collect_list(F.struct("path", "file")).alias("files")).collect())
     for group in groups:
-        if group["opened"]:
-            found.setdefault(group["head"], []).extend(group["paths"])
-        else:
-            closed += group["paths"]
+        (found.setdefault(group["head"], {}) if group["opened"] else closed).update(group["files"])
     if closed:
-        heads = scanned(spark, closed, encoding).select("path", clean)
+        heads = scanned(spark, list(closed), encoding).select("path", clean)
         for group in heads.groupBy("head").agg(F.collect_list("path").alias("paths")).collect():
-            found.setdefault(group["head"], []).extend(group["paths"])
-    return {head: sorted(files) for head, files in sorted(found.items(), key=lambda g: min(g[1])) if head and head.strip()}
+            found.setdefault(group["head"], {}).update((p, closed[p]) for p in group["paths"])
+    return {head: dict(sorted(files.items())) for head, files in sorted(found.items(), key=lambda g: min(g[1]))
+            if head and head.strip()}
+
+
+def headers_of(spark: SparkSession, paths, encoding: str = "UTF-8", pattern: str | None = None) -> dict[str, list[str]]:
+    """``{header line: files that have it}`` of all files under ``paths``.
+
+    Two jobs, whatever the number of files: a listing (no content is read), and
+    tasks that read the first block of each file.  Files that those cannot open,
+    in stores that only Spark reaches, are scanned.  Files without a first line, or whose
+    path does not match ``pattern``, are left out.  The driver gets a path per
+    file, as it does to plan any scan of them.
+    """
+    return {head: list(files) for head, files in _files_by_header(spark, paths, encoding, pattern).items()}
 
 
 def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep: str = ",",
@@ -304,24 +309,31 @@ def read_keyed_groups(spark: SparkSession, root: str, pattern: str, names, sep:
     the keys.  Files that are empty or hold only a header contribute no rows;
     files whose header cannot be read as one are left out, and ``skipped``
     collects (path, reason); a missing root gives no frames.
+
+    The keys are taken from each path once and reach the rows by a broadcast of
+    the list of files: matched per row they cost more than reading it.
     """
     if not existing_paths(spark, [("", root)]):
         return []
     frames = []
-    for head, paths in headers_of(spark, root, encoding, pattern).items():
+    for head, files in _files_by_header(spark, root, encoding, pattern).items():
         try:
             header = apart(split_header(head, sep))
         except csv.Error as error:
             if skipped is not None:
-                skipped += [(p, f"header: {error}") for p in paths]
+                skipped += [(p, f"header: {error}") for p in files]
             continue
         schema = T.StructType([T.StructField(f"_p{i}", T.StringType()) for i in range(len(header))])
         # the probed header is the schema: no inference job per group
         df = (spark.read.options(sep=sep, encoding=encoding, header=True, inferSchema=False,
                                  enforceSchema=True, mode="PERMISSIVE", quote='"', escape='"')
-              .schema(schema).csv([literal_path(p) for p in paths]))
-        keys = {k: F.nullif(v, F.lit("")).try_cast(key_type) for k, v in file_keys(plain_path(), pattern, names).items()}
+              .schema(schema).csv([literal_path(p) for p in files]))
+        keys = {k: F.nullif(v, F.lit("")).try_cast(key_type)
+                for k, v in file_keys(plain_path(F.col("_file")), pattern, names).items()}
+        listed = spark.createDataFrame(pa.table({"_file": pa.array(list(files.values()), pa.string())}))  # no Python task
+        by_file = F.broadcast(listed.select("_file", *[v.alias(f"_k{i}") for i, v in enumerate(keys.values())]))
+        keyed = df.withColumn("_from", F.col("_metadata.file_path")).join(by_file, F.col("_from") == F.col("_file"), "left")
         taken = {k.lower() for k in keys}
-        frames.append(df.select(*[F.col(f"_p{i}").alias(c) for i, c in enumerate(header) if c.lower() not in taken],
-                                *[v.alias(k) for k, v in keys.items()]))
+        frames.append(keyed.select(*[F.col(f"_p{i}").alias(c) for i, c in enumerate(header) if c.lower() not in taken],
+                                   *[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)]))
     return frames

@@ -511,3 +511,21 @@ def test_good_items_read_a_document_once_for_all_its_items(spark):
     assert not any("ArrayType(VariantType" in line or "_doc" in line for line in steps)
     assert sorted(map(tuple, good.collect()), key=str) == sorted(
         [(0, k if k % 3 else None) for k in range(30)] + [(1, k) for k in range(20)], key=str)
+
+
+def test_keys_are_taken_from_each_path_once(spark, tmp_path):
+    names = ["a b", "c%20d", "e+f", "ñandú", "g=h"]
+    for k, name in enumerate(names):
+        (tmp_path / name).mkdir()
+        for month in (1, 12):
+            _write(f"{tmp_path}/{name}/{k}_2024_{month:02d}.csv", f"Concepto,Monto\nx{k},{month}\nÑ,\n")
+    _write(f"{tmp_path}/a b/99999999999_2024_01.csv", "Concepto,Monto\nlong,1\n")
+    frames = readers.read_keyed_groups(spark, str(tmp_path), leg.ID_MONTH_FILE, ["id", "anyo", "Mes"])
+    assert len(frames) == 1 and dict(frames[0].dtypes)["Mes"] == "int"
+    assert sorted(map(tuple, frames[0].collect()), key=str) == sorted(
+        [(f"x{k}", str(m), k, 2024, m) for k in range(len(names)) for m in (1, 12)]
+        + [("Ñ", None, k, 2024, m) for k in range(len(names)) for m in (1, 12)] + [("long", "1", None, 2024, 1)], key=str)
+    # no row is matched against the pattern: only the list of files is
+    plan = frames[0]._jdf.queryExecution().optimizedPlan()
+    assert "regexp_extract" not in "\n".join(
+        line for line in plan.toString().split("\n") if "_p0" in line or "file_path" in line)
