@@ -16,7 +16,8 @@ be streamed past all of it.  So the shards are cut by content:
    Then it joins the automaton.
 3. An anchor that over ``crowd`` documents share would make a large shard.  Its
    windows are shards of their own: equal by hash (128 bits), they need the
-   least doc_id only, an aggregation that combines map-side.
+   least doc_id only.  They are sorted by range, so no task gets all windows of
+   one hash, and each is compared to the least doc_id as it passes.
 
 Windows are judged on the input.  Defined results: a null, empty or blank text
 has no words and keeps the empty text's SHA-256; fewer than ``WINDOW`` words
@@ -271,13 +272,52 @@ def shard_spans(segments: DataFrame, window: int) -> DataFrame:
     return ordered.mapInArrow(scan, "d long, content long, first long, end long")
 
 
-def crowded_spans(segments: DataFrame, window: int) -> DataFrame:
-    """The same for windows of crowded anchors: all but those of the least document go."""
-    lone = segments.filter("words is null").select("d", "content", "start", "key", "check")
-    least = (lone.groupBy("key", "check").agg(F.min("d").alias("least"), F.max("d").alias("most"))
-             .filter("least < most").drop("most"))
-    return lone.join(least, ["key", "check"]).filter("d > least").select(
-        "d", "content", F.col("start").alias("first"), (F.col("start") + window).alias("end"))
+def crowded_windows(segments: DataFrame, window: int) -> DataFrame:
+    """Windows of crowded anchors that go: d, content, first, end.  With key and
+    check as well: those of the least document that a task saw of its first
+    window, as an earlier task may have seen a smaller one; and, without a span,
+    the least document of each task's last window.
+
+    The windows are dealt by ranges of (key, check, d), so those of one key may
+    take many tasks, and each comes after the least document of its key."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["d", "content", "first", "end", "key", "check"]
+        last, least, groups = None, np.int64(0), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, check, d, content, start = (c.to_numpy() for c in batch.columns)
+            new = np.ones(len(d), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
+            new[0] = last != (key[0], check[0])
+            number = groups + np.cumsum(new)
+            at = np.maximum.accumulate(np.where(new, np.arange(len(d)), -1))
+            low = np.where(at >= 0, d[at], least)
+            gone = d > low
+            row = np.flatnonzero(gone | (number == 1))
+            settled = gone[row]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[row]) for c in (d, content, start, start + window)]
+                + [pa.array(c[row], mask=settled) for c in (key, check)], names)
+            last, least, groups = (key[-1], check[-1]), low[-1], number[-1]
+        if last is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], pa.int64()) for v in (least, None, None, None, *last)], names)
+
+    lone = segments.filter("words is null").select("key", "check", "d", "content", "start")
+    ordered = lone.repartitionByRange("key", "check", "d").sortWithinPartitions("key", "check", "d")
+    return ordered.mapInArrow(scan, "d long, content long, first long, end long, key long, check long")
+
+
+def crowded_spans(windows: DataFrame) -> DataFrame:
+    """The same for :func:`crowded_windows`: all but those of the least document go."""
+    spans = windows.filter("key is null").select("d", "content", "first", "end")
+    # a row per task at most
+    least = windows.filter("first is null").groupBy("key", "check").agg(F.min("d").alias("least"))
+    later = (windows.filter("key is not null and first is not null").join(F.broadcast(least), ["key", "check"])
+             .filter("d > least").select("d", "content", "first", "end"))
+    return spans.unionByName(later)
 
 
 def keep(rows: DataFrame, spans: DataFrame) -> DataFrame:
@@ -321,7 +361,8 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, crowd:
         with temporary(docs.sparkSession):  # the list of all anchors goes as soon as the shared ones are known
             shared = saved(shared_anchors(saved(listed_anchors(rows, window, gram, crowd), "anchors"), crowd), "shared", keep=True)
         segments = saved(segments_of(texts, shared, window, gram), "segments")
-        spans = saved(shard_spans(segments, window).unionByName(crowded_spans(segments, window)), "spans", keep=True)
+        crowded = saved(crowded_windows(segments, window), "crowded")
+        spans = saved(shard_spans(segments, window).unionByName(crowded_spans(crowded)), "spans", keep=True)
     return keep(texts, spans)
 
 

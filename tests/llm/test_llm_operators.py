@@ -363,6 +363,30 @@ def test_substring_edges(spark):
     assert substring.substring_dedup(empty(spark)).count() == 0
 
 
+def test_windows_of_one_hash_are_dealt_over_tasks(spark):
+    rng = random.Random(31)
+    passage = prose(rng, 20)
+    texts = [f"{prose(rng, 5)} {passage} {prose(rng, 5)}" for _ in range(120)] + ["x y " * 30] * 3 + ["x y " * 40]
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = substring.substring_dedup(frame(spark, texts, clash=True), crowd=1).collect()
+        rows = [(d, 5, 0 if d % 50 else 1, 7 + d // 900, 9, None) for d in range(1000, 0, -1)]
+        rows += [(d, 5, k, 8, 9, None) for d in (3, 1, 2) for k in range(4)]
+        lone = spark.createDataFrame(rows, "d long, content long, start long, key long, check long, words binary")
+        windows = substring.crowded_windows(lone, 13)
+        spans = sorted(map(tuple, substring.crowded_spans(windows).collect()))
+        open_rows = windows.filter("key is not null").count()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sorted(tuple(r) for r in got) == reference_substrings(texts)
+    # of key 7 all but document 1 go, of key 8 (documents 1, 2, 3 and from 900 on) all but document 1
+    assert spans == sorted((d, c, a, a + 13) for d, c, a, k, _, _ in rows if d > 1)
+    assert 0 < open_rows <= 2 * 13 + 13 * 4  # what is joined does not grow with the windows
+
+
 def test_automaton_gives_matching_statistics():
     rng = random.Random(8)
     for _ in range(30):
