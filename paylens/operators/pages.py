@@ -1,20 +1,22 @@
 """HTML pages as data (R1, R2, X16): table rows, links and headings.
 
-A table of pages is processed in parallel, in the JVM.  Links and headings are
-regular expressions over whole pages.  Table rows come from tag tokens: a page
-without its comments, scripts and styles is cut before every tag of a table, a
-row or a cell, and running sums over the tokens of a page give the depth of
-tables and number tables, rows and cells.  End tags of rows and cells are never
+A table of pages is processed in parallel.  Links and headings are regular
+expressions over whole pages.  Table rows come from tag tokens: a page without
+its comments, scripts and styles is cut before every tag of a table, a row or a
+cell, and running counts over the tokens of a page, made page by page in its
+task, give the depth of tables and number tables, rows and cells.  End tags of rows and cells are never
 needed: the next row or cell, or the end of the table, closes them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html.entities import name2codepoint
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from paylens.functions.text import strip_title
 
@@ -58,17 +60,75 @@ _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b[^>]*>.*?(?:</\1\s*
 
 
 def _tokens(pages: DataFrame, html: str, key: str, tags: dict[str, str]) -> DataFrame:
-    """_page, key, pos, part, kind: the pieces of every page, each with the tag it starts with."""
+    """_page, key, parts, kinds: the pieces of every page, each with the tag it starts with."""
     any_tag = "|".join(tags.values())
     clean = F.regexp_replace(F.col(html), _HIDDEN, " ")
     # numbered before they are cut
     numbered = pages.select(F.monotonically_increasing_id().alias("_page"), F.col(key), clean.alias("_html"))
-    parts = numbered.select("_page", key, F.posexplode(F.split("_html", rf"(?i)(?=</?(?:{any_tag})[\s/>])")).alias("_pos", "_part"))
-    kind = F.lit("text")
-    for name, tag in tags.items():
-        kind = (F.when(F.col("_part").rlike(rf"(?i)^<{tag}[\s/>]"), name)
-                .when(F.col("_part").rlike(rf"(?i)^</{tag}[\s/>]"), f"/{name}").otherwise(kind))
-    return parts.withColumn("_kind", kind)
+    parts = numbered.select("_page", key, F.split("_html", rf"(?i)(?=</?(?:{any_tag})[\s/>])").alias("_parts"))
+
+    def kind(part: Column) -> Column:
+        found = F.lit("text")
+        for name, tag in tags.items():
+            found = (F.when(part.rlike(rf"(?i)^<{tag}[\s/>]"), name)
+                     .when(part.rlike(rf"(?i)^</{tag}[\s/>]"), f"/{name}").otherwise(found))
+        return found
+
+    return parts.select("_page", key, "_parts", F.transform("_parts", kind).alias("_kinds")).filter("_parts is not null")
+
+
+_OUTER = ("table", "row", "cell", "/row", "/cell")
+
+
+def _places(kinds: list[str]) -> Iterator[tuple]:
+    """pos, depth, table_no, last, cells, row_no of a page's pieces within rows:
+    depth of tables, and counts of the outer tables, rows and cells so far;
+    ``last`` is what was opened or closed last, outside inner tables."""
+    level = low = tables = cells = rows = before = first = 0
+    last = frame = None
+    for pos, kind in enumerate(kinds):
+        level += (kind == "table") - (kind == "/table")
+        low = min(low, level)  # an end tag too many closes nothing
+        depth = level - low
+        if depth == 1 and kind in _OUTER:
+            last = kind
+            cells += kind == "cell"
+            # the row of a cell is open unless the table has just begun or a row was closed
+            implied = kind == "cell" and frame in ("table", "/row") and cells == before + 1
+            rows += kind == "row" or implied
+            if kind in ("table", "row", "/row"):
+                frame, before = kind, cells
+            if kind == "table":
+                tables, first = tables + 1, rows
+        if depth > 0 and rows > first:
+            yield pos, depth, tables - 1, last, cells, rows - first - 1
+
+
+def _placed(tokens: DataFrame, key: str) -> DataFrame:
+    """_page, key, _pos, _part, _kind and the places of the pieces within rows."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        for batch in batches:
+            page, keys, parts, found = batch.columns
+            for k in range(batch.num_rows):
+                names = found[k].as_py()
+                placed = list(_places(names))
+                if placed:
+                    columns = list(zip(*placed, strict=True))
+                    row = pa.array([k] * len(placed), pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [page.take(row), keys.take(row), parts[k].values.take(pa.array(columns[0], pa.int32())),
+                         pa.array([names[p] for p in columns[0]], pa.string()),
+                         *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
+                        ["_page", key, "_part", "_kind", "_pos", "_depth", "table_no", "_last", "_cells", "row_no"])
+
+    schema = T.StructType([tokens.schema["_page"], T.StructField(key, tokens.schema[key].dataType)])
+    for name, kind in (("_part", T.StringType()), ("_kind", T.StringType()), ("_pos", T.IntegerType()),
+                       ("_depth", T.IntegerType()), ("table_no", T.LongType()), ("_last", T.StringType()),
+                       ("_cells", T.LongType()), ("row_no", T.LongType())):
+        schema = schema.add(name, kind)
+    return tokens.mapInArrow(scan, schema)
 
 
 def table_rows(pages: DataFrame, *, html: str = "html", key: str = "page_id",
@@ -84,27 +144,10 @@ def table_rows(pages: DataFrame, *, html: str = "html", key: str = "page_id",
     a cell outside a row starts one; text outside cells is left out.  A
     ``colspan`` repeats its cell in each of its columns.
     """
-    order = Window.partitionBy("_page").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    kind, depth = F.col("_kind"), F.col("_depth")
-    rows = _tokens(pages, html, key, {"table": table_tag, "row": row_tag, "cell": cell_tag})
-    rows = rows.withColumn("_level", F.sum(F.when(kind == "table", 1).when(kind == "/table", -1).otherwise(0)).over(order))
-    # an end tag too many closes nothing
-    rows = rows.withColumn("_depth", F.col("_level") - F.min(F.least(F.lit(0), F.col("_level"))).over(order))
-    outer = (depth == 1) & kind.isin("table", "row", "cell", "/row", "/cell")
-    rows = rows.withColumns({
-        "table_no": F.sum((outer & (kind == "table")).cast("int")).over(order) - 1,
-        # what was opened or closed last, outside inner tables
-        "_last": F.last(F.when(outer, kind), ignorenulls=True).over(order),
-        "_cells": F.sum((outer & (kind == "cell")).cast("int")).over(order),
-        # the row of a cell is open unless the table has just begun or a row was closed
-        "_frame": F.last(F.when(outer & kind.isin("table", "row", "/row"), kind), ignorenulls=True).over(order)})
-    rows = rows.withColumn("_before", F.last(F.when(outer & kind.isin("table", "row", "/row"), F.col("_cells")),
-                                             ignorenulls=True).over(order))
-    implied = (kind == "cell") & F.col("_frame").isin("table", "/row") & (F.col("_cells") == F.col("_before") + 1)
-    rows = rows.withColumn("_rows", F.sum((outer & ((kind == "row") | implied)).cast("int")).over(order))
-    rows = rows.withColumn("row_no", F.col("_rows") - F.last(F.when(outer & (kind == "table"), F.col("_rows")), ignorenulls=True)
-                           .over(order) - 1)
-    rows = rows.filter((depth > 0) & (F.col("row_no") >= 0))
+    depth = F.col("_depth")
+    rows = _placed(_tokens(pages, html, key, {"table": table_tag, "row": row_tag, "cell": cell_tag}), key)
+    outer = (depth == 1) & F.col("_kind").isin(*_OUTER)
+    kind = F.col("_kind")
     if first_table_only:
         rows = rows.filter("table_no = 0")
     # an inner table's tags part words
