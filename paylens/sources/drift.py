@@ -31,22 +31,27 @@ def _problem(path: Column, expected: str, found: Column, value: Column) -> Colum
     return F.struct(path.alias("path"), F.lit(expected).alias("expected"), found.alias("found"), value.alias("value"))
 
 
-def _parts(body: Column, k: int, field: T.StructField) -> list[Column]:
+def _fields(body: Column, item: T.StructType) -> Column:
+    """All fields of an object as found, in one pass; NULL if ``body`` is no object."""
+    names = [f.name.replace("`", "``") for f in item.fields]
+    return F.try_variant_get(body, "$", f"struct<{', '.join(f'`{n}`: variant' for n in names)}>")
+
+
+def _parts(k: int) -> list[Column]:
     """What stands in the field: as found, as text, and its kind."""
-    path = f"$['{field.name}']"
-    found = F.try_variant_get(body, path, "variant")
-    return [found.alias(f"_found{k}"), F.try_variant_get(body, path, "string").alias(f"_text{k}"), _kind(found).alias(f"_kind{k}")]
+    found = F.col(f"_found{k}")
+    return [found, F.try_variant_get(found, "$", "string").alias(f"_text{k}"), _kind(found).alias(f"_kind{k}")]
 
 
-def _field(body: Column, where: Column, k: int, field: T.StructField) -> tuple[Column, Column]:
-    """The field's value, and what is wrong with it (NULL if nothing), from its :func:`_parts`."""
+def _field(where: Column, k: int, field: T.StructField) -> tuple[Column, Column]:
+    """The field's value, and what is wrong with it (NULL if nothing), from what was found."""
     found, text, kind = F.col(f"_found{k}"), F.col(f"_text{k}"), F.col(f"_kind{k}")
     given = found.isNotNull() & ~F.is_variant_null(found)
     if isinstance(field.dataType, (T.NumericType, T.StringType)):
         scalar = F.when(~kind.isin("OBJECT", "ARRAY"), text)
         value = _typed(scalar, field.dataType)
     else:
-        value = F.try_variant_get(body, f"$['{field.name}']", field.dataType.simpleString())
+        value = F.try_variant_get(found, "$", field.dataType.simpleString())
     wrong = F.when(given & value.isNull(), _problem(
         F.concat(where, F.lit(f".{field.name}")), field.dataType.simpleString(), kind, text))
     return value, wrong
@@ -83,21 +88,27 @@ def checked_envelopes(docs: DataFrame, item: T.StructType, text: str = "value")
                                 F.when(wrapped, F.lit(".attributes")).otherwise(F.lit(""))).alias("_where"))
     body, where = F.col("_body"), F.col("_where")
     # each part once, whatever uses it
-    rows = rows.select(*rest, "_broken", "_body", "_where", _kind(body).alias("_kind"),
-                       *[part for k, f in enumerate(item.fields) for part in _parts(body, k, f)])
-    fields = {f.name: _field(body, where, k, f) for k, f in enumerate(item.fields)}
-    is_object = F.col("_kind") == "OBJECT"
+    kept = [*rest, "_broken", "_body", "_where", "_is_object"]
+    rows = rows.select(*rest, "_broken", "_body", "_where", _fields(body, item).alias("_fields"))
+    rows = rows.select(*kept[:-1], F.col("_fields").isNotNull().alias("_is_object"), "_fields.*").toDF(
+        *kept, *[f"_found{k}" for k in range(len(item.fields))])
+    rows = rows.select(*kept, *[part for k in range(len(item.fields)) for part in _parts(k)])
+    fields = {f.name: _field(where, k, f) for k, f in enumerate(item.fields)}
     problems = (F.when(F.col("_broken").isNotNull(), F.array("_broken"))
-                .when(~is_object, F.array(_problem(where, "OBJECT", F.col("_kind"), body.cast("string"))))
+                .when(~F.col("_is_object"), F.array(_problem(where, "OBJECT", _kind(body), body.cast("string"))))
                 .otherwise(F.filter(F.array(*[wrong for _, wrong in fields.values()]), lambda p: p.isNotNull())))
-    read = F.when(F.col("_broken").isNull() & is_object, F.struct(*[value.alias(n) for n, (value, _) in fields.items()]))
+    # a document without items has no object either
+    read = F.when(F.col("_is_object"), F.struct(*[value.alias(n) for n, (value, _) in fields.items()]))
     return rows.select(*rest, read.alias("item"), problems.cast(PROBLEMS).alias("problems"))
 
 
 def good_items(checked: DataFrame) -> DataFrame:
     """The items, drifting fields NULL."""
     rest = [c for c in checked.columns if c not in ("item", "problems")]
-    return checked.filter(F.col("item").isNotNull()).select(*rest, "item.*")
+    # through an explode: else the optimizer filters below every step, where each
+    # document would be written and parsed, and each item read, once more
+    found = checked.select(*rest, F.explode_outer(F.array("item")).alias("_item")).filter(F.col("_item").isNotNull())
+    return found.select(*rest, "_item.*")
 
 
 def quarantine(checked: DataFrame) -> DataFrame:

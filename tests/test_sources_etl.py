@@ -513,6 +513,26 @@ def test_good_items_read_a_document_once_for_all_its_items(spark):
         [(0, k if k % 3 else None) for k in range(30)] + [(1, k) for k in range(20)], key=str)
 
 
+def test_good_items_parse_a_document_once(spark):
+    good = drift.good_items(_pages_of_items(spark))
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    # no filter below the steps parses it again, and an item's kind needs no schema of all of it
+    assert plan.count("parseJson") == 1
+    assert plan.count("schemaOfVariant") == 1  # of the one field
+
+
+def test_fields_of_any_name_and_type_are_found(spark):
+    item = T.StructType([T.StructField("a`b", T.LongType()), T.StructField("it's", T.BooleanType()),
+                         T.StructField("c.d", T.ArrayType(T.LongType())), T.StructField("N", T.StringType())])
+    texts = ['{"data":[{"a`b":"1","it\'s":true,"c.d":[1,2],"n":"other"},{"a`b":null,"it\'s":[],"c.d":{"x":1},"N":5},null,[1]]}']
+    checked = drift.checked_envelopes(spark.createDataFrame([(t,) for t in texts], "value string"), item)
+    assert sorted(map(tuple, drift.good_items(checked).collect()), key=str) == [
+        (1, True, [1, 2], None), (None, None, None, "5")]
+    assert sorted(map(tuple, drift.quarantine(checked).collect())) == [
+        ("$.data[1].c.d", "array<bigint>", "OBJECT", '{"x":1}'), ("$.data[1].it's", "boolean", "ARRAY", "[]"),
+        ("$.data[2]", "OBJECT", "VOID", None), ("$.data[3]", "OBJECT", "ARRAY", "[1]")]
+
+
 def test_keys_are_taken_from_each_path_once(spark, tmp_path):
     names = ["a b", "c%20d", "e+f", "ñandú", "g=h"]
     for k, name in enumerate(names):
