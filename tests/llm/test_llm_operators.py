@@ -387,6 +387,47 @@ def test_windows_of_one_hash_are_dealt_over_tasks(spark):
     assert 0 < open_rows <= 2 * 13 + 13 * 4  # what is joined does not grow with the windows
 
 
+@pytest.mark.parametrize("crowd", [1, 12, 300])
+def test_segments_of_crowded_anchors_go_whole(spark, monkeypatch, crowd):
+    rng = random.Random(32)
+    passage = prose(rng, 40)
+    near = [" ".join(w if rng.random() > 0.05 else f"edit{k}" for w in passage.split()) for k in range(60)]
+    texts = [f"{prose(rng, 5)} {passage} {prose(rng, 5)}" for _ in range(200)] + near + ["x y " * 30] * 30 + ["x y " * 40]
+    counts = {}
+    saved = substring.saved
+
+    def counted(df, name, keep=False):
+        table = saved(df, name, keep)
+        counts[name] = table.count()
+        return table
+
+    monkeypatch.setattr(substring, "saved", counted)
+    got = substring.substring_dedup(frame(spark, texts, clash=True), crowd=crowd).collect()
+    assert sorted(tuple(r) for r in got) == reference_substrings(texts)
+    # windows are compared by themselves only where over ``crowd`` different segments are left
+    if crowd == 12:
+        assert counts["whole"] > 0 and counts["crowded"] < counts["whole"]
+
+
+def test_segments_left_are_of_the_least_document(spark):
+    rows = [(d, 5, d % 3, 7, 9, b"a b c", 40) for d in range(500, 0, -1)] + [(3, 5, 8, 7, 10, b"d e", 40), (3, 6, 9, 7, 10, b"d e", 40)]
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        segments = spark.createDataFrame(rows + [(9, 5, 0, 40, 0, b"f", None)],
+                                         "d long, content long, start long, key long, check long, words binary, anchor long")
+        out = [tuple(r) for r in substring.crowded_segments(segments).collect()]
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(out) == len(rows)
+    left = [r for r in out if r[4] is not None]
+    assert {(1, 5, 1, 4, b"a b c", 40), (3, 5, 8, 10, b"d e", 40), (3, 6, 9, 11, b"d e", 40)} <= set(left)
+    assert len(left) <= 2 + 13  # one a task at most beside them
+    assert all(r[5] is None and r[:4] == (r[0], 5, r[0] % 3, r[0] % 3 + 3) for r in out if r[4] is None)
+
+
 def test_automaton_gives_matching_statistics():
     rng = random.Random(8)
     for _ in range(30):
