@@ -428,6 +428,47 @@ def test_segments_left_are_of_the_least_document(spark):
     assert all(r[5] is None and r[:4] == (r[0], 5, r[0] % 3, r[0] % 3 + 3) for r in out if r[4] is None)
 
 
+def test_segments_left_do_not_grow_with_the_tasks(spark):
+    """Every document holds the text 20 times: a task's least document is not the text's."""
+    rows = [(d, 5, k, 7, 9, b"a b c", 40) for d in range(1, 101) for k in range(20)] + [(4, 5, 90, 7, 10, b"d e", 40)]
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        segments = spark.createDataFrame(rows, "d long, content long, start long, key long, check long, words binary, anchor long")
+        out = [tuple(r) for r in substring.crowded_segments(segments).collect()]
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sorted(r[:4] for r in out) == sorted((d, c, a, a + t.count(b" ") + 1) for d, c, a, _, _, t, _ in rows)
+    left = {r for r in out if r[4] is not None}
+    assert left == {(1, 5, k, k + 3, b"a b c", 40) for k in range(20)} | {(4, 5, 90, 92, b"d e", 40)}
+    assert all(r[5] is None for r in out if r[4] is None)
+
+
+def test_what_is_sorted_by_range_is_computed_once(spark, monkeypatch):
+    """Sorting by range reads its input twice, so that is a written table, not a step in Python."""
+    plans = {}
+
+    def watched(name):
+        step = getattr(substring, name)
+
+        def run(df, *args):
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+            return step(df, *args)
+
+        monkeypatch.setattr(substring, name, run)
+
+    watched("crowded_segments")
+    watched("crowded_windows")
+    rng = random.Random(33)
+    passage = prose(rng, 30).split()
+    texts = [" ".join(w if rng.random() > 0.1 else f"edit{k}" for w in passage) for k in range(40)]
+    got = substring.substring_dedup(frame(spark, texts, clash=True), crowd=2).collect()
+    assert sorted(tuple(r) for r in got) == reference_substrings(texts)
+    assert len(plans) == 2 and all("MapInArrow" not in p and "Scan parquet" in p for p in plans.values())
+
+
 def test_automaton_gives_matching_statistics():
     rng = random.Random(8)
     for _ in range(30):
